@@ -10,7 +10,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.plans import models, panels
+from paylake.plans import models, panels, quality
 from paylake.sources import adapter
 
 
@@ -52,3 +52,27 @@ QUERIES.update({
     "model_dim_location": partial(_model, "dim_location"),
     "fn_local_time": _local_hours,
 })
+
+
+def _dq(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = Inputs(spark, sf_dir)
+    q = quality
+    return {
+        "dq_report": lambda: q.dq_report(i.stg, i.fact, i.dims),
+        "dq_unique": lambda: q.dq_unique(i.stg, i.fact, i.dims),
+        "dq_not_null": lambda: q.dq_not_null(i.stg, i.fact, i.dims),
+        "dq_accepted_values": lambda: q.dq_accepted_values(i.stg, i.fact, i.dims),
+        "dq_relationships": lambda: q.dq_relationships(i.fact, i.dims),
+        "dq_no_negative_amounts": lambda: q.dq_no_negative_amounts(i.fact),
+        "dq_success_rate_floor": lambda: q.dq_success_rate_floor(i.fact),
+        "dq_festival_disagreement": lambda: q.dq_festival_disagreement(i.fact, i.dims),
+        "dq_row_rules": lambda: q.dq_row_rules(i.lake),
+        "dq_amount_in_category_range": lambda: q.dq_amount_in_category_range(i.lake),
+        "dq_calendar_flags": lambda: q.dq_calendar_flags(i.lake),
+    }[name]()
+
+
+for _name in ["dq_report", "dq_unique", "dq_not_null", "dq_accepted_values", "dq_relationships",
+              "dq_no_negative_amounts", "dq_success_rate_floor", "dq_festival_disagreement",
+              "dq_row_rules", "dq_amount_in_category_range", "dq_calendar_flags"]:
+    QUERIES[_name] = partial(_dq, _name)

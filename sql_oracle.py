@@ -404,3 +404,130 @@ MODEL_SQL = {
 SQL: dict[str, str] = {}
 for _k, _body in {**PANEL_SQL, **MODEL_SQL}.items():
     SQL[_k] = with_ctes(["fact"], _body)
+
+
+# --------------------------------------------------------------------------
+# data-quality tests, written as the generic tests compile (failing rows)
+# --------------------------------------------------------------------------
+def _head(table: str, col: str, check: str) -> str:
+    return f"SELECT '{table}' AS table_name, '{col}' AS column_name, '{check}' AS check_name, "
+
+
+def t_not_null(cte: str, table: str, col: str) -> str:
+    return _head(table, col, "not_null") + f"CAST((SELECT COUNT(*) FROM {cte} WHERE {col} IS NULL) AS BIGINT) AS failures"
+
+
+def t_unique(cte: str, table: str, col: str) -> str:
+    return _head(table, col, "unique") + (
+        f"CAST((SELECT COUNT(*) FROM (SELECT {col} AS unique_field, COUNT(*) AS n_records FROM {cte} "
+        f"WHERE {col} IS NOT NULL GROUP BY {col} HAVING COUNT(*) > 1)) AS BIGINT) AS failures")
+
+
+def t_accepted(cte: str, table: str, col: str, values) -> str:
+    vals = ", ".join(q(v) for v in values)
+    return _head(table, col, "accepted_values") + (
+        f"CAST((SELECT COUNT(*) FROM (SELECT {col} AS value_field, COUNT(*) AS n_records FROM {cte} "
+        f"GROUP BY {col}) a WHERE value_field NOT IN ({vals})) AS BIGINT) AS failures")
+
+
+def t_rel(cte: str, table: str, col: str, parent: str, field: str) -> str:
+    return _head(table, col, "relationships") + (
+        f"CAST((SELECT COUNT(*) FROM (SELECT {col} AS from_field FROM {cte} WHERE {col} IS NOT NULL) child "
+        f"LEFT JOIN (SELECT {field} AS to_field FROM {parent}) parent ON child.from_field = parent.to_field "
+        f"WHERE parent.to_field IS NULL) AS BIGINT) AS failures")
+
+
+STG_ACC = {"status": fixed.STATUSES, "merchant_category": CATEGORY_CODES,
+           "upi_app": [a[0] for a in fixed.UPI_APPS]}
+STG_NN = ["txn_id", "amount_inr", "status", "city", "merchant_category", "upi_app", "txn_date"]
+FACT_NN = ["txn_sk", "txn_id", "amount_inr", "location_sk", "date_sk", "merchant_sk", "upi_app_sk",
+           "payment_type_sk"]
+FKS = [("location_sk", "dim_location"), ("date_sk", "dim_date"), ("merchant_sk", "dim_merchant"),
+       ("upi_app_sk", "dim_upi_app"), ("payment_type_sk", "dim_payment_type")]
+DIM_SPECS = [("dim_location", ["location_sk", "city"], {"tier": fixed.TIERS}),
+             ("dim_date", ["date_sk", "date_day"], {}),
+             ("dim_merchant", ["merchant_sk", "category_code"], {}),
+             ("dim_upi_app", ["upi_app_sk"], {}),
+             ("dim_payment_type", ["payment_type_sk"], {})]
+
+UNIQUE_TESTS = ([t_unique("stg", "stg_transactions", "txn_id"),
+                 t_unique("fact", "fact_transactions", "txn_sk"),
+                 t_unique("fact", "fact_transactions", "txn_id")]
+                + [t_unique(d, d, k) for d, ks, _ in DIM_SPECS for k in ks])
+NOT_NULL_TESTS = ([t_not_null("stg", "stg_transactions", c) for c in STG_NN]
+                  + [t_not_null("fact", "fact_transactions", c) for c in FACT_NN]
+                  + [t_not_null(d, d, k) for d, ks, _ in DIM_SPECS for k in ks])
+ACCEPTED_TESTS = ([t_accepted("stg", "stg_transactions", c, v) for c, v in STG_ACC.items()]
+                  + [t_accepted("fact", "fact_transactions", "status", fixed.STATUSES),
+                     t_accepted("dim_location", "dim_location", "tier", fixed.TIERS)])
+REL_TESTS = [t_rel("fact", "fact_transactions", c, p, c) for c, p in FKS]
+SINGULAR_TESTS = [
+    _head("fact_transactions", "amount_inr", "assert_no_negative_amounts")
+    + "CAST((SELECT COUNT(*) FROM fact WHERE amount_inr <= 0) AS BIGINT) AS failures",
+    _head("fact_transactions", "is_success_int", "assert_success_rate_above_threshold")
+    + "CAST((SELECT COUNT(*) FROM (SELECT COUNT(*) AS total, SUM(is_success_int) AS successful FROM fact) s "
+      f"WHERE (successful * 100.0 / NULLIF(total, 0)) < {fixed.SUCCESS_RATE_FLOOR}) AS BIGINT) AS failures",
+]
+
+
+def _union(parts) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+DQ_SQL = {
+    "dq_unique": _union(UNIQUE_TESTS),
+    "dq_not_null": _union(NOT_NULL_TESTS),
+    "dq_accepted_values": _union(ACCEPTED_TESTS),
+    "dq_relationships": _union(REL_TESTS),
+    "dq_report": _union(UNIQUE_TESTS + NOT_NULL_TESTS + ACCEPTED_TESTS + REL_TESTS + SINGULAR_TESTS),
+    "dq_no_negative_amounts": "SELECT * FROM fact WHERE amount_inr <= 0",
+    "dq_success_rate_floor": (
+        "SELECT * FROM (SELECT COUNT(*) AS total, SUM(is_success_int) AS successful FROM fact) s "
+        f"WHERE (successful * 100.0 / NULLIF(total, 0)) < {fixed.SUCCESS_RATE_FLOOR}"),
+    "dq_festival_disagreement": (
+        "SELECT d.date_day, f.is_festival, d.is_festival_day, COUNT(*) AS transactions "
+        "FROM fact f JOIN dim_date d ON f.date_sk = d.date_sk "
+        "WHERE f.is_festival IS DISTINCT FROM d.is_festival_day GROUP BY 1, 2, 3"),
+}
+for _k, _body in DQ_SQL.items():
+    SQL[_k] = with_ctes(["fact"], _body)
+
+
+def _rule(name: str, violated: str) -> str:
+    return f"SELECT '{name}' AS rule, CAST(COUNT(*) AS BIGINT) AS failures FROM lake WHERE {violated}"
+
+
+_CITY_IN = ", ".join(q(c) for c in relations.source_city_names())
+_APP_IN = ", ".join(q(a) for a in fixed.SOURCE_APP_NAMES)
+_STATUS_IN = ", ".join(q(s) for s in fixed.STATUSES)
+ROW_RULES = [
+    _rule("txn_id_not_null", "txn_id IS NULL"),
+    _rule("txn_id_prefix", "NOT COALESCE(starts_with(txn_id, 'TXN'), FALSE)"),
+    _rule("hour_in_range", "NOT COALESCE(txn_hour BETWEEN 0 AND 23, FALSE)"),
+    _rule("sender_upi_has_at", "NOT COALESCE(contains(sender_upi, '@'), FALSE)"),
+    _rule("receiver_upi_has_at", "NOT COALESCE(contains(receiver_upi, '@'), FALSE)"),
+    _rule("amount_positive", "NOT COALESCE(amount_inr > 0, FALSE)"),
+    _rule("status_valid", f"NOT COALESCE(status IN ({_STATUS_IN}), FALSE)"),
+    _rule("reason_null_on_success", "status = 'SUCCESS' AND failure_reason IS NOT NULL"),
+    _rule("reason_set_on_failed", "status = 'FAILED' AND failure_reason IS NULL"),
+    _rule("city_known", f"NOT COALESCE(city IN ({_CITY_IN}), FALSE)"),
+    _rule("app_known", f"NOT COALESCE(upi_app IN ({_APP_IN}), FALSE)"),
+    "SELECT 'txn_id_unique' AS rule, CAST(COUNT(*) AS BIGINT) AS failures FROM "
+    "(SELECT txn_id FROM lake WHERE txn_id IS NOT NULL GROUP BY txn_id HAVING COUNT(*) > 1)",
+    "SELECT 'required_columns' AS rule, CAST(0 AS BIGINT) AS failures",
+]
+LAKE_SQL = {
+    "dq_row_rules": _union(ROW_RULES),
+    "dq_amount_in_category_range": (
+        "SELECT r.category_code, COUNT(*) AS rows, "
+        "COUNT(*) FILTER (WHERE NOT (l.amount_inr BETWEEN r.min_amount AND r.max_amount)) AS out_of_range "
+        f"FROM lake l JOIN {_values(fixed.CATEGORY_AMOUNT_RANGES)} AS r(category_code, min_amount, max_amount) "
+        "ON l.merchant_category = r.category_code GROUP BY r.category_code"),
+    "dq_calendar_flags": (
+        "SELECT 'is_weekend' AS flag, CAST(COUNT(*) FILTER (WHERE is_weekend IS DISTINCT FROM "
+        "(dayofweek(txn_date) IN (0, 6))) AS BIGINT) AS failures FROM lake "
+        "UNION ALL SELECT 'is_festival' AS flag, CAST(COUNT(*) FILTER (WHERE is_festival IS DISTINCT FROM "
+        f"(txn_date IN ({SOURCE_FESTIVAL_IN}))) AS BIGINT) AS failures FROM lake"),
+}
+for _k, _body in LAKE_SQL.items():
+    SQL[_k] = with_ctes(["lake"], _body)
