@@ -206,3 +206,39 @@ def fact_from_raw(raw: DataFrame) -> DataFrame:
 
 
 assert len(schema.FACT_COLUMNS) == 20
+
+
+# --------------------------------------------------------------------------
+# incremental fact
+# --------------------------------------------------------------------------
+def new_fact_rows(raw: DataFrame, cutoff) -> DataFrame:
+    """Fact rows of transactions whose latest version is newer than ``cutoff``.
+
+    Same rows as filtering the enriched model by ``created_at > cutoff``, but
+    the filter runs *before* the dedup, so an incremental run reads and
+    shuffles only recent raw rows: if a txn's latest version (the first in
+    the dedup's total order, which starts with created_at desc) is newer than
+    the cutoff, it is also the first among that txn's rows newer than the
+    cutoff; if it is not newer, no row of the txn is newer either.
+    """
+    return fact_rows(int_enriched(stg_transactions(raw.filter(F.col("created_at") > cutoff))))
+
+
+def fact_incremental(spark: SparkSession, raw: DataFrame, fact_path: str,
+                     lookback: str = "INTERVAL 1 HOUR") -> str:
+    """Build the fact on the first run, then keep it current by keyed upserts
+    of rows newer than ``max(created_at) - lookback``. An empty target counts
+    as a first run (``created_at > NULL`` would otherwise keep nothing)."""
+    from paylake.operators.upsert import incremental_window, read_target, upsert
+    target = read_target(spark, fact_path)
+    if target is None or target.isEmpty():
+        return upsert(spark, fact_from_raw(raw), fact_path)
+    cutoff = incremental_window(target, lookback)
+    return upsert(spark, new_fact_rows(raw, cutoff), fact_path)
+
+
+def late_rows(raw: DataFrame, fact: DataFrame, cutoff) -> DataFrame:
+    """Staged rows at or before ``cutoff`` whose transaction the fact lacks:
+    the rows an incremental run skips silently."""
+    stg = stg_transactions(raw).filter(F.col("created_at") <= cutoff)
+    return stg.join(fact.select("txn_id"), "txn_id", "left_anti")

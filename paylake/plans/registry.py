@@ -76,3 +76,11 @@ for _name in ["dq_report", "dq_unique", "dq_not_null", "dq_accepted_values", "dq
               "dq_no_negative_amounts", "dq_success_rate_floor", "dq_festival_disagreement",
               "dq_row_rules", "dq_amount_in_category_range", "dq_calendar_flags"]:
     QUERIES[_name] = partial(_dq, _name)
+
+
+def _scenarios():
+    from paylake.plans.scenarios import SCENARIOS
+    return SCENARIOS
+
+
+QUERIES.update(_scenarios())

@@ -46,3 +46,178 @@ def to_raw(lake: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     out = with_state(clean_on_load(lake))
     out = out.withColumn("loaded_at", loaded_at if loaded_at is not None else F.current_timestamp())
     return out.select(*[F.col(n).cast(t).alias(n) for n, t in schema.RAW_FIELDS])
+
+
+# --------------------------------------------------------------------------
+# incremental file ingest
+# --------------------------------------------------------------------------
+NULL_ID_ERROR = 'null value in column "txn_id" violates not-null constraint'
+BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+DEFAULT_MAX_FILES_PER_BATCH = 10_000
+
+
+def path_exists(spark, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _footer_rows(path: str) -> int:
+    """Row count from a Parquet footer (reads the file tail only)."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    from paylake.session import local_path
+    if path.startswith("file:") or path.startswith("/"):
+        return pq.read_metadata(local_path(path)).num_rows
+    filesystem, inner = fs.FileSystem.from_uri(path)
+    with filesystem.open_input_file(inner) as f:
+        return pq.ParquetFile(f).metadata.num_rows
+
+
+def probe_files(files: DataFrame) -> DataFrame:
+    """(object_key, footer_rows, error): can each file's footer be read?
+
+    Runs as Arrow batches on the executors, one footer read per file, so a
+    truncated or foreign file is found without failing the load of the rest.
+    """
+    def probe(batches):
+        import pandas as pd
+        for pdf in batches:
+            rows, errors = [], []
+            for key in pdf["object_key"]:
+                try:
+                    rows.append(_footer_rows(key))
+                    errors.append(None)
+                except Exception as e:  # noqa: BLE001 - any unreadable file is a failed load
+                    rows.append(None)
+                    errors.append(f"{type(e).__name__}: {e}"[:500])
+            yield pd.DataFrame({"object_key": pdf["object_key"], "footer_rows": rows, "error": errors})
+    return files.select("object_key").mapInPandas(
+        probe, "object_key string, footer_rows long, error string")
+
+
+def first_per_id(rows: DataFrame) -> DataFrame:
+    """Within one load, the first copy of each txn_id wins: lowest object key,
+    then lowest row position in the file (the order a serial loader inserts)."""
+    from paylake.operators.dedup import first_per_key
+    return first_per_key(rows, "txn_id", [F.col("object_key").asc(), F.col("row_index").asc()])
+
+
+def insert_if_absent(spark, new_raw: DataFrame, raw_path: str) -> int | None:
+    """Append rows whose txn_id is not yet in the raw table (NULL ids never
+    enter: the key is NOT NULL). Returns nothing; writes are appends, so a
+    replayed batch inserts nothing twice."""
+    rows = new_raw.filter(F.col("txn_id").isNotNull())
+    if path_exists(spark, raw_path):
+        existing = spark.read.parquet(raw_path).select("txn_id")
+        rows = rows.join(existing, "txn_id", "left_anti")
+    rows.select(*schema.RAW_COLUMNS).write.mode("append").parquet(raw_path)
+    return None
+
+
+def load_files(spark, new_files: DataFrame, raw_path: str, log_path: str,
+               loaded_at: Column | None = None) -> None:
+    """Load one batch of new lake files into the raw table and log each file.
+
+    A file whose footer cannot be read, or that holds a row without txn_id,
+    is logged ``failed`` with the reason and none of its rows are inserted;
+    the other files of the batch go on. Readable files are logged
+    ``success`` with their row count.
+    """
+    from paylake.operators.joins import bounded
+    probed = probe_files(new_files)
+    # one row per file of this batch (bounded by the batch's file cap)
+    files = probed.collect()
+    good = [r.object_key for r in files if r.error is None]
+    now = F.current_timestamp()
+    log_parts = []
+    bad = [(r.object_key, 0, "failed", r.error) for r in files if r.error is not None]
+    if good:
+        data = (spark.read.schema(schema.LAKE_SCHEMA).parquet(*good)
+                .select(*schema.LAKE_COLUMNS, F.col("_metadata.file_path").alias("object_key"),
+                        F.col("_metadata.row_index").alias("row_index")))
+        stats = data.groupBy("object_key").agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_if(F.col("txn_id").isNull()).alias("null_ids")).persist()
+        ok = stats.filter(F.col("null_ids") == 0).select("object_key")
+        rows = data.join(bounded(ok, len(good)), "object_key", "left_semi")
+        insert_if_absent(spark, to_raw(first_per_id(rows).drop("object_key", "row_index"), loaded_at),
+                         raw_path)
+        log_parts.append(stats.select(
+            "object_key",
+            F.when(F.col("null_ids") == 0, F.col("row_count")).otherwise(F.lit(0)).cast("long").alias("row_count"),
+            F.when(F.col("null_ids") == 0, F.lit("success")).otherwise(F.lit("failed")).alias("status"),
+            F.when(F.col("null_ids") > 0, F.lit(NULL_ID_ERROR)).alias("error_message")))
+    if bad:
+        log_parts.append(spark.createDataFrame(bad, "object_key string, row_count long, status string, "
+                                                    "error_message string"))
+    for part in log_parts:
+        part.withColumn("loaded_at", now).select(*schema.LOAD_LOG_SCHEMA.fieldNames()) \
+            .write.mode("append").parquet(log_path)
+    if good:
+        stats.unpersist()
+
+
+def read_log(spark, log_path: str) -> DataFrame:
+    return spark.read.schema(schema.LOAD_LOG_SCHEMA).parquet(log_path)
+
+
+def latest_log(log: DataFrame) -> DataFrame:
+    """The log as a keyed table: per object_key the newest attempt replaces
+    older ones (insert, or on conflict update status, count, message, time)."""
+    newest = F.max(F.struct("loaded_at", "status", "row_count", "error_message")).alias("s")
+    return log.groupBy("object_key").agg(newest).select(
+        "object_key", "s.row_count", "s.status", "s.error_message", "s.loaded_at")
+
+
+def pending_files(spark, lake_root: str, log_path: str | None) -> DataFrame:
+    """Lake files not yet logged as loaded successfully (anti join on the key)."""
+    from paylake.sources.lake import file_listing
+    files = file_listing(spark, lake_root).select("object_key")
+    if log_path and path_exists(spark, log_path):
+        done = latest_log(read_log(spark, log_path)).filter(F.col("status") == "success").select("object_key")
+        files = files.join(done, "object_key", "left_anti")
+    return files
+
+
+def ingest_batch(spark, lake_root: str, raw_path: str, log_path: str,
+                 loaded_at: Column | None = None) -> None:
+    """One batch run of the loader: every file not yet loaded successfully
+    (failed files included, so a rerun retries them)."""
+    load_files(spark, pending_files(spark, lake_root, log_path), raw_path, log_path, loaded_at)
+
+
+def ingest_stream(spark, lake_root: str, raw_path: str, log_path: str, checkpoint: str,
+                  loaded_at: Column | None = None,
+                  max_files_per_batch: int = DEFAULT_MAX_FILES_PER_BATCH) -> None:
+    """Incremental ingest as a Structured Streaming query over the file listing.
+
+    The file source remembers offered files in its checkpoint, so each run
+    (``availableNow``) sees only files that arrived since the last one; at
+    most ``max_files_per_batch`` files per micro-batch. Contents are read
+    only inside :func:`load_files`. A restarted query replays the last
+    uncommitted batch; insert-if-absent and the append-only log make that
+    harmless. Files that failed are not offered again by the stream; run
+    :func:`retry_failed` for them.
+    """
+    listing = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
+               .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+               .option("maxFilesPerTrigger", int(max_files_per_batch))
+               .load(lake_root).select(F.col("path").alias("object_key")))
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        load_files(batch.sparkSession, batch, raw_path, log_path, loaded_at)
+
+    q = (listing.writeStream.trigger(availableNow=True)
+         .option("checkpointLocation", checkpoint).foreachBatch(each).start())
+    q.awaitTermination()
+
+
+def retry_failed(spark, lake_root: str, raw_path: str, log_path: str,
+                 loaded_at: Column | None = None) -> None:
+    """Load again the files whose newest log entry is ``failed``."""
+    from paylake.sources.lake import file_listing
+    failed = latest_log(read_log(spark, log_path)).filter(F.col("status") == "failed").select("object_key")
+    files = file_listing(spark, lake_root).select("object_key").join(failed, "object_key", "left_semi")
+    load_files(spark, files, raw_path, log_path, loaded_at)

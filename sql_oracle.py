@@ -531,3 +531,115 @@ LAKE_SQL = {
 }
 for _k, _body in LAKE_SQL.items():
     SQL[_k] = with_ctes(["lake"], _body)
+
+
+# --------------------------------------------------------------------------
+# write-side scenarios
+# --------------------------------------------------------------------------
+import re  # noqa: E402
+
+CHAIN = ["ranked", "stg", "enr", "dim_location", "fact"]
+
+
+def chain(suffix: str, raw_name: str) -> list[str]:
+    """The staging -> fact CTEs restated over another raw relation."""
+    out = []
+    for n in CHAIN:
+        text = re.sub(r"\braw\b", raw_name, CTE[n])
+        for m in CHAIN:
+            text = re.sub(rf"\b{m}\b", m + suffix, text)
+        out.append(text)
+    return out
+
+
+def raw_from(src: str, name: str) -> list[str]:
+    """cleaned + state + loaded_at over another lake-shaped relation."""
+    c = CTE["cleaned"].replace("cleaned AS (", f"{name}_c AS (").replace("FROM lake", f"FROM {src}")
+    r = CTE["raw"].replace("raw AS (", f"{name} AS (").replace("FROM cleaned l", f"FROM {name}_c l")
+    return [c, r]
+
+
+LAKE_K = """
+lake_k AS (
+  SELECT *, CAST(year(txn_date) AS INTEGER) AS year,
+         lpad(CAST(month(txn_date) AS VARCHAR), 2, '0') AS month,
+         translate(city, ' -', '__') AS city_part
+  FROM lake
+)"""
+FOLDER_BAD = """
+folder_bad AS (SELECT DISTINCT year, month, city_part FROM lake_k WHERE txn_id IS NULL)"""
+LOADED = f"""
+loaded_src AS (
+  SELECT {LAKE_COLS} FROM (
+    SELECT l.*, row_number() OVER (PARTITION BY l.txn_id ORDER BY l.year, l.month, l.city_part) AS rn
+    FROM lake_k l
+    WHERE NOT EXISTS (SELECT 1 FROM folder_bad b
+                      WHERE b.year = l.year AND b.month = l.month AND b.city_part = l.city_part)
+  ) x WHERE rn = 1
+)"""
+LAKE_BASE = ["lake", "city_state", "dim_date", "city_mapping", "dim_merchant", "dim_upi_app", "dim_payment_type"]
+INGESTED = [LAKE_K, FOLDER_BAD, LOADED] + raw_from("loaded_src", "ingested")
+
+FIRST_RUN = [
+    "raw1 AS (SELECT * FROM raw WHERE created_at < TIMESTAMP '2024-07-01 00:00:00' "
+    "AND NOT ends_with(txn_id, '3'))",
+] + chain("_1", "raw1") + [
+    "cut AS (SELECT max(created_at) - INTERVAL 1 HOUR AS cutoff FROM fact_1)",
+    "new_rows AS (SELECT * FROM fact WHERE created_at > (SELECT cutoff FROM cut))",
+    "final AS (SELECT * FROM fact_1 WHERE txn_sk NOT IN (SELECT txn_sk FROM new_rows) "
+    "UNION ALL SELECT * FROM new_rows)",
+]
+
+SCENARIO_SQL = {
+    "scan_lake": with_ctes(["lake"], f"SELECT {LAKE_COLS} FROM lake"),
+    "sink_lake_partitioned": with_ctes(["lake"], "SELECT * FROM lake_k", [LAKE_K]),
+    "scan_partition_pruned": with_ctes(
+        ["lake"], "SELECT * FROM lake_k WHERE month = '01' AND city_part = 'Mumbai'", [LAKE_K]),
+    "sink_max_rows_per_file": with_ctes(
+        ["lake"],
+        f"SELECT year, month, city_part, CAST((COUNT(*) + {MAX_ROWS - 1}) // {MAX_ROWS} AS BIGINT) AS files, "
+        f"CAST(LEAST(COUNT(*), {MAX_ROWS}) AS BIGINT) AS max_rows, CAST(COUNT(*) AS BIGINT) AS rows "
+        "FROM lake_k GROUP BY 1, 2, 3", [LAKE_K]) if (MAX_ROWS := 3) else "",
+    "ingest_incremental_files": with_ctes(LAKE_BASE, "SELECT * FROM ingested", INGESTED),
+    "stream_ingest": with_ctes(LAKE_BASE, "SELECT * FROM ingested", INGESTED),
+    "load_log_upsert": with_ctes(
+        ["lake"],
+        "SELECT k.year, k.month, k.city_part, "
+        "CAST(CASE WHEN MAX(CASE WHEN k.txn_id IS NULL THEN 1 ELSE 0 END) = 1 THEN 0 ELSE COUNT(*) END AS BIGINT) "
+        "AS row_count, CASE WHEN MAX(CASE WHEN k.txn_id IS NULL THEN 1 ELSE 0 END) = 1 THEN 'failed' "
+        "ELSE 'success' END AS status FROM lake_k k GROUP BY 1, 2, 3", [LAKE_K]),
+    "ingest_failed_files": with_ctes(
+        ["lake"],
+        "SELECT year, month, city_part, 'failed' AS status FROM folder_bad UNION "
+        "SELECT * FROM (SELECT year, month, city_part, 'failed' AS status FROM lake_k "
+        "ORDER BY year, month, city_part LIMIT 1)", [LAKE_K, FOLDER_BAD]),
+    "sink_insert_if_absent": with_ctes(
+        ["lake", "city_state"],
+        "SELECT txn_id, city, amount_inr FROM b1 UNION ALL "
+        "SELECT txn_id, city, amount_inr FROM b2 WHERE txn_id NOT IN (SELECT txn_id FROM b1)",
+        [LAKE_K,
+         f"f1 AS (SELECT {LAKE_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY txn_id ORDER BY year, month, "
+         "city_part) AS rn FROM lake_k WHERE txn_id IS NOT NULL AND year = 2023) x WHERE rn = 1)",
+         f"f2 AS (SELECT {LAKE_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY txn_id ORDER BY year, month, "
+         "city_part) AS rn FROM lake_k WHERE txn_id IS NOT NULL) x WHERE rn = 1)"]
+        + raw_from("f1", "b1") + raw_from("f2", "b2")),
+    "anti_loaded_keys": with_ctes(
+        ["lake"],
+        "SELECT year, month, city_part FROM (SELECT DISTINCT year, month, city_part FROM lake_k WHERE year = 2024 "
+        "UNION SELECT year, month, city_part FROM folder_bad WHERE year = 2023)", [LAKE_K, FOLDER_BAD]),
+    "materialize_table": with_ctes(["fact"], "SELECT * FROM dim_location"),
+    "fact_incremental_upsert": with_ctes(["fact"], "SELECT * FROM final", FIRST_RUN),
+    "sync_all_columns": with_ctes(
+        ["fact"],
+        "SELECT txn_sk, CAST(NULL AS VARCHAR) AS day_name, txn_year, txn_month, amount_inr FROM fact_1 "
+        "WHERE txn_sk NOT IN (SELECT txn_sk FROM new_rows) UNION ALL "
+        "SELECT n.txn_sk, e.day_name, n.txn_year, n.txn_month, n.amount_inr FROM new_rows n "
+        "JOIN enr e ON n.txn_id = e.txn_id", FIRST_RUN),
+    "late_rows_audit": with_ctes(
+        ["fact"],
+        "SELECT txn_id, created_at, amount_inr FROM stg WHERE created_at <= (SELECT cutoff FROM cut) "
+        "AND txn_id NOT IN (SELECT txn_id FROM final)", FIRST_RUN),
+    "stream_dedup_1h": with_ctes(["raw"], "SELECT DISTINCT txn_id FROM raw WHERE txn_id IS NOT NULL"),
+    "stream_fact_upsert": with_ctes(LAKE_BASE, "SELECT * FROM fact_i", INGESTED + chain("_i", "ingested")),
+}
+SQL.update(SCENARIO_SQL)
