@@ -84,3 +84,21 @@ def _scenarios():
 
 
 QUERIES.update(_scenarios())
+
+
+def _inventory():
+    from paylake.plans import inventory
+
+    def bind(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(Inputs(spark, sf_dir))
+        run.__doc__ = fn.__doc__
+        return run
+    out = {k: bind(f) for k, f in inventory.INVENTORY.items()}
+    return out, inventory.SAME_AS
+
+
+_inv, _same = _inventory()
+QUERIES.update(_inv)
+for _k, _v in _same.items():
+    QUERIES[_k] = QUERIES[_v]

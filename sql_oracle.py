@@ -643,3 +643,115 @@ SCENARIO_SQL = {
     "stream_fact_upsert": with_ctes(LAKE_BASE, "SELECT * FROM fact_i", INGESTED + chain("_i", "ingested")),
 }
 SQL.update(SCENARIO_SQL)
+
+
+# --------------------------------------------------------------------------
+# operator inventory
+# --------------------------------------------------------------------------
+FD = "(SELECT d.* FROM fact f JOIN dim_date d ON f.date_sk = d.date_sk) fd"
+
+
+def _usage_sql(dim: str, key: str) -> str:
+    return (f"SELECT d.*, CAST(COALESCE(c.fact_rows, 0) AS BIGINT) AS fact_rows FROM {dim} d LEFT JOIN "
+            f"(SELECT {key}, COUNT(*) AS fact_rows FROM fact GROUP BY {key}) c ON d.{key} = c.{key}")
+
+
+INV_FACT = {
+    "fn_trim_case": "SELECT DISTINCT city AS raw_city, upper(trim(city)) AS city, merchant_category AS raw_category, "
+                    "lower(trim(merchant_category)) AS merchant_category, status AS raw_status, "
+                    "upper(trim(status)) AS status FROM raw",
+    "stg_filter_valid": (
+        "SELECT outcome, COUNT(*) AS rows FROM (SELECT CASE WHEN rn > 1 THEN 'older_version' "
+        "WHEN NOT (amount_inr > 0) OR amount_inr IS NULL THEN 'non_positive_amount' ELSE 'kept' END AS outcome "
+        "FROM ranked WHERE txn_id IS NOT NULL) x GROUP BY outcome "
+        "UNION ALL SELECT 'null_id' AS outcome, COUNT(*) AS rows FROM raw WHERE txn_id IS NULL"),
+    "success_flags": "SELECT status, is_success, is_success_int, COUNT(*) AS rows FROM enr GROUP BY 1, 2, 3",
+    "time_of_day_bucket": "SELECT txn_hour, time_of_day, COUNT(*) AS rows FROM enr GROUP BY 1, 2",
+    "amount_bucket": "SELECT amount_bucket, COUNT(*) AS rows, MIN(amount_inr) AS min_amount, "
+                     "MAX(amount_inr) AS max_amount FROM enr GROUP BY 1",
+    "txn_year_month": "SELECT txn_year, txn_month, COUNT(*) AS rows FROM enr GROUP BY 1, 2",
+    "txn_day_name": "SELECT day_name, COUNT(*) AS rows FROM enr GROUP BY 1",
+    "season": f"SELECT season, COUNT(*) AS rows FROM {FD} GROUP BY 1",
+    "fiscal_quarter": f"SELECT fiscal_quarter, COUNT(*) AS rows FROM {FD} GROUP BY 1",
+    "population_bucket": "SELECT l.tier, l.population_bucket, COUNT(*) AS rows FROM fact f "
+                         "JOIN dim_location l ON f.location_sk = l.location_sk GROUP BY 1, 2",
+    "filter_boolean": "SELECT 'is_success' AS predicate, COUNT(*) AS n FROM fact WHERE is_success = TRUE "
+                      "UNION ALL SELECT 'is_festival', COUNT(*) FROM fact WHERE is_festival = TRUE "
+                      "UNION ALL SELECT 'not_is_festival', COUNT(*) FROM fact WHERE is_festival = FALSE",
+    "day_type_label": "SELECT CASE WHEN is_weekend THEN 'Weekend' ELSE 'Weekday' END AS day_type, "
+                      "COUNT(*) AS rows FROM fact GROUP BY 1",
+    "festival_flag_coalesce": f"SELECT is_festival_day, festival_name, COUNT(*) AS rows FROM {FD} GROUP BY 1, 2",
+    "safe_ratio": "SELECT merchant_category, "
+                  + pct("COUNT(*) FILTER (WHERE status = 'PENDING')", "COUNT(*) FILTER (WHERE status = 'FAILED')", 2)
+                  + " AS pending_per_failed_pct FROM enr GROUP BY 1",
+    "date_flags": f"SELECT txn_date, dayofweek(txn_date) IN (0, 6) AS is_weekend, "
+                  f"txn_date IN ({SOURCE_FESTIVAL_IN}) AS is_festival, COUNT(*) AS rows FROM lake GROUP BY txn_date",
+    "calendar_weekend_flag": f"SELECT day_of_week_num, is_weekend, COUNT(*) AS rows FROM {FD} GROUP BY 1, 2",
+    "lake_city_key": "SELECT DISTINCT city, translate(city, ' -', '__') AS city_part FROM lake",
+    "star_left_joins": "SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE location_sk IS NULL) AS no_location_sk, "
+                       "COUNT(*) FILTER (WHERE date_sk IS NULL) AS no_date_sk, "
+                       "COUNT(*) FILTER (WHERE merchant_sk IS NULL) AS no_merchant_sk, "
+                       "COUNT(*) FILTER (WHERE upi_app_sk IS NULL) AS no_upi_app_sk, "
+                       "COUNT(*) FILTER (WHERE payment_type_sk IS NULL) AS no_payment_type_sk FROM fact",
+    "date_festival_left": "SELECT d.date_day, d.festival_name, CAST(COUNT(f.date_sk) AS BIGINT) AS fact_rows "
+                          "FROM dim_date d LEFT JOIN fact f ON f.date_sk = d.date_sk WHERE d.is_festival_day "
+                          "GROUP BY 1, 2",
+    "fact_dim_inner": " UNION ALL ".join(
+        f"SELECT '{k}' AS fk, CAST(COUNT(*) AS BIGINT) AS rows FROM fact f JOIN {d} x ON f.{k} = x.{k}"
+        for k, d in FKS),
+    "enrich_state_lookup": "SELECT DISTINCT city, state FROM raw",
+    "clean_on_load": "SELECT * FROM cleaned",
+    "agg_max_scalar": "SELECT MAX(created_at) - INTERVAL 1 HOUR AS cutoff FROM fact",
+    "agg_distinct_rows": "SELECT DISTINCT city FROM stg",
+    "agg_dup_keys": "SELECT txn_id, COUNT(*) AS n FROM raw WHERE txn_id IS NOT NULL GROUP BY txn_id "
+                    "HAVING COUNT(*) > 1",
+    "dedup_latest": "SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1 AND txn_id IS NOT NULL",
+    "fn_extract": f"SELECT year, quarter, month_num, week_of_year, day_of_year, COUNT(*) AS rows FROM {FD} "
+                  "GROUP BY 1, 2, 3, 4, 5",
+    "fn_date_key": "SELECT txn_date, CAST(strftime(txn_date, '%Y%m%d') AS INTEGER) AS date_key, COUNT(*) AS rows "
+                   "FROM enr GROUP BY 1",
+    "fn_date_names": "SELECT rpad(strftime(txn_date, '%B'), 9, ' ') AS month_name, strftime(txn_date, '%b') "
+                     "AS month_short, rpad(strftime(txn_date, '%A'), 9, ' ') AS day_name, strftime(txn_date, '%a') "
+                     "AS day_short, COUNT(*) AS rows FROM enr GROUP BY 1, 2, 3, 4",
+    "fn_month_end": "SELECT day(txn_date) = 1 AS is_month_start, txn_date = last_day(txn_date) AS is_month_end, "
+                    "COUNT(*) AS rows FROM enr GROUP BY 1, 2",
+    "fn_surrogate_key": "SELECT DISTINCT city, md5(COALESCE(CAST(city AS VARCHAR), "
+                        "'_dbt_utils_surrogate_key_null_')) AS city_key FROM stg",
+    "fn_null_handling": "SELECT status, COALESCE(failure_reason, '(none)') AS reason, COUNT(*) AS rows, "
+                        "COUNT(*) FILTER (WHERE failure_reason IS NULL) AS null_reasons FROM stg GROUP BY 1, 2",
+    "fn_clip": "SELECT r.category_code, "
+               "COUNT(*) FILTER (WHERE least(greatest(l.amount_inr, r.min_amount), r.max_amount) > l.amount_inr) "
+               "AS raised, COUNT(*) FILTER (WHERE least(greatest(l.amount_inr, r.min_amount), r.max_amount) "
+               f"< l.amount_inr) AS lowered FROM lake l JOIN {_values(fixed.CATEGORY_AMOUNT_RANGES)} "
+               "AS r(category_code, min_amount, max_amount) ON l.merchant_category = r.category_code GROUP BY 1",
+    "src_date_spine": "SELECT d.date_day, CAST(COALESCE(c.n, 0) AS BIGINT) AS transactions FROM dim_date d "
+                      "LEFT JOIN (SELECT txn_date, COUNT(*) AS n FROM stg GROUP BY 1) c ON d.date_day = c.txn_date",
+    "src_values_dims": " UNION ALL ".join(
+        f"SELECT '{col}' AS relation, v.code, CAST(COALESCE(c.n, 0) AS BIGINT) AS transactions FROM "
+        f"(SELECT {key} AS code FROM {dim}) v LEFT JOIN (SELECT {col} AS code, COUNT(*) AS n FROM stg GROUP BY 1) c "
+        "ON v.code = c.code"
+        for col, dim, key in [("merchant_category", "dim_merchant", "category_code"),
+                              ("upi_app", "dim_upi_app", "app_name"),
+                              ("payment_type", "dim_payment_type", "type_code")]),
+    "model_dim_date": _usage_sql("dim_date", "date_sk"),
+    "model_dim_merchant": _usage_sql("dim_merchant", "merchant_sk"),
+    "model_dim_upi_app": _usage_sql("dim_upi_app", "upi_app_sk"),
+    "model_dim_payment_type": _usage_sql("dim_payment_type", "payment_type_sk"),
+    "materialize_view": "SELECT city, COUNT(*) AS transactions FROM stg GROUP BY city",
+}
+for _k, _body in INV_FACT.items():
+    SQL[_k] = with_ctes(["fact"], _body)
+
+SAME_AS_SQL = {
+    "stg_clean": "model_stg_transactions", "location_inner": "model_dim_location",
+    "anti_orphan_fk": "dq_relationships", "agg_count_all": "panel_total_txns",
+    "agg_sum": "panel_total_value", "agg_avg": "panel_avg_success_value",
+    "agg_count_distinct": "panel_cities_covered", "agg_conditional_rate": "panel_success_rate",
+    "agg_min_order": "panel_amount_buckets", "agg_group_month": "panel_monthly_volume",
+    "share_of_total": "panel_device_share", "topk_cities": "panel_top_cities",
+    "order_by_agg": "panel_merchant_split", "union_all": "panel_festival_vs_normal",
+    "fn_casts": "clean_on_load", "fn_date_trunc": "panel_monthly_volume",
+    "fn_interval_arith": "agg_max_scalar", "fn_round_half_up": "panel_success_by_tier",
+}
+for _k, _v in SAME_AS_SQL.items():
+    SQL[_k] = SQL[_v]
