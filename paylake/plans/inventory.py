@@ -19,10 +19,13 @@ from paylake.plans.models import DIM_DATE_ROWS, latest_order
 from paylake.plans.registry import Inputs
 from paylake.sources import fixed, ingest, relations
 
-N = F.count(F.lit(1))
 LOC_BOUND = len(fixed.CITY_MAPPING)
 
 
+def _n():
+    return F.count(F.lit(1))
+
+
 def _fact_date(i: Inputs) -> DataFrame:
     d = i.dims.date
     return i.fact.select("date_sk").join(bounded(d, DIM_DATE_ROWS), "date_sk")
@@ -30,7 +33,7 @@ def _fact_date(i: Inputs) -> DataFrame:
 
 def _usage(dim: DataFrame, key: str, fact: DataFrame, bound: int) -> DataFrame:
     """Every dimension row with the number of fact rows that reference it."""
-    counts = fact.groupBy(key).agg(N.alias("fact_rows"))
+    counts = fact.groupBy(key).agg(_n().alias("fact_rows"))
     return (dim.join(counts, key, "left")
             .withColumn("fact_rows", F.coalesce(F.col("fact_rows"), F.lit(0)).cast("bigint")))
 
@@ -50,62 +53,62 @@ def stg_filter_valid(i: Inputs) -> DataFrame:
     reason = (F.when(F.col("rn") > 1, F.lit("older_version"))
               .when(~(F.col("amount_inr") > 0), F.lit("non_positive_amount"))
               .otherwise(F.lit("kept")))
-    kept = r.groupBy(reason.alias("outcome")).agg(N.alias("rows"))
-    nulls = i.raw.filter(F.col("txn_id").isNull()).agg(N.alias("rows")).select(
+    kept = r.groupBy(reason.alias("outcome")).agg(_n().alias("rows"))
+    nulls = i.raw.filter(F.col("txn_id").isNull()).agg(_n().alias("rows")).select(
         F.lit("null_id").alias("outcome"), "rows")
     return kept.unionByName(nulls)
 
 
 def success_flags(i: Inputs) -> DataFrame:
-    return i.enr.groupBy("status", "is_success", "is_success_int").agg(N.alias("rows"))
+    return i.enr.groupBy("status", "is_success", "is_success_int").agg(_n().alias("rows"))
 
 
 def time_of_day_bucket(i: Inputs) -> DataFrame:
-    return i.enr.groupBy("txn_hour", "time_of_day").agg(N.alias("rows"))
+    return i.enr.groupBy("txn_hour", "time_of_day").agg(_n().alias("rows"))
 
 
 def amount_bucket(i: Inputs) -> DataFrame:
-    return i.enr.groupBy("amount_bucket").agg(N.alias("rows"), F.min("amount_inr").alias("min_amount"),
+    return i.enr.groupBy("amount_bucket").agg(_n().alias("rows"), F.min("amount_inr").alias("min_amount"),
                                               F.max("amount_inr").alias("max_amount"))
 
 
 def txn_year_month(i: Inputs) -> DataFrame:
-    return i.enr.groupBy("txn_year", "txn_month").agg(N.alias("rows"))
+    return i.enr.groupBy("txn_year", "txn_month").agg(_n().alias("rows"))
 
 
 def txn_day_name(i: Inputs) -> DataFrame:
-    return i.enr.groupBy("day_name").agg(N.alias("rows"))
+    return i.enr.groupBy("day_name").agg(_n().alias("rows"))
 
 
 def season(i: Inputs) -> DataFrame:
-    return _fact_date(i).groupBy("season").agg(N.alias("rows"))
+    return _fact_date(i).groupBy("season").agg(_n().alias("rows"))
 
 
 def fiscal_quarter(i: Inputs) -> DataFrame:
-    return _fact_date(i).groupBy("fiscal_quarter").agg(N.alias("rows"))
+    return _fact_date(i).groupBy("fiscal_quarter").agg(_n().alias("rows"))
 
 
 def population_bucket(i: Inputs) -> DataFrame:
     loc = i.dims.location.select("location_sk", "tier", "population_bucket")
     return (i.fact.select("location_sk").join(bounded(loc, LOC_BOUND), "location_sk")
-            .groupBy("tier", "population_bucket").agg(N.alias("rows")))
+            .groupBy("tier", "population_bucket").agg(_n().alias("rows")))
 
 
 def filter_boolean(i: Inputs) -> DataFrame:
     f = i.fact
-    return (f.filter(F.col("is_success")).agg(N.alias("n")).select(F.lit("is_success").alias("predicate"), "n")
-            .unionByName(f.filter(F.col("is_festival")).agg(N.alias("n"))
+    return (f.filter(F.col("is_success")).agg(_n().alias("n")).select(F.lit("is_success").alias("predicate"), "n")
+            .unionByName(f.filter(F.col("is_festival")).agg(_n().alias("n"))
                          .select(F.lit("is_festival").alias("predicate"), "n"))
-            .unionByName(f.filter(~F.col("is_festival")).agg(N.alias("n"))
+            .unionByName(f.filter(~F.col("is_festival")).agg(_n().alias("n"))
                          .select(F.lit("not_is_festival").alias("predicate"), "n")))
 
 
 def day_type_label(i: Inputs) -> DataFrame:
-    return i.fact.groupBy(buckets.day_type_label("is_weekend").alias("day_type")).agg(N.alias("rows"))
+    return i.fact.groupBy(buckets.day_type_label("is_weekend").alias("day_type")).agg(_n().alias("rows"))
 
 
 def festival_flag_coalesce(i: Inputs) -> DataFrame:
-    return _fact_date(i).groupBy("is_festival_day", "festival_name").agg(N.alias("rows"))
+    return _fact_date(i).groupBy("is_festival_day", "festival_name").agg(_n().alias("rows"))
 
 
 def safe_ratio(i: Inputs) -> DataFrame:
@@ -116,13 +119,13 @@ def safe_ratio(i: Inputs) -> DataFrame:
 
 
 def date_flags(i: Inputs) -> DataFrame:
-    return (i.lake.groupBy("txn_date").agg(N.alias("rows"))
+    return (i.lake.groupBy("txn_date").agg(_n().alias("rows"))
             .select("txn_date", calendar.is_weekend_day("txn_date").alias("is_weekend"),
                     calendar.is_source_festival("txn_date").alias("is_festival"), "rows"))
 
 
 def calendar_weekend_flag(i: Inputs) -> DataFrame:
-    return _fact_date(i).groupBy("day_of_week_num", "is_weekend").agg(N.alias("rows"))
+    return _fact_date(i).groupBy("day_of_week_num", "is_weekend").agg(_n().alias("rows"))
 
 
 def lake_city_key_q(i: Inputs) -> DataFrame:
@@ -133,7 +136,7 @@ def lake_city_key_q(i: Inputs) -> DataFrame:
 def star_left_joins(i: Inputs) -> DataFrame:
     c = {k: F.count_if(F.col(k).isNull()).alias(f"no_{k}")
          for k in ["location_sk", "date_sk", "merchant_sk", "upi_app_sk", "payment_type_sk"]}
-    return i.fact.agg(N.alias("rows"), *c.values())
+    return i.fact.agg(_n().alias("rows"), *c.values())
 
 
 def date_festival_left(i: Inputs) -> DataFrame:
@@ -173,7 +176,7 @@ def agg_distinct_rows(i: Inputs) -> DataFrame:
 
 
 def agg_dup_keys(i: Inputs) -> DataFrame:
-    return (i.raw.filter(F.col("txn_id").isNotNull()).groupBy("txn_id").agg(N.alias("n"))
+    return (i.raw.filter(F.col("txn_id").isNotNull()).groupBy("txn_id").agg(_n().alias("n"))
             .filter(F.col("n") > 1))
 
 
@@ -184,11 +187,11 @@ def dedup_latest(i: Inputs) -> DataFrame:
 
 # ---- scalar functions -------------------------------------------------------------
 def fn_extract(i: Inputs) -> DataFrame:
-    return _fact_date(i).groupBy("year", "quarter", "month_num", "week_of_year", "day_of_year").agg(N.alias("rows"))
+    return _fact_date(i).groupBy("year", "quarter", "month_num", "week_of_year", "day_of_year").agg(_n().alias("rows"))
 
 
 def fn_date_key(i: Inputs) -> DataFrame:
-    return i.enr.groupBy("txn_date").agg(N.alias("rows")).select(
+    return i.enr.groupBy("txn_date").agg(_n().alias("rows")).select(
         "txn_date", calendar.date_key("txn_date").alias("date_key"), "rows")
 
 
@@ -196,13 +199,13 @@ def fn_date_names(i: Inputs) -> DataFrame:
     d = F.col("txn_date")
     return i.enr.groupBy(calendar.month_name(d).alias("month_name"), calendar.month_short(d).alias("month_short"),
                          calendar.day_name(d).alias("day_name"), calendar.day_short(d).alias("day_short")
-                         ).agg(N.alias("rows"))
+                         ).agg(_n().alias("rows"))
 
 
 def fn_month_end(i: Inputs) -> DataFrame:
     d = F.col("txn_date")
     return i.enr.groupBy(calendar.is_month_start(d).alias("is_month_start"),
-                         calendar.is_month_end(d).alias("is_month_end")).agg(N.alias("rows"))
+                         calendar.is_month_end(d).alias("is_month_end")).agg(_n().alias("rows"))
 
 
 def fn_surrogate_key(i: Inputs) -> DataFrame:
@@ -211,7 +214,7 @@ def fn_surrogate_key(i: Inputs) -> DataFrame:
 
 def fn_null_handling(i: Inputs) -> DataFrame:
     return i.stg.groupBy("status", F.coalesce(F.col("failure_reason"), F.lit("(none)")).alias("reason")).agg(
-        N.alias("rows"), F.count_if(F.col("failure_reason").isNull()).alias("null_reasons"))
+        _n().alias("rows"), F.count_if(F.col("failure_reason").isNull()).alias("null_reasons"))
 
 
 def fn_clip(i: Inputs) -> DataFrame:
@@ -230,7 +233,7 @@ def fn_clip(i: Inputs) -> DataFrame:
 def src_date_spine(i: Inputs) -> DataFrame:
     """Gap-free daily series: every calendar day with its staged transactions."""
     spine = relations.date_spine(i.spark)
-    per_day = i.stg.groupBy(F.col("txn_date").alias("date_day")).agg(N.alias("transactions"))
+    per_day = i.stg.groupBy(F.col("txn_date").alias("date_day")).agg(_n().alias("transactions"))
     return (spine.join(per_day, "date_day", "left")
             .withColumn("transactions", F.coalesce(F.col("transactions"), F.lit(0)).cast("bigint")))
 
@@ -242,7 +245,7 @@ def src_values_dims(i: Inputs) -> DataFrame:
              ("payment_type", relations.payment_types(i.spark).select(F.col("type_code").alias("code")))]
     out = None
     for col, codes in parts:
-        counts = i.stg.groupBy(F.col(col).alias("code")).agg(N.alias("transactions"))
+        counts = i.stg.groupBy(F.col(col).alias("code")).agg(_n().alias("transactions"))
         p = (codes.join(counts, "code", "left")
              .select(F.lit(col).alias("relation"), "code",
                      F.coalesce(F.col("transactions"), F.lit(0)).cast("bigint").alias("transactions")))

@@ -13,7 +13,9 @@ from paylake.plans import models
 from paylake.session import scratch_path
 from paylake.sources import adapter, ingest, lake
 
-RULE_LOADED_AT = F.col("created_at") + F.expr("INTERVAL 1 DAY")
+def rule_loaded_at():
+    """Load time of the stand-in rows: a fixed rule, never now()."""
+    return F.col("created_at") + F.expr("INTERVAL 1 DAY")
 FIRST_RUN_BEFORE = "2024-07-01 00:00:00"
 LATE_ID_SUFFIX = "3"  # ids ending in this digit reach raw only after the first run
 
@@ -68,9 +70,9 @@ def _ingested(spark, sf_dir, runs: int = 2, stream: bool = False):
     ckpt = scratch_path(spark, "ingest-ckpt")
     for _ in range(runs):
         if stream:
-            ingest.ingest_stream(spark, root, raw_path, log_path, ckpt, RULE_LOADED_AT)
+            ingest.ingest_stream(spark, root, raw_path, log_path, ckpt, rule_loaded_at())
         else:
-            ingest.ingest_batch(spark, root, raw_path, log_path, RULE_LOADED_AT)
+            ingest.ingest_batch(spark, root, raw_path, log_path, rule_loaded_at())
     return root, raw_path, log_path
 
 
@@ -98,7 +100,7 @@ def ingest_failed_files(spark, sf_dir) -> DataFrame:
     with open(local_path(first), "r+b") as f:
         f.truncate(max(8, f.seek(0, 2) // 2))
     raw_path, log_path = scratch_path(spark, "raw"), scratch_path(spark, "load-log")
-    ingest.ingest_batch(spark, root, raw_path, log_path, RULE_LOADED_AT)
+    ingest.ingest_batch(spark, root, raw_path, log_path, rule_loaded_at())
     latest = ingest.latest_log(ingest.read_log(spark, log_path))
     return latest.filter(F.col("status") == "failed").select(*folder_of(), "status")
 
@@ -116,7 +118,7 @@ def sink_insert_if_absent(spark, sf_dir) -> DataFrame:
         ).withColumn("row_index", F.monotonically_increasing_id()).drop(*lake.PARTITION_COLUMNS)
         first = ingest.first_per_id(staged.filter(F.col("txn_id").isNotNull()))
         ingest.insert_if_absent(spark, ingest.to_raw(first.drop("object_key", "row_index"),
-                                                     RULE_LOADED_AT), raw_path)
+                                                     rule_loaded_at()), raw_path)
     return spark.read.schema(schema.RAW_SCHEMA).parquet(raw_path).select("txn_id", "city", "amount_inr")
 
 
@@ -126,7 +128,7 @@ def anti_loaded_keys(spark, sf_dir) -> DataFrame:
     root = scratch_path(spark, "lake")
     lake.write_lake(rows.filter(F.year("txn_date") == 2023), root)
     raw_path, log_path = scratch_path(spark, "raw"), scratch_path(spark, "load-log")
-    ingest.ingest_batch(spark, root, raw_path, log_path, RULE_LOADED_AT)
+    ingest.ingest_batch(spark, root, raw_path, log_path, rule_loaded_at())
     lake.write_lake(rows.filter(F.year("txn_date") == 2024), root)
     return ingest.pending_files(spark, root, log_path).select(*folder_of())
 
@@ -194,7 +196,7 @@ def stream_fact_upsert(spark, sf_dir) -> DataFrame:
     root = staged_lake(spark, sf_dir)
     raw_path, log_path = scratch_path(spark, "raw"), scratch_path(spark, "load-log")
     fact_path = scratch_path(spark, "fact")
-    stream_fact(spark, root, raw_path, log_path, fact_path, scratch_path(spark, "fact-ckpt"), RULE_LOADED_AT)
+    stream_fact(spark, root, raw_path, log_path, fact_path, scratch_path(spark, "fact-ckpt"), rule_loaded_at())
     return spark.read.parquet(fact_path).select(*schema.FACT_COLUMNS)
 
 
