@@ -242,3 +242,32 @@ def late_rows(raw: DataFrame, fact: DataFrame, cutoff) -> DataFrame:
     the rows an incremental run skips silently."""
     stg = stg_transactions(raw).filter(F.col("created_at") <= cutoff)
     return stg.join(fact.select("txn_id"), "txn_id", "left_anti")
+
+
+def dim_location_from_fact(fact: DataFrame) -> DataFrame:
+    """``dim_location`` from a built fact, without recomputing staging.
+
+    A mapped city occurs in the staged data exactly when its key
+    ``md5(city)`` occurs in the fact's ``location_sk`` (the fact keys every
+    staged row, and only mapped cities get a key), so the mapping semi-joined
+    with the fact's distinct keys is the same relation. Reads one column.
+    """
+    keys = fact.select("location_sk").filter(F.col("location_sk").isNotNull()).distinct()
+    return location_mapping(fact.sparkSession).join(keys, "location_sk", "left_semi").select(
+        "location_sk", "city", "state", "region", "tier", "is_metro", "population_bucket")
+
+
+def build_star(spark: SparkSession, raw: DataFrame, out_dir: str) -> dict[str, str]:
+    """Write the fact (incrementally if it exists) and the five dimensions as
+    Parquet tables under ``out_dir``; returns the table paths."""
+    root = out_dir.rstrip("/")
+    paths = {n: f"{root}/{n}" for n in ["fact_transactions", "dim_date", "dim_location", "dim_merchant",
+                                         "dim_upi_app", "dim_payment_type"]}
+    fact_incremental(spark, raw, paths["fact_transactions"])
+    fact = spark.read.parquet(paths["fact_transactions"])
+    tables = {"dim_date": dim_date(spark), "dim_location": dim_location_from_fact(fact),
+              "dim_merchant": dim_merchant(spark), "dim_upi_app": dim_upi_app(spark),
+              "dim_payment_type": dim_payment_type(spark)}
+    for name, df in tables.items():
+        df.coalesce(1).write.mode("overwrite").parquet(paths[name])
+    return paths

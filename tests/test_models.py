@@ -68,3 +68,18 @@ def test_fact_counts_small_tables(spark):
     assert fact.count() == n_orders
     assert fact.select("txn_sk").distinct().count() == n_orders
     assert fact.columns == schema.FACT_COLUMNS
+
+
+def test_dim_location_from_fact_equals_model(spark):
+    raw = adapter.raw_rows(spark, "/root/testdata/sf0.001")
+    stg = models.stg_transactions(raw)
+    a = sorted(tuple(r) for r in models.dim_location(stg).collect())
+    b = sorted(tuple(r) for r in models.dim_location_from_fact(models.fact_from_raw(raw)).collect())
+    assert a == b and len(a) > 0
+
+
+def test_build_star_writes_six_tables(spark, tmp):
+    raw = adapter.raw_rows(spark, "/root/testdata/sf0.001")
+    paths = models.build_star(spark, raw, tmp)
+    assert spark.read.parquet(paths["fact_transactions"]).count() == models.fact_from_raw(raw).count()
+    assert spark.read.parquet(paths["dim_date"]).count() == 731
