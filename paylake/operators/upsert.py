@@ -61,7 +61,11 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, key: str = "txn_sk")
         return "full"
     same_columns = sorted(target.columns) == sorted(columns)
     staging = scratch_path(spark, "upsert-staging")
-    new = new.select(*columns)
+    # the new rows feed four steps below: compute them once, into the shared
+    # folder, instead of re-running their lineage (raw scan + dedup) each time
+    new_path = scratch_path(spark, "upsert-new")
+    new.select(*columns).write.parquet(new_path)
+    new = spark.read.parquet(new_path).select(*columns)
     if same_columns:
         new_keys = new.select(key, *FACT_PARTITION_COLUMNS)
         # months of rows being replaced: a corrected date can move a row
