@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paylake import schema
 from paylake.operators.joins import lookup_left
@@ -62,39 +63,102 @@ def path_exists(spark, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def _footer_rows(path: str) -> int:
-    """Row count from a Parquet footer (reads the file tail only)."""
+def _footer(path: str):
+    """Parquet footer of a file (reads the file tail only)."""
     import pyarrow.parquet as pq
     from pyarrow import fs
 
     from paylake.session import local_path
     if path.startswith("file:") or path.startswith("/"):
-        return pq.read_metadata(local_path(path)).num_rows
+        return pq.read_metadata(local_path(path))
     filesystem, inner = fs.FileSystem.from_uri(path)
     with filesystem.open_input_file(inner) as f:
-        return pq.ParquetFile(f).metadata.num_rows
+        return pq.ParquetFile(f).metadata
+
+
+def _time_unit(md) -> str | None:
+    """'ns' when created_at is stored as INT64 nanoseconds (as pandas writes
+    it), else the storage kind ('INT96', 'us', 'ms'); None if absent."""
+    sch = md.schema
+    for i in range(len(sch)):
+        col = sch.column(i)
+        if col.name != "created_at":
+            continue
+        if col.physical_type != "INT64":
+            return col.physical_type
+        lt = str(col.logical_type).lower()
+        return "ns" if "nano" in lt else ("ms" if "milli" in lt else "us")
+    return None
 
 
 def probe_files(files: DataFrame) -> DataFrame:
-    """(object_key, footer_rows, error): can each file's footer be read?
+    """(object_key, footer_rows, time_unit, error): can each file's footer be read?
 
     Runs as Arrow batches on the executors, one footer read per file, so a
-    truncated or foreign file is found without failing the load of the rest.
+    truncated or foreign file is found without failing the load of the rest;
+    ``time_unit`` tells nanosecond files (written by pandas) from native ones.
     """
     def probe(batches):
         import pandas as pd
         for pdf in batches:
-            rows, errors = [], []
+            rows, units, errors = [], [], []
             for key in pdf["object_key"]:
                 try:
-                    rows.append(_footer_rows(key))
+                    md = _footer(key)
+                    rows.append(md.num_rows)
+                    units.append(_time_unit(md))
                     errors.append(None)
                 except Exception as e:  # noqa: BLE001 - any unreadable file is a failed load
                     rows.append(None)
+                    units.append(None)
                     errors.append(f"{type(e).__name__}: {e}"[:500])
-            yield pd.DataFrame({"object_key": pdf["object_key"], "footer_rows": rows, "error": errors})
+            yield pd.DataFrame({"object_key": pdf["object_key"], "footer_rows": rows,
+                                "time_unit": units, "error": errors})
     return files.select("object_key").mapInPandas(
-        probe, "object_key string, footer_rows long, error string")
+        probe, "object_key string, footer_rows long, time_unit string, error string")
+
+
+FOREIGN_READ_CONF = {
+    # nanosecond timestamps: read as the raw long (Spark has no ns type)
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
+    # the row-based reader also reads all-NULL columns stored with Parquet's null type
+    "spark.sql.parquet.enableVectorizedReader": "false",
+}
+
+
+def _with_file_columns(df: DataFrame) -> DataFrame:
+    return df.select(*schema.LAKE_COLUMNS, F.col("_metadata.file_path").alias("object_key"),
+                     F.col("_metadata.row_index").alias("row_index"))
+
+
+def normalize_foreign(spark, paths: list[str], staging: str, recursive: bool = False) -> DataFrame:
+    """Rewrite nanosecond-timestamp lake files into the native schema.
+
+    ``created_at`` is read as nanoseconds since the epoch and converted with
+    integer division to microseconds; file path and row position are kept so
+    first-copy-wins still sees the original files. The result is written to
+    the shared staging folder while the foreign-read settings are in force,
+    then read back under the normal settings.
+    """
+    fields = [f if f.name != "created_at" else T.StructField("created_at", T.LongType())
+              for f in schema.LAKE_SCHEMA.fields]
+    saved = {k: spark.conf.get(k, None) for k in FOREIGN_READ_CONF}
+    try:
+        for k, v in FOREIGN_READ_CONF.items():
+            spark.conf.set(k, v)
+        reader = spark.read.schema(T.StructType(fields))
+        if recursive:
+            reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        df = _with_file_columns(reader.parquet(*paths))
+        df = df.withColumn("created_at", F.expr("timestamp_micros(created_at div 1000)"))
+        df.write.parquet(staging)
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    return spark.read.parquet(staging)
 
 
 def first_per_id(rows: DataFrame) -> DataFrame:
@@ -130,13 +194,19 @@ def load_files(spark, new_files: DataFrame, raw_path: str, log_path: str,
     # one row per file of this batch (bounded by the batch's file cap)
     files = probed.collect()
     good = [r.object_key for r in files if r.error is None]
+    native = [r.object_key for r in files if r.error is None and r.time_unit != "ns"]
+    foreign = [r.object_key for r in files if r.error is None and r.time_unit == "ns"]
     now = F.current_timestamp()
     log_parts = []
     bad = [(r.object_key, 0, "failed", r.error) for r in files if r.error is not None]
     if good:
-        data = (spark.read.schema(schema.LAKE_SCHEMA).parquet(*good)
-                .select(*schema.LAKE_COLUMNS, F.col("_metadata.file_path").alias("object_key"),
-                        F.col("_metadata.row_index").alias("row_index")))
+        parts = []
+        if native:
+            parts.append(_with_file_columns(spark.read.schema(schema.LAKE_SCHEMA).parquet(*native)))
+        if foreign:
+            from paylake.session import scratch_path
+            parts.append(normalize_foreign(spark, foreign, scratch_path(spark, "foreign-normalized")))
+        data = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         stats = data.groupBy("object_key").agg(
             F.count(F.lit(1)).alias("row_count"),
             F.count_if(F.col("txn_id").isNull()).alias("null_ids")).persist()

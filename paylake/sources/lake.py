@@ -59,6 +59,15 @@ def scan_lake(spark: SparkSession, root: str) -> DataFrame:
             .parquet(root))
 
 
+def scan_foreign_lake(spark: SparkSession, root: str) -> DataFrame:
+    """A lake written by pandas (nanosecond timestamps, untyped all-NULL
+    columns): normalised once into the shared folder, then read natively."""
+    from paylake.session import scratch_path
+    from paylake.sources.ingest import normalize_foreign
+    staged = normalize_foreign(spark, [root], scratch_path(spark, "foreign-lake"), recursive=True)
+    return staged.select(*schema.LAKE_COLUMNS)
+
+
 def scan_partitioned(spark: SparkSession, root: str) -> DataFrame:
     """The lake with its folder columns; filters on them prune folders."""
     return spark.read.schema(PARTITIONED_SCHEMA).parquet(root)

@@ -94,3 +94,53 @@ def test_first_copy_in_a_load_wins(spark):
     df = df.withColumn("object_key", F.when(F.col("amount_inr") == 2.0, "a/x").otherwise("b/y")) \
         .withColumn("row_index", F.lit(0))
     assert ingest.first_per_id(df).first().amount_inr == 2.0
+
+
+def test_foreign_pandas_files_load(spark, tmp):
+    """Files as pandas writes them: ns UTC timestamps, int8 hour, an all-NULL
+    reason column of Parquet null type, folder ``city=Navi_Mumbai``."""
+    import pandas as pd
+    root, raw, log = f"{tmp}/lake", f"{tmp}/raw", f"{tmp}/log"
+
+    def frame(city, reasons):
+        n = len(reasons)
+        return pd.DataFrame({
+            "txn_id": [f"TXN{city[:3].upper()}{i:013d}" for i in range(n)],
+            "amount_inr": [100.5 + i for i in range(n)], "city": city, "merchant_category": "retail",
+            "upi_app": "PhonePe", "payment_type": "p2m",
+            "status": ["FAILED" if r else "SUCCESS" for r in reasons], "failure_reason": reasons,
+            "txn_date": dt.date(2024, 1, 15), "txn_hour": pd.Series([10] * n, dtype="int8"),
+            "is_weekend": False, "is_festival": False, "sender_upi": "a@ok", "receiver_upi": "b@ok",
+            "device_type": "Android",
+            "created_at": [dt.datetime(2024, 1, 15, 10, 5, i, 123456, tzinfo=dt.timezone.utc) for i in range(n)],
+        })
+    for city, reasons in [("Navi Mumbai", [None, None]), ("Delhi", [None, "Network error"])]:
+        d = f"{root}/year=2024/month=01/city={city.replace(' ', '_')}"
+        os.makedirs(d)
+        frame(city, reasons).to_parquet(f"{d}/batch_0000.parquet", index=False, compression="snappy")
+    # plus one native file
+    lake.write_lake(_lake_rows(spark, [dict(txn_id="TXNNATIVE", city="Pune")]), f"{root}/native")
+    ingest.ingest_batch(spark, root, raw, log)
+    got = {r.txn_id: r for r in spark.read.parquet(raw).collect()}
+    assert len(got) == 5
+    assert got["TXNNAV0000000000001"].city == "Navi Mumbai"
+    assert got["TXNNAV0000000000001"].state == "Maharashtra"
+    assert got["TXNNAV0000000000001"].created_at == dt.datetime(2024, 1, 15, 10, 5, 1, 123456)
+    assert got["TXNDEL0000000000001"].failure_reason == "Network error"
+    assert got["TXNNATIVE"].city == "Pune"
+    assert ingest.latest_log(ingest.read_log(spark, log)).filter("status = 'success'").count() == 3
+
+
+def test_scan_foreign_lake(spark, tmp):
+    import pandas as pd
+    d = f"{tmp}/f/year=2024/month=01/city=Navi_Mumbai"
+    os.makedirs(d)
+    pd.DataFrame({
+        "txn_id": ["TXN1"], "amount_inr": [5.0], "city": ["Navi Mumbai"], "merchant_category": ["retail"],
+        "upi_app": ["PhonePe"], "payment_type": ["p2m"], "status": ["SUCCESS"], "failure_reason": [None],
+        "txn_date": [dt.date(2024, 1, 1)], "txn_hour": pd.Series([3], dtype="int8"), "is_weekend": [False],
+        "is_festival": [True], "sender_upi": ["a@x"], "receiver_upi": ["b@y"], "device_type": ["iOS"],
+        "created_at": [dt.datetime(2024, 1, 1, 3, tzinfo=dt.timezone.utc)],
+    }).to_parquet(f"{d}/batch_0000.parquet", index=False)
+    rows = lake.scan_foreign_lake(spark, f"{tmp}/f").collect()
+    assert [(r.city, r.created_at, r.txn_hour) for r in rows] == [("Navi Mumbai", dt.datetime(2024, 1, 1, 3), 3)]
