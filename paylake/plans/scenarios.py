@@ -41,8 +41,23 @@ def staged_lake(spark: SparkSession, sf_dir: str, max_rows_per_file: int | None
     return root
 
 
+_SHARED_LAKES: dict = {}
+
+
+def shared_lake(spark: SparkSession, sf_dir: str) -> str:
+    """One staged lake per session and scale factor for queries that only
+    read it (scans, listings, ingests); writers and file-damaging queries
+    stage their own."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    root = _SHARED_LAKES.get(key)
+    if root is None or not ingest.path_exists(spark, root):
+        root = staged_lake(spark, sf_dir)
+        _SHARED_LAKES[key] = root
+    return root
+
+
 def scan_lake(spark, sf_dir) -> DataFrame:
-    return lake.scan_lake(spark, staged_lake(spark, sf_dir))
+    return lake.scan_lake(spark, shared_lake(spark, sf_dir))
 
 
 def sink_lake_partitioned(spark, sf_dir) -> DataFrame:
@@ -50,7 +65,7 @@ def sink_lake_partitioned(spark, sf_dir) -> DataFrame:
 
 
 def scan_partition_pruned(spark, sf_dir) -> DataFrame:
-    return lake.scan_pruned(spark, staged_lake(spark, sf_dir), month="01", city="Mumbai")
+    return lake.scan_pruned(spark, shared_lake(spark, sf_dir), month="01", city="Mumbai")
 
 
 def sink_max_rows_per_file(spark, sf_dir) -> DataFrame:
@@ -61,11 +76,11 @@ def sink_max_rows_per_file(spark, sf_dir) -> DataFrame:
 
 
 def ordered_file_listing(spark, sf_dir) -> DataFrame:
-    return lake.file_listing(spark, staged_lake(spark, sf_dir)).select("object_key").orderBy("object_key")
+    return lake.file_listing(spark, shared_lake(spark, sf_dir)).select("object_key").orderBy("object_key")
 
 
 def _ingested(spark, sf_dir, runs: int = 2, stream: bool = False):
-    root = staged_lake(spark, sf_dir)
+    root = shared_lake(spark, sf_dir)
     raw_path, log_path = scratch_path(spark, "raw"), scratch_path(spark, "load-log")
     ckpt = scratch_path(spark, "ingest-ckpt")
     for _ in range(runs):
@@ -193,7 +208,7 @@ def stream_dedup_1h(spark, sf_dir) -> DataFrame:
 
 def stream_fact_upsert(spark, sf_dir) -> DataFrame:
     from paylake.streaming.pipeline import stream_fact
-    root = staged_lake(spark, sf_dir)
+    root = shared_lake(spark, sf_dir)
     raw_path, log_path = scratch_path(spark, "raw"), scratch_path(spark, "load-log")
     fact_path = scratch_path(spark, "fact")
     stream_fact(spark, root, raw_path, log_path, fact_path, scratch_path(spark, "fact-ckpt"), rule_loaded_at())
