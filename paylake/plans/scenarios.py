@@ -107,13 +107,31 @@ def load_log_upsert(spark, sf_dir) -> DataFrame:
     return latest.select(*folder_of(), "row_count", "status")
 
 
+def truncate_file(spark: SparkSession, path: str) -> None:
+    """Cut a file to half its length through the cluster's file system (a
+    stand-in for an upload that broke off)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    keep = max(8, fs.getFileStatus(p).getLen() // 2)
+    buf = spark.sparkContext._gateway.new_array(jvm.byte, keep)
+    stream = fs.open(p)
+    try:
+        stream.readFully(0, buf)
+    finally:
+        stream.close()
+    out = fs.create(p, True)
+    try:
+        out.write(buf)
+    finally:
+        out.close()
+
+
 def ingest_failed_files(spark, sf_dir) -> DataFrame:
     """Truncate the first file of the lake, ingest, and report failed files."""
     root = staged_lake(spark, sf_dir)
     first = lake.file_listing(spark, root).select("object_key").orderBy("object_key").first()[0]
-    from paylake.session import local_path
-    with open(local_path(first), "r+b") as f:
-        f.truncate(max(8, f.seek(0, 2) // 2))
+    truncate_file(spark, first)
     raw_path, log_path = scratch_path(spark, "raw"), scratch_path(spark, "load-log")
     ingest.ingest_batch(spark, root, raw_path, log_path, rule_loaded_at())
     latest = ingest.latest_log(ingest.read_log(spark, log_path))

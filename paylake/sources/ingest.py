@@ -168,16 +168,15 @@ def first_per_id(rows: DataFrame) -> DataFrame:
     return first_per_key(rows, "txn_id", [F.col("object_key").asc(), F.col("row_index").asc()])
 
 
-def insert_if_absent(spark, new_raw: DataFrame, raw_path: str) -> int | None:
+def insert_if_absent(spark, new_raw: DataFrame, raw_path: str) -> None:
     """Append rows whose txn_id is not yet in the raw table (NULL ids never
-    enter: the key is NOT NULL). Returns nothing; writes are appends, so a
+    enter: the key is NOT NULL). Writes are appends of absent ids only, so a
     replayed batch inserts nothing twice."""
     rows = new_raw.filter(F.col("txn_id").isNotNull())
     if path_exists(spark, raw_path):
         existing = spark.read.parquet(raw_path).select("txn_id")
         rows = rows.join(existing, "txn_id", "left_anti")
     rows.select(*schema.RAW_COLUMNS).write.mode("append").parquet(raw_path)
-    return None
 
 
 def load_files(spark, new_files: DataFrame, raw_path: str, log_path: str,
