@@ -67,15 +67,22 @@ def main() -> None:
     panels.run_panel("panel_total_txns", fact, dims).collect()  # warm-up
     for name in panels.PANEL_NAMES:
         timed(name, lambda n=name: panels.run_panel(n, fact, dims).collect())
+    board_path = scratch_path(spark, "bench-dashboard")
+    timed("dashboard_refresh_all_17",
+          lambda: [df.collect() for df in panels.refresh_dashboard(fact, dims, board_path).values()])
     stg = models.stg_transactions(raw)
     timed("dq_report", lambda: quality.dq_report(stg, fact, dims).collect())
     n_fact = fact.agg(F.count(F.lit(1))).first()[0]
 
-    total = round(sum(v for k, v in timings.items() if k != "stage_raw"), 3)
+    # headline: build + upsert + each panel run alone + checks (the one-pass
+    # refresh of all panels is reported beside it, not added)
+    total = round(sum(v for k, v in timings.items() if k not in ("stage_raw", "dashboard_refresh_all_17")), 3)
     print(json.dumps({
         "metric": "total_sec", "value": total, "unit": "sec", "queries": timings,
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""), "fact_rows": n_fact,
         "cpus": cpus, "spark": spark.version,
+        "notes": "panels warm (one untimed warm-up query); fact build and upsert cold; stage_raw "
+                 "(writing the stand-in raw table) excluded from value",
     }))
     spark.stop()
 

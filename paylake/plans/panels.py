@@ -1,9 +1,11 @@
 """The seventeen dashboard panels, each over the fact and at most one dimension.
 
 Every panel scans the whole fact (no time filter), reads only the columns it
-needs, aggregates with a map-side partial aggregate and joins at most one
-dimension, which is a constant-bounded relation and is broadcast. Shares of
-total are computed over the aggregated rows only.
+needs and aggregates with a map-side partial aggregate. A panel labelled by a
+dimension aggregates the fact to the dimension key first and joins the
+(constant-bounded, broadcast) dimension to those few rows — exact, since
+counts and decimal sums add up. Shares of total are computed over the
+aggregated rows only.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylake.functions import buckets
-from paylake.functions.numeric import money_sum, percent, rounded_avg, scaled_millions
+from paylake.functions.numeric import money_sum, percent, rounded_avg
 from paylake.operators.joins import bounded
 from paylake.operators.share import with_share
 from paylake.plans.models import DIM_DATE_ROWS, Dims
@@ -43,10 +45,13 @@ def cities_covered(fact: DataFrame) -> DataFrame:
 
 
 def monthly_volume(fact: DataFrame, dims: Dims) -> DataFrame:
+    """Aggregated to the date key first (one row per day), then the ≤ 731
+    day rows are joined to the calendar and rolled up to months."""
+    per_day = fact.groupBy("date_sk").agg(F.count(F.lit(1)).alias("n"), F.sum("amount_inr").alias("amt"))
     d = dims.date.select("date_sk", "date_day")
-    j = fact.select("date_sk", "amount_inr").join(bounded(d, DIM_DATE_ROWS), "date_sk")
+    j = per_day.join(bounded(d, DIM_DATE_ROWS), "date_sk")
     return (j.groupBy(F.date_trunc("month", "date_day").cast("date").alias("time"))
-            .agg(F.count(F.lit(1)).alias("transactions"), money_sum("amount_inr").alias("amount_inr"))
+            .agg(F.sum("n").alias("transactions"), F.sum("amt").cast("decimal(22,2)").alias("amount_inr"))
             .orderBy("time"))
 
 
@@ -55,48 +60,55 @@ def hourly_volume(fact: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("transactions")).orderBy("hour"))
 
 
-def _by_dim(fact: DataFrame, dim: DataFrame, key: str, label: str, alias: str, bound: int) -> DataFrame:
-    """Aggregate the fact by a dimension attribute (inner join: NULL keys drop)."""
+def _by_dim(fact: DataFrame, dim: DataFrame, key: str, label: str, alias: str, bound: int,
+            measures: list[str] | None = None) -> DataFrame:
+    """Fact aggregated to the key's grain, joined to the dimension label.
+
+    Inner join semantics (NULL keys and keys without a dimension row drop
+    out), but the join runs on one row per key, not per fact row: ``n`` rows
+    and the sums of ``measures`` per key, to be rolled up by the label.
+    """
+    aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(m).alias(f"sum_{m}") for m in (measures or [])]
+    per_key = fact.groupBy(key).agg(*aggs)
     d = dim.select(key, F.col(label).alias(alias))
-    return fact.join(bounded(d, bound), key)
+    return per_key.join(bounded(d, bound), key)
+
+
+def _millions(col: str = "sum_amount_inr", scale: int = 2):
+    return F.round(F.sum(col) / F.lit(1000000), scale).cast("double")
 
 
 def top_cities(fact: DataFrame, dims: Dims, k: int = 10) -> DataFrame:
     """Top ``k`` cities by count; ties broken by city name."""
-    j = _by_dim(fact.select("location_sk", "amount_inr"), dims.location, "location_sk", "city", "city",
-                LOCATION_BOUND)
-    g = j.groupBy("city").agg(F.count(F.lit(1)).alias("transactions"),
-                              scaled_millions("amount_inr").alias("amount_m_inr"))
+    j = _by_dim(fact, dims.location, "location_sk", "city", "city", LOCATION_BOUND, ["amount_inr"])
+    g = j.groupBy("city").agg(F.sum("n").alias("transactions"), _millions().alias("amount_m_inr"))
     return g.orderBy(F.col("transactions").desc(), F.col("city")).limit(k)
 
 
 def merchant_split(fact: DataFrame, dims: Dims) -> DataFrame:
-    j = _by_dim(fact.select("merchant_sk", "amount_inr"), dims.merchant, "merchant_sk", "category_name",
-                "category", relations.ROW_BOUND["merchant_categories"])
-    g = j.groupBy("category").agg(F.count(F.lit(1)).alias("transactions"),
-                                  scaled_millions("amount_inr").alias("amount_m_inr"))
+    j = _by_dim(fact, dims.merchant, "merchant_sk", "category_name", "category",
+                relations.ROW_BOUND["merchant_categories"], ["amount_inr"])
+    g = j.groupBy("category").agg(F.sum("n").alias("transactions"), _millions().alias("amount_m_inr"))
     return g.orderBy(F.col("transactions").desc(), F.col("category"))
 
 
 def app_share(fact: DataFrame, dims: Dims) -> DataFrame:
-    j = _by_dim(fact.select("upi_app_sk"), dims.upi_app, "upi_app_sk", "app_name", "app",
-                relations.ROW_BOUND["upi_apps"])
-    g = j.groupBy("app").agg(F.count(F.lit(1)).alias("transactions"))
+    j = _by_dim(fact, dims.upi_app, "upi_app_sk", "app_name", "app", relations.ROW_BOUND["upi_apps"])
+    g = j.groupBy("app").agg(F.sum("n").alias("transactions"))
     return with_share(g, "transactions", "share_pct").orderBy(F.col("transactions").desc(), F.col("app"))
 
 
 def success_by_tier(fact: DataFrame, dims: Dims) -> DataFrame:
-    j = _by_dim(fact.select("location_sk", "is_success_int"), dims.location, "location_sk", "tier",
-                "tier", LOCATION_BOUND)
+    j = _by_dim(fact, dims.location, "location_sk", "tier", "tier", LOCATION_BOUND, ["is_success_int"])
     return (j.groupBy("tier")
-            .agg(percent(F.sum("is_success_int"), F.count(F.lit(1)), 2).alias("success_rate_pct"))
+            .agg(percent(F.sum("sum_is_success_int"), F.sum("n"), 2).alias("success_rate_pct"))
             .orderBy("tier"))
 
 
 def payment_type_share(fact: DataFrame, dims: Dims) -> DataFrame:
-    j = _by_dim(fact.select("payment_type_sk"), dims.payment_type, "payment_type_sk", "type_name",
-                "payment_type", relations.ROW_BOUND["payment_types"])
-    g = j.groupBy("payment_type").agg(F.count(F.lit(1)).alias("transactions"))
+    j = _by_dim(fact, dims.payment_type, "payment_type_sk", "type_name", "payment_type",
+                relations.ROW_BOUND["payment_types"])
+    g = j.groupBy("payment_type").agg(F.sum("n").alias("transactions"))
     return with_share(g, "transactions", "share_pct").orderBy(F.col("transactions").desc(),
                                                                F.col("payment_type"))
 
@@ -132,10 +144,8 @@ def amount_buckets(fact: DataFrame) -> DataFrame:
 
 
 def region_volume(fact: DataFrame, dims: Dims) -> DataFrame:
-    j = _by_dim(fact.select("location_sk", "amount_inr"), dims.location, "location_sk", "region",
-                "region", LOCATION_BOUND)
-    g = j.groupBy("region").agg(F.count(F.lit(1)).alias("transactions"),
-                                scaled_millions("amount_inr").alias("amount_m_inr"))
+    j = _by_dim(fact, dims.location, "location_sk", "region", "region", LOCATION_BOUND, ["amount_inr"])
+    g = j.groupBy("region").agg(F.sum("n").alias("transactions"), _millions().alias("amount_m_inr"))
     return g.orderBy(F.col("transactions").desc(), F.col("region"))
 
 
@@ -182,3 +192,124 @@ def run_panel(name: str, fact: DataFrame, dims: Dims) -> DataFrame:
 
 
 PANEL_NAMES = sorted(list(PANELS_FACT_ONLY) + list(PANELS_WITH_DIMS))
+
+
+# --------------------------------------------------------------------------
+# the whole dashboard from one pass over the fact
+# --------------------------------------------------------------------------
+DASHBOARD_KEYS = ["date_sk", "txn_hour", "location_sk", "merchant_sk", "upi_app_sk", "payment_type_sk",
+                  "is_weekend", "is_festival", "amount_bucket", "device_type"]
+
+
+def dashboard_base(fact: DataFrame) -> DataFrame:
+    """One scan of the fact, aggregated to every grain a panel needs.
+
+    GROUPING SETS over the ten panel keys plus the grand total: each fact row
+    is expanded once per set inside the scan stage and partial-aggregated
+    there, so what leaves the stage is a few hundred rows. ``gid`` names the
+    set (a key column is NULL both outside its set and for a NULL key, so the
+    set must be told by ``gid``, not by NULLs).
+    """
+    sets = [[k] for k in DASHBOARD_KEYS] + [[]]
+    cols = [F.col(k) for k in DASHBOARD_KEYS]
+    amt, ok = F.col("amount_inr"), F.col("is_success")
+    g = fact.select(*DASHBOARD_KEYS, "amount_inr", "is_success", "is_success_int").groupingSets(
+        [[F.col(k) for k in s] for s in sets], *cols)
+    return g.agg(
+        F.grouping_id(*cols).alias("gid"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum(amt).alias("amt"),
+        F.count(amt).alias("amt_n"),
+        F.min(amt).alias("min_amt"),
+        F.sum("is_success_int").alias("succ"),
+        F.sum(F.when(ok, amt)).alias("ok_amt"),
+        F.count(F.when(ok, amt)).alias("ok_amt_n"),
+    )
+
+
+def _gid(key: str | None) -> int:
+    """grouping_id of the set that groups by ``key`` only (None: grand total)."""
+    n = len(DASHBOARD_KEYS)
+    bits = 0
+    for i, k in enumerate(DASHBOARD_KEYS):
+        if k != key:
+            bits |= 1 << (n - 1 - i)
+    return bits
+
+
+def _avg2(total, count):
+    """round(total / count, 2) on decimals, as double; NULL for no rows."""
+    return F.round(total / F.nullif(count, F.lit(0)), 2).cast("double")
+
+
+def dashboard(base: DataFrame, dims: Dims, k: int = 10) -> dict[str, DataFrame]:
+    """The 17 panels derived from :func:`dashboard_base` (same results as the
+    single-panel functions above: counts and decimal sums add up exactly)."""
+    def part(key):
+        return base.filter(F.col("gid") == _gid(key))
+
+    def by_dim(key, dim, label, alias, bound):
+        d = dim.select(key, F.col(label).alias(alias))
+        return part(key).join(bounded(d, bound), key)
+
+    tot = part(None)
+    out: dict[str, DataFrame] = {
+        "panel_total_txns": tot.select(F.col("n").alias("value")),
+        "panel_total_value": tot.select(F.col("amt").cast("decimal(22,2)").alias("value")),
+        "panel_success_rate": tot.select(percent(F.col("succ"), F.col("n"), 2).alias("value")),
+        "panel_avg_success_value": tot.select(_avg2(F.col("ok_amt"), F.col("ok_amt_n")).alias("value")),
+        "panel_cities_covered": part("location_sk").agg(F.count("location_sk").alias("value")),
+        "panel_hourly_volume": part("txn_hour").select(F.col("txn_hour").alias("hour"),
+                                                       F.col("n").alias("transactions")).orderBy("hour"),
+        "panel_amount_buckets": part("amount_bucket").orderBy("min_amt").select(
+            "amount_bucket", F.col("n").alias("transactions")),
+        "panel_weekday_weekend": part("is_weekend").select(
+            buckets.day_type_label("is_weekend").alias("day_type"), F.col("n").alias("transactions"),
+            _avg2(F.col("amt"), F.col("amt_n")).alias("avg_amount")),
+    }
+    fest = part("is_festival").filter(F.col("is_festival").isNotNull())
+    labels = base.sparkSession.createDataFrame([(True, "Festival Day"), (False, "Normal Day")],
+                                               "flag boolean, day string")
+    out["panel_festival_vs_normal"] = labels.join(
+        bounded(fest, 2), labels.flag == fest.is_festival, "left").select(
+        "day", _avg2(F.col("amt"), F.col("amt_n")).alias("avg_amount"))
+    dev = part("device_type").select(F.col("device_type").alias("device"), F.col("n").alias("transactions"))
+    out["panel_device_share"] = with_share(dev, "transactions", "share_pct").orderBy(
+        F.col("transactions").desc(), F.col("device"))
+    days = by_dim("date_sk", dims.date, "date_day", "date_day", DIM_DATE_ROWS)
+    out["panel_monthly_volume"] = (days.groupBy(F.date_trunc("month", "date_day").cast("date").alias("time"))
+                                   .agg(F.sum("n").alias("transactions"),
+                                        F.sum("amt").cast("decimal(22,2)").alias("amount_inr")).orderBy("time"))
+    city = by_dim("location_sk", dims.location, "city", "city", LOCATION_BOUND)
+    out["panel_top_cities"] = (city.groupBy("city").agg(F.sum("n").alias("transactions"),
+                                                        _millions("amt").alias("amount_m_inr"))
+                               .orderBy(F.col("transactions").desc(), F.col("city")).limit(k))
+    region = by_dim("location_sk", dims.location, "region", "region", LOCATION_BOUND)
+    out["panel_region_volume"] = (region.groupBy("region").agg(F.sum("n").alias("transactions"),
+                                                               _millions("amt").alias("amount_m_inr"))
+                                  .orderBy(F.col("transactions").desc(), F.col("region")))
+    tier = by_dim("location_sk", dims.location, "tier", "tier", LOCATION_BOUND)
+    out["panel_success_by_tier"] = (tier.groupBy("tier").agg(
+        percent(F.sum("succ"), F.sum("n"), 2).alias("success_rate_pct")).orderBy("tier"))
+    cat = by_dim("merchant_sk", dims.merchant, "category_name", "category",
+                 relations.ROW_BOUND["merchant_categories"])
+    out["panel_merchant_split"] = (cat.groupBy("category").agg(F.sum("n").alias("transactions"),
+                                                               _millions("amt").alias("amount_m_inr"))
+                                   .orderBy(F.col("transactions").desc(), F.col("category")))
+    app = by_dim("upi_app_sk", dims.upi_app, "app_name", "app", relations.ROW_BOUND["upi_apps"])
+    app = app.groupBy("app").agg(F.sum("n").alias("transactions"))
+    out["panel_app_share"] = with_share(app, "transactions", "share_pct").orderBy(
+        F.col("transactions").desc(), F.col("app"))
+    pay = by_dim("payment_type_sk", dims.payment_type, "type_name", "payment_type",
+                 relations.ROW_BOUND["payment_types"])
+    pay = pay.groupBy("payment_type").agg(F.sum("n").alias("transactions"))
+    out["panel_payment_type_share"] = with_share(pay, "transactions", "share_pct").orderBy(
+        F.col("transactions").desc(), F.col("payment_type"))
+    return out
+
+
+def refresh_dashboard(fact: DataFrame, dims: Dims, path: str) -> dict[str, DataFrame]:
+    """Write the one-pass aggregate to ``path`` (shared folder) and return the
+    17 panels read from it."""
+    dashboard_base(fact).coalesce(1).write.mode("overwrite").parquet(path)
+    return dashboard(fact.sparkSession.read.parquet(path), dims)

@@ -171,11 +171,19 @@ def first_per_id(rows: DataFrame) -> DataFrame:
 def insert_if_absent(spark, new_raw: DataFrame, raw_path: str) -> None:
     """Append rows whose txn_id is not yet in the raw table (NULL ids never
     enter: the key is NOT NULL). Writes are appends of absent ids only, so a
-    replayed batch inserts nothing twice."""
+    replayed batch inserts nothing twice.
+
+    Planned as ``present = raw SEMI batch_ids`` then ``batch ANTI present``:
+    the raw table contributes one streamed column, the batch's ids are the
+    build side (AQE broadcasts them once their measured size is small), and
+    the second join's build side is at most the batch — so raw is never
+    shuffled, however large it grows.
+    """
     rows = new_raw.filter(F.col("txn_id").isNotNull())
     if path_exists(spark, raw_path):
-        existing = spark.read.parquet(raw_path).select("txn_id")
-        rows = rows.join(existing, "txn_id", "left_anti")
+        ids = rows.select("txn_id")
+        present = spark.read.parquet(raw_path).select("txn_id").join(ids, "txn_id", "left_semi")
+        rows = rows.join(present, "txn_id", "left_anti")
     rows.select(*schema.RAW_COLUMNS).write.mode("append").parquet(raw_path)
 
 
