@@ -173,16 +173,21 @@ def insert_if_absent(spark, new_raw: DataFrame, raw_path: str) -> None:
     enter: the key is NOT NULL). Writes are appends of absent ids only, so a
     replayed batch inserts nothing twice.
 
-    Planned as ``present = raw SEMI batch_ids`` then ``batch ANTI present``:
-    the raw table contributes one streamed column, the batch's ids are the
-    build side (AQE broadcasts them once their measured size is small), and
-    the second join's build side is at most the batch — so raw is never
-    shuffled, however large it grows.
+    The batch is first written to the shared folder: its lineage (file reads,
+    first-copy dedup) runs once, and the planner then knows its size from the
+    files. Then ``present = raw SEMI batch_ids`` — the batch ids are the
+    broadcast build side when their file size is under the broadcast
+    threshold (a shuffle join otherwise), so raw streams one column and is
+    not shuffled — and ``batch ANTI present``, whose inputs are both at most
+    batch-sized.
     """
-    rows = new_raw.filter(F.col("txn_id").isNotNull())
+    from paylake.session import scratch_path
+    staged = scratch_path(spark, "insert-batch")
+    new_raw.filter(F.col("txn_id").isNotNull()).select(*schema.RAW_COLUMNS).write.parquet(staged)
+    rows = spark.read.parquet(staged)
     if path_exists(spark, raw_path):
-        ids = rows.select("txn_id")
-        present = spark.read.parquet(raw_path).select("txn_id").join(ids, "txn_id", "left_semi")
+        present = (spark.read.parquet(raw_path).select("txn_id")
+                   .join(rows.select("txn_id"), "txn_id", "left_semi"))
         rows = rows.join(present, "txn_id", "left_anti")
     rows.select(*schema.RAW_COLUMNS).write.mode("append").parquet(raw_path)
 

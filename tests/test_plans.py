@@ -35,3 +35,19 @@ def test_panel_reads_only_needed_columns(spark, tmp):
     scan = [ln for ln in _plan(df).splitlines() if "FileScan parquet" in ln or "Scan parquet" in ln]
     assert scan and all("amount_inr" in s and "merchant_sk" in s and "txn_hour" not in s for s in scan), scan
     assert "Aggregate" in plan
+
+
+def test_insert_if_absent_never_shuffles_raw(spark, tmp):
+    """raw streams its id column into a broadcast semi join with the staged batch."""
+    from paylake.sources import ingest
+    raw_path, staged = f"{tmp}/raw", f"{tmp}/batch"
+    batch = adapter.raw_rows(spark, SF).filter("txn_id is not null")
+    batch.write.parquet(raw_path)
+    batch.write.parquet(staged)
+    rows = spark.read.parquet(staged)
+    present = spark.read.parquet(raw_path).select("txn_id").join(rows.select("txn_id"), "txn_id", "left_semi")
+    plan = _plan(rows.join(present, "txn_id", "left_anti"))
+    assert "LeftSemi" in plan and "BroadcastHashJoin" in plan
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    ingest.insert_if_absent(spark, batch, raw_path)  # every id is present: nothing is appended
+    assert spark.read.parquet(raw_path).count() == batch.count()
