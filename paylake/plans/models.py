@@ -228,13 +228,21 @@ def fact_incremental(spark: SparkSession, raw: DataFrame, fact_path: str,
                      lookback: str = "INTERVAL 1 HOUR") -> str:
     """Build the fact on the first run, then keep it current by keyed upserts
     of rows newer than ``max(created_at) - lookback``. An empty target counts
-    as a first run (``created_at > NULL`` would otherwise keep nothing)."""
-    from paylake.operators.upsert import incremental_window, read_target, upsert
+    as a first run (``created_at > NULL`` would otherwise keep nothing).
+
+    The cutoff is one value, computed first (a one-column aggregate of the
+    fact) and applied as a literal, so the raw scan pushes ``created_at >
+    cutoff`` into Parquet and skips row groups whose newest row is older —
+    raw is appended in load order, so an incremental run reads little of it.
+    """
+    from paylake.operators.upsert import read_target, upsert
     target = read_target(spark, fact_path)
-    if target is None or target.isEmpty():
+    cutoff = None
+    if target is not None:
+        cutoff = target.agg((F.max("created_at") - F.expr(lookback)).alias("c")).first()[0]
+    if cutoff is None:
         return upsert(spark, fact_from_raw(raw), fact_path)
-    cutoff = incremental_window(target, lookback)
-    return upsert(spark, new_fact_rows(raw, cutoff), fact_path)
+    return upsert(spark, new_fact_rows(raw, F.lit(cutoff)), fact_path)
 
 
 def late_rows(raw: DataFrame, fact: DataFrame, cutoff) -> DataFrame:

@@ -51,3 +51,15 @@ def test_insert_if_absent_never_shuffles_raw(spark, tmp):
     assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
     ingest.insert_if_absent(spark, batch, raw_path)  # every id is present: nothing is appended
     assert spark.read.parquet(raw_path).count() == batch.count()
+
+
+def test_incremental_cutoff_reaches_the_raw_scan(spark, tmp):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+    raw_path = f"{tmp}/raw"
+    adapter.raw_rows(spark, SF).write.parquet(raw_path)
+    raw = spark.read.parquet(raw_path)
+    df = models.new_fact_rows(raw, F.lit(dt.datetime(2024, 6, 1)))
+    scans = [ln for ln in _plan(df).splitlines() if "FileScan parquet" in ln]
+    assert any("PushedFilters" in ln and "GreaterThan(created_at" in ln for ln in scans), scans
