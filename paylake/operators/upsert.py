@@ -30,9 +30,17 @@ def _partition_dir(root: str, year: int, month: int) -> str:
 
 
 def read_target(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``; None when it does not exist or holds no data
+    file yet (an empty table has no schema to read)."""
+    from pyspark.errors import AnalysisException
     if not path_exists(spark, path):
         return None
-    return spark.read.parquet(path)
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
 
 
 def incremental_window(target: DataFrame, lookback: str = "INTERVAL 1 HOUR"):

@@ -49,3 +49,31 @@ def test_columns_follow_the_model(spark, tmp):
     df = spark.read.parquet(path)
     assert "amount_inr" not in df.columns and "note" in df.columns
     assert {r.txn_sk: r.note for r in df.collect()} == {"a": None, "b": "new"}
+
+
+def test_incremental_fact_is_idempotent(spark, tmp):
+    """Running the incremental build again on the same raw leaves the same table."""
+    from paylake.plans import models
+    from paylake.plans.scenarios import first_run_rows
+    from paylake.sources import adapter
+    raw_path = f"{tmp}/raw"
+    adapter.raw_rows(spark, "/root/testdata/sf0.001").write.parquet(raw_path)
+    raw = spark.read.parquet(raw_path)
+    path = f"{tmp}/fact"
+    assert models.fact_incremental(spark, first_run_rows(raw), path) == "full"
+    assert models.fact_incremental(spark, raw, path) == "incremental"
+    once = sorted(map(tuple, spark.read.parquet(path).collect()))
+    assert models.fact_incremental(spark, raw, path) == "incremental"
+    twice = sorted(map(tuple, spark.read.parquet(path).collect()))
+    assert once == twice and len(once) > 0
+
+
+def test_empty_target_counts_as_first_run(spark, tmp):
+    from paylake import schema
+    from paylake.plans import models
+    from paylake.sources import adapter
+    raw = adapter.raw_rows(spark, "/root/testdata/sf0.001")
+    path = f"{tmp}/fact"
+    models.fact_from_raw(raw).limit(0).write.partitionBy(*schema.FACT_PARTITION_COLUMNS).parquet(path)
+    models.fact_incremental(spark, raw, path)
+    assert spark.read.parquet(path).count() == models.fact_from_raw(raw).count()
