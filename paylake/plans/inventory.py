@@ -7,7 +7,7 @@ spine) are reported together with how many transactions use each row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylake.functions import buckets, calendar
@@ -47,16 +47,23 @@ def fn_trim_case(i: Inputs) -> DataFrame:
 
 
 def stg_filter_valid(i: Inputs) -> DataFrame:
-    """Raw rows by what staging does with them."""
-    w = Window.partitionBy("txn_id").orderBy(*latest_order())
-    r = i.raw.filter(F.col("txn_id").isNotNull()).withColumn("rn", F.row_number().over(w))
-    reason = (F.when(F.col("rn") > 1, F.lit("older_version"))
-              .when(~(F.col("amount_inr") > 0), F.lit("non_positive_amount"))
-              .otherwise(F.lit("kept")))
-    kept = r.groupBy(reason.alias("outcome")).agg(_n().alias("rows"))
+    """Raw rows by what staging does with them: kept, latest version with a
+    non-positive amount, older version of an id, or no id.
+
+    Skew-safe: the latest versions come from the group-limited dedup, and
+    older versions are ``sum(count - 1)`` over a per-id count that is
+    partial-aggregated map-side — no window holds all rows of one id.
+    """
+    from paylake.operators.dedup import latest_per_key
+    latest = latest_per_key(i.raw, "txn_id", latest_order())
+    outcome = F.when(F.col("amount_inr") > 0, F.lit("kept")).otherwise(F.lit("non_positive_amount"))
+    kept = latest.groupBy(outcome.alias("outcome")).agg(_n().alias("rows"))
+    per_id = i.raw.filter(F.col("txn_id").isNotNull()).groupBy("txn_id").agg(_n().alias("c"))
+    older = per_id.agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).cast("bigint").alias("rows")).select(
+        F.lit("older_version").alias("outcome"), "rows").filter(F.col("rows") > 0)
     nulls = i.raw.filter(F.col("txn_id").isNull()).agg(_n().alias("rows")).select(
         F.lit("null_id").alias("outcome"), "rows")
-    return kept.unionByName(nulls)
+    return kept.unionByName(older).unionByName(nulls)
 
 
 def success_flags(i: Inputs) -> DataFrame:
