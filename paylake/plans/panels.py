@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylake.functions import buckets
-from paylake.functions.numeric import money_sum, percent, rounded_avg
+from paylake.functions.numeric import money_sum, percent, rounded_avg, scaled_millions
 from paylake.operators.joins import bounded
 from paylake.operators.share import with_share
 from paylake.plans.models import DIM_DATE_ROWS, Dims
@@ -74,21 +74,19 @@ def _by_dim(fact: DataFrame, dim: DataFrame, key: str, label: str, alias: str, b
     return per_key.join(bounded(d, bound), key)
 
 
-def _millions(col: str = "sum_amount_inr", scale: int = 2):
-    return F.round(F.sum(col) / F.lit(1000000), scale).cast("double")
-
-
 def top_cities(fact: DataFrame, dims: Dims, k: int = 10) -> DataFrame:
     """Top ``k`` cities by count; ties broken by city name."""
     j = _by_dim(fact, dims.location, "location_sk", "city", "city", LOCATION_BOUND, ["amount_inr"])
-    g = j.groupBy("city").agg(F.sum("n").alias("transactions"), _millions().alias("amount_m_inr"))
+    g = j.groupBy("city").agg(F.sum("n").alias("transactions"),
+                              scaled_millions("sum_amount_inr").alias("amount_m_inr"))
     return g.orderBy(F.col("transactions").desc(), F.col("city")).limit(k)
 
 
 def merchant_split(fact: DataFrame, dims: Dims) -> DataFrame:
     j = _by_dim(fact, dims.merchant, "merchant_sk", "category_name", "category",
                 relations.ROW_BOUND["merchant_categories"], ["amount_inr"])
-    g = j.groupBy("category").agg(F.sum("n").alias("transactions"), _millions().alias("amount_m_inr"))
+    g = j.groupBy("category").agg(F.sum("n").alias("transactions"),
+                                  scaled_millions("sum_amount_inr").alias("amount_m_inr"))
     return g.orderBy(F.col("transactions").desc(), F.col("category"))
 
 
@@ -145,7 +143,8 @@ def amount_buckets(fact: DataFrame) -> DataFrame:
 
 def region_volume(fact: DataFrame, dims: Dims) -> DataFrame:
     j = _by_dim(fact, dims.location, "location_sk", "region", "region", LOCATION_BOUND, ["amount_inr"])
-    g = j.groupBy("region").agg(F.sum("n").alias("transactions"), _millions().alias("amount_m_inr"))
+    g = j.groupBy("region").agg(F.sum("n").alias("transactions"),
+                                scaled_millions("sum_amount_inr").alias("amount_m_inr"))
     return g.orderBy(F.col("transactions").desc(), F.col("region"))
 
 
@@ -282,11 +281,11 @@ def dashboard(base: DataFrame, dims: Dims, k: int = 10) -> dict[str, DataFrame]:
                                         F.sum("amt").cast("decimal(22,2)").alias("amount_inr")).orderBy("time"))
     city = by_dim("location_sk", dims.location, "city", "city", LOCATION_BOUND)
     out["panel_top_cities"] = (city.groupBy("city").agg(F.sum("n").alias("transactions"),
-                                                        _millions("amt").alias("amount_m_inr"))
+                                                        scaled_millions("amt").alias("amount_m_inr"))
                                .orderBy(F.col("transactions").desc(), F.col("city")).limit(k))
     region = by_dim("location_sk", dims.location, "region", "region", LOCATION_BOUND)
     out["panel_region_volume"] = (region.groupBy("region").agg(F.sum("n").alias("transactions"),
-                                                               _millions("amt").alias("amount_m_inr"))
+                                                               scaled_millions("amt").alias("amount_m_inr"))
                                   .orderBy(F.col("transactions").desc(), F.col("region")))
     tier = by_dim("location_sk", dims.location, "tier", "tier", LOCATION_BOUND)
     out["panel_success_by_tier"] = (tier.groupBy("tier").agg(
@@ -294,7 +293,7 @@ def dashboard(base: DataFrame, dims: Dims, k: int = 10) -> dict[str, DataFrame]:
     cat = by_dim("merchant_sk", dims.merchant, "category_name", "category",
                  relations.ROW_BOUND["merchant_categories"])
     out["panel_merchant_split"] = (cat.groupBy("category").agg(F.sum("n").alias("transactions"),
-                                                               _millions("amt").alias("amount_m_inr"))
+                                                               scaled_millions("amt").alias("amount_m_inr"))
                                    .orderBy(F.col("transactions").desc(), F.col("category")))
     app = by_dim("upi_app_sk", dims.upi_app, "app_name", "app", relations.ROW_BOUND["upi_apps"])
     app = app.groupBy("app").agg(F.sum("n").alias("transactions"))
