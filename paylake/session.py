@@ -45,6 +45,12 @@ def configure(spark: SparkSession) -> SparkSession:
         if key.startswith("spark.ui."):
             continue
         spark.conf.set(key, value)
+    # file listing (lakes have one folder per year/month/city): one listing
+    # task per folder wastes scheduling on small folders; a few tasks per core
+    # of the cluster keep listing parallel without thousands of tiny tasks
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism",
+                   str(min(10000, max(64, 4 * cores))))
     shared_dir(spark)
     return spark
 

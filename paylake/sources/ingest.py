@@ -218,7 +218,9 @@ def load_files(spark, new_files: DataFrame, raw_path: str, log_path: str,
         if foreign:
             from paylake.session import scratch_path
             parts.append(normalize_foreign(spark, foreign, scratch_path(spark, "foreign-normalized")))
-        data = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        # read twice below (per-file stats, then the rows): keep the batch,
+        # which maxFilesPerTrigger bounds, instead of reading its files twice
+        data = (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])).persist()
         stats = data.groupBy("object_key").agg(
             F.count(F.lit(1)).alias("row_count"),
             F.count_if(F.col("txn_id").isNull()).alias("null_ids")).persist()
@@ -239,6 +241,7 @@ def load_files(spark, new_files: DataFrame, raw_path: str, log_path: str,
             .write.mode("append").parquet(log_path)
     if good:
         stats.unpersist()
+        data.unpersist()
 
 
 def read_log(spark, log_path: str) -> DataFrame:
