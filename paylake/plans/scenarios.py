@@ -217,7 +217,7 @@ def late_rows_audit(spark, sf_dir) -> DataFrame:
 
 
 def stream_dedup_1h(spark, sf_dir) -> DataFrame:
-    from paylake.streaming.pipeline import stream_dedup
+    from paylake.streaming.jobs import stream_dedup
     raw_dir, out = scratch_path(spark, "raw"), scratch_path(spark, "dedup")
     adapter.raw_rows(spark, sf_dir).write.parquet(raw_dir)
     stream_dedup(spark, raw_dir, out, scratch_path(spark, "dedup-ckpt"))
@@ -225,7 +225,7 @@ def stream_dedup_1h(spark, sf_dir) -> DataFrame:
 
 
 def stream_fact_upsert(spark, sf_dir) -> DataFrame:
-    from paylake.streaming.pipeline import stream_fact
+    from paylake.streaming.jobs import stream_fact
     root = shared_lake(spark, sf_dir)
     raw_path, log_path = scratch_path(spark, "raw"), scratch_path(spark, "load-log")
     fact_path = scratch_path(spark, "fact")

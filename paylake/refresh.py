@@ -1,6 +1,6 @@
 """End-to-end run: lake -> raw -> star schema -> data tests -> dashboard.
 
-    python -m paylake.pipeline --lake <lake root> --warehouse <folder> [--stream]
+    python -m paylake.refresh --lake <lake root> --warehouse <folder> [--stream]
 
 Each step is a Spark job over the shared storage; reruns are incremental
 (only new lake files are loaded, the fact is upserted) and idempotent. Exits
@@ -61,7 +61,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--stream", action="store_true", help="ingest with Structured Streaming (availableNow)")
     ap.add_argument("--max-files-per-batch", type=int, default=None)
     args = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("paylake-pipeline").getOrCreate()
+    spark = SparkSession.builder.appName("paylake-refresh").getOrCreate()
     out = run(spark, args.lake, args.warehouse, args.stream, args.max_files_per_batch)
     print(json.dumps(out, default=str))
     return 1 if out.get("tests_failed") else 0
