@@ -32,8 +32,12 @@ def dedup_within_watermark(stream: DataFrame, delay: str = "1 hour") -> DataFram
 
 
 def stream_dedup(spark: SparkSession, raw_dir: str, out_path: str, checkpoint: str,
-                 delay: str = "1 hour") -> None:
-    src = spark.readStream.schema(schema.RAW_SCHEMA).parquet(raw_dir)
+                 delay: str = "1 hour", max_files_per_batch: int | None = None) -> None:
+    """Raw files as they arrive -> copies within ``delay`` dropped -> Parquet sink."""
+    reader = spark.readStream.schema(schema.RAW_SCHEMA)
+    if max_files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_batch))
+    src = reader.parquet(raw_dir)
     q = (dedup_within_watermark(src, delay).writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out_path))
     q.awaitTermination()
