@@ -25,8 +25,9 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _partition_dir(root: str, year: int, month: int) -> str:
-    return f"{root.rstrip('/')}/txn_year={year}/txn_month={month}"
+def _partition_dir(root: str, parts: list[str], values) -> str:
+    segs = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(parts, values)]
+    return "/".join([root.rstrip("/")] + segs)
 
 
 def read_target(spark: SparkSession, path: str) -> DataFrame | None:
@@ -48,13 +49,15 @@ def incremental_window(target: DataFrame, lookback: str = "INTERVAL 1 HOUR"):
     return target.agg((F.max("created_at") - F.expr(lookback)).alias("cutoff")).scalar()
 
 
-def write_full(df: DataFrame, path: str, columns: list[str]) -> None:
-    (df.select(*columns).hint("REBALANCE", *FACT_PARTITION_COLUMNS)
+def write_full(df: DataFrame, path: str, columns: list[str],
+               parts: list[str] = FACT_PARTITION_COLUMNS) -> None:
+    (df.select(*columns).hint("REBALANCE", *parts)
      .write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy(*FACT_PARTITION_COLUMNS).parquet(path))
+     .partitionBy(*parts).parquet(path))
 
 
-def upsert(spark: SparkSession, new: DataFrame, path: str, key: str = "txn_sk") -> str:
+def upsert(spark: SparkSession, new: DataFrame, path: str, key: str = "txn_sk",
+           parts: list[str] = FACT_PARTITION_COLUMNS) -> str:
     """Replace-or-insert ``new`` (unique on ``key``) into the table at ``path``.
 
     Columns follow ``new`` (added columns are NULL for old rows, dropped
@@ -65,7 +68,7 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, key: str = "txn_sk")
     columns = new.columns
     target = read_target(spark, path)
     if target is None:
-        write_full(new, path, columns)
+        write_full(new, path, columns, parts)
         return "full"
     same_columns = sorted(target.columns) == sorted(columns)
     staging = scratch_path(spark, "upsert-staging")
@@ -75,18 +78,21 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, key: str = "txn_sk")
     new.select(*columns).write.parquet(new_path)
     new = spark.read.parquet(new_path).select(*columns)
     if same_columns:
-        new_keys = new.select(key, *FACT_PARTITION_COLUMNS)
-        # months of rows being replaced: a corrected date can move a row
-        moved = target.select(key, *FACT_PARTITION_COLUMNS).join(new.select(key), key, "left_semi")
-        touched_df = (new_keys.select(*FACT_PARTITION_COLUMNS)
-                      .unionByName(moved.select(*FACT_PARTITION_COLUMNS)).distinct())
-        # (year, month) pairs: at most a few hundred values, pruned statically
-        touched = [(r[0], r[1]) for r in touched_df.collect()]
+        new_keys = new.select(key, *parts)
+        # partitions of rows being replaced: a corrected date can move a row
+        moved = target.select(key, *parts).join(new.select(key), key, "left_semi")
+        touched_df = new_keys.select(*parts).unionByName(moved.select(*parts)).distinct()
+        # partition values (e.g. year, month pairs): a few hundred at most,
+        # pruned statically; NULL-safe, so a NULL partition is rewritten whole
+        touched = [tuple(r) for r in touched_df.collect()]
         if not touched:
             return "incremental"
         cond = None
-        for y, m in touched:
-            c = (F.col("txn_year") == y) & (F.col("txn_month") == m)
+        for values in touched:
+            c = None
+            for col, v in zip(parts, values):
+                e = F.col(col).eqNullSafe(F.lit(v))
+                c = e if c is None else (c & e)
             cond = c if cond is None else (cond | c)
         scope = target.filter(cond)
     else:
@@ -94,19 +100,21 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, key: str = "txn_sk")
         touched = None
     kept = scope.join(new.select(key), key, "left_anti")
     result = kept.unionByName(new, allowMissingColumns=True).select(*columns)
-    (result.hint("REBALANCE", *FACT_PARTITION_COLUMNS).write.mode("overwrite")
-     .partitionBy(*FACT_PARTITION_COLUMNS).parquet(staging))
-    staged = spark.read.parquet(staging)
+    (result.hint("REBALANCE", *parts).write.mode("overwrite")
+     .partitionBy(*parts).parquet(staging))
+    # explicit schema: partition types must not be re-inferred from folder
+    # names (a staging folder holding only the NULL partition infers "void")
+    staged = spark.read.schema(result.schema).parquet(staging)
     if touched is None:
-        write_full(staged, path, columns)
+        write_full(staged, path, columns, parts)
         return "full"
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*FACT_PARTITION_COLUMNS).parquet(path))
-    # a touched month whose rows all moved away is empty now: drop its folder
-    present = {(r[0], r[1]) for r in staged.select(*FACT_PARTITION_COLUMNS).distinct().collect()}
-    for y, m in touched:
-        if (y, m) not in present:
-            fs, p = _fs(spark, _partition_dir(path, y, m))
+     .partitionBy(*parts).parquet(path))
+    # a touched partition whose rows all moved away is empty now: drop its folder
+    present = {tuple(r) for r in staged.select(*parts).distinct().collect()}
+    for values in touched:
+        if values not in present:
+            fs, p = _fs(spark, _partition_dir(path, parts, values))
             if fs.exists(p):
                 fs.delete(p, True)
     return "incremental"

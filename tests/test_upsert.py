@@ -77,3 +77,13 @@ def test_empty_target_counts_as_first_run(spark, tmp):
     models.fact_from_raw(raw).limit(0).write.partitionBy(*schema.FACT_PARTITION_COLUMNS).parquet(path)
     models.fact_incremental(spark, raw, path)
     assert spark.read.parquet(path).count() == models.fact_from_raw(raw).count()
+
+
+def test_null_partition_rows_survive_an_upsert(spark, tmp):
+    path = f"{tmp}/fact"
+    t = dt.datetime(2024, 1, 31, 23)
+    upsert(spark, _rows(spark, [("a", Decimal("1"), t, None, None), ("b", Decimal("2"), t, None, None),
+                                ("c", Decimal("3"), t, 2024, 1)]), path)
+    upsert(spark, _rows(spark, [("a", Decimal("10"), t, None, None)]), path)
+    got = {r.txn_sk: r.amount_inr for r in spark.read.parquet(path).collect()}
+    assert got == {"a": Decimal("10.00"), "b": Decimal("2.00"), "c": Decimal("3.00")}
