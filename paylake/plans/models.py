@@ -40,7 +40,13 @@ def stg_transactions(raw: DataFrame) -> DataFrame:
     latest version with a non-positive amount removes the transaction rather
     than bringing back an older version.
     """
-    latest = latest_per_key(raw, "txn_id", latest_order())
+    return stg_from_latest(latest_per_key(raw, "txn_id", latest_order()))
+
+
+def stg_from_latest(latest: DataFrame) -> DataFrame:
+    """Staging over rows that are already the latest version per txn_id (the
+    maintained table of :mod:`paylake.plans.staging_store`): no dedup, just
+    the amount test and the cleaning projection."""
     return latest.filter(F.col("amount_inr") > 0).select(
         "txn_id",
         F.col("amount_inr").cast("decimal(12,2)").alias("amount_inr"),
@@ -225,24 +231,27 @@ def new_fact_rows(raw: DataFrame, cutoff) -> DataFrame:
 
 
 def fact_incremental(spark: SparkSession, raw: DataFrame, fact_path: str,
-                     lookback: str = "INTERVAL 1 HOUR") -> str:
+                     lookback: str = "INTERVAL 1 HOUR", deduped: bool = False) -> str:
     """Build the fact on the first run, then keep it current by keyed upserts
     of rows newer than ``max(created_at) - lookback``. An empty target counts
     as a first run (``created_at > NULL`` would otherwise keep nothing).
 
     The cutoff is one value, computed first (a one-column aggregate of the
-    fact) and applied as a literal, so the raw scan pushes ``created_at >
-    cutoff`` into Parquet and skips row groups whose newest row is older —
-    raw is appended in load order, so an incremental run reads little of it.
+    fact) and applied as a literal, so the scan pushes ``created_at >
+    cutoff`` into Parquet and skips row groups whose newest row is older.
+    ``deduped=True`` means ``raw`` is already the latest-version table, so
+    staging is a filter and projection (see :func:`stg_from_latest`).
     """
     from paylake.operators.upsert import read_target, upsert
+    stage = stg_from_latest if deduped else stg_transactions
     target = read_target(spark, fact_path)
     cutoff = None
     if target is not None:
         cutoff = target.agg((F.max("created_at") - F.expr(lookback)).alias("c")).first()[0]
     if cutoff is None:
-        return upsert(spark, fact_from_raw(raw), fact_path)
-    return upsert(spark, new_fact_rows(raw, F.lit(cutoff)), fact_path)
+        return upsert(spark, fact_rows(int_enriched(stage(raw))), fact_path)
+    recent = raw.filter(F.col("created_at") > F.lit(cutoff))
+    return upsert(spark, fact_rows(int_enriched(stage(recent))), fact_path)
 
 
 def late_rows(raw: DataFrame, fact: DataFrame, cutoff) -> DataFrame:
@@ -265,13 +274,14 @@ def dim_location_from_fact(fact: DataFrame) -> DataFrame:
         "location_sk", "city", "state", "region", "tier", "is_metro", "population_bucket")
 
 
-def build_star(spark: SparkSession, raw: DataFrame, out_dir: str) -> dict[str, str]:
+def build_star(spark: SparkSession, raw: DataFrame, out_dir: str, deduped: bool = False) -> dict[str, str]:
     """Write the fact (incrementally if it exists) and the five dimensions as
-    Parquet tables under ``out_dir``; returns the table paths."""
+    Parquet tables under ``out_dir``; returns the table paths. ``deduped``:
+    ``raw`` is the maintained latest-version table."""
     root = out_dir.rstrip("/")
     paths = {n: f"{root}/{n}" for n in ["fact_transactions", "dim_date", "dim_location", "dim_merchant",
                                          "dim_upi_app", "dim_payment_type"]}
-    fact_incremental(spark, raw, paths["fact_transactions"])
+    fact_incremental(spark, raw, paths["fact_transactions"], deduped=deduped)
     fact = spark.read.parquet(paths["fact_transactions"])
     tables = {"dim_date": dim_date(spark), "dim_location": dim_location_from_fact(fact),
               "dim_merchant": dim_merchant(spark), "dim_upi_app": dim_upi_app(spark),

@@ -3,7 +3,8 @@
     python -m paylake.refresh --lake <lake root> --warehouse <folder> [--stream]
 
 Each step is a Spark job over the shared storage; reruns are incremental
-(only new lake files are loaded, the fact is upserted) and idempotent. Exits
+(only new lake files are loaded, only new raw files update the latest-version
+table, the fact is upserted) and idempotent. Exits
 with status 1 when any data test fails, like a failed test run.
 """
 
@@ -19,6 +20,7 @@ from pyspark.sql import SparkSession
 def run(spark: SparkSession, lake_root: str, warehouse: str, stream: bool = False,
         max_files_per_batch: int | None = None) -> dict:
     from paylake.plans import models, panels, quality
+    from paylake.plans.staging_store import maintain_latest, read_latest
     from paylake.session import configure
     from paylake.sources import ingest
 
@@ -33,12 +35,16 @@ def run(spark: SparkSession, lake_root: str, warehouse: str, stream: bool = Fals
         ingest.ingest_batch(spark, lake_root, raw_path, log_path)
     if not ingest.path_exists(spark, raw_path):
         return {"loaded": 0}
-    raw = spark.read.parquet(raw_path)
-    paths = models.build_star(spark, raw, f"{root}/marts")
+    # staging = latest version per id, maintained from the raw files appended
+    # since the last run (no full dedup of raw per refresh)
+    latest_path = f"{root}/staging/latest_versions"
+    maintain_latest(spark, raw_path, latest_path, f"{root}/_checkpoints/latest", limit)
+    latest = read_latest(spark, latest_path)
+    paths = models.build_star(spark, latest, f"{root}/marts", deduped=True)
     fact = spark.read.parquet(paths["fact_transactions"])
     dims = models.Dims(*(spark.read.parquet(paths[n]) for n in
                          ["dim_date", "dim_location", "dim_merchant", "dim_upi_app", "dim_payment_type"]))
-    report = quality.dq_report(models.stg_transactions(raw), fact, dims)
+    report = quality.dq_report(models.stg_from_latest(latest), fact, dims)
     report.write.mode("overwrite").parquet(f"{root}/tests/dq_report")
     report = spark.read.parquet(f"{root}/tests/dq_report")
     failed = [r.asDict() for r in report.filter("failures > 0").collect()]  # at most 46 rows
