@@ -267,10 +267,26 @@ def pending_files(spark, lake_root: str, log_path: str | None) -> DataFrame:
 
 
 def ingest_batch(spark, lake_root: str, raw_path: str, log_path: str,
-                 loaded_at: Column | None = None) -> None:
+                 loaded_at: Column | None = None,
+                 max_files_per_batch: int = DEFAULT_MAX_FILES_PER_BATCH) -> None:
     """One batch run of the loader: every file not yet loaded successfully
-    (failed files included, so a rerun retries them)."""
-    load_files(spark, pending_files(spark, lake_root, log_path), raw_path, log_path, loaded_at)
+    (failed files included, so a rerun retries them), in object-key order,
+    ``max_files_per_batch`` files per load. The pending keys are streamed to
+    the driver a partition at a time; at most one chunk of keys is held."""
+    pending = pending_files(spark, lake_root, log_path).orderBy("object_key")
+    chunk: list[str] = []
+    for row in pending.toLocalIterator():
+        chunk.append(row.object_key)
+        if len(chunk) >= max_files_per_batch:
+            _load_keys(spark, chunk, raw_path, log_path, loaded_at)
+            chunk = []
+    if chunk:
+        _load_keys(spark, chunk, raw_path, log_path, loaded_at)
+
+
+def _load_keys(spark, keys: list[str], raw_path: str, log_path: str, loaded_at: Column | None) -> None:
+    files = spark.createDataFrame([(k,) for k in keys], "object_key string")
+    load_files(spark, files, raw_path, log_path, loaded_at)
 
 
 def ingest_stream(spark, lake_root: str, raw_path: str, log_path: str, checkpoint: str,

@@ -144,3 +144,16 @@ def test_scan_foreign_lake(spark, tmp):
     }).to_parquet(f"{d}/batch_0000.parquet", index=False)
     rows = lake.scan_foreign_lake(spark, f"{tmp}/f").collect()
     assert [(r.city, r.created_at, r.txn_hour) for r in rows] == [("Navi Mumbai", dt.datetime(2024, 1, 1, 3), 3)]
+
+
+def test_batch_ingest_in_chunks_keeps_first_copy_by_key_order(spark, tmp):
+    root, raw, log = f"{tmp}/lake", f"{tmp}/raw", f"{tmp}/log"
+    # the same id in three folders; Agra < Delhi < Mumbai in key order
+    lake.write_lake(_lake_rows(spark, [dict(txn_id="X", city="Mumbai", amount_inr=3.0),
+                                       dict(txn_id="X", city="Agra", amount_inr=1.0),
+                                       dict(txn_id="X", city="Delhi", amount_inr=2.0),
+                                       dict(txn_id="Y", city="Delhi")]), root)
+    ingest.ingest_batch(spark, root, raw, log, max_files_per_batch=1)
+    got = {r.txn_id: float(r.amount_inr) for r in spark.read.parquet(raw).collect()}
+    assert got == {"X": 1.0, "Y": 10.0}
+    assert ingest.latest_log(ingest.read_log(spark, log)).filter("status = 'success'").count() == 3
