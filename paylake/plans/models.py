@@ -249,7 +249,10 @@ def fact_incremental(spark: SparkSession, raw: DataFrame, fact_path: str,
     if target is not None:
         cutoff = target.agg((F.max("created_at") - F.expr(lookback)).alias("c")).first()[0]
     if cutoff is None:
-        return upsert(spark, fact_rows(int_enriched(stage(raw))), fact_path)
+        # full build: the dedup shuffle reads all of raw; size it to raw
+        from paylake.session import sized_shuffle
+        with sized_shuffle(spark, raw):
+            return upsert(spark, fact_rows(int_enriched(stage(raw))), fact_path)
     recent = raw.filter(F.col("created_at") > F.lit(cutoff))
     return upsert(spark, fact_rows(int_enriched(stage(recent))), fact_path)
 

@@ -36,6 +36,7 @@ def merge_latest(spark: SparkSession, new_raw: DataFrame, latest_path: str) -> s
     staged = scratch_path(spark, "latest-batch")
     new_raw.filter(F.col("txn_id").isNotNull()).select(*schema.RAW_COLUMNS).write.parquet(staged)
     new = spark.read.parquet(staged)
+    from paylake.session import sized_shuffle
     target = read_target(spark, latest_path)
     candidates = new
     if target is not None:
@@ -43,7 +44,8 @@ def merge_latest(spark: SparkSession, new_raw: DataFrame, latest_path: str) -> s
         candidates = new.unionByName(existing)
     top = latest_per_key(candidates, "txn_id", latest_order())
     top = top.withColumn("txn_year", F.year("txn_date")).withColumn("txn_month", F.month("txn_date"))
-    return upsert(spark, top, latest_path, key="txn_id", parts=LATEST_PARTITIONS)
+    with sized_shuffle(spark, new):  # the dedup of the batch (all of raw on a first build)
+        return upsert(spark, top, latest_path, key="txn_id", parts=LATEST_PARTITIONS)
 
 
 def maintain_latest(spark: SparkSession, raw_path: str, latest_path: str, checkpoint: str,

@@ -85,3 +85,46 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.normpath(path) if path.startswith("/") else path
+
+
+# Shuffle input per partition when sizing a large shuffle, and the most
+# partitions one shuffle may start with (AQE coalesces from there).
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
+def estimated_bytes(df) -> int:
+    """Catalyst's size estimate of a DataFrame (metadata only: file sizes
+    scaled by the projected columns; no job runs)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def size_shuffle_for(spark: SparkSession, df) -> int:
+    """Raise the shuffle partition count so a shuffle of ``df`` puts about
+    ``TARGET_PARTITION_BYTES`` into each partition (spill-free reducers at any
+    scale); never lowers the session's setting. Returns the count in force."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = estimated_bytes(df)
+    if size >= 2 ** 62:  # no statistics (e.g. an in-memory relation): leave as is
+        return current
+    want = -(-size // TARGET_PARTITION_BYTES)
+    n = max(current, min(MAX_SHUFFLE_PARTITIONS, want))
+    if n != current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
+
+
+class sized_shuffle:  # noqa: N801 - used as a context manager
+    """``with sized_shuffle(spark, df): ...`` — :func:`size_shuffle_for`
+    for the block only; the session's previous setting is restored after."""
+
+    def __init__(self, spark: SparkSession, df):
+        self.spark, self.df = spark, df
+
+    def __enter__(self):
+        self.before = self.spark.conf.get("spark.sql.shuffle.partitions")
+        return size_shuffle_for(self.spark, self.df)
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.shuffle.partitions", self.before)
+        return False

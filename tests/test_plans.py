@@ -63,3 +63,29 @@ def test_incremental_cutoff_reaches_the_raw_scan(spark, tmp):
     df = models.new_fact_rows(raw, F.lit(dt.datetime(2024, 6, 1)))
     scans = [ln for ln in _plan(df).splitlines() if "FileScan parquet" in ln]
     assert any("PushedFilters" in ln and "GreaterThan(created_at" in ln for ln in scans), scans
+
+
+def test_shuffle_is_sized_to_the_input(spark, monkeypatch, tmp):
+    import paylake.session as S
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        adapter.raw_rows(spark, SF).write.parquet(f"{tmp}/raw")
+        raw = spark.read.parquet(f"{tmp}/raw")
+        assert 0 < S.estimated_bytes(raw) < 2 ** 62            # file statistics are known
+        assert S.size_shuffle_for(spark, raw) == int(before)   # small input: never lowered
+        unknown = spark.createDataFrame([(1,)], "x int")
+        assert S.size_shuffle_for(spark, unknown) == int(before)
+        monkeypatch.setattr(S, "estimated_bytes", lambda df: 1000 * S.TARGET_PARTITION_BYTES)
+        assert S.size_shuffle_for(spark, raw) == max(int(before), 1000)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(max(int(before), 1000))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_sized_shuffle_restores_the_setting(spark, monkeypatch):
+    import paylake.session as S
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(S, "estimated_bytes", lambda df: 5000 * S.TARGET_PARTITION_BYTES)
+    with S.sized_shuffle(spark, spark.range(1)) as n:
+        assert n == max(int(before), 5000)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
