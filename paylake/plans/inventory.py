@@ -16,7 +16,7 @@ from paylake.functions.numeric import percent
 from paylake.functions.text import lake_city_key, lower_trim, upper_trim
 from paylake.operators.joins import bounded
 from paylake.plans.models import DIM_DATE_ROWS, latest_order
-from paylake.plans.registry import Inputs
+from paylake.plans.inputs import Inputs
 from paylake.sources import fixed, ingest, relations
 
 LOC_BOUND = len(fixed.CITY_MAPPING)
@@ -40,6 +40,7 @@ def _usage(dim: DataFrame, key: str, fact: DataFrame, bound: int) -> DataFrame:
 
 # ---- projections / predicates ------------------------------------------------
 def fn_trim_case(i: Inputs) -> DataFrame:
+    """Distinct raw city/category/status values with their trimmed, re-cased forms."""
     return i.raw.select(
         F.col("city").alias("raw_city"), upper_trim("city").alias("city"),
         F.col("merchant_category").alias("raw_category"), lower_trim("merchant_category").alias("merchant_category"),
@@ -67,41 +68,50 @@ def stg_filter_valid(i: Inputs) -> DataFrame:
 
 
 def success_flags(i: Inputs) -> DataFrame:
+    """Enriched rows by status and its two success flags."""
     return i.enr.groupBy("status", "is_success", "is_success_int").agg(_n().alias("rows"))
 
 
 def time_of_day_bucket(i: Inputs) -> DataFrame:
+    """Enriched rows by hour and time-of-day bucket."""
     return i.enr.groupBy("txn_hour", "time_of_day").agg(_n().alias("rows"))
 
 
 def amount_bucket(i: Inputs) -> DataFrame:
+    """Enriched rows by amount bucket, with the bucket's smallest and largest amount."""
     return i.enr.groupBy("amount_bucket").agg(_n().alias("rows"), F.min("amount_inr").alias("min_amount"),
                                               F.max("amount_inr").alias("max_amount"))
 
 
 def txn_year_month(i: Inputs) -> DataFrame:
+    """Enriched rows by year and month of the transaction date."""
     return i.enr.groupBy("txn_year", "txn_month").agg(_n().alias("rows"))
 
 
 def txn_day_name(i: Inputs) -> DataFrame:
+    """Enriched rows by blank-padded weekday name."""
     return i.enr.groupBy("day_name").agg(_n().alias("rows"))
 
 
 def season(i: Inputs) -> DataFrame:
+    """Fact rows by the calendar's season of their day."""
     return _fact_date(i).groupBy("season").agg(_n().alias("rows"))
 
 
 def fiscal_quarter(i: Inputs) -> DataFrame:
+    """Fact rows by the calendar's fiscal quarter of their day."""
     return _fact_date(i).groupBy("fiscal_quarter").agg(_n().alias("rows"))
 
 
 def population_bucket(i: Inputs) -> DataFrame:
+    """Fact rows by city tier and population bucket."""
     loc = i.dims.location.select("location_sk", "tier", "population_bucket")
     return (i.fact.select("location_sk").join(bounded(loc, LOC_BOUND), "location_sk")
             .groupBy("tier", "population_bucket").agg(_n().alias("rows")))
 
 
 def filter_boolean(i: Inputs) -> DataFrame:
+    """Fact rows passing each boolean filter: successful, festival, not festival."""
     f = i.fact
     return (f.filter(F.col("is_success")).agg(_n().alias("n")).select(F.lit("is_success").alias("predicate"), "n")
             .unionByName(f.filter(F.col("is_festival")).agg(_n().alias("n"))
@@ -111,10 +121,12 @@ def filter_boolean(i: Inputs) -> DataFrame:
 
 
 def day_type_label(i: Inputs) -> DataFrame:
+    """Fact rows by Weekend/Weekday label."""
     return i.fact.groupBy(buckets.day_type_label("is_weekend").alias("day_type")).agg(_n().alias("rows"))
 
 
 def festival_flag_coalesce(i: Inputs) -> DataFrame:
+    """Fact rows by the calendar's festival flag and name."""
     return _fact_date(i).groupBy("is_festival_day", "festival_name").agg(_n().alias("rows"))
 
 
@@ -126,32 +138,38 @@ def safe_ratio(i: Inputs) -> DataFrame:
 
 
 def date_flags(i: Inputs) -> DataFrame:
+    """Per lake date: weekend flag and source festival flag recomputed from the date, rows."""
     return (i.lake.groupBy("txn_date").agg(_n().alias("rows"))
             .select("txn_date", calendar.is_weekend_day("txn_date").alias("is_weekend"),
                     calendar.is_source_festival("txn_date").alias("is_festival"), "rows"))
 
 
 def calendar_weekend_flag(i: Inputs) -> DataFrame:
+    """Fact rows by the calendar's day-of-week number and weekend flag."""
     return _fact_date(i).groupBy("day_of_week_num", "is_weekend").agg(_n().alias("rows"))
 
 
 def lake_city_key_q(i: Inputs) -> DataFrame:
+    """Distinct lake cities with their folder key."""
     return i.lake.select("city", lake_city_key("city").alias("city_part")).distinct()
 
 
 # ---- joins --------------------------------------------------------------------
 def star_left_joins(i: Inputs) -> DataFrame:
+    """Fact rows, and rows left without each of the five dimension keys."""
     c = {k: F.count_if(F.col(k).isNull()).alias(f"no_{k}")
          for k in ["location_sk", "date_sk", "merchant_sk", "upi_app_sk", "payment_type_sk"]}
     return i.fact.agg(_n().alias("rows"), *c.values())
 
 
 def date_festival_left(i: Inputs) -> DataFrame:
+    """Calendar festival days with the fact rows on each (days without rows kept)."""
     fest = i.dims.date.filter(F.col("is_festival_day")).select("date_sk", "date_day", "festival_name")
     return _usage(fest, "date_sk", i.fact.select("date_sk"), DIM_DATE_ROWS).drop("date_sk")
 
 
 def fact_dim_inner(i: Inputs) -> DataFrame:
+    """Fact rows that survive an inner join with each dimension."""
     keys = [("location_sk", i.dims.location, LOC_BOUND), ("date_sk", i.dims.date, DIM_DATE_ROWS),
             ("merchant_sk", i.dims.merchant, 15), ("upi_app_sk", i.dims.upi_app, 5),
             ("payment_type_sk", i.dims.payment_type, 4)]
@@ -166,43 +184,52 @@ def fact_dim_inner(i: Inputs) -> DataFrame:
 
 
 def enrich_state_lookup(i: Inputs) -> DataFrame:
+    """Distinct (city, state) pairs of the raw table after the state lookup."""
     return i.raw.select("city", "state").distinct()
 
 
 def clean_on_load(i: Inputs) -> DataFrame:
+    """Lake rows after the load-time cleaning (NaN to NULL, casts)."""
     return ingest.clean_on_load(i.lake)
 
 
 # ---- aggregates / windows -------------------------------------------------------
 def agg_max_scalar(i: Inputs) -> DataFrame:
+    """The lookback cutoff: max(created_at) of the fact minus one hour."""
     return i.fact.agg((F.max("created_at") - F.expr("INTERVAL 1 HOUR")).alias("cutoff"))
 
 
 def agg_distinct_rows(i: Inputs) -> DataFrame:
+    """Distinct staged cities."""
     return i.stg.select("city").distinct()
 
 
 def agg_dup_keys(i: Inputs) -> DataFrame:
+    """Raw txn_ids occurring more than once, with their count."""
     return (i.raw.filter(F.col("txn_id").isNotNull()).groupBy("txn_id").agg(_n().alias("n"))
             .filter(F.col("n") > 1))
 
 
 def dedup_latest(i: Inputs) -> DataFrame:
+    """Latest version of each raw txn_id, before the amount filter."""
     from paylake.operators.dedup import latest_per_key
     return latest_per_key(i.raw, "txn_id", latest_order())
 
 
 # ---- scalar functions -------------------------------------------------------------
 def fn_extract(i: Inputs) -> DataFrame:
+    """Fact rows by the calendar's year, quarter, month, ISO week and day of year."""
     return _fact_date(i).groupBy("year", "quarter", "month_num", "week_of_year", "day_of_year").agg(_n().alias("rows"))
 
 
 def fn_date_key(i: Inputs) -> DataFrame:
+    """Per transaction date: its integer YYYYMMDD key and rows."""
     return i.enr.groupBy("txn_date").agg(_n().alias("rows")).select(
         "txn_date", calendar.date_key("txn_date").alias("date_key"), "rows")
 
 
 def fn_date_names(i: Inputs) -> DataFrame:
+    """Enriched rows by padded/short month and weekday names."""
     d = F.col("txn_date")
     return i.enr.groupBy(calendar.month_name(d).alias("month_name"), calendar.month_short(d).alias("month_short"),
                          calendar.day_name(d).alias("day_name"), calendar.day_short(d).alias("day_short")
@@ -210,16 +237,19 @@ def fn_date_names(i: Inputs) -> DataFrame:
 
 
 def fn_month_end(i: Inputs) -> DataFrame:
+    """Enriched rows by month-start and month-end flags of their date."""
     d = F.col("txn_date")
     return i.enr.groupBy(calendar.is_month_start(d).alias("is_month_start"),
                          calendar.is_month_end(d).alias("is_month_end")).agg(_n().alias("rows"))
 
 
 def fn_surrogate_key(i: Inputs) -> DataFrame:
+    """Distinct staged cities with their MD5 surrogate key."""
     return i.stg.select("city").distinct().select("city", surrogate_key("city").alias("city_key"))
 
 
 def fn_null_handling(i: Inputs) -> DataFrame:
+    """Staged rows by status and failure reason (NULL shown as '(none)')."""
     return i.stg.groupBy("status", F.coalesce(F.col("failure_reason"), F.lit("(none)")).alias("reason")).agg(
         _n().alias("rows"), F.count_if(F.col("failure_reason").isNull()).alias("null_reasons"))
 
@@ -261,18 +291,22 @@ def src_values_dims(i: Inputs) -> DataFrame:
 
 
 def model_dim_date(i: Inputs) -> DataFrame:
+    """The calendar dimension (731 days) with the fact rows on each day."""
     return _usage(i.dims.date, "date_sk", i.fact.select("date_sk"), DIM_DATE_ROWS)
 
 
 def model_dim_merchant(i: Inputs) -> DataFrame:
+    """The merchant dimension with the fact rows of each category."""
     return _usage(i.dims.merchant, "merchant_sk", i.fact.select("merchant_sk"), 15)
 
 
 def model_dim_upi_app(i: Inputs) -> DataFrame:
+    """The app dimension with the fact rows of each app."""
     return _usage(i.dims.upi_app, "upi_app_sk", i.fact.select("upi_app_sk"), 5)
 
 
 def model_dim_payment_type(i: Inputs) -> DataFrame:
+    """The payment-type dimension with the fact rows of each type."""
     return _usage(i.dims.payment_type, "payment_type_sk", i.fact.select("payment_type_sk"), 4)
 
 

@@ -24,18 +24,22 @@ LOCATION_BOUND = len(fixed.CITY_MAPPING)
 
 
 def total_txns(fact: DataFrame) -> DataFrame:
+    """Count of fact rows."""
     return fact.agg(F.count(F.lit(1)).alias("value"))
 
 
 def total_value(fact: DataFrame) -> DataFrame:
+    """Sum of amounts (decimal)."""
     return fact.agg(money_sum("amount_inr").alias("value"))
 
 
 def success_rate(fact: DataFrame) -> DataFrame:
+    """Percentage of successful rows, 2 decimals, half-up."""
     return fact.agg(percent(F.sum("is_success_int"), F.count(F.lit(1)), 2).alias("value"))
 
 
 def avg_success_value(fact: DataFrame) -> DataFrame:
+    """Average amount of successful rows, 2 decimals."""
     return fact.filter(F.col("is_success")).agg(rounded_avg("amount_inr").alias("value"))
 
 
@@ -56,6 +60,7 @@ def monthly_volume(fact: DataFrame, dims: Dims) -> DataFrame:
 
 
 def hourly_volume(fact: DataFrame) -> DataFrame:
+    """Rows per stored (UTC) hour of day."""
     return (fact.groupBy(F.col("txn_hour").alias("hour"))
             .agg(F.count(F.lit(1)).alias("transactions")).orderBy("hour"))
 
@@ -83,6 +88,7 @@ def top_cities(fact: DataFrame, dims: Dims, k: int = 10) -> DataFrame:
 
 
 def merchant_split(fact: DataFrame, dims: Dims) -> DataFrame:
+    """Rows and amount in millions per merchant category, by rows."""
     j = _by_dim(fact, dims.merchant, "merchant_sk", "category_name", "category",
                 relations.ROW_BOUND["merchant_categories"], ["amount_inr"])
     g = j.groupBy("category").agg(F.sum("n").alias("transactions"),
@@ -91,12 +97,14 @@ def merchant_split(fact: DataFrame, dims: Dims) -> DataFrame:
 
 
 def app_share(fact: DataFrame, dims: Dims) -> DataFrame:
+    """Rows and share of all rows (1 decimal) per app."""
     j = _by_dim(fact, dims.upi_app, "upi_app_sk", "app_name", "app", relations.ROW_BOUND["upi_apps"])
     g = j.groupBy("app").agg(F.sum("n").alias("transactions"))
     return with_share(g, "transactions", "share_pct").orderBy(F.col("transactions").desc(), F.col("app"))
 
 
 def success_by_tier(fact: DataFrame, dims: Dims) -> DataFrame:
+    """Success rate per city tier."""
     j = _by_dim(fact, dims.location, "location_sk", "tier", "tier", LOCATION_BOUND, ["is_success_int"])
     return (j.groupBy("tier")
             .agg(percent(F.sum("sum_is_success_int"), F.sum("n"), 2).alias("success_rate_pct"))
@@ -104,6 +112,7 @@ def success_by_tier(fact: DataFrame, dims: Dims) -> DataFrame:
 
 
 def payment_type_share(fact: DataFrame, dims: Dims) -> DataFrame:
+    """Rows and share of all rows per payment type."""
     j = _by_dim(fact, dims.payment_type, "payment_type_sk", "type_name", "payment_type",
                 relations.ROW_BOUND["payment_types"])
     g = j.groupBy("payment_type").agg(F.sum("n").alias("transactions"))
@@ -136,12 +145,14 @@ def festival_vs_normal(fact: DataFrame) -> DataFrame:
 
 
 def amount_buckets(fact: DataFrame) -> DataFrame:
+    """Rows per amount bucket, ordered by the bucket's smallest amount."""
     g = fact.groupBy("amount_bucket").agg(F.count(F.lit(1)).alias("transactions"),
                                           F.min("amount_inr").alias("__min"))
     return g.orderBy("__min").select("amount_bucket", "transactions")
 
 
 def region_volume(fact: DataFrame, dims: Dims) -> DataFrame:
+    """Rows and amount in millions per region, by rows."""
     j = _by_dim(fact, dims.location, "location_sk", "region", "region", LOCATION_BOUND, ["amount_inr"])
     g = j.groupBy("region").agg(F.sum("n").alias("transactions"),
                                 scaled_millions("sum_amount_inr").alias("amount_m_inr"))
@@ -149,6 +160,7 @@ def region_volume(fact: DataFrame, dims: Dims) -> DataFrame:
 
 
 def device_share(fact: DataFrame) -> DataFrame:
+    """Rows and share of all rows per device type."""
     g = fact.groupBy(F.col("device_type").alias("device")).agg(F.count(F.lit(1)).alias("transactions"))
     return with_share(g, "transactions", "share_pct").orderBy(F.col("transactions").desc(),
                                                                F.col("device"))

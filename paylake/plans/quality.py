@@ -143,6 +143,7 @@ def _only(report: DataFrame, check: str) -> DataFrame:
 
 
 def dq_unique(stg, fact, dims) -> DataFrame:
+    """The eleven unique tests (staging, fact, dimensions)."""
     return (unique_failures(stg, "stg_transactions", "txn_id")
             .unionByName(unique_failures(fact, "fact_transactions", "txn_sk"))
             .unionByName(unique_failures(fact, "fact_transactions", "txn_id"))
@@ -150,18 +151,21 @@ def dq_unique(stg, fact, dims) -> DataFrame:
 
 
 def dq_not_null(stg, fact, dims) -> DataFrame:
+    """The twenty-three not-null tests."""
     return (profile(stg, "stg_transactions", STG_NOT_NULL)
             .unionByName(profile(fact, "fact_transactions", FACT_NOT_NULL))
             .unionByName(_only(dim_checks(dims), "not_null")))
 
 
 def dq_accepted_values(stg, fact, dims) -> DataFrame:
+    """The five accepted-values tests."""
     return (profile(stg, "stg_transactions", [], STG_ACCEPTED)
             .unionByName(profile(fact, "fact_transactions", [], {"status": fixed.STATUSES}))
             .unionByName(profile(dims.location, "dim_location", [], {"tier": fixed.TIERS})))
 
 
 def dq_relationships(fact: DataFrame, dims: Dims) -> DataFrame:
+    """The five fact-to-dimension relationship tests."""
     return _only(fact_checks(fact, dims), "relationships")
 
 

@@ -57,18 +57,22 @@ def shared_lake(spark: SparkSession, sf_dir: str) -> str:
 
 
 def scan_lake(spark, sf_dir) -> DataFrame:
+    """Every Parquet file of a staged lake, read recursively with the lake-file schema."""
     return lake.scan_lake(spark, shared_lake(spark, sf_dir))
 
 
 def sink_lake_partitioned(spark, sf_dir) -> DataFrame:
+    """Write the lake under year=/month=/city_part= folders, read it back with its folder columns."""
     return lake.scan_partitioned(spark, staged_lake(spark, sf_dir))
 
 
 def scan_partition_pruned(spark, sf_dir) -> DataFrame:
+    """Rows of the January folders of Mumbai only, selected by partition filters."""
     return lake.scan_pruned(spark, shared_lake(spark, sf_dir), month="01", city="Mumbai")
 
 
 def sink_max_rows_per_file(spark, sf_dir) -> DataFrame:
+    """Write with a cap of rows per file; per folder: files, largest file, rows."""
     root = staged_lake(spark, sf_dir, MAX_ROWS_PER_FILE)
     files = lake.rows_per_file(spark, root)
     return files.groupBy(*lake.PARTITION_COLUMNS).agg(
@@ -76,6 +80,7 @@ def sink_max_rows_per_file(spark, sf_dir) -> DataFrame:
 
 
 def ordered_file_listing(spark, sf_dir) -> DataFrame:
+    """The lake's file keys, sorted."""
     return lake.file_listing(spark, shared_lake(spark, sf_dir)).select("object_key").orderBy("object_key")
 
 
@@ -92,16 +97,19 @@ def _ingested(spark, sf_dir, runs: int = 2, stream: bool = False):
 
 
 def ingest_incremental_files(spark, sf_dir) -> DataFrame:
+    """Batch-ingest a staged lake into a raw table twice (the second run loads nothing new)."""
     _, raw_path, _ = _ingested(spark, sf_dir)
     return spark.read.schema(schema.RAW_SCHEMA).parquet(raw_path)
 
 
 def stream_ingest(spark, sf_dir) -> DataFrame:
+    """Streaming (availableNow) ingest of a staged lake, run twice; the raw table."""
     _, raw_path, _ = _ingested(spark, sf_dir, stream=True)
     return spark.read.schema(schema.RAW_SCHEMA).parquet(raw_path)
 
 
 def load_log_upsert(spark, sf_dir) -> DataFrame:
+    """The load log after two ingest runs, newest attempt per file, by folder."""
     _, _, log_path = _ingested(spark, sf_dir)
     latest = ingest.latest_log(ingest.read_log(spark, log_path))
     return latest.select(*folder_of(), "row_count", "status")
@@ -167,6 +175,7 @@ def anti_loaded_keys(spark, sf_dir) -> DataFrame:
 
 
 def materialize_table(spark, sf_dir) -> DataFrame:
+    """dim_location written as a full-rebuild table and read back."""
     from paylake.plans.registry import Inputs
     path = scratch_path(spark, "dim_location")
     Inputs(spark, sf_dir).dims.location.write.mode("overwrite").parquet(path)
@@ -188,6 +197,7 @@ def _two_runs(spark, sf_dir, second_model=None):
 
 
 def fact_incremental_upsert(spark, sf_dir) -> DataFrame:
+    """First fact build on early rows, then an incremental upsert over all raw rows."""
     _, path, _ = _two_runs(spark, sf_dir)
     return spark.read.parquet(path).select(*schema.FACT_COLUMNS)
 
@@ -201,11 +211,13 @@ def _model_v2(raw, cutoff):
 
 
 def sync_all_columns(spark, sf_dir) -> DataFrame:
+    """Incremental upsert with a changed model (time_of_day dropped, day_name added)."""
     _, path, _ = _two_runs(spark, sf_dir, _model_v2)
     return spark.read.parquet(path).select("txn_sk", "day_name", "txn_year", "txn_month", "amount_inr")
 
 
 def late_rows_audit(spark, sf_dir) -> DataFrame:
+    """Staged rows at or before the lookback cutoff that the upserted fact lacks."""
     raw = adapter.raw_rows(spark, sf_dir)
     path = scratch_path(spark, "fact")
     models.fact_incremental(spark, first_run_rows(raw), path)
@@ -217,6 +229,7 @@ def late_rows_audit(spark, sf_dir) -> DataFrame:
 
 
 def stream_dedup_1h(spark, sf_dir) -> DataFrame:
+    """Raw rows streamed through a one-hour watermark dedup on txn_id; the ids kept."""
     from paylake.streaming.jobs import stream_dedup
     raw_dir, out = scratch_path(spark, "raw"), scratch_path(spark, "dedup")
     adapter.raw_rows(spark, sf_dir).write.parquet(raw_dir)
@@ -225,6 +238,7 @@ def stream_dedup_1h(spark, sf_dir) -> DataFrame:
 
 
 def stream_fact_upsert(spark, sf_dir) -> DataFrame:
+    """Lake files streamed into raw and on into the fact in one streaming query; the fact."""
     from paylake.streaming.jobs import stream_fact
     root = shared_lake(spark, sf_dir)
     raw_path, log_path = scratch_path(spark, "raw"), scratch_path(spark, "load-log")
