@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -26,8 +25,8 @@ def main() -> None:
                .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
                .config("spark.sql.shuffle.partitions", str(max(cpus, 8)))
                .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false"))
-    if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
-        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="paylake-bench-"))
+    # the shared folder comes from the session's spark.checkpoint.dir;
+    # configure() creates a local one only when the session has none
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
 

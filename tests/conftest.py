@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -18,10 +17,9 @@ def spark():
     s = (SparkSession.builder.master("local[*]").appName("paylake-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="paylake-test-ckpt-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    configure(s)
+    configure(s)  # uses the session's spark.checkpoint.dir; makes a local one only if unset
     yield s
     s.stop()
 
