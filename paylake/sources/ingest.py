@@ -63,6 +63,14 @@ def path_exists(spark, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+class Unprobed(Exception):
+    """The file's scheme cannot be opened from Python (left to Spark's reader)."""
+
+
+# Hadoop's S3 schemes as pyarrow names them
+_ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 def _footer(path: str):
     """Parquet footer of a file (reads the file tail only)."""
     import pyarrow.parquet as pq
@@ -71,7 +79,12 @@ def _footer(path: str):
     from paylake.session import local_path
     if path.startswith("file:") or path.startswith("/"):
         return pq.read_metadata(local_path(path))
-    filesystem, inner = fs.FileSystem.from_uri(path)
+    scheme, sep, rest = path.partition("://")
+    uri = f"{_ARROW_SCHEMES.get(scheme, scheme)}{sep}{rest}"
+    try:
+        filesystem, inner = fs.FileSystem.from_uri(uri)
+    except Exception as e:  # noqa: BLE001 - e.g. a scheme pyarrow has no driver for
+        raise Unprobed(str(e)) from e
     with filesystem.open_input_file(inner) as f:
         return pq.ParquetFile(f).metadata
 
@@ -108,6 +121,12 @@ def probe_files(files: DataFrame) -> DataFrame:
                     rows.append(md.num_rows)
                     units.append(_time_unit(md))
                     errors.append(None)
+                except Unprobed:
+                    # no Python access to this store: Spark's reader decides
+                    # (a broken file then fails the batch loudly, not silently)
+                    rows.append(None)
+                    units.append(None)
+                    errors.append(None)
                 except Exception as e:  # noqa: BLE001 - any unreadable file is a failed load
                     rows.append(None)
                     units.append(None)

@@ -169,3 +169,17 @@ def test_replayed_batch_changes_nothing(spark, tmp):
     ingest.load_files(spark, files, raw, log)  # the replay
     assert sorted(map(tuple, spark.read.parquet(raw).collect())) == first
     assert ingest.latest_log(ingest.read_log(spark, log)).filter("status = 'success'").count() == 2
+
+
+def test_footer_probe_schemes(monkeypatch):
+    import pytest
+    from pyarrow import fs
+    seen = []
+
+    def fake_from_uri(uri):
+        seen.append(uri)
+        raise ValueError("Unrecognized filesystem type")
+    monkeypatch.setattr(fs.FileSystem, "from_uri", staticmethod(fake_from_uri))
+    with pytest.raises(ingest.Unprobed):
+        ingest._footer("s3a://bucket/lake/year=2024/x.parquet")
+    assert seen == ["s3://bucket/lake/year=2024/x.parquet"]
