@@ -71,6 +71,12 @@ class Unprobed(Exception):
 _ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
+def _arrow_uri(path: str) -> str:
+    """A Hadoop-style URI in the form pyarrow's file systems expect."""
+    scheme, sep, rest = path.partition("://")
+    return f"{_ARROW_SCHEMES.get(scheme, scheme)}{sep}{rest}"
+
+
 def _footer(path: str):
     """Parquet footer of a file (reads the file tail only)."""
     import pyarrow.parquet as pq
@@ -79,10 +85,8 @@ def _footer(path: str):
     from paylake.session import local_path
     if path.startswith("file:") or path.startswith("/"):
         return pq.read_metadata(local_path(path))
-    scheme, sep, rest = path.partition("://")
-    uri = f"{_ARROW_SCHEMES.get(scheme, scheme)}{sep}{rest}"
     try:
-        filesystem, inner = fs.FileSystem.from_uri(uri)
+        filesystem, inner = fs.FileSystem.from_uri(_arrow_uri(path))
     except Exception as e:  # noqa: BLE001 - e.g. a scheme pyarrow has no driver for
         raise Unprobed(str(e)) from e
     with filesystem.open_input_file(inner) as f:
