@@ -57,3 +57,24 @@ def test_hot_city_folder_is_split_across_writers(spark, tmp):
     files = [f for f in os.listdir(hot) if f.endswith(".parquet")]
     assert len(files) > 1
     assert lake.scan_lake(spark, root).filter("city = 'Mumbai'").count() == n // 3
+
+
+def test_hot_month_of_the_fact_is_split_across_writers(spark, tmp):
+    from paylake.operators.upsert import upsert
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        n = 30000
+        rows = spark.range(n).select(
+            F.md5(F.col("id").cast("string")).alias("txn_sk"),
+            (F.col("id") % 1000).cast("decimal(12,2)").alias("amount_inr"),
+            F.lit(2024).alias("txn_year"),
+            F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise((F.col("id") % 11 + 2).cast("int")).alias("txn_month"),
+        )
+        path = f"{tmp}/fact"
+        assert upsert(spark, rows, path) == "full"
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot = f"{path}/txn_year=2024/txn_month=1"
+    assert len([f for f in os.listdir(hot) if f.endswith(".parquet")]) > 1
+    assert spark.read.parquet(path).count() == n
