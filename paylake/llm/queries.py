@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import line_dedup, mixing, quality, secret_scan
+from paylake.llm import decontaminate, line_dedup, mixing, quality, secret_scan, simhash
 from paylake.llm.common import read_table
 
 
@@ -22,8 +22,10 @@ def _over(fn, *tables: str):
 
 QUERIES = {
     "op2_secret_scan": _over(secret_scan.op2_secret_scan, "documents"),
+    "op3_simhash": _over(simhash.op3_simhash, "documents"),
     "op4_quality_rules": _over(quality.op4_quality_rules, "documents"),
     "op6_mix_sources": _over(mixing.op6_mix_sources, "documents"),
+    "op8_decontaminate": _over(decontaminate.op8_decontaminate, "documents", "benchmark"),
     "op9_line_dedup": _over(line_dedup.op9_line_dedup, "documents"),
 }
 
@@ -103,4 +105,28 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-ORACLE_SQL = {"op4_quality_rules": OP4_SQL, "op9_line_dedup": OP9_SQL}
+OP8_SQL = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iwin AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS k
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM iw WHERE len(w) > 0)),
+dwin AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS k
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM dw JOIN (SELECT DISTINCT n FROM iwin) ON len(w) >= n)),
+hit AS (SELECT doc_id, i, n, item_id FROM dwin JOIN iwin USING (k, n)),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+names AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS names
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN names USING (doc_id)
+"""
+
+ORACLE_SQL = {"op8_decontaminate": OP8_SQL, "op4_quality_rules": OP4_SQL, "op9_line_dedup": OP9_SQL}
