@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import decontaminate, line_dedup, mixing, quality, secret_scan, simhash
+from paylake.llm import decontaminate, line_dedup, mixing, quality, secret_scan, simhash, token_files
 from paylake.llm.common import read_table
 
 
@@ -24,6 +24,7 @@ QUERIES = {
     "op2_secret_scan": _over(secret_scan.op2_secret_scan, "documents"),
     "op3_simhash": _over(simhash.op3_simhash, "documents"),
     "op4_quality_rules": _over(quality.op4_quality_rules, "documents"),
+    "op5_token_output": _over(token_files.op5_token_output, "documents"),
     "op6_mix_sources": _over(mixing.op6_mix_sources, "documents"),
     "op8_decontaminate": _over(decontaminate.op8_decontaminate, "documents", "benchmark"),
     "op9_line_dedup": _over(line_dedup.op9_line_dedup, "documents"),
