@@ -205,22 +205,28 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, hits: str | None = Non
         F.col(parts)[0]["n_words"].alias("n_words"), merged.alias("spans"), items.alias("items"))).drop(parts)
 
 
+def _cleaner(items):
+    state = []
+
+    @F.arrow_udf(T.StringType())
+    def run(batch: pa.Array) -> pa.Array:
+        if not state:
+            state.append(Phrases(items))
+        texts = batch.to_pylist()
+        clean = cleaned([t or "" for t in texts], state[0])
+        return pa.array([None if t is None else c for t, c in zip(texts, clean)], pa.string())
+    return run
+
+
 def remove_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with every occurrence of a phrase cut out of ``text`` (and
-    ``n_chars`` set anew where a text changed); other rows stay as they are."""
+    ``n_chars`` set anew where a text changed); other rows stay as they are.
+    Words that a cut brings together are searched again for the same block's
+    phrases, not for those of an earlier block."""
     was = fresh(docs, "llm_text")
     out = docs.withColumn(was, F.col("text"))
     for items in item_blocks(benchmark):
-        state = []
-
-        @F.arrow_udf(T.StringType())
-        def run(batch: pa.Array, items=items, state=state) -> pa.Array:
-            if not state:
-                state.append(Phrases(items))
-            texts = batch.to_pylist()
-            return pa.array([None if t is None else c for t, c in
-                             zip(texts, cleaned([t or "" for t in texts], state[0]))], pa.string())
-        out = out.withColumn("text", run(F.col("text")))
+        out = out.withColumn("text", _cleaner(items)(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("text") == F.col(was), F.col("n_chars"))
                              .otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))

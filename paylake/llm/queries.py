@@ -8,7 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import decontaminate, line_dedup, mixing, quality, secret_scan, simhash, token_files
+from paylake.llm import (
+    decontaminate,
+    language_id,
+    line_dedup,
+    mixing,
+    quality,
+    secret_scan,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    token_files,
+)
 from paylake.llm.common import read_table
 
 
@@ -21,13 +32,16 @@ def _over(fn, *tables: str):
 
 
 QUERIES = {
+    "op1_suffix_dedup": _over(suffix_dedup.op1_suffix_dedup, "documents"),
     "op2_secret_scan": _over(secret_scan.op2_secret_scan, "documents"),
     "op3_simhash": _over(simhash.op3_simhash, "documents"),
     "op4_quality_rules": _over(quality.op4_quality_rules, "documents"),
     "op5_token_output": _over(token_files.op5_token_output, "documents"),
     "op6_mix_sources": _over(mixing.op6_mix_sources, "documents"),
+    "op7_language_id": _over(language_id.op7_language_id, "pages", "documents"),
     "op8_decontaminate": _over(decontaminate.op8_decontaminate, "documents", "benchmark"),
     "op9_line_dedup": _over(line_dedup.op9_line_dedup, "documents"),
+    "op10_token_counts": _over(token_counts.op10_token_counts, "documents"),
 }
 
 _SPACES = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
@@ -130,4 +144,24 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN names USING (doc_id)
 """
 
-ORACLE_SQL = {"op8_decontaminate": OP8_SQL, "op4_quality_rules": OP4_SQL, "op9_line_dedup": OP9_SQL}
+OP1_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM docs WHERE len(w) >= 50)),
+ids AS (
+  SELECT h, doc_id, lag(doc_id) OVER o AS prev, lead(doc_id) OVER o AS next
+  FROM (SELECT DISTINCT h, doc_id FROM win) WINDOW o AS (PARTITION BY h ORDER BY doc_id)),
+hit AS (
+  SELECT win.doc_id, i, coalesce(prev, next) AS other FROM win JOIN ids USING (h, doc_id)
+  WHERE prev IS NOT NULL OR next IS NOT NULL),
+gap AS (
+  SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS fresh FROM hit),
+grp AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM gap)
+SELECT doc_id, min(i) - 1 AS start, max(i) + 49 AS "end", max(i) + 50 - min(i) AS n_words, min(other) AS other_doc_id
+FROM grp GROUP BY doc_id, g
+"""
+
+ORACLE_SQL = {"op1_suffix_dedup": OP1_SQL, "op8_decontaminate": OP8_SQL, "op4_quality_rules": OP4_SQL, "op9_line_dedup": OP9_SQL}
