@@ -33,13 +33,3 @@ def lookup_left(df: DataFrame, small: DataFrame, row_bound: int | None, left_key
     right = small.select(F.col(right_key).alias("__lk"), *columns)
     out = df.join(bounded(right, row_bound), df[left_key] == right["__lk"], "left")
     return out.drop("__lk")
-
-
-def anti_orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str,
-                 parent_bound: int | None = None) -> DataFrame:
-    """Child rows whose non-NULL ``key`` has no parent row (relationships test)."""
-    parents = parent.select(F.col(parent_key).alias("__pk"))
-    if parent_bound is None:
-        parents = parents.distinct()
-    kids = child.filter(F.col(key).isNotNull())
-    return kids.join(bounded(parents, parent_bound), kids[key] == parents["__pk"], "left_anti")

@@ -4,9 +4,10 @@ The fact is partitioned by (txn_year, txn_month). An incremental run takes
 the rows newer than ``max(created_at) - lookback`` of the target, replaces
 target rows with the same ``txn_sk`` and inserts the rest. Only the months
 touched by the new rows (plus months a replaced row moves out of) are read
-and rewritten; the result is staged under the shared folder first, so a
-crashed run is redone from the staged copy and never leaves a half-written
-month.
+and rewritten. The result is staged beside the table and published through a
+manifest (see :mod:`paylake.operators.publish`): a run that crashed between
+staging and the end of the swap is finished by the next run before it reads
+the table, and staged copies are removed after success.
 """
 
 from __future__ import annotations
@@ -14,26 +15,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paylake.operators import publish
 from paylake.schema import FACT_PARTITION_COLUMNS
-from paylake.session import scratch_path
+from paylake.session import remove_path, scratch_path, sized_shuffle
 from paylake.sources.ingest import path_exists
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _partition_dir(root: str, parts: list[str], values) -> str:
-    segs = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(parts, values)]
-    return "/".join([root.rstrip("/")] + segs)
-
-
 def read_target(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``; None when it does not exist or holds no data
-    file yet (an empty table has no schema to read)."""
+    """The table at ``path`` after finishing a publication that was cut short;
+    None when it does not exist or holds no data file yet (an empty table has
+    no schema to read)."""
     from pyspark.errors import AnalysisException
+    publish.recover(spark, path)
     if not path_exists(spark, path):
         return None
     try:
@@ -44,18 +37,6 @@ def read_target(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def incremental_window(target: DataFrame, lookback: str = "INTERVAL 1 HOUR"):
-    """Scalar ``max(created_at) - lookback`` of the target (NULL when empty)."""
-    return target.agg((F.max("created_at") - F.expr(lookback)).alias("cutoff")).scalar()
-
-
-def write_full(df: DataFrame, path: str, columns: list[str],
-               parts: list[str] = FACT_PARTITION_COLUMNS) -> None:
-    (df.select(*columns).hint("REBALANCE", *parts)
-     .write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy(*parts).parquet(path))
-
-
 def upsert(spark: SparkSession, new: DataFrame, path: str, key: str = "txn_sk",
            parts: list[str] = FACT_PARTITION_COLUMNS) -> str:
     """Replace-or-insert ``new`` (unique on ``key``) into the table at ``path``.
@@ -68,24 +49,25 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, key: str = "txn_sk",
     columns = new.columns
     target = read_target(spark, path)
     if target is None:
-        write_full(new, path, columns, parts)
+        publish.rebuild_table(new.select(*columns), path, parts)
         return "full"
     same_columns = sorted(target.columns) == sorted(columns)
-    staging = scratch_path(spark, "upsert-staging")
     # the new rows feed four steps below: compute them once, into the shared
     # folder, instead of re-running their lineage (raw scan + dedup) each time
     new_path = scratch_path(spark, "upsert-new")
     new.select(*columns).write.parquet(new_path)
-    new = spark.read.parquet(new_path).select(*columns)
+    new = spark.read.schema(new.schema).parquet(new_path).select(*columns)
+    scope, touched = target, None
     if same_columns:
-        new_keys = new.select(key, *parts)
         # partitions of rows being replaced: a corrected date can move a row
-        moved = target.select(key, *parts).join(new.select(key), key, "left_semi")
-        touched_df = new_keys.select(*parts).unionByName(moved.select(*parts)).distinct()
-        # partition values (e.g. year, month pairs): a few hundred at most,
-        # pruned statically; NULL-safe, so a NULL partition is rewritten whole
-        touched = [tuple(r) for r in touched_df.collect()]
+        with sized_shuffle(spark, target.select(key), new.select(key)):
+            moved = target.select(key, *parts).join(new.select(key), key, "left_semi")
+            touched_df = new.select(*parts).unionByName(moved.select(*parts)).distinct()
+            # partition values (e.g. year, month pairs): a few hundred at most,
+            # pruned statically; NULL-safe, so a NULL partition is rewritten whole
+            touched = [tuple(r) for r in touched_df.collect()]
         if not touched:
+            remove_path(spark, new_path)
             return "incremental"
         cond = None
         for values in touched:
@@ -95,26 +77,17 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, key: str = "txn_sk",
                 c = e if c is None else (c & e)
             cond = c if cond is None else (cond | c)
         scope = target.filter(cond)
-    else:
-        scope = target
-        touched = None
     kept = scope.join(new.select(key), key, "left_anti")
     result = kept.unionByName(new, allowMissingColumns=True).select(*columns)
-    (result.hint("REBALANCE", *parts).write.mode("overwrite")
-     .partitionBy(*parts).parquet(staging))
-    # explicit schema: partition types must not be re-inferred from folder
-    # names (a staging folder holding only the NULL partition infers "void")
-    staged = spark.read.schema(result.schema).parquet(staging)
+    staging = publish.staging_beside(path)
+    with sized_shuffle(spark, scope, new):
+        result.hint("REBALANCE", *parts).write.partitionBy(*parts).parquet(staging)
     if touched is None:
-        write_full(staged, path, columns, parts)
-        return "full"
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*parts).parquet(path))
-    # a touched partition whose rows all moved away is empty now: drop its folder
-    present = {tuple(r) for r in staged.select(*parts).distinct().collect()}
-    for values in touched:
-        if values not in present:
-            fs, p = _fs(spark, _partition_dir(path, parts, values))
-            if fs.exists(p):
-                fs.delete(p, True)
-    return "incremental"
+        publish.publish_table(spark, staging, path)
+    else:
+        # explicit schema: partition types must not be re-inferred from folder
+        # names (a staging folder holding only the NULL partition infers "void")
+        staged = spark.read.schema(result.schema).parquet(staging)
+        publish.publish_partitions(spark, staging, path, staged, parts, touched)
+    remove_path(spark, new_path)
+    return "full" if touched is None else "incremental"

@@ -19,6 +19,7 @@ from paylake.functions.text import lower_trim, upper_trim
 from paylake.operators.dedup import latest_per_key
 from paylake.operators.joins import bounded
 from paylake.sources import relations
+from paylake.sources.fixed import LOOKBACK
 
 # Total order for "latest version wins": newest event, then newest load, then
 # the remaining columns, so equal timestamps still resolve deterministically.
@@ -40,14 +41,24 @@ def stg_transactions(raw: DataFrame) -> DataFrame:
     latest version with a non-positive amount removes the transaction rather
     than bringing back an older version.
     """
-    return stg_from_latest(latest_per_key(raw, "txn_id", latest_order()))
+    return stg_from_latest(latest_versions(raw))
+
+
+def latest_versions(raw: DataFrame) -> DataFrame:
+    """The latest version of every transaction, whatever its amount."""
+    return latest_per_key(raw, "txn_id", latest_order())
 
 
 def stg_from_latest(latest: DataFrame) -> DataFrame:
     """Staging over rows that are already the latest version per txn_id (the
     maintained table of :mod:`paylake.plans.staging_store`): no dedup, just
     the amount test and the cleaning projection."""
-    return latest.filter(F.col("amount_inr") > 0).select(
+    return staged_columns(latest.filter(F.col("amount_inr") > 0))
+
+
+def staged_columns(latest: DataFrame) -> DataFrame:
+    """The cleaning projection of staging."""
+    return latest.select(
         "txn_id",
         F.col("amount_inr").cast("decimal(12,2)").alias("amount_inr"),
         upper_trim("city").alias("city"),
@@ -217,21 +228,16 @@ assert len(schema.FACT_COLUMNS) == 20
 # --------------------------------------------------------------------------
 # incremental fact
 # --------------------------------------------------------------------------
-def new_fact_rows(raw: DataFrame, cutoff) -> DataFrame:
-    """Fact rows of transactions whose latest version is newer than ``cutoff``.
-
-    Same rows as filtering the enriched model by ``created_at > cutoff``, but
-    the filter runs *before* the dedup, so an incremental run reads and
-    shuffles only recent raw rows: if a txn's latest version (the first in
-    the dedup's total order, which starts with created_at desc) is newer than
-    the cutoff, it is also the first among that txn's rows newer than the
-    cutoff; if it is not newer, no row of the txn is newer either.
-    """
-    return fact_rows(int_enriched(stg_transactions(raw.filter(F.col("created_at") > cutoff))))
+def lookback_cutoff(fact: DataFrame, lookback: str = LOOKBACK):
+    """``max(created_at) - lookback`` of the fact as a literal column (None when
+    it is empty). Carried as microseconds: a driver-side datetime would be
+    ambiguous in a local zone's repeated hour."""
+    micros = fact.agg(F.unix_micros(F.max("created_at") - F.expr(lookback)).alias("c")).first()[0]
+    return None if micros is None else F.timestamp_micros(F.lit(micros))
 
 
 def fact_incremental(spark: SparkSession, raw: DataFrame, fact_path: str,
-                     lookback: str = "INTERVAL 1 HOUR", deduped: bool = False) -> str:
+                     lookback: str = LOOKBACK, deduped: bool = False) -> str:
     """Build the fact on the first run, then keep it current by keyed upserts
     of rows newer than ``max(created_at) - lookback``. An empty target counts
     as a first run (``created_at > NULL`` would otherwise keep nothing).
@@ -245,15 +251,17 @@ def fact_incremental(spark: SparkSession, raw: DataFrame, fact_path: str,
     from paylake.operators.upsert import read_target, upsert
     stage = stg_from_latest if deduped else stg_transactions
     target = read_target(spark, fact_path)
-    cutoff = None
-    if target is not None:
-        cutoff = target.agg((F.max("created_at") - F.expr(lookback)).alias("c")).first()[0]
+    cutoff = lookback_cutoff(target, lookback) if target is not None else None
     if cutoff is None:
         # full build: the dedup shuffle reads all of raw; size it to raw
         from paylake.session import sized_shuffle
         with sized_shuffle(spark, raw):
             return upsert(spark, fact_rows(int_enriched(stage(raw))), fact_path)
-    recent = raw.filter(F.col("created_at") > F.lit(cutoff))
+    # Same rows as filtering the enriched model, but before the dedup: if a
+    # txn's latest version (first in the dedup's order, which starts with
+    # created_at desc) is newer than the cutoff, it is also the first among
+    # that txn's rows newer than it; if not, no row of the txn is newer either.
+    recent = raw.filter(F.col("created_at") > cutoff)
     return upsert(spark, fact_rows(int_enriched(stage(recent))), fact_path)
 
 
@@ -289,6 +297,7 @@ def build_star(spark: SparkSession, raw: DataFrame, out_dir: str, deduped: bool
     tables = {"dim_date": dim_date(spark), "dim_location": dim_location_from_fact(fact),
               "dim_merchant": dim_merchant(spark), "dim_upi_app": dim_upi_app(spark),
               "dim_payment_type": dim_payment_type(spark)}
+    from paylake.operators.publish import rebuild_table
     for name, df in tables.items():
-        df.coalesce(1).write.mode("overwrite").parquet(paths[name])
+        rebuild_table(df.coalesce(1), paths[name])  # at most 731 rows
     return paths

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from paylake import schema
 from paylake.operators.dedup import latest_per_key
 from paylake.plans.models import latest_order
-from paylake.session import scratch_path
+from paylake.session import remove_path, scratch_path, sized_shuffle
 from paylake.sources.ingest import DEFAULT_MAX_FILES_PER_BATCH
 
 LATEST_PARTITIONS = ["txn_year", "txn_month"]
@@ -35,17 +35,21 @@ def merge_latest(spark: SparkSession, new_raw: DataFrame, latest_path: str) -> s
     from paylake.operators.upsert import read_target, upsert
     staged = scratch_path(spark, "latest-batch")
     new_raw.filter(F.col("txn_id").isNotNull()).select(*schema.RAW_COLUMNS).write.parquet(staged)
-    new = spark.read.parquet(staged)
-    from paylake.session import sized_shuffle
+    new = spark.read.schema(schema.RAW_SCHEMA).parquet(staged)
     target = read_target(spark, latest_path)
-    candidates = new
-    if target is not None:
-        existing = target.join(new.select("txn_id"), "txn_id", "left_semi").select(*schema.RAW_COLUMNS)
-        candidates = new.unionByName(existing)
-    top = latest_per_key(candidates, "txn_id", latest_order())
-    top = top.withColumn("txn_year", F.year("txn_date")).withColumn("txn_month", F.month("txn_date"))
-    with sized_shuffle(spark, new):  # the dedup of the batch (all of raw on a first build)
-        return upsert(spark, top, latest_path, key="txn_id", parts=LATEST_PARTITIONS)
+    # the semi join shuffles the target's ids, the dedup the batch (all of raw on a first build)
+    with sized_shuffle(spark, *([new] if target is None else [new, target])):
+        candidates = new
+        if target is not None:
+            # distinct: an id repeated across the batch must not meet on one reducer
+            ids = new.select("txn_id").distinct()
+            existing = target.join(ids, "txn_id", "left_semi").select(*schema.RAW_COLUMNS)
+            candidates = new.unionByName(existing)
+        top = latest_per_key(candidates, "txn_id", latest_order())
+        top = top.withColumn("txn_year", F.year("txn_date")).withColumn("txn_month", F.month("txn_date"))
+        done = upsert(spark, top, latest_path, key="txn_id", parts=LATEST_PARTITIONS)
+    remove_path(spark, staged)
+    return done
 
 
 def maintain_latest(spark: SparkSession, raw_path: str, latest_path: str, checkpoint: str,

@@ -12,10 +12,14 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
 from pyspark.sql import SparkSession
 
+if __name__ == "__main__":  # started by file path: the package is the folder above
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def run(spark: SparkSession, lake_root: str, warehouse: str, stream: bool = False,
         max_files_per_batch: int | None = None) -> dict:
@@ -32,7 +36,7 @@ def run(spark: SparkSession, lake_root: str, warehouse: str, stream: bool = Fals
         ingest.ingest_stream(spark, lake_root, raw_path, log_path, f"{root}/_checkpoints/ingest",
                              max_files_per_batch=limit)
     else:
-        ingest.ingest_batch(spark, lake_root, raw_path, log_path)
+        ingest.ingest_batch(spark, lake_root, raw_path, log_path, max_files_per_batch=limit)
     if not ingest.path_exists(spark, raw_path):
         return {"loaded": 0}
     # staging = latest version per id, maintained from the raw files appended

@@ -52,14 +52,40 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism",
                    str(min(10000, max(64, 4 * cores))))
     shared_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package (once per application), so that code in
+    Python tasks imports it wherever the driver was started from."""
+    sc = spark.sparkContext
+    here = os.path.dirname(os.path.abspath(__file__))
+    if getattr(sc, "_paylake_shipped", False) or not os.path.isdir(here):
+        return  # sent before, or the package itself came in an archive
+    import zipfile
+    archive = os.path.join(tempfile.mkdtemp(prefix="paylake-py-"), "paylake.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(here)))
+    sc.addPyFile(archive)
+    sc._paylake_shipped = True
+
+
+def is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master or ""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and staged writes.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when neither is set — a local test session — a fresh folder is created.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). When
+    neither is set, a local session gets a fresh folder; a cluster session is
+    an error, since no folder of the driver's machine is shared.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -67,6 +93,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="paylake-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -78,6 +106,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of the cluster's store."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder of this library's own once nothing reads it."""
+    fs, p = hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python-side helpers can open a local path."""
     if path.startswith("file:"):
@@ -99,12 +139,12 @@ def estimated_bytes(df) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def size_shuffle_for(spark: SparkSession, df) -> int:
-    """Raise the shuffle partition count so a shuffle of ``df`` puts about
+def size_shuffle_for(spark: SparkSession, *dfs) -> int:
+    """Raise the shuffle partition count so a shuffle of ``dfs`` puts about
     ``TARGET_PARTITION_BYTES`` into each partition (spill-free reducers at any
     scale); never lowers the session's setting. Returns the count in force."""
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    size = estimated_bytes(df)
+    size = sum(estimated_bytes(df) for df in dfs)
     if size >= 2 ** 62:  # no statistics (e.g. an in-memory relation): leave as is
         return current
     want = -(-size // TARGET_PARTITION_BYTES)
@@ -115,15 +155,15 @@ def size_shuffle_for(spark: SparkSession, df) -> int:
 
 
 class sized_shuffle:  # noqa: N801 - used as a context manager
-    """``with sized_shuffle(spark, df): ...`` — :func:`size_shuffle_for`
+    """``with sized_shuffle(spark, df, ...): ...`` — :func:`size_shuffle_for`
     for the block only; the session's previous setting is restored after."""
 
-    def __init__(self, spark: SparkSession, df):
-        self.spark, self.df = spark, df
+    def __init__(self, spark: SparkSession, *dfs):
+        self.spark, self.dfs = spark, dfs
 
     def __enter__(self):
         self.before = self.spark.conf.get("spark.sql.shuffle.partitions")
-        return size_shuffle_for(self.spark, self.df)
+        return size_shuffle_for(self.spark, *self.dfs)
 
     def __exit__(self, *exc):
         self.spark.conf.set("spark.sql.shuffle.partitions", self.before)

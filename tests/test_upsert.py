@@ -3,9 +3,12 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
-from paylake.operators.upsert import incremental_window, upsert
+from paylake.operators import publish
+from paylake.operators.upsert import read_target, upsert
+from paylake.plans.models import lookback_cutoff
 
 COLS = "txn_sk string, amount_inr decimal(12,2), created_at timestamp, txn_year int, txn_month int"
 
@@ -34,7 +37,7 @@ def test_lookback_is_strict(spark, tmp):
     path = f"{tmp}/fact"
     t = dt.datetime(2024, 1, 31, 23)
     upsert(spark, _rows(spark, [("a", Decimal("1"), t, 2024, 1)]), path)
-    cutoff = incremental_window(spark.read.parquet(path))
+    cutoff = lookback_cutoff(spark.read.parquet(path))
     cand = _rows(spark, [("x", Decimal("1"), t - dt.timedelta(hours=1), 2024, 1),
                          ("y", Decimal("1"), t - dt.timedelta(minutes=59), 2024, 1)])
     assert [r.txn_sk for r in cand.filter(F.col("created_at") > cutoff).collect()] == ["y"]
@@ -87,3 +90,75 @@ def test_null_partition_rows_survive_an_upsert(spark, tmp):
     upsert(spark, _rows(spark, [("a", Decimal("10"), t, None, None)]), path)
     got = {r.txn_sk: r.amount_inr for r in spark.read.parquet(path).collect()}
     assert got == {"a": Decimal("10.00"), "b": Decimal("2.00"), "c": Decimal("3.00")}
+
+
+class Crash(Exception):
+    pass
+
+
+def _crash(*args):
+    raise Crash
+
+
+def _two_versions(spark):
+    t = dt.datetime(2024, 1, 31, 23)
+    old = _rows(spark, [("a", Decimal("1"), t, 2024, 1), ("b", Decimal("2"), t, 2024, 1), ("c", Decimal("3"), t, 2023, 12),
+                        ("e", Decimal("5"), t, 2024, 2)])
+    new = _rows(spark, [("a", Decimal("10"), t, 2024, 1), ("c", Decimal("30"), t, 2024, 2), ("d", Decimal("4"), t, 2024, 2)])
+    return old, new
+
+
+def _table(spark, path):
+    return sorted(map(str, read_target(spark, path).collect()))
+
+
+def _leftovers(tmp):
+    import os
+    return [n for n in os.listdir(tmp) if "__" in n and not n.endswith(".crc")]
+
+
+@pytest.mark.parametrize("where", ["before the manifest", "before the swap", "in the swap", "before dropping emptied"])
+def test_crash_is_repaired_by_the_next_run(spark, tmp, monkeypatch, where):
+    old, new = _two_versions(spark)
+    plain, path = f"{tmp}/plain", f"{tmp}/fact"
+    for p in (plain, path):
+        upsert(spark, old, p)
+    upsert(spark, new, plain)
+    with monkeypatch.context() as m:
+        if where == "before the manifest":
+            m.setattr(publish, "_write_text", _crash)
+        elif where == "before the swap":
+            m.setattr(publish, "_perform", _crash)
+        elif where == "in the swap":
+            def half(spark, staging, path, schema, parts, emptied):
+                import shutil
+                shutil.rmtree(f"{path}/txn_year=2024/txn_month=1")  # deleted, not yet written
+                raise Crash
+            m.setattr(publish, "replace_partitions", half)
+        else:
+            m.setattr(publish, "partition_dir", _crash)
+        with pytest.raises(Crash):
+            upsert(spark, new, path)
+    upsert(spark, new, path)  # the rerun
+    assert _table(spark, path) == _table(spark, plain)
+    assert where == "before the manifest" or not _leftovers(tmp)
+
+
+@pytest.mark.parametrize("where", ["before the swap", "between the renames"])
+def test_crash_of_a_full_rewrite_is_repaired(spark, tmp, monkeypatch, where):
+    import os
+    old, new = _two_versions(spark)
+    path = f"{tmp}/dim"
+    publish.rebuild_table(old, path)
+    with monkeypatch.context() as m:
+        if where == "before the swap":
+            m.setattr(publish, "_perform", _crash)
+        else:
+            def half(spark, staging, path):
+                os.rename(path, f"{path}__old")  # the reader sees no table until this is repaired
+                raise Crash
+            m.setattr(publish, "swap_table", half)
+        with pytest.raises(Crash):
+            publish.rebuild_table(new, path)
+    assert _table(spark, path) == sorted(map(str, new.collect()))
+    assert not _leftovers(tmp)
