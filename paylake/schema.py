@@ -50,6 +50,8 @@ RAW_FIELDS = [
     ("loaded_at", T.TimestampType()),
 ]
 RAW_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t in RAW_FIELDS])
+# All other raw columns are NOT NULL.
+RAW_NULLABLE = ["failure_reason"]
 RAW_COLUMNS = [n for n, _ in RAW_FIELDS]
 
 # One row per source file and load attempt.

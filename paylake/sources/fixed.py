@@ -375,7 +375,6 @@ FAILURE_REASONS = [
     "Duplicate transaction declined",
 ]
 STATUSES = ["SUCCESS", "FAILED", "PENDING"]
-SOURCE_DEVICE_TYPES = ["Android", "iOS", "Web"]
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES — calendar dimension range: [start, end), one row per day
@@ -431,8 +430,6 @@ SUCCESS_RATE_FLOOR = 85
 
 # lake: the city folder replaces these characters with "_"
 LAKE_KEY_CHARS = " -"
-# lake: nominal rows per file at the source
-SOURCE_BATCH_SIZE = 20000
 # lake: id prefix of a transaction
 TXN_PREFIX = "TXN"
 # lake: unknown city -> state

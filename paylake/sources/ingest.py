@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,8 +17,9 @@ def clean_on_load(lake: DataFrame) -> DataFrame:
     """Make lake rows safe for the raw schema.
 
     NaN amounts become NULL; the date, hour and flags are cast; the amount is
-    cast to decimal(12,2) with ``try_cast`` so an overflowing value becomes
-    NULL (it is then dropped by staging) instead of failing the whole job.
+    cast to decimal(12,2) with ``try_cast`` so an overflowing value cannot
+    fail a whole job. A load checks :func:`violation` first, so a file with such
+    a row fails and nothing of it is lost unseen.
     """
     amt = F.col("amount_inr").cast("double")
     return lake.select(
@@ -52,9 +55,12 @@ def to_raw(lake: DataFrame, loaded_at: Column | None = None) -> DataFrame:
 # --------------------------------------------------------------------------
 # incremental file ingest
 # --------------------------------------------------------------------------
-NULL_ID_ERROR = 'null value in column "txn_id" violates not-null constraint'
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+# One load holds at most so many files and bytes; neither changes a result.
 DEFAULT_MAX_FILES_PER_BATCH = 10_000
+DEFAULT_MAX_BYTES_PER_BATCH = 2 * 1024 ** 4
+# Buckets of a new raw table: about the cores of the cluster that loads it.
+RAW_BUCKETS = 16
 
 
 def path_exists(spark, path: str) -> bool:
@@ -93,52 +99,62 @@ def _footer(path: str):
         return pq.ParquetFile(f).metadata
 
 
-def _time_unit(md) -> str | None:
-    """'ns' when created_at is stored as INT64 nanoseconds (as pandas writes
-    it), else the storage kind ('INT96', 'us', 'ms'); None if absent."""
-    sch = md.schema
-    for i in range(len(sch)):
-        col = sch.column(i)
-        if col.name != "created_at":
+# Parquet storage each lake column may have: physical types, and for numbers
+# stored as INT32/INT64 the logical type they need.
+_STORED = {T.StringType: {"BYTE_ARRAY"}, T.DoubleType: {"DOUBLE", "FLOAT"}, T.ByteType: {"INT32"},
+           T.BooleanType: {"BOOLEAN"}, T.DateType: {"INT32"}, T.TimestampType: {"INT64", "INT96"}}
+_LOGICAL = {T.DateType: "date", T.TimestampType: "timestamp"}
+
+
+def check_footer(md) -> tuple[str | None, str | None]:
+    """(how to read, error) of a footer: ``native``, ``ns`` (created_at in
+    nanoseconds) or ``untyped`` (an all-NULL column of Parquet's null type),
+    and the first column whose stored type is not the lake's."""
+    stored = {}
+    for i in range(len(md.schema)):
+        col = md.schema.column(i)
+        stored[col.name] = (col.physical_type, str(col.logical_type).lower())
+    how = "native"
+    for name, kind in schema.LAKE_FIELDS:
+        if name not in stored:
+            continue  # read as NULL: the NOT NULL check decides
+        physical, logical = stored[name]
+        if logical == "null":
+            how = "ns" if how == "ns" else "untyped"
             continue
-        if col.physical_type != "INT64":
-            return col.physical_type
-        lt = str(col.logical_type).lower()
-        return "ns" if "nano" in lt else ("ms" if "milli" in lt else "us")
-    return None
+        wanted = _LOGICAL.get(type(kind))
+        if physical not in _STORED[type(kind)] or (wanted and physical != "INT96" and wanted not in logical):
+            return None, (f'column "{name}" is of type {kind.simpleString()} but the file stores '
+                          f"{physical} ({logical})")
+        if name == "created_at" and "nano" in logical:
+            how = "ns"
+    return how, None
 
 
 def probe_files(files: DataFrame) -> DataFrame:
-    """(object_key, footer_rows, time_unit, error): can each file's footer be read?
+    """(object_key, how, error): can each file be read, and by which reader?
 
     Runs as Arrow batches on the executors, one footer read per file, so a
-    truncated or foreign file is found without failing the load of the rest;
-    ``time_unit`` tells nanosecond files (written by pandas) from native ones.
+    truncated file or one of another type is found without failing the load
+    of the rest.
     """
     def probe(batches):
         import pandas as pd
         for pdf in batches:
-            rows, units, errors = [], [], []
+            hows, errors = [], []
             for key in pdf["object_key"]:
+                how = error = None
                 try:
-                    md = _footer(key)
-                    rows.append(md.num_rows)
-                    units.append(_time_unit(md))
-                    errors.append(None)
+                    how, error = check_footer(_footer(key))
                 except Unprobed:
                     # no Python access to this store: Spark's reader decides
-                    # (a broken file then fails the batch loudly, not silently)
-                    rows.append(None)
-                    units.append(None)
-                    errors.append(None)
+                    how = "native"
                 except Exception as e:  # noqa: BLE001 - any unreadable file is a failed load
-                    rows.append(None)
-                    units.append(None)
-                    errors.append(f"{type(e).__name__}: {e}"[:500])
-            yield pd.DataFrame({"object_key": pdf["object_key"], "footer_rows": rows,
-                                "time_unit": units, "error": errors})
-    return files.select("object_key").mapInPandas(
-        probe, "object_key string, footer_rows long, time_unit string, error string")
+                    error = f"{type(e).__name__}: {e}"
+                hows.append(how)
+                errors.append(error)
+            yield pd.DataFrame({"object_key": pdf["object_key"], "how": hows, "error": errors})
+    return files.select("object_key").mapInPandas(probe, "object_key string, how string, error string")
 
 
 FOREIGN_READ_CONF = {
@@ -154,34 +170,30 @@ def _with_file_columns(df: DataFrame) -> DataFrame:
                      F.col("_metadata.row_index").alias("row_index"))
 
 
-def normalize_foreign(spark, paths: list[str], staging: str, recursive: bool = False) -> DataFrame:
-    """Rewrite nanosecond-timestamp lake files into the native schema.
+def normalize_foreign(spark, paths: list[str], staging: str, recursive: bool = False,
+                      nanos: bool = True) -> DataFrame:
+    """Rewrite lake files that the native reader refuses into the native schema.
 
-    ``created_at`` is read as nanoseconds since the epoch and converted with
-    integer division to microseconds; file path and row position are kept so
-    first-copy-wins still sees the original files. The result is written to
-    the shared staging folder while the foreign-read settings are in force,
-    then read back under the normal settings.
+    With ``nanos``, ``created_at`` is read as nanoseconds since the epoch and
+    converted with integer division to microseconds; without, it is in a unit
+    the reader knows and only untyped columns are at issue. File path and row
+    position are kept so first-copy-wins still sees the original files. The
+    foreign-read settings are those of a session of its own; the result is
+    staged in the shared folder and read back under the normal ones.
     """
-    fields = [f if f.name != "created_at" else T.StructField("created_at", T.LongType())
+    fields = [f if not nanos or f.name != "created_at" else T.StructField("created_at", T.LongType())
               for f in schema.LAKE_SCHEMA.fields]
-    saved = {k: spark.conf.get(k, None) for k in FOREIGN_READ_CONF}
-    try:
-        for k, v in FOREIGN_READ_CONF.items():
-            spark.conf.set(k, v)
-        reader = spark.read.schema(T.StructType(fields))
-        if recursive:
-            reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-        df = _with_file_columns(reader.parquet(*paths))
+    own = spark.newSession()
+    for k, v in {"spark.sql.session.timeZone": "UTC", **FOREIGN_READ_CONF}.items():
+        own.conf.set(k, v)
+    reader = own.read.schema(T.StructType(fields))
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    df = _with_file_columns(reader.parquet(*paths))
+    if nanos:
         df = df.withColumn("created_at", F.expr("timestamp_micros(created_at div 1000)"))
-        df.write.parquet(staging)
-    finally:
-        for k, v in saved.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-    return spark.read.parquet(staging)
+    df.write.parquet(staging)
+    return spark.read.schema(df.schema).parquet(staging)
 
 
 def first_per_id(rows: DataFrame) -> DataFrame:
@@ -191,80 +203,177 @@ def first_per_id(rows: DataFrame) -> DataFrame:
     return first_per_key(rows, "txn_id", [F.col("object_key").asc(), F.col("row_index").asc()])
 
 
+def raw_buckets(spark, raw_path: str) -> int | None:
+    """Buckets of the raw table's files, as recorded when it was created; None
+    for a folder that another writer made."""
+    from paylake.session import hadoop_path
+    fs, p = hadoop_path(spark, f"{raw_path.rstrip('/')}/_buckets")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return stream.readInt()
+    finally:
+        stream.close()
+
+
+def raw_table(spark, raw_path: str, buckets: int | None = None) -> str | None:
+    """The catalog's name for the raw folder as a table bucketed and sorted by
+    txn_id (its files stay plain Parquet for every other reader). Creates the
+    folder with ``buckets`` (default: RAW_BUCKETS) if there is none."""
+    from paylake.session import hadoop_path
+    n = raw_buckets(spark, raw_path)
+    if n is None:
+        if path_exists(spark, raw_path):
+            return None
+        n = buckets or RAW_BUCKETS
+        fs, p = hadoop_path(spark, f"{raw_path.rstrip('/')}/_buckets")
+        out = fs.create(p, True)
+        try:
+            out.writeInt(n)
+        finally:
+            out.close()
+    name = f"paylake_raw_{hashlib.md5(raw_path.rstrip('/').encode()).hexdigest()}"
+    if not spark.catalog.tableExists(name):
+        cols = ", ".join(f"{c} {t.simpleString()}" for c, t in schema.RAW_FIELDS)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet CLUSTERED BY (txn_id) "
+                  f"SORTED BY (txn_id) INTO {n} BUCKETS LOCATION '{raw_path.rstrip('/')}'")
+    spark.catalog.refreshTable(name)
+    return name
+
+
+def absent_rows(spark, rows: DataFrame, raw_path: str) -> DataFrame:
+    """``rows`` (unique txn_id) whose id is not in raw. Raw streams its id
+    column bucket by bucket and is not shuffled, whatever the size of either
+    side; only the batch is dealt out to raw's buckets."""
+    name = raw_table(spark, raw_path)
+    if name is None:
+        from paylake.session import sized_shuffle
+        raw = spark.read.schema(schema.RAW_SCHEMA).parquet(raw_path).select("txn_id")
+        with sized_shuffle(spark, raw, rows):
+            return rows.join(raw, "txn_id", "left_anti")
+    return (rows.repartition(raw_buckets(spark, raw_path), "txn_id")
+            .join(spark.table(name).select("txn_id"), "txn_id", "left_anti"))
+
+
 def insert_if_absent(spark, new_raw: DataFrame, raw_path: str) -> None:
     """Append rows whose txn_id is not yet in the raw table (NULL ids never
     enter: the key is NOT NULL). Writes are appends of absent ids only, so a
-    replayed batch inserts nothing twice.
-
-    The batch is first written to the shared folder: its lineage (file reads,
-    first-copy dedup) runs once, and the planner then knows its size from the
-    files. Then ``present = raw SEMI batch_ids`` — the batch ids are the
-    broadcast build side when their file size is under the broadcast
-    threshold (a shuffle join otherwise), so raw streams one column and is
-    not shuffled — and ``batch ANTI present``, whose inputs are both at most
-    batch-sized.
+    replayed batch inserts nothing twice. The batch is first written to the
+    shared folder: its lineage (file reads, first-copy dedup) runs once.
     """
-    from paylake.session import scratch_path
+    from paylake.session import remove_path, scratch_path
     staged = scratch_path(spark, "insert-batch")
     new_raw.filter(F.col("txn_id").isNotNull()).select(*schema.RAW_COLUMNS).write.parquet(staged)
-    rows = spark.read.parquet(staged)
-    if path_exists(spark, raw_path):
-        present = (spark.read.parquet(raw_path).select("txn_id")
-                   .join(rows.select("txn_id"), "txn_id", "left_semi"))
-        rows = rows.join(present, "txn_id", "left_anti")
-    rows.select(*schema.RAW_COLUMNS).write.mode("append").parquet(raw_path)
+    rows = spark.read.schema(schema.RAW_SCHEMA).parquet(staged)
+    absent = absent_rows(spark, rows, raw_path).select(*schema.RAW_COLUMNS)
+    name = raw_table(spark, raw_path)
+    if name is None:
+        absent.write.mode("append").parquet(raw_path)
+    else:
+        absent.write.insertInto(name)
+    remove_path(spark, staged)
+
+
+def violation(lake: DataFrame) -> Column:
+    """The message of the first raw-table constraint a lake row breaks (NULL:
+    none): every column but failure_reason is NOT NULL, and an amount must fit
+    decimal(12,2)."""
+    amount = F.col("amount_inr").cast("double")
+    clean = {f.name: f for f in schema.RAW_SCHEMA.fields}
+    out = F.when(amount.isNotNull() & ~F.isnan(amount) & amount.try_cast(schema.AMOUNT).isNull(),
+                 F.lit("numeric field overflow: amount_inr does not fit decimal(12,2)"))
+    for name in clean:
+        if name in schema.RAW_NULLABLE or name not in lake.columns:
+            continue
+        missing = F.col(name).isNull() | (F.isnan(amount) if name == "amount_inr" else F.lit(False))
+        out = out.when(missing, F.lit(f'null value in column "{name}" violates not-null constraint'))
+    return out
 
 
 def load_files(spark, new_files: DataFrame, raw_path: str, log_path: str,
                loaded_at: Column | None = None) -> None:
     """Load one batch of new lake files into the raw table and log each file.
 
-    A file whose footer cannot be read, or that holds a row without txn_id,
-    is logged ``failed`` with the reason and none of its rows are inserted;
-    the other files of the batch go on. Readable files are logged
-    ``success`` with their row count.
+    A file fails as a whole, alone, with the reason logged and none of its
+    rows inserted, when its footer cannot be read or has another type, when a
+    row breaks a constraint of the raw table, or when its pages turn out to be
+    damaged. The last is only seen while decoding: the batch is then halved
+    until the damaged files stand alone. Other files are logged ``success``
+    with their row count.
     """
-    from paylake.operators.joins import bounded
-    probed = probe_files(new_files)
-    # one row per file of this batch (bounded by the batch's file cap)
-    files = probed.collect()
-    good = [r.object_key for r in files if r.error is None]
-    native = [r.object_key for r in files if r.error is None and r.time_unit != "ns"]
-    foreign = [r.object_key for r in files if r.error is None and r.time_unit == "ns"]
-    now = F.current_timestamp()
-    log_parts = []
-    bad = [(r.object_key, 0, "failed", r.error) for r in files if r.error is not None]
-    if good:
-        parts = []
-        if native:
-            parts.append(_with_file_columns(spark.read.schema(schema.LAKE_SCHEMA).parquet(*native)))
-        if foreign:
-            from paylake.session import scratch_path
-            parts.append(normalize_foreign(spark, foreign, scratch_path(spark, "foreign-normalized")))
-        # read twice below (per-file stats, then the rows): keep the batch,
-        # which maxFilesPerTrigger bounds, instead of reading its files twice
-        data = (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])).persist()
-        stats = data.groupBy("object_key").agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.count_if(F.col("txn_id").isNull()).alias("null_ids")).persist()
-        ok = stats.filter(F.col("null_ids") == 0).select("object_key")
-        rows = data.join(bounded(ok, len(good)), "object_key", "left_semi")
-        insert_if_absent(spark, to_raw(first_per_id(rows).drop("object_key", "row_index"), loaded_at),
-                         raw_path)
-        log_parts.append(stats.select(
-            "object_key",
-            F.when(F.col("null_ids") == 0, F.col("row_count")).otherwise(F.lit(0)).cast("long").alias("row_count"),
-            F.when(F.col("null_ids") == 0, F.lit("success")).otherwise(F.lit("failed")).alias("status"),
-            F.when(F.col("null_ids") > 0, F.lit(NULL_ID_ERROR)).alias("error_message")))
+    # one row per file of this batch (bounded by the batch's caps)
+    files = probe_files(new_files).collect()
+    bad = [(r.object_key, r.error) for r in files if r.error is not None]
     if bad:
-        log_parts.append(spark.createDataFrame(bad, "object_key string, row_count long, status string, "
-                                                    "error_message string"))
-    for part in log_parts:
-        part.withColumn("loaded_at", now).select(*schema.LOAD_LOG_SCHEMA.fieldNames()) \
-            .write.mode("append").parquet(log_path)
-    if good:
-        stats.unpersist()
-        data.unpersist()
+        _log_failed(spark, bad, log_path)
+    readable = sorted((r.object_key, r.how) for r in files if r.error is None)
+    if readable:
+        _load_readable(spark, readable, raw_path, log_path, loaded_at)
+
+
+def _log_failed(spark, bad: list[tuple[str, str]], log_path: str) -> None:
+    rows = spark.createDataFrame([(k, 0, "failed", e) for k, e in bad],
+                                 "object_key string, row_count long, status string, error_message string")
+    _append_log(rows, log_path)
+
+
+def _append_log(rows: DataFrame, log_path: str) -> None:
+    rows.withColumn("loaded_at", F.current_timestamp()).select(*schema.LOAD_LOG_SCHEMA.fieldNames()) \
+        .write.mode("append").parquet(log_path)
+
+
+def _stage_rows(spark, files: list[tuple[str, str]]) -> tuple[str, list[str]]:
+    """All rows of the files in one staged folder (every page is decoded here),
+    with file, position and the constraint broken; and the folders made."""
+    from paylake.session import scratch_path
+    made, parts = [], []
+    for how in ("native", "ns", "untyped"):
+        keys = [k for k, h in files if h == how]
+        if keys and how == "native":
+            parts.append(_with_file_columns(spark.read.schema(schema.LAKE_SCHEMA).parquet(*keys)))
+        elif keys:
+            made.append(scratch_path(spark, "foreign-normalized"))
+            parts.append(normalize_foreign(spark, keys, made[-1], nanos=how == "ns"))
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    made.append(scratch_path(spark, "load-rows"))
+    rows.withColumn("violation", violation(rows)).write.parquet(made[-1])
+    return made[-1], made
+
+
+def _load_readable(spark, files: list[tuple[str, str]], raw_path: str, log_path: str,
+                   loaded_at: Column | None) -> None:
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+
+    from paylake.operators.joins import bounded
+    from paylake.session import remove_path
+    try:
+        staged, made = _stage_rows(spark, files)
+    except (PySparkException, Py4JJavaError) as e:
+        if len(files) == 1:
+            _log_failed(spark, [(files[0][0], str(e))], log_path)
+            return
+        half = len(files) // 2  # in key order, so the first copy still wins
+        for part in (files[:half], files[half:]):
+            _load_readable(spark, part, raw_path, log_path, loaded_at)
+        return
+    data = spark.read.parquet(staged)
+    first_bad = F.min(F.when(F.col("violation").isNotNull(), F.struct("row_index", "violation")))
+    stats = data.groupBy("object_key").agg(F.count(F.lit(1)).alias("rows"), first_bad.alias("bad"))
+    ok = stats.where("bad IS NULL").select("object_key")
+    rows = data.join(bounded(ok, len(files)), "object_key", "left_semi").drop("violation")
+    insert_if_absent(spark, to_raw(first_per_id(rows).drop("object_key", "row_index"), loaded_at), raw_path)
+    good = F.col("bad").isNull()
+    names = spark.createDataFrame([(k,) for k, _ in files], "object_key string")  # an empty file has no row
+    _append_log(names.join(stats, "object_key", "left").select(
+        "object_key", F.when(good, F.coalesce("rows", F.lit(0))).otherwise(0).cast("long").alias("row_count"),
+        F.when(good, F.lit("success")).otherwise(F.lit("failed")).alias("status"),
+        F.col("bad.violation").alias("error_message")), log_path)
+    for path in made:
+        remove_path(spark, path)
 
 
 def read_log(spark, log_path: str) -> DataFrame:
@@ -282,7 +391,7 @@ def latest_log(log: DataFrame) -> DataFrame:
 def pending_files(spark, lake_root: str, log_path: str | None) -> DataFrame:
     """Lake files not yet logged as loaded successfully (anti join on the key)."""
     from paylake.sources.lake import file_listing
-    files = file_listing(spark, lake_root).select("object_key")
+    files = file_listing(spark, lake_root).select("object_key", "length")
     if log_path and path_exists(spark, log_path):
         done = latest_log(read_log(spark, log_path)).filter(F.col("status") == "success").select("object_key")
         files = files.join(done, "object_key", "left_anti")
@@ -293,16 +402,25 @@ def ingest_batch(spark, lake_root: str, raw_path: str, log_path: str,
                  loaded_at: Column | None = None,
                  max_files_per_batch: int = DEFAULT_MAX_FILES_PER_BATCH) -> None:
     """One batch run of the loader: every file not yet loaded successfully
-    (failed files included, so a rerun retries them), in object-key order,
-    ``max_files_per_batch`` files per load. The pending keys are streamed to
-    the driver a partition at a time; at most one chunk of keys is held."""
-    pending = pending_files(spark, lake_root, log_path).orderBy("object_key")
+    (failed files included, so a rerun retries them), in object-key order."""
+    load_in_order(spark, pending_files(spark, lake_root, log_path), raw_path, log_path, loaded_at,
+                  max_files_per_batch)
+
+
+def load_in_order(spark, files: DataFrame, raw_path: str, log_path: str, loaded_at: Column | None = None,
+                  max_files_per_batch: int = DEFAULT_MAX_FILES_PER_BATCH,
+                  max_bytes_per_batch: int = DEFAULT_MAX_BYTES_PER_BATCH) -> None:
+    """Load ``files`` (object_key, length) in key order, as many per load as
+    the caps on files and bytes allow (one file at least). The keys are
+    streamed to the driver a partition at a time; at most one chunk is held."""
     chunk: list[str] = []
-    for row in pending.toLocalIterator():
-        chunk.append(row.object_key)
-        if len(chunk) >= max_files_per_batch:
+    size = 0
+    for row in files.select("object_key", "length").orderBy("object_key").toLocalIterator():
+        if chunk and (len(chunk) >= max_files_per_batch or size + row.length > max_bytes_per_batch):
             _load_keys(spark, chunk, raw_path, log_path, loaded_at)
-            chunk = []
+            chunk, size = [], 0
+        chunk.append(row.object_key)
+        size += row.length
     if chunk:
         _load_keys(spark, chunk, raw_path, log_path, loaded_at)
 
@@ -312,36 +430,59 @@ def _load_keys(spark, keys: list[str], raw_path: str, log_path: str, loaded_at:
     load_files(spark, files, raw_path, log_path, loaded_at)
 
 
-def ingest_stream(spark, lake_root: str, raw_path: str, log_path: str, checkpoint: str,
-                  loaded_at: Column | None = None,
-                  max_files_per_batch: int = DEFAULT_MAX_FILES_PER_BATCH) -> None:
-    """Incremental ingest as a Structured Streaming query over the file listing.
-
-    The file source remembers offered files in its checkpoint, so each run
-    (``availableNow``) sees only files that arrived since the last one; at
-    most ``max_files_per_batch`` files per micro-batch. Contents are read
-    only inside :func:`load_files`. A restarted query replays the last
-    uncommitted batch; insert-if-absent and the append-only log make that
-    harmless. Files that failed are not offered again by the stream; run
-    :func:`retry_failed` for them.
-    """
+def arrivals_path(log_path: str) -> str:
+    return f"{log_path.rstrip('/')}-arrivals"
+
+
+def register_arrivals(spark, lake_root: str, log_path: str, checkpoint: str,
+                      max_files_per_batch: int = DEFAULT_MAX_FILES_PER_BATCH) -> None:
+    """The streaming half of the ingest: a Structured Streaming query over the
+    file listing (contents unread) that records every file once it is seen.
+    The file source remembers offered files in its checkpoint; a replayed
+    micro-batch records keys twice, which changes nothing."""
     listing = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
                .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
                .option("maxFilesPerTrigger", int(max_files_per_batch))
-               .load(lake_root).select(F.col("path").alias("object_key")))
+               .load(lake_root).select(F.col("path").alias("object_key"), "length"))
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        load_files(batch.sparkSession, batch, raw_path, log_path, loaded_at)
+        batch.write.mode("append").parquet(arrivals_path(log_path))
 
     q = (listing.writeStream.trigger(availableNow=True)
          .option("checkpointLocation", checkpoint).foreachBatch(each).start())
     q.awaitTermination()
 
 
+def arrived_files(spark, log_path: str) -> DataFrame:
+    """Recorded files that have no log entry yet (failed ones have: see :func:`retry_failed`)."""
+    files = spark.read.schema("object_key string, length long").parquet(arrivals_path(log_path)) \
+        .groupBy("object_key").agg(F.max("length").alias("length"))
+    if path_exists(spark, log_path):
+        files = files.join(read_log(spark, log_path).select("object_key").distinct(), "object_key", "left_anti")
+    return files
+
+
+def ingest_stream(spark, lake_root: str, raw_path: str, log_path: str, checkpoint: str,
+                  loaded_at: Column | None = None,
+                  max_files_per_batch: int = DEFAULT_MAX_FILES_PER_BATCH) -> None:
+    """Incremental ingest: the stream records what arrived since the last run
+    (``availableNow``), then all recorded files without a log entry are loaded
+    in key order. Which copy of an id wins is thus decided by file key among
+    everything that has arrived, not by how the stream cut it into
+    micro-batches. A run that broke off anywhere is resumed by the next one:
+    recorded files stay pending until logged, and insert-if-absent makes a
+    repeated load harmless.
+    """
+    register_arrivals(spark, lake_root, log_path, checkpoint, max_files_per_batch)
+    if path_exists(spark, arrivals_path(log_path)):
+        load_in_order(spark, arrived_files(spark, log_path), raw_path, log_path, loaded_at)
+
+
 def retry_failed(spark, lake_root: str, raw_path: str, log_path: str,
-                 loaded_at: Column | None = None) -> None:
-    """Load again the files whose newest log entry is ``failed``."""
+                 loaded_at: Column | None = None,
+                 max_files_per_batch: int = DEFAULT_MAX_FILES_PER_BATCH) -> None:
+    """Load again, in capped chunks, the files whose newest log entry is ``failed``."""
     from paylake.sources.lake import file_listing
     failed = latest_log(read_log(spark, log_path)).filter(F.col("status") == "failed").select("object_key")
-    files = file_listing(spark, lake_root).select("object_key").join(failed, "object_key", "left_semi")
-    load_files(spark, files, raw_path, log_path, loaded_at)
+    files = file_listing(spark, lake_root).select("object_key", "length").join(failed, "object_key", "left_semi")
+    load_in_order(spark, files, raw_path, log_path, loaded_at, max_files_per_batch)

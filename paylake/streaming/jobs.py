@@ -1,8 +1,9 @@
-"""Streaming ingest, watermark dedup and the streamed fact upsert.
+"""Streaming ingest, redelivery dedup and the streamed fact upsert.
 
 All run with ``trigger(availableNow=True)``: each start processes what has
 arrived since the checkpoint and stops, which is how the batch schedule of
-the modelled pipeline maps onto Structured Streaming.
+the modelled pipeline maps onto Structured Streaming. What a run leaves does
+not depend on how the stream cut its input into micro-batches.
 """
 
 from __future__ import annotations
@@ -11,57 +12,68 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylake import schema
+from paylake.operators.dedup import first_per_key
 from paylake.sources import ingest
 
 
-def stream_ingest(spark: SparkSession, lake_root: str, raw_path: str, log_path: str,
-                  checkpoint: str, loaded_at: Column | None = None,
-                  max_files_per_batch: int = ingest.DEFAULT_MAX_FILES_PER_BATCH) -> None:
-    """New lake files -> raw table + load log (see :func:`ingest.ingest_stream`)."""
-    ingest.ingest_stream(spark, lake_root, raw_path, log_path, checkpoint, loaded_at, max_files_per_batch)
+def redelivery_order() -> list[Column]:
+    """Which copy of an id is kept: the earliest event, then the other columns."""
+    rest = [c for c in schema.RAW_COLUMNS if c not in ("txn_id", "created_at")]
+    return [F.col(c).asc_nulls_first() for c in ("created_at", *rest)]
 
 
-def dedup_within_watermark(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Drop redelivered copies of a txn_id that arrive within ``delay`` of
-    event time. Keeps the first copy seen (meant for exact redelivery, not
-    corrections); state for a key is dropped once the watermark passes."""
-    return (stream.filter(F.col("txn_id").isNotNull())
-            .withColumn("created_at", F.col("created_at").cast("timestamp"))
-            .withWatermark("created_at", delay)
-            .dropDuplicatesWithinWatermark(["txn_id"]))
+def append_new_copies(batch: DataFrame, out_path: str, delay: str = "1 hour") -> None:
+    """Append the rows of a micro-batch that are not redeliveries: of each id
+    the first copy in the batch, unless the sink holds a copy that comes before
+    it. Only sink rows within ``delay`` of the batch's event times are looked
+    at; a copy that this misses is hidden by :func:`read_deduplicated`."""
+    spark = batch.sparkSession
+    rows = first_per_key(batch.filter(F.col("txn_id").isNotNull()), "txn_id", redelivery_order())
+    if ingest.path_exists(spark, out_path):
+        span = batch.agg(F.unix_micros(F.min("created_at") - F.expr(f"INTERVAL {delay}")).alias("a"),
+                         F.unix_micros(F.max("created_at") + F.expr(f"INTERVAL {delay}")).alias("b")).first()
+        sink = spark.read.schema(schema.RAW_SCHEMA).parquet(out_path)
+        if span.a is not None:
+            sink = sink.filter(F.col("created_at").isNull() | F.col("created_at").between(
+                F.timestamp_micros(F.lit(span.a)), F.timestamp_micros(F.lit(span.b))))
+        ids = rows.select("txn_id")
+        both = (rows.withColumn("stored", F.lit(False))
+                .unionByName(sink.join(ids, "txn_id", "left_semi").withColumn("stored", F.lit(True))))
+        order = [*redelivery_order(), F.col("stored").desc()]  # of equal copies the stored one
+        rows = first_per_key(both, "txn_id", order).filter(~F.col("stored"))
+    rows.select(*schema.RAW_COLUMNS).write.mode("append").parquet(out_path)
 
 
 def stream_dedup(spark: SparkSession, raw_dir: str, out_path: str, checkpoint: str,
                  delay: str = "1 hour", max_files_per_batch: int | None = None) -> None:
-    """Raw files as they arrive -> copies within ``delay`` dropped -> Parquet sink."""
+    """Raw files as they arrive -> redelivered copies dropped -> Parquet sink.
+    No row is late: an id never seen before is kept whatever its event time."""
     reader = spark.readStream.schema(schema.RAW_SCHEMA)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_batch))
-    src = reader.parquet(raw_dir)
-    q = (dedup_within_watermark(src, delay).writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out_path))
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        append_new_copies(batch, out_path, delay)
+
+    q = (reader.parquet(raw_dir).writeStream.foreachBatch(each)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 
 
+def read_deduplicated(spark: SparkSession, out_path: str) -> DataFrame:
+    """The sink's earliest copy of every id: the same rows whatever the order
+    and grouping of arrival."""
+    rows = spark.read.schema(schema.RAW_SCHEMA).parquet(out_path)
+    return first_per_key(rows, "txn_id", redelivery_order())
+
+
 def stream_fact(spark: SparkSession, lake_root: str, raw_path: str, log_path: str, fact_path: str,
                 checkpoint: str, loaded_at: Column | None = None,
                 max_files_per_batch: int = ingest.DEFAULT_MAX_FILES_PER_BATCH) -> None:
-    """Lake files -> raw -> fact in one streaming query: each micro-batch loads
-    its files (insert-if-absent) and then upserts the fact from raw rows newer
-    than the fact's lookback window."""
+    """Lake files -> raw -> fact: everything that has arrived is loaded first,
+    then the fact is brought up to date once, with the lookback counted from
+    the fact as it was before the run."""
     from paylake.plans.models import fact_incremental
-
-    listing = (spark.readStream.format("binaryFile").schema(ingest.BINARY_SCHEMA)
-               .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-               .option("maxFilesPerTrigger", int(max_files_per_batch))
-               .load(lake_root).select(F.col("path").alias("object_key")))
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        s = batch.sparkSession
-        ingest.load_files(s, batch, raw_path, log_path, loaded_at)
-        if ingest.path_exists(s, raw_path):
-            fact_incremental(s, s.read.parquet(raw_path), fact_path)
-
-    q = (listing.writeStream.trigger(availableNow=True)
-         .option("checkpointLocation", checkpoint).foreachBatch(each).start())
-    q.awaitTermination()
+    ingest.ingest_stream(spark, lake_root, raw_path, log_path, checkpoint, loaded_at, max_files_per_batch)
+    if ingest.path_exists(spark, raw_path):
+        fact_incremental(spark, spark.read.schema(schema.RAW_SCHEMA).parquet(raw_path), fact_path)

@@ -177,3 +177,43 @@ def test_footer_probe_schemes():
     assert ingest._arrow_uri("hdfs://nn/lake/x.parquet") == "hdfs://nn/lake/x.parquet"
     with pytest.raises(ingest.Unprobed):  # a store Python cannot open is left to Spark
         ingest._footer("nosuchscheme://bucket/lake/x.parquet")
+
+
+def test_every_fault_fails_its_file_alone(spark, tmp):
+    """Truncated, damaged, wrongly typed, NULL and overflowing files fail with a message and no row of
+    theirs is loaded; the others load, an untyped column included; repaired files load on retry."""
+    from paylake.plans.scenarios import FAULT_YEAR, add_faulty_files, rewrite_file, truncate_file
+    root, raw, log = f"{tmp}/lake", f"{tmp}/raw", f"{tmp}/log"
+    rows = _lake_rows(spark, [dict(txn_id="TXN1"), dict(txn_id="TXN2", city="Delhi"), dict(txn_id="TXN3", city="Pune")])
+    lake.write_lake(rows, root)
+    add_faulty_files(spark, rows, root)
+    files = {r.object_key.split("city_part=")[1].split("/")[0]: r.object_key
+             for r in lake.file_listing(spark, root).collect()}
+    whole = open(files["Delhi"].replace("file:", ""), "rb").read()
+    truncate_file(spark, files["Delhi"])
+    ingest.ingest_batch(spark, root, raw, log)
+    entries = {r.object_key.split("city_part=")[1].split("/")[0]: r
+               for r in ingest.latest_log(ingest.read_log(spark, log)).collect()}
+    assert {k for k, r in entries.items() if r.status == "success"} == {"Mumbai", "Pune", "good", "untyped"}
+    assert all(r.error_message and r.row_count == 0 for r in entries.values() if r.status == "failed")
+    for name in schema.LAKE_COLUMNS:
+        if name not in ("failure_reason", "is_festival"):
+            assert entries[f"null_{name}"].error_message == f'null value in column "{name}" violates not-null constraint'
+    assert "overflow" in entries["overflow"].error_message
+    assert "amount_inr" in entries["wrong_type"].error_message
+    loaded = spark.read.parquet(raw)
+    assert sorted(r.txn_id for r in loaded.collect()) == ["TXN1", "TXN1G", "TXN1U", "TXN3"]
+    assert sum(r.row_count for r in entries.values()) == loaded.count()
+    rewrite_file(spark, files["Delhi"], lambda data: bytearray(whole))
+    ingest.retry_failed(spark, root, raw, log, max_files_per_batch=3)
+    assert sorted(r.txn_id for r in spark.read.parquet(raw).collect()) == ["TXN1", "TXN1G", "TXN1U", "TXN2", "TXN3"]
+    assert ingest.latest_log(ingest.read_log(spark, log)).filter("status = 'failed'").count() == 17
+    assert FAULT_YEAR == 2099
+
+
+def test_loads_are_cut_by_bytes_too(spark, tmp):
+    root, raw, log = f"{tmp}/lake", f"{tmp}/raw", f"{tmp}/log"
+    lake.write_lake(_lake_rows(spark, [dict(txn_id="A"), dict(txn_id="B", city="Delhi"), dict(txn_id="A", city="Pune")]), root)
+    ingest.load_in_order(spark, ingest.pending_files(spark, root, log), raw, log, max_bytes_per_batch=1)
+    assert {r.txn_id: r.city for r in spark.read.parquet(raw).collect()} == {"A": "Mumbai", "B": "Delhi"}
+    assert ingest.read_log(spark, log).count() == 3

@@ -1,11 +1,11 @@
-"""Watermark dedup across micro-batches."""
+"""Streaming jobs: the same result however the input is cut into micro-batches."""
 
 import datetime as dt
 import time
 from decimal import Decimal
 
 from paylake import schema
-from paylake.streaming.jobs import stream_dedup
+from paylake.streaming.jobs import read_deduplicated, stream_dedup, stream_fact
 
 
 def _row(txn_id, created_at):
@@ -31,3 +31,59 @@ def test_redelivery_in_a_later_batch_is_dropped(spark, tmp):
     # a second run sees no new files and adds nothing
     stream_dedup(spark, src, out, ck, max_files_per_batch=1)
     assert sorted(r.txn_id for r in spark.read.parquet(out).collect()) == ["A", "B", "C"]
+
+
+def test_dedup_does_not_depend_on_batches_or_order(spark, tmp):
+    """Copies and corrections of 40 ids in 24 files written in a shuffled order, with late and new ids."""
+    import random
+    rng = random.Random(5)
+    t = dt.datetime(2024, 1, 1)
+    rows = [_row(f"T{i % 40:02d}", t + dt.timedelta(minutes=rng.randrange(60 * 24 * 20))) for i in range(120)]
+    rows += rows[:20]
+    rng.shuffle(rows)
+    src = f"{tmp}/raw"
+    for k in range(24):
+        spark.createDataFrame(rows[k::24], schema.RAW_SCHEMA).coalesce(1).write.mode("append").parquet(src)
+    want = {}
+    for r in rows:
+        at = r[schema.RAW_COLUMNS.index("created_at")]
+        want[r[0]] = min(want.get(r[0], at), at)
+    tables = []
+    for limit in (1, 7, 10_000):
+        stream_dedup(spark, src, f"{tmp}/out{limit}", f"{tmp}/ck{limit}", max_files_per_batch=limit)
+        tables.append(sorted(map(str, read_deduplicated(spark, f"{tmp}/out{limit}").collect())))
+        got = {r.txn_id: r.created_at for r in read_deduplicated(spark, f"{tmp}/out{limit}").collect()}
+        assert got == want
+    assert tables[0] == tables[1] == tables[2]
+
+
+def test_ingest_and_fact_do_not_depend_on_batches(spark, tmp):
+    """The same ids in files of several cities and months, written in an order unlike their keys."""
+    from paylake.sources import ingest, lake
+    from test_lake_ingest import _lake_rows
+    root, t = f"{tmp}/lake", dt.datetime(2024, 1, 15, 10)
+    parts = []
+    for k, city in enumerate(["Pune", "Agra", "Mumbai", "Delhi", "Kanpur"]):
+        rows = []
+        for i in range(12):
+            day = t + dt.timedelta(days=31 * ((i + k) % 3), hours=k)
+            rows.append(dict(txn_id=f"TXN{(i * 5 + k) % 17}", city=city, amount_inr=float(10 * k + i + 1), txn_date=day.date(),
+                             created_at=day))
+        parts.append(rows)
+    for rows in parts:
+        lake.write_lake(_lake_rows(spark, rows), root)
+    raws, facts = [], []
+    for limit in (1, 7, 10_000):
+        raw, log, fact = (f"{tmp}/{n}{limit}" for n in ("raw", "log", "fact"))
+        stream_fact(spark, root, raw, log, fact, f"{tmp}/ck{limit}", max_files_per_batch=limit)
+        raws.append(sorted(map(str, spark.read.parquet(raw).drop("loaded_at").collect())))
+        facts.append(sorted(map(str, spark.read.parquet(fact).select(*schema.FACT_COLUMNS).collect())))
+        log_rows = ingest.latest_log(ingest.read_log(spark, log))
+        assert log_rows.filter("status <> 'success'").count() == 0
+    assert raws[0] == raws[1] == raws[2] and len(raws[0]) == 17
+    assert facts[0] == facts[1] == facts[2] and len(facts[0]) == 17
+    first = {}
+    for r in lake.scan_lake(spark, root).select("txn_id", "amount_inr", "_metadata.file_path").collect():
+        first[r.txn_id] = min(first.get(r.txn_id, (r.file_path, r.amount_inr)), (r.file_path, r.amount_inr))
+    got = {r.txn_id: float(r.amount_inr) for r in spark.read.parquet(f"{tmp}/raw1").collect()}
+    assert got == {k: v[1] for k, v in first.items()}
