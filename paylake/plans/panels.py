@@ -322,5 +322,6 @@ def dashboard(base: DataFrame, dims: Dims, k: int = 10) -> dict[str, DataFrame]:
 def refresh_dashboard(fact: DataFrame, dims: Dims, path: str) -> dict[str, DataFrame]:
     """Write the one-pass aggregate to ``path`` (shared folder) and return the
     17 panels read from it."""
-    dashboard_base(fact).coalesce(1).write.mode("overwrite").parquet(path)
+    # after the merge of the partial groups: a few hundred rows
+    dashboard_base(fact).repartition(1).write.mode("overwrite").parquet(path)
     return dashboard(fact.sparkSession.read.parquet(path), dims)

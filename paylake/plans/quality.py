@@ -7,11 +7,11 @@ Failure counts follow the generic-test semantics of the modelled project:
 * ``accepted_values``  number of distinct non-NULL values outside the set
 * ``relationships``    number of child rows whose non-NULL key has no parent
 
-Checks on one table share one scan: the not-null, accepted-value and
-relationship tests of the fact are a single aggregate over the fact with the
-(constant-bounded, broadcast) dimension keys joined in; only ``unique`` needs
-its own key-only aggregation (partial-aggregated before the shuffle, so a hot
-duplicated key is combined map-side).
+All tests of a table are one scan and one shuffle: a row gives a token for
+each value to be counted (``unique``) and for each test it fails, the tokens
+are counted per (test, column, value) with partial sums before the shuffle,
+so a hot duplicated value is combined map-side, and the counts are added up
+per test. Only failing rows and unique columns make tokens.
 """
 
 from __future__ import annotations
@@ -23,8 +23,6 @@ from paylake.operators.joins import bounded
 from paylake.plans.models import DIM_DATE_ROWS, Dims
 from paylake.sources import fixed, relations
 
-REPORT_COLUMNS = ["table_name", "column_name", "check_name", "failures"]
-
 STG_ACCEPTED = {
     "status": fixed.STATUSES,
     "merchant_category": [c[0] for c in fixed.MERCHANT_CATEGORIES],
@@ -33,45 +31,54 @@ STG_ACCEPTED = {
 STG_NOT_NULL = ["txn_id", "amount_inr", "status", "city", "merchant_category", "upi_app", "txn_date"]
 FACT_NOT_NULL = ["txn_sk", "txn_id", "amount_inr", "location_sk", "date_sk", "merchant_sk",
                  "upi_app_sk", "payment_type_sk"]
+FACT_UNIQUE = ["txn_sk", "txn_id"]
 FACT_FKS = [("location_sk", "dim_location"), ("date_sk", "dim_date"), ("merchant_sk", "dim_merchant"),
             ("upi_app_sk", "dim_upi_app"), ("payment_type_sk", "dim_payment_type")]
 
 
-def _rows(table: str, cells: list[tuple[str, str, Column]]) -> list[Column]:
-    return [F.struct(F.lit(table).alias("table_name"), F.lit(col).alias("column_name"),
-                     F.lit(check).alias("check_name"), expr.cast("bigint").alias("failures"))
-            for col, check, expr in cells]
-
-
-def _unpivot(agg: DataFrame, structs: list[Column]) -> DataFrame:
-    return agg.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
-
-
-def not_null_cells(cols: list[str]) -> list[tuple[str, str, Column]]:
-    return [(c, "not_null", F.count_if(F.col(c).isNull())) for c in cols]
-
-
-def accepted_cells(accepted: dict[str, list[str]]) -> list[tuple[str, str, Column]]:
-    return [(c, "accepted_values",
-             F.count_distinct(F.when(~F.col(c).isin(*vals), F.col(c))))
-            for c, vals in accepted.items()]
-
-
-def unique_failures(df: DataFrame, table: str, col: str) -> DataFrame:
-    """Distinct non-NULL values of ``col`` that occur more than once."""
-    dups = (df.select(col).filter(F.col(col).isNotNull()).groupBy(col).count()
-            .filter(F.col("count") > 1))
-    return dups.agg(F.count(F.lit(1)).cast("bigint").alias("failures")).select(
-        F.lit(table).alias("table_name"), F.lit(col).alias("column_name"),
-        F.lit("unique").alias("check_name"), "failures")
-
-
-def profile(df: DataFrame, table: str, not_null: list[str],
-            accepted: dict[str, list[str]] | None = None) -> DataFrame:
-    """Not-null and accepted-value tests of one table in one aggregate."""
-    cells = not_null_cells(not_null) + accepted_cells(accepted or {})
-    agg = df.agg(*[e.alias(f"c{i}") for i, (_, _, e) in enumerate(cells)])
-    return _unpivot(agg, _rows(table, [(c, k, F.col(f"c{i}")) for i, (c, k, _) in enumerate(cells)]))
+def _token(check: str, column: str, when: Column | None = None, value: Column | None = None) -> Column:
+    token = F.struct(F.lit(check).alias("check_name"), F.lit(column).alias("column_name"),
+                     (F.lit(None) if value is None else value).cast("string").alias("value"))
+    return token if when is None else F.when(when, token)
+
+
+def run_tests(df: DataFrame, table: str, unique: list[str] = (), not_null: list[str] = (),
+              accepted: dict[str, list[str]] | None = None,
+              rows: list[tuple[str, str, Column]] = (), rate: bool = False) -> DataFrame:
+    """Failures of every named test of ``table``. ``rows`` are further row
+    tests (column, check, fails?); ``rate`` adds the success-rate floor."""
+    accepted = accepted or {}
+    tokens = [_token("unique", c, F.col(c).isNotNull(), F.col(c)) for c in unique]
+    tokens += [_token("not_null", c, F.col(c).isNull()) for c in not_null]
+    tokens += [_token("accepted_values", c, ~F.col(c).isin(*ok), F.col(c)) for c, ok in accepted.items()]
+    tokens += [_token(check, c, fails) for c, check, fails in rows]
+    names = [("unique", c) for c in unique] + [("not_null", c) for c in not_null] \
+        + [("accepted_values", c) for c in accepted] + [(check, c) for c, check, _ in rows]
+    if rate:
+        tokens += [_token("_rows", "is_success_int"), _token("_successful", "is_success_int",
+                                                             F.col("is_success_int") == 1)]
+        names.append(("assert_success_rate_above_threshold", "is_success_int"))
+    counted = (df.select(F.explode(F.filter(F.array(*tokens), lambda t: t.isNotNull())).alias("t")).select("t.*")
+               .groupBy("check_name", "column_name", "value").agg(F.count(F.lit(1)).alias("n")))
+    failing = (F.when(F.col("check_name") == "unique", (F.col("n") > 1).cast("bigint"))
+               .when(F.col("check_name") == "accepted_values", F.lit(1).cast("bigint")).otherwise(F.col("n")))
+    found = counted.groupBy("check_name", "column_name").agg(F.sum(failing).alias("failures"))
+    # a map of a few tens of tests, so that passing ones are reported too
+    by_test = found.agg(F.map_from_entries(F.collect_list(F.struct(
+        F.concat_ws("|", "check_name", "column_name"), "failures"))).alias("m"))
+
+    def failures(check, column):
+        return F.coalesce(F.col("m")[f"{check}|{column}"], F.lit(0))
+
+    def result(check, column):
+        if check != "assert_success_rate_above_threshold":
+            return failures(check, column)
+        share = failures("_successful", column) * F.lit(100.0) / F.nullif(failures("_rows", column), F.lit(0))
+        return F.when(share < F.lit(fixed.SUCCESS_RATE_FLOOR), F.lit(1)).otherwise(F.lit(0))
+    cells = [F.struct(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
+                      F.lit(check).alias("check_name"), result(check, column).cast("bigint").alias("failures"))
+             for check, column in names]
+    return by_test.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
 
 
 def _dim_keys(dims: Dims) -> dict[str, tuple[DataFrame, str, int]]:
@@ -84,31 +91,28 @@ def _dim_keys(dims: Dims) -> dict[str, tuple[DataFrame, str, int]]:
     }
 
 
-def fact_checks(fact: DataFrame, dims: Dims) -> DataFrame:
-    """All single-pass fact tests: 8 not-null, accepted status, 5 relationships,
-    no non-positive amount, success-rate floor."""
-    keys = _dim_keys(dims)
-    f = fact.select(*FACT_NOT_NULL, "status", "is_success_int")
+def relationship_tests(fact: DataFrame, dims: Dims) -> tuple[DataFrame, list[tuple[str, str, Column]]]:
+    """The fact with each key's parent looked up, and the five row tests."""
+    keys, tests = _dim_keys(dims), []
     for col, dim in FACT_FKS:
         d, key, bound = keys[dim]
         parent = d.select(F.col(key).alias(f"__p_{col}")).withColumn(f"__hit_{col}", F.lit(True))
-        f = f.join(bounded(parent, bound), f[col] == parent[f"__p_{col}"], "left")
-    cells = not_null_cells(FACT_NOT_NULL) + accepted_cells({"status": fixed.STATUSES})
-    cells += [(col, "relationships", F.count_if(F.col(col).isNotNull() & F.col(f"__hit_{col}").isNull()))
-              for col, _ in FACT_FKS]
-    cells += [("amount_inr", "assert_no_negative_amounts", F.count_if(F.col("amount_inr") <= 0))]
-    total = F.count(F.lit(1))
-    successful = F.sum("is_success_int")
-    rate = successful * F.lit(100.0) / F.nullif(total, F.lit(0))
-    cells += [("is_success_int", "assert_success_rate_above_threshold",
-               F.when(rate < F.lit(fixed.SUCCESS_RATE_FLOOR), F.lit(1)).otherwise(F.lit(0)))]
-    agg = f.agg(*[e.alias(f"c{i}") for i, (_, _, e) in enumerate(cells)])
-    return _unpivot(agg, _rows("fact_transactions",
-                               [(c, k, F.col(f"c{i}")) for i, (c, k, _) in enumerate(cells)]))
-
-
-def dim_checks(dims: Dims) -> DataFrame:
-    """Unique / not-null / accepted tests of the five dimensions."""
+        fact = fact.join(bounded(parent, bound), fact[col] == parent[f"__p_{col}"], "left")
+        tests.append((col, "relationships", F.col(col).isNotNull() & F.col(f"__hit_{col}").isNull()))
+    return fact, tests
+
+
+def fact_tests(fact: DataFrame, dims: Dims) -> DataFrame:
+    """All fact tests: 2 unique, 8 not-null, accepted status, 5 relationships,
+    no non-positive amount, success-rate floor."""
+    looked_up, tests = relationship_tests(fact, dims)
+    tests.append(("amount_inr", "assert_no_negative_amounts", F.col("amount_inr") <= 0))
+    return run_tests(looked_up, "fact_transactions", FACT_UNIQUE, FACT_NOT_NULL, {"status": fixed.STATUSES},
+                     tests, rate=True)
+
+
+def dim_tests(dims: Dims, unique: bool = True, not_null: bool = True, accepted: bool = True) -> DataFrame:
+    """Unique / not-null / accepted tests of the five dimensions (731 rows at most)."""
     specs = [
         ("dim_location", dims.location, ["location_sk", "city"], {"tier": fixed.TIERS}),
         ("dim_date", dims.date, ["date_sk", "date_day"], {}),
@@ -117,56 +121,47 @@ def dim_checks(dims: Dims) -> DataFrame:
         ("dim_payment_type", dims.payment_type, ["payment_type_sk"], {}),
     ]
     out = None
-    for table, df, keys, accepted in specs:
-        parts = [profile(df, table, keys, accepted)] + [unique_failures(df, table, k) for k in keys]
-        for p in parts:
-            out = p if out is None else out.unionByName(p)
+    for table, df, keys, values in specs:
+        values = values if accepted else {}
+        if not (unique or not_null or values):
+            continue
+        part = run_tests(df, table, keys if unique else [], keys if not_null else [], values)
+        out = part if out is None else out.unionByName(part)
     return out
 
 
-def stg_checks(stg: DataFrame) -> DataFrame:
-    return profile(stg, "stg_transactions", STG_NOT_NULL, STG_ACCEPTED).unionByName(
-        unique_failures(stg, "stg_transactions", "txn_id"))
-
-
 def dq_report(stg: DataFrame, fact: DataFrame, dims: Dims) -> DataFrame:
-    """All 46 tests of the project as one table (table, column, check, failures)."""
-    return (stg_checks(stg)
-            .unionByName(fact_checks(fact, dims))
-            .unionByName(unique_failures(fact, "fact_transactions", "txn_sk"))
-            .unionByName(unique_failures(fact, "fact_transactions", "txn_id"))
-            .unionByName(dim_checks(dims)))
-
-
-def _only(report: DataFrame, check: str) -> DataFrame:
-    return report.filter(F.col("check_name") == check)
+    """All 46 tests of the project as one table (table, column, check, failures):
+    one scan of staging, one of the fact."""
+    return (run_tests(stg, "stg_transactions", ["txn_id"], STG_NOT_NULL, STG_ACCEPTED)
+            .unionByName(fact_tests(fact, dims)).unionByName(dim_tests(dims)))
 
 
 def dq_unique(stg, fact, dims) -> DataFrame:
     """The eleven unique tests (staging, fact, dimensions)."""
-    return (unique_failures(stg, "stg_transactions", "txn_id")
-            .unionByName(unique_failures(fact, "fact_transactions", "txn_sk"))
-            .unionByName(unique_failures(fact, "fact_transactions", "txn_id"))
-            .unionByName(_only(dim_checks(dims), "unique")))
+    return (run_tests(stg, "stg_transactions", ["txn_id"])
+            .unionByName(run_tests(fact, "fact_transactions", FACT_UNIQUE))
+            .unionByName(dim_tests(dims, not_null=False, accepted=False)))
 
 
 def dq_not_null(stg, fact, dims) -> DataFrame:
     """The twenty-three not-null tests."""
-    return (profile(stg, "stg_transactions", STG_NOT_NULL)
-            .unionByName(profile(fact, "fact_transactions", FACT_NOT_NULL))
-            .unionByName(_only(dim_checks(dims), "not_null")))
+    return (run_tests(stg, "stg_transactions", not_null=STG_NOT_NULL)
+            .unionByName(run_tests(fact, "fact_transactions", not_null=FACT_NOT_NULL))
+            .unionByName(dim_tests(dims, unique=False, accepted=False)))
 
 
 def dq_accepted_values(stg, fact, dims) -> DataFrame:
     """The five accepted-values tests."""
-    return (profile(stg, "stg_transactions", [], STG_ACCEPTED)
-            .unionByName(profile(fact, "fact_transactions", [], {"status": fixed.STATUSES}))
-            .unionByName(profile(dims.location, "dim_location", [], {"tier": fixed.TIERS})))
+    return (run_tests(stg, "stg_transactions", accepted=STG_ACCEPTED)
+            .unionByName(run_tests(fact, "fact_transactions", accepted={"status": fixed.STATUSES}))
+            .unionByName(dim_tests(dims, unique=False, not_null=False)))
 
 
 def dq_relationships(fact: DataFrame, dims: Dims) -> DataFrame:
     """The five fact-to-dimension relationship tests."""
-    return _only(fact_checks(fact, dims), "relationships")
+    looked_up, tests = relationship_tests(fact.select(*[c for c, _ in FACT_FKS]), dims)
+    return run_tests(looked_up, "fact_transactions", rows=tests)
 
 
 def dq_no_negative_amounts(fact: DataFrame) -> DataFrame:
@@ -231,6 +226,12 @@ def quarantine(lake: DataFrame) -> DataFrame:
     return lake.withColumn("violations", broken).filter(F.size("violations") > 0)
 
 
+def dq_quarantine(lake: DataFrame) -> DataFrame:
+    """The quarantined rows: id, amount, city and the rules broken."""
+    return quarantine(lake).select("txn_id", "amount_inr", "city", "created_at",
+                                   F.array_join("violations", ",").alias("violations"))
+
+
 def dq_amount_in_category_range(lake: DataFrame) -> DataFrame:
     """Per category: rows and rows outside the category's [min, max] amount."""
     ranges = relations.category_ranges(lake.sparkSession)

@@ -72,16 +72,25 @@ def scan_partition_pruned(spark, sf_dir) -> DataFrame:
 
 
 def sink_max_rows_per_file(spark, sf_dir) -> DataFrame:
-    """Write with a cap of rows per file; per folder: files, largest file, rows."""
+    """Write with a cap of rows per file; per folder: rows, and whether a file is over the cap."""
     root = staged_lake(spark, sf_dir, MAX_ROWS_PER_FILE)
     files = lake.rows_per_file(spark, root)
     return files.groupBy(*lake.PARTITION_COLUMNS).agg(
-        F.count(F.lit(1)).alias("files"), F.max("rows").alias("max_rows"), F.sum("rows").alias("rows"))
+        (F.max("rows") > MAX_ROWS_PER_FILE).alias("over_cap"), F.sum("rows").alias("rows"))
 
 
 def ordered_file_listing(spark, sf_dir) -> DataFrame:
-    """The lake's file keys, sorted."""
-    return lake.file_listing(spark, shared_lake(spark, sf_dir)).select("object_key").orderBy("object_key")
+    """The folders of the lake's files in the order of the sorted listing, with their place in it."""
+    from pyspark.sql import Window
+    files = lake.file_listing(spark, shared_lake(spark, sf_dir)).select("object_key").orderBy("object_key")
+    folders = files.select(*folder_of()).distinct()
+    # one row per folder, ranked by its key as the listing sorts it
+    key = F.concat_ws("/", F.concat(F.lit("year="), F.col("year").cast("string")),
+                      F.concat(F.lit("month="), F.col("month")), F.concat(F.lit("city_part="), F.col("city_part")))
+    return folders.select("*", F.row_number().over(Window.orderBy(key)).cast("long").alias("place"))
+
+
+MICRO_BATCH_FILES = 250  # cuts the lake of any scale factor into four micro-batches or more
 
 
 def _ingested(spark, sf_dir, runs: int = 2, stream: bool = False):
@@ -90,7 +99,7 @@ def _ingested(spark, sf_dir, runs: int = 2, stream: bool = False):
     ckpt = scratch_path(spark, "ingest-ckpt")
     for _ in range(runs):
         if stream:
-            ingest.ingest_stream(spark, root, raw_path, log_path, ckpt, rule_loaded_at())
+            ingest.ingest_stream(spark, root, raw_path, log_path, ckpt, rule_loaded_at(), MICRO_BATCH_FILES)
         else:
             ingest.ingest_batch(spark, root, raw_path, log_path, rule_loaded_at())
     return root, raw_path, log_path
@@ -103,7 +112,7 @@ def ingest_incremental_files(spark, sf_dir) -> DataFrame:
 
 
 def stream_ingest(spark, sf_dir) -> DataFrame:
-    """Streaming (availableNow) ingest of a staged lake, run twice; the raw table."""
+    """Streaming (availableNow) ingest of a staged lake in several micro-batches, run twice; the raw table."""
     _, raw_path, _ = _ingested(spark, sf_dir, stream=True)
     return spark.read.schema(schema.RAW_SCHEMA).parquet(raw_path)
 
@@ -116,13 +125,16 @@ def load_log_upsert(spark, sf_dir) -> DataFrame:
 
 
 def truncate_file(spark: SparkSession, path: str) -> None:
-    """Cut a file to half its length through the cluster's file system (a
-    stand-in for an upload that broke off)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    keep = max(8, fs.getFileStatus(p).getLen() // 2)
-    buf = spark.sparkContext._gateway.new_array(jvm.byte, keep)
+    """Cut a file to half its length (a stand-in for an upload that broke off)."""
+    rewrite_file(spark, path, lambda data: data[:max(8, len(data) // 2)])
+
+
+def rewrite_file(spark: SparkSession, path: str, change) -> None:
+    """Replace a file's bytes by ``change(bytes)`` through the cluster's file system."""
+    from paylake.session import hadoop_path
+    fs, p = hadoop_path(spark, path)
+    n = fs.getFileStatus(p).getLen()
+    buf = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.byte, n)
     stream = fs.open(p)
     try:
         stream.readFully(0, buf)
@@ -130,16 +142,50 @@ def truncate_file(spark: SparkSession, path: str) -> None:
         stream.close()
     out = fs.create(p, True)
     try:
-        out.write(buf)
+        out.write(change(bytearray(b & 0xFF for b in buf)))
     finally:
         out.close()
 
 
+def damaged_pages(data: bytearray) -> bytearray:
+    """Zeros over the first half of the column data; the footer stays readable."""
+    footer = int.from_bytes(data[-8:-4], "little")
+    end = len(data) - 8 - footer
+    data[4:4 + end // 2] = bytes(end // 2)
+    return data
+
+
+FAULT_YEAR = 2099  # folder of the added files, outside the stand-in rows' dates
+
+
+def add_faulty_files(spark: SparkSession, rows: DataFrame, root: str) -> None:
+    """Beside the lake's files, one file per fault under ``year=2099``, named by
+    its folder: a NULL in each NOT NULL column, an overflowing amount, an amount
+    stored as text, damaged pages; and two good ones, one with an untyped column."""
+    row = rows.filter("txn_id IS NOT NULL AND failure_reason IS NULL").orderBy("txn_id").limit(1)
+
+    def folder(df, name):
+        (df.coalesce(1).write.mode("append").parquet(f"{root}/year={FAULT_YEAR}/month=01/city_part={name}"))
+    for name, kind in schema.LAKE_FIELDS:
+        if name not in (*schema.RAW_NULLABLE, "is_festival"):  # is_festival has a default
+            folder(row.withColumn(name, F.lit(None).cast(kind)), f"null_{name}")
+    folder(row.withColumn("amount_inr", F.lit(1e12)), "overflow")
+    folder(row.withColumn("amount_inr", F.lit("12.5")), "wrong_type")
+    folder(row.withColumn("txn_id", F.concat("txn_id", F.lit("D"))), "damaged_pages")
+    folder(row.withColumn("txn_id", F.concat("txn_id", F.lit("G"))), "good")
+    folder(row.withColumn("txn_id", F.concat("txn_id", F.lit("U"))).withColumn("failure_reason", F.lit(None)),
+           "untyped")
+    files = lake.file_listing(spark, root).filter(F.col("object_key").contains("city_part=damaged_pages/"))
+    rewrite_file(spark, files.first().object_key, damaged_pages)
+
+
 def ingest_failed_files(spark, sf_dir) -> DataFrame:
-    """Truncate the first file of the lake, ingest, and report failed files."""
+    """Truncate the first file of the lake, add a file of every other fault,
+    ingest, and report failed files."""
     root = staged_lake(spark, sf_dir)
     first = lake.file_listing(spark, root).select("object_key").orderBy("object_key").first()[0]
     truncate_file(spark, first)
+    add_faulty_files(spark, adapter.lake_rows(spark, sf_dir), root)
     raw_path, log_path = scratch_path(spark, "raw"), scratch_path(spark, "load-log")
     ingest.ingest_batch(spark, root, raw_path, log_path, rule_loaded_at())
     latest = ingest.latest_log(ingest.read_log(spark, log_path))
@@ -177,8 +223,10 @@ def anti_loaded_keys(spark, sf_dir) -> DataFrame:
 def materialize_table(spark, sf_dir) -> DataFrame:
     """dim_location written as a full-rebuild table and read back."""
     from paylake.plans.registry import Inputs
+    from paylake.operators.publish import rebuild_table
     path = scratch_path(spark, "dim_location")
-    Inputs(spark, sf_dir).dims.location.write.mode("overwrite").parquet(path)
+    for _ in range(2):  # the second rebuild swaps the first one out
+        rebuild_table(Inputs(spark, sf_dir).dims.location, path)
     return spark.read.parquet(path)
 
 
@@ -187,13 +235,13 @@ def _two_runs(spark, sf_dir, second_model=None):
     path = scratch_path(spark, "fact")
     models.fact_incremental(spark, first_run_rows(raw), path)
     target = spark.read.parquet(path)
-    cutoff_value = target.agg((F.max("created_at") - F.expr("INTERVAL 1 HOUR")).alias("c")).first()[0]
+    cutoff = models.lookback_cutoff(target)
     if second_model is None:
         models.fact_incremental(spark, raw, path)
     else:
         from paylake.operators.upsert import upsert
-        upsert(spark, second_model(raw, F.lit(cutoff_value)), path)
-    return raw, path, cutoff_value
+        upsert(spark, second_model(raw, cutoff), path)
+    return raw, path, cutoff
 
 
 def fact_incremental_upsert(spark, sf_dir) -> DataFrame:
@@ -222,28 +270,29 @@ def late_rows_audit(spark, sf_dir) -> DataFrame:
     path = scratch_path(spark, "fact")
     models.fact_incremental(spark, first_run_rows(raw), path)
     target = spark.read.parquet(path)
-    cutoff = target.agg((F.max("created_at") - F.expr("INTERVAL 1 HOUR")).alias("c")).first()[0]
+    cutoff = models.lookback_cutoff(target)
     models.fact_incremental(spark, raw, path)
     fact = spark.read.parquet(path)
-    return models.late_rows(raw, fact, F.lit(cutoff)).select("txn_id", "created_at", "amount_inr")
+    return models.late_rows(raw, fact, cutoff).select("txn_id", "created_at", "amount_inr")
 
 
 def stream_dedup_1h(spark, sf_dir) -> DataFrame:
-    """Raw rows streamed through a one-hour watermark dedup on txn_id; the ids kept."""
-    from paylake.streaming.jobs import stream_dedup
+    """Raw rows streamed in eight micro-batches through the redelivery dedup; the ids kept."""
+    from paylake.streaming.jobs import read_deduplicated, stream_dedup
     raw_dir, out = scratch_path(spark, "raw"), scratch_path(spark, "dedup")
-    adapter.raw_rows(spark, sf_dir).write.parquet(raw_dir)
-    stream_dedup(spark, raw_dir, out, scratch_path(spark, "dedup-ckpt"))
-    return spark.read.parquet(out).select("txn_id")
+    adapter.raw_rows(spark, sf_dir).repartition(8).write.parquet(raw_dir)
+    stream_dedup(spark, raw_dir, out, scratch_path(spark, "dedup-ckpt"), max_files_per_batch=1)
+    return read_deduplicated(spark, out).select("txn_id")
 
 
 def stream_fact_upsert(spark, sf_dir) -> DataFrame:
-    """Lake files streamed into raw and on into the fact in one streaming query; the fact."""
+    """Lake files streamed in several micro-batches into raw, then the fact brought up to date; the fact."""
     from paylake.streaming.jobs import stream_fact
     root = shared_lake(spark, sf_dir)
     raw_path, log_path = scratch_path(spark, "raw"), scratch_path(spark, "load-log")
     fact_path = scratch_path(spark, "fact")
-    stream_fact(spark, root, raw_path, log_path, fact_path, scratch_path(spark, "fact-ckpt"), rule_loaded_at())
+    stream_fact(spark, root, raw_path, log_path, fact_path, scratch_path(spark, "fact-ckpt"), rule_loaded_at(),
+                MICRO_BATCH_FILES)
     return spark.read.parquet(fact_path).select(*schema.FACT_COLUMNS)
 
 

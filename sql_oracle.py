@@ -500,18 +500,20 @@ def _rule(name: str, violated: str) -> str:
 _CITY_IN = ", ".join(q(c) for c in relations.source_city_names())
 _APP_IN = ", ".join(q(a) for a in fixed.SOURCE_APP_NAMES)
 _STATUS_IN = ", ".join(q(s) for s in fixed.STATUSES)
-ROW_RULES = [
-    _rule("txn_id_not_null", "txn_id IS NULL"),
-    _rule("txn_id_prefix", "NOT COALESCE(starts_with(txn_id, 'TXN'), FALSE)"),
-    _rule("hour_in_range", "NOT COALESCE(txn_hour BETWEEN 0 AND 23, FALSE)"),
-    _rule("sender_upi_has_at", "NOT COALESCE(contains(sender_upi, '@'), FALSE)"),
-    _rule("receiver_upi_has_at", "NOT COALESCE(contains(receiver_upi, '@'), FALSE)"),
-    _rule("amount_positive", "NOT COALESCE(amount_inr > 0, FALSE)"),
-    _rule("status_valid", f"NOT COALESCE(status IN ({_STATUS_IN}), FALSE)"),
-    _rule("reason_null_on_success", "status = 'SUCCESS' AND failure_reason IS NOT NULL"),
-    _rule("reason_set_on_failed", "status = 'FAILED' AND failure_reason IS NULL"),
-    _rule("city_known", f"NOT COALESCE(city IN ({_CITY_IN}), FALSE)"),
-    _rule("app_known", f"NOT COALESCE(upi_app IN ({_APP_IN}), FALSE)"),
+ROW_CONDITIONS = [
+    ("txn_id_not_null", "txn_id IS NULL"),
+    ("txn_id_prefix", "NOT COALESCE(starts_with(txn_id, 'TXN'), FALSE)"),
+    ("hour_in_range", "NOT COALESCE(txn_hour BETWEEN 0 AND 23, FALSE)"),
+    ("sender_upi_has_at", "NOT COALESCE(contains(sender_upi, '@'), FALSE)"),
+    ("receiver_upi_has_at", "NOT COALESCE(contains(receiver_upi, '@'), FALSE)"),
+    ("amount_positive", "NOT COALESCE(amount_inr > 0, FALSE)"),
+    ("status_valid", f"NOT COALESCE(status IN ({_STATUS_IN}), FALSE)"),
+    ("reason_null_on_success", "status = 'SUCCESS' AND failure_reason IS NOT NULL"),
+    ("reason_set_on_failed", "status = 'FAILED' AND failure_reason IS NULL"),
+    ("city_known", f"NOT COALESCE(city IN ({_CITY_IN}), FALSE)"),
+    ("app_known", f"NOT COALESCE(upi_app IN ({_APP_IN}), FALSE)"),
+]
+ROW_RULES = [_rule(name, cond) for name, cond in ROW_CONDITIONS] + [
     "SELECT 'txn_id_unique' AS rule, CAST(COUNT(*) AS BIGINT) AS failures FROM "
     "(SELECT txn_id FROM lake WHERE txn_id IS NOT NULL GROUP BY txn_id HAVING COUNT(*) > 1)",
     "SELECT 'required_columns' AS rule, CAST(0 AS BIGINT) AS failures",
@@ -596,10 +598,12 @@ SCENARIO_SQL = {
     "scan_partition_pruned": with_ctes(
         ["lake"], "SELECT * FROM lake_k WHERE month = '01' AND city_part = 'Mumbai'", [LAKE_K]),
     "sink_max_rows_per_file": with_ctes(
-        ["lake"],
-        f"SELECT year, month, city_part, CAST((COUNT(*) + {MAX_ROWS - 1}) // {MAX_ROWS} AS BIGINT) AS files, "
-        f"CAST(LEAST(COUNT(*), {MAX_ROWS}) AS BIGINT) AS max_rows, CAST(COUNT(*) AS BIGINT) AS rows "
-        "FROM lake_k GROUP BY 1, 2, 3", [LAKE_K]) if (MAX_ROWS := 3) else "",
+        ["lake"], "SELECT year, month, city_part, FALSE AS over_cap, CAST(COUNT(*) AS BIGINT) AS rows "
+        "FROM lake_k GROUP BY 1, 2, 3", [LAKE_K]),
+    "ordered_file_listing": with_ctes(
+        ["lake"], "SELECT year, month, city_part, row_number() OVER (ORDER BY 'year=' || year || '/month=' || month "
+        "|| '/city_part=' || city_part) AS place FROM (SELECT DISTINCT year, month, city_part FROM lake_k) x",
+        [LAKE_K]),
     "ingest_incremental_files": with_ctes(LAKE_BASE, "SELECT * FROM ingested", INGESTED),
     "stream_ingest": with_ctes(LAKE_BASE, "SELECT * FROM ingested", INGESTED),
     "load_log_upsert": with_ctes(
@@ -612,7 +616,11 @@ SCENARIO_SQL = {
         ["lake"],
         "SELECT year, month, city_part, 'failed' AS status FROM folder_bad UNION "
         "SELECT * FROM (SELECT year, month, city_part, 'failed' AS status FROM lake_k "
-        "ORDER BY year, month, city_part LIMIT 1)", [LAKE_K, FOLDER_BAD]),
+        "ORDER BY year, month, city_part LIMIT 1) UNION SELECT 2099 AS year, '01' AS month, "
+        "unnest(['null_txn_id', 'null_amount_inr', 'null_city', 'null_merchant_category', 'null_upi_app', "
+        "'null_payment_type', 'null_status', 'null_txn_date', 'null_txn_hour', 'null_is_weekend', 'null_sender_upi', "
+        "'null_receiver_upi', 'null_device_type', 'null_created_at', 'overflow', 'wrong_type', 'damaged_pages']) "
+        "AS city_part, 'failed' AS status", [LAKE_K, FOLDER_BAD]),
     "sink_insert_if_absent": with_ctes(
         ["lake", "city_state"],
         "SELECT txn_id, city, amount_inr FROM b1 UNION ALL "
@@ -742,6 +750,34 @@ INV_FACT = {
 for _k, _body in INV_FACT.items():
     SQL[_k] = with_ctes(["fact"], _body)
 
+SQL["fn_interval_arith"] = with_ctes(
+    ["enr"],
+    "SELECT txn_date, COUNT(*) AS rows, "
+    "CAST(date_trunc('month', txn_date) + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE) AS month_end, "
+    "CAST(txn_date - INTERVAL 7 DAY AS DATE) AS week_before, CAST(txn_date - INTERVAL 1 MONTH AS DATE) AS month_before, "
+    "date_trunc('month', txn_date) + INTERVAL 1 MONTH - INTERVAL 1 DAY <= txn_date + INTERVAL 1 DAY "
+    "AS ends_within_a_day FROM enr GROUP BY txn_date")
+_LOAD_NULL = " OR ".join(f"{c} IS NULL" for c in [
+    "txn_id", "a", "city", "merchant_category", "upi_app", "payment_type", "status", "txn_date", "txn_hour",
+    "is_weekend", "is_festival", "sender_upi", "receiver_upi", "device_type", "created_at"])
+SQL["fn_casts"] = with_ctes(
+    ["lake"],
+    "SELECT merchant_category, COUNT(*) FILTER (WHERE abs(a) < 1e10) AS fits, "
+    "COUNT(*) FILTER (WHERE abs(a) >= 1e10) AS overflows, COUNT(*) FILTER (WHERE a IS NULL) AS missing, "
+    f"COUNT(*) FILTER (WHERE abs(a) >= 1e10 OR {_LOAD_NULL}) AS refused, CAST(SUM(txn_hour) AS BIGINT) AS hours "
+    "FROM (SELECT *, CASE WHEN txn_hour = 0 THEN NULL WHEN txn_hour % 2 = 0 THEN CAST(amount_inr AS DOUBLE) * 1e9 "
+    "ELSE CAST(amount_inr AS DOUBLE) END AS a FROM lake) x GROUP BY merchant_category")
+_BROKEN = ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in ROW_CONDITIONS)
+SQL["dq_quarantine"] = with_ctes(
+    ["lake"], "SELECT * FROM (SELECT txn_id, amount_inr, city, created_at, "
+    f"concat_ws(',', {_BROKEN}) AS violations FROM lake) x WHERE violations <> ''")
+SQL["dq_negative_amounts_found"] = with_ctes(
+    ["ranked"], "SELECT txn_id, CAST(amount_inr AS DECIMAL(12,2)) AS amount_inr, upper(trim(status)) AS status "
+    "FROM ranked WHERE rn = 1 AND txn_id IS NOT NULL AND amount_inr <= 0")
+SQL["dq_success_rate_too_low"] = with_ctes(
+    ["fact"], "SELECT COUNT(*) AS total, CAST(SUM(is_success_int) AS BIGINT) AS successful FROM fact "
+    "WHERE status <> 'SUCCESS'")
+
 SAME_AS_SQL = {
     "stg_clean": "model_stg_transactions", "location_inner": "model_dim_location",
     "anti_orphan_fk": "dq_relationships", "agg_count_all": "panel_total_txns",
@@ -750,8 +786,8 @@ SAME_AS_SQL = {
     "agg_min_order": "panel_amount_buckets", "agg_group_month": "panel_monthly_volume",
     "share_of_total": "panel_device_share", "topk_cities": "panel_top_cities",
     "order_by_agg": "panel_merchant_split", "union_all": "panel_festival_vs_normal",
-    "fn_casts": "clean_on_load", "fn_date_trunc": "panel_monthly_volume",
-    "fn_interval_arith": "agg_max_scalar", "fn_round_half_up": "panel_success_by_tier",
+    "fn_date_trunc": "panel_monthly_volume",
+    "fn_round_half_up": "panel_success_by_tier",
 }
 for _k, _v in SAME_AS_SQL.items():
     SQL[_k] = SQL[_v]

@@ -38,33 +38,73 @@ def test_panel_reads_only_needed_columns(spark, tmp):
 
 
 def test_insert_if_absent_never_shuffles_raw(spark, tmp):
-    """raw streams its id column into a broadcast semi join with the staged batch."""
+    """raw streams its id column bucket by bucket, also when nothing may be broadcast."""
     from paylake.sources import ingest
-    raw_path, staged = f"{tmp}/raw", f"{tmp}/batch"
-    batch = adapter.raw_rows(spark, SF).filter("txn_id is not null")
-    batch.write.parquet(raw_path)
-    batch.write.parquet(staged)
-    rows = spark.read.parquet(staged)
-    present = spark.read.parquet(raw_path).select("txn_id").join(rows.select("txn_id"), "txn_id", "left_semi")
-    plan = _plan(rows.join(present, "txn_id", "left_anti"))
-    assert "LeftSemi" in plan and "BroadcastHashJoin" in plan
-    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    raw_path = f"{tmp}/raw"
+    batch = adapter.raw_rows(spark, SF).filter("txn_id is not null").dropDuplicates(["txn_id"])
+    ingest.insert_if_absent(spark, batch, raw_path)
+    n = spark.read.parquet(raw_path).count()
+    batch.write.parquet(f"{tmp}/batch")
+    rows = spark.read.parquet(f"{tmp}/batch")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+        absent = ingest.absent_rows(spark, rows, raw_path)
+        assert absent.count() == 0
+        plan = _plan(absent)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange") == 1, plan  # the batch's
     ingest.insert_if_absent(spark, batch, raw_path)  # every id is present: nothing is appended
+    assert spark.read.parquet(raw_path).count() == n
+
+
+def test_raw_made_by_another_writer_is_appended_to(spark, tmp):
+    from paylake.sources import ingest
+    raw_path = f"{tmp}/raw"
+    batch = adapter.raw_rows(spark, SF).filter("txn_id is not null").dropDuplicates(["txn_id"])
+    batch.filter("txn_hour < 12").write.parquet(raw_path)
+    ingest.insert_if_absent(spark, batch, raw_path)
     assert spark.read.parquet(raw_path).count() == batch.count()
 
 
 def test_incremental_cutoff_reaches_the_raw_scan(spark, tmp):
-    import datetime as dt
-
-    from pyspark.sql import functions as F
+    """The lookback literal that production uses is pushed into the raw scan."""
     raw_path = f"{tmp}/raw"
     adapter.raw_rows(spark, SF).write.parquet(raw_path)
     raw = spark.read.parquet(raw_path)
-    df = models.new_fact_rows(raw, F.lit(dt.datetime(2024, 6, 1)))
+    cutoff = models.lookback_cutoff(models.fact_from_raw(raw))
+    df = models.fact_from_raw(raw.filter(raw.created_at > cutoff))
     scans = [ln for ln in _plan(df).splitlines() if "FileScan parquet" in ln]
     assert any("PushedFilters" in ln and "GreaterThan(created_at" in ln for ln in scans), scans
 
 
+def _scans(df, marker):
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "2000")  # whole paths in the plan
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum("Scan parquet" in ln and marker in ln for ln in plan.split("== Initial Plan ==")[0].splitlines())
+
+
+def test_reports_scan_each_table_once(spark, tmp):
+    from paylake.plans import inventory, quality
+    from paylake.plans.inputs import Inputs
+    i = Inputs(spark, SF)
+    i.stg.write.parquet(f"{tmp}/stgtable")
+    models.fact_rows(models.int_enriched(i.stg)).write.parquet(f"{tmp}/facttable")
+    stg, fact = spark.read.parquet(f"{tmp}/stgtable"), spark.read.parquet(f"{tmp}/facttable")
+    dims = models.Dims(models.dim_date(spark), models.location_mapping(spark), models.dim_merchant(spark),
+                       models.dim_upi_app(spark), models.dim_payment_type(spark))
+    for df in (quality.dq_report(stg, fact, dims), quality.dq_unique(stg, fact, dims)):
+        assert (_scans(df, "stgtable"), _scans(df, "facttable")) == (1, 1)
+    i.fact, i.stg = fact, stg
+    assert _scans(inventory.filter_boolean(i), "facttable") == 1
+    assert _scans(inventory.src_values_dims(i), "stgtable") == 1
+    i.raw.write.parquet(f"{tmp}/rawtable")
+    i.raw = spark.read.parquet(f"{tmp}/rawtable")
+    assert _scans(inventory.stg_filter_valid(i), "rawtable") == 1
+
+
 def test_shuffle_is_sized_to_the_input(spark, monkeypatch, tmp):
     import paylake.session as S
     before = spark.conf.get("spark.sql.shuffle.partitions")
