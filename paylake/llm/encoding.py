@@ -16,13 +16,17 @@ from __future__ import annotations
 
 import hashlib
 import os
+from array import array
 from itertools import chain
 
 import numpy as np
 
-# Pieces a worker remembers, and the longest piece worth remembering.
+# Pieces in one generation of a worker's memo, and the longest piece worth remembering.
 MEMO_PIECES = 400_000
 MEMO_CHARS = 64
+# A closing mark after a Latin letter is a pre-token of its own.
+MARKS = ",.;:!?"
+LATIN_END = "\u0250"
 
 
 def default_vocabulary() -> str:
@@ -36,63 +40,105 @@ def read_vocabulary(path: str | None = None) -> str:
 
 
 class PieceEncoder:
-    """``record`` turns an Encoding into what is remembered of a piece;
-    ``join`` makes a text's result of the records of its pieces."""
+    """Remembers what ``record`` makes of a piece's Encoding.
+
+    The memo has two generations: when the young one is full it becomes the
+    old one, and pieces seen again move back to the young one, so frequent
+    pieces stay and memory is bounded.
+    """
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.memo: dict[str, object] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.marks = dict(zip(MARKS, map(self.record, self.batch(list(MARKS)))))
 
     def batch(self, texts: list[str]):
         raise NotImplementedError
 
-    def record(self, encoding):
+    def record(self, encoding) -> bytes:
+        raise NotImplementedError
+
+    def closed(self, record: bytes, chars: int, mark: bytes) -> bytes:
+        """The record of a piece of ``chars`` characters and a closing mark."""
         raise NotImplementedError
 
-    def pieces(self, texts: list[str]) -> list[list[object] | None]:
+    def pieces(self, texts: list[str]) -> list[list[bytes] | None]:
         """Records of the pieces of every text; None where the text has to be
         encoded whole. Pieces after the first keep the space before them."""
         split = [t.split(" ") for t in texts]
-        if len(self.memo) > MEMO_PIECES:
-            self.memo.clear()
-        first = self._encoded({p[0] for p in split}, "")
-        new = self._encoded(set(chain.from_iterable(p[1:] for p in split)).difference(self.memo), " ")
-        self.memo.update((p, r) for p, r in new.items() if len(p) <= MEMO_CHARS)
-        known = _Either(new, self.memo)
-        out = []
-        for parts in split:
+        heads = [p.pop(0) for p in split]
+        first = dict(self._encoded(set(heads), ""))
+        if len(self.young) > MEMO_PIECES:
+            self.young, self.old = {}, self.young
+        self._remember(set(chain.from_iterable(split)).difference(self.young))
+        known, out = self.young.__getitem__, []
+        for head, parts in zip(heads, split):
             try:
-                out.append([first[parts[0]], *map(known.__getitem__, parts[1:])])
+                out.append([first[head], *map(known, parts)])
             except KeyError:
                 out.append(None)
+        for p in [p for p in self.long if p in self.young]:
+            del self.young[p]
         return out
 
-    def _encoded(self, pieces: set[str], before: str) -> dict[str, object]:
-        """Records of the pieces that do not depend on their neighbours."""
+    def _remember(self, pieces: set[str]) -> None:
+        young, old = self.young, self.old
+        again = pieces & old.keys()
+        young.update((p, old[p]) for p in again)
+        pieces -= again
+        ends = {p for p in pieces if len(p) > 1 and p[-1] in self.marks and p[-2] < LATIN_END and p[-2].isalpha()
+                and not p[0].isspace()}
+        bases = {p[:-1] for p in ends}
+        moved = (bases & old.keys()) - young.keys()
+        young.update((p, old[p]) for p in moved)
+        young.update(self._encoded((pieces - ends) | (bases - young.keys()), " "))
+        young.update((p, self.closed(young[p[:-1]], len(p), self.marks[p[-1]])) for p in ends)
+        self.long = [p for p in chain(pieces, bases) if len(p) > MEMO_CHARS]
+
+    def _encoded(self, pieces: set[str], before: str):
+        """(piece, record) of the pieces that do not depend on their neighbours."""
         todo = [p for p in pieces if p and not p[0].isspace() and not p[-1].isspace()]
-        return dict(zip(todo, map(self.record, self.batch([before + p for p in todo]))))
-
-
-class _Either(dict):
-    def __init__(self, new: dict, memo: dict):
-        super().__init__(new)
-        self.memo = memo
-
-    def __missing__(self, piece):
-        return self.memo[piece]
+        return zip(todo, map(self.record, self.batch([before + p for p in todo])))
 
 
 class IdEncoder(PieceEncoder):
-    """Texts to their ids as little-endian unsigned 32-bit numbers."""
+    """Texts to their ids as little-endian unsigned 32-bit numbers. New pieces
+    are encoded some thousand at a time as one text; a piece begins at every
+    token that begins with a space, as there are no other spaces in it."""
+
+    def __init__(self, vocabulary: str):
+        super().__init__(vocabulary)
+        vocab = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocab.values()) + 1, bool)
+        self.opens[[i for token, i in vocab.items() if token.startswith("\u0120")]] = True  # a space's byte
 
     def batch(self, texts):
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
     def record(self, encoding) -> bytes:
-        return np.array(encoding.ids, "<u4").tobytes()
+        return array("I", encoding.ids).tobytes()
+
+    def closed(self, record, chars, mark):
+        return record + mark
+
+    def _encoded(self, pieces, before):
+        if before != " ":
+            yield from super()._encoded(pieces, before)
+            return
+        todo = [p for p in pieces if p and not p[0].isspace() and not p[-1].isspace()]
+        for i in range(0, len(todo), 4096):
+            part = todo[i:i + 4096]
+            ids = np.array(self.batch([" " + " ".join(part)])[0].ids, "<u4")
+            starts = np.flatnonzero(self.opens[ids])
+            if len(starts) != len(part):  # a vocabulary that merges across these cuts
+                yield from zip(part, map(self.record, self.batch([" " + p for p in part])))
+                continue
+            raw, at = ids.tobytes(), (4 * starts).tolist()
+            yield from zip(part, (raw[x:y] for x, y in zip(at, [*at[1:], len(raw)])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out = [None if p is None else b"".join(p) for p in self.pieces(texts)]

@@ -16,6 +16,9 @@ result.
 
 from __future__ import annotations
 
+from array import array
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,7 +38,10 @@ class SpanEncoder(PieceEncoder):
         return self.tokenizer.encode_batch(texts, add_special_tokens=False)
 
     def record(self, encoding) -> bytes:
-        return np.array(encoding.offsets, "<i4").tobytes()
+        return array("i", chain.from_iterable(encoding.offsets)).tobytes()
+
+    def closed(self, record, chars, mark):
+        return record + array("i", [chars, chars + 1]).tobytes()  # the space counts too
 
     def spans(self, texts: list[str]) -> list[np.ndarray]:
         out = []
