@@ -32,9 +32,10 @@ MIN_WORDS = 50
 # A group's own fence needs this many measured documents.
 MIN_GROUP = 200
 # Multiple of the quartile distance, and the least distance (in the ratio's
-# scaled unit) that a fence keeps from the quartile.
+# scaled unit) that a fence keeps from the quartile. Ratios over a few lines
+# are coarse: one repeated line of three is 333, and no fault by itself.
 SPREAD = 3
-MARGINS = {"symbols": 100, "repeats": 300, "dup_lines": 300, "word_length": 200}
+MARGINS = {"symbols": 100, "repeats": 450, "dup_lines": 500, "word_length": 200}
 TWO_SIDED = ("word_length",)
 
 _METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")

@@ -84,7 +84,8 @@ fence AS (
   SELECT lang, source, metric, lvl, count(*) AS n, quantile_disc(low, 0.25) AS q25, quantile_disc(low, 0.75) AS q75
   FROM levels GROUP BY ALL),
 bounds AS (
-  SELECT *, greatest(3 * (q75 - q25), CASE metric WHEN 'symbols' THEN 100 WHEN 'word_length' THEN 200 ELSE 300 END)
+  SELECT *, greatest(3 * (q75 - q25), CASE metric WHEN 'symbols' THEN 100 WHEN 'word_length' THEN 200
+                                               WHEN 'repeats' THEN 450 ELSE 500 END)
          AS reach FROM fence),
 used AS (
   SELECT r.doc_id, r.metric, r.v,
