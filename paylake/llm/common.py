@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.session import scratch_path
+from paylake.session import scratch_path, ship_package
 
 # The six ASCII white-space characters 0x20 and 0x09-0x0D. A word is a longest
 # run of anything else; ``bytes.split()`` cuts UTF-8 text at exactly these.
@@ -17,6 +17,7 @@ BROADCAST_ROWS = 200_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)  # the operators' tasks import this package
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -24,6 +25,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the cluster's shared folder and read back: cuts the
     lineage (a lost executor does not undo finished work) and gives exact sizes."""
     spark = df.sparkSession
+    ship_package(spark)
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -103,11 +103,9 @@ def split_quotas(quotas: DataFrame, n_shards: int, seed: int = SEED) -> DataFram
         F.col("idx").cast("int").alias("idx"), F.col("q").cast("long").alias("q")))).alias("parts"))
     tree = tree.select(F.lit(0).alias("lo"), F.lit(n_shards).alias("hi"), "parts",
                        F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + p["q"]).alias("total"))
-    # places of shards [0, s) of the n_shards, out of all blocks
-    whole = tree.select(F.col("total").alias("whole"))
-    tree = tree.join(F.broadcast(whole))  # one row
+    tree = tree.withColumn("whole", F.col("total"))  # handed down to every node
 
-    def places(shard):
+    def places(shard):  # of shards [0, shard), out of all blocks
         return F.floor(shard.cast("long") * F.col("whole") / n_shards).cast("long")
     for depth in range(math.ceil(math.log2(n_shards)) if n_shards > 1 else 0):
         mid = F.floor((F.col("lo") + F.col("hi") + 1) / 2).cast("int")
