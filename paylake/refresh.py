@@ -52,6 +52,8 @@ def run(spark: SparkSession, lake_root: str, warehouse: str, stream: bool = Fals
     report.write.mode("overwrite").parquet(f"{root}/tests/dq_report")
     report = spark.read.parquet(f"{root}/tests/dq_report")
     failed = [r.asDict() for r in report.filter("failures > 0").collect()]  # at most 46 rows
+    # rows that break a rule of the source, with the rules' names (a side output)
+    quality.quarantine(latest).write.mode("overwrite").parquet(f"{root}/tests/quarantine")
     board = panels.refresh_dashboard(fact, dims, f"{root}/dashboard/base")
     for name, df in board.items():
         df.coalesce(1).write.mode("overwrite").parquet(f"{root}/dashboard/{name}")
@@ -60,6 +62,7 @@ def run(spark: SparkSession, lake_root: str, warehouse: str, stream: bool = Fals
         "files_loaded": log.filter("status = 'success'").count(),
         "files_failed": log.filter("status = 'failed'").count(),
         "tests": report.count(), "tests_failed": failed,
+        "rows_quarantined": spark.read.parquet(f"{root}/tests/quarantine").count(),
         "tables": paths,
     }
 
