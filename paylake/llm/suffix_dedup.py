@@ -130,11 +130,12 @@ def _windows(texts: pa.Array, matching: pa.Array, passage: pa.Array, seed: pa.Ar
     """Start and hash of the windows whose minimiser is among the matching seeds."""
     cols: list[list] = [[], [], []]
     k, s = (passage[0].as_py(), seed[0].as_py()) if len(texts) else (1, 1)
-    for t, seen in zip(texts.to_pylist(), matching.to_pylist()):
-        h = word_hashes(t)
+    at_seed, all_seeds = matching.offsets.to_pylist(), matching.values.to_numpy()
+    for t, a, b in zip(texts.to_pylist(), at_seed, at_seed[1:]):
+        h, seen = word_hashes(t), all_seeds[a:b]
         seeds = gram_hashes(h, s)
         at = minimisers(seeds, k - s + 1)
-        starts = np.flatnonzero(np.isin(seeds[at].view(np.int64), np.array(seen, np.int64)))
+        starts = np.flatnonzero(np.isin(seeds[at].view(np.int64), seen))
         cols[0].append(starts.astype(np.int32))
         for c, base in ((1, _B1), (2, _B2)):
             cols[c].append(gram_hashes(h, k, base)[starts].view(np.int64))
@@ -238,30 +239,36 @@ def repeated_windows(docs: DataFrame, passage: int = PASSAGE, seed: int = SEED_W
 
 _SPAN = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
                                   T.StructField("other", T.LongType())]))
-_ARROW_SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("other", pa.int64())]))
 
 
-def merge_windows(windows: list[dict], passage: int) -> list[dict]:
-    """Overlapping or touching windows of one document as maximal passages."""
-    out: list[dict] = []
-    for w in sorted(windows, key=lambda w: w["start"]):
-        if out and w["start"] <= out[-1]["end"]:
-            out[-1] |= {"end": w["start"] + passage, "other": min(out[-1]["other"], w["other"])}
-        else:
-            out.append({"start": w["start"], "end": w["start"] + passage, "other": w["other"]})
-    return out
+def merge_windows(doc: np.ndarray, start: np.ndarray, other: np.ndarray, passage: int):
+    """Overlapping or touching windows of each document (numbers ``doc``) as
+    maximal passages: doc, start, end and least other, by doc and start."""
+    order = np.lexsort((start, doc))
+    doc, start, other = doc[order], start[order], other[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + passage)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(doc)) - 1
+    return doc[first], start[first], start[last] + passage, (np.minimum.reduceat(other, first) if len(first) else other)
 
 
 @F.arrow_udf(_SPAN)
 def _passages(windows: pa.Array, passage: pa.Array) -> pa.Array:
-    k = passage[0].as_py() if len(windows) else 1
-    return pa.array([merge_windows(ws, k) for ws in windows.to_pylist()], _ARROW_SPAN)
+    n = len(windows)
+    flat, sizes = windows.flatten(), np.diff(windows.offsets.to_numpy())
+    doc, start, end, other = merge_windows(
+        np.repeat(np.arange(n), sizes), flat.field("start").to_numpy(zero_copy_only=False),
+        flat.field("other").to_numpy(zero_copy_only=False), passage[0].as_py() if n else 1)
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=n))]).astype(np.int32)
+    spans = pa.StructArray.from_arrays([pa.array(start), pa.array(end), pa.array(other)], ["start", "end", "other"])
+    return pa.ListArray.from_arrays(pa.array(offsets), spans)
 
 
 def _spans(windows: DataFrame, passage: int) -> DataFrame:
     """(id, key, spans): a document's windows meet here, at most its own words."""
     w = F.struct("start", F.coalesce("prev", "next").alias("other"))
-    return windows.groupBy("id", "key").agg(F.collect_set(w).alias("ws")).select(
+    return windows.groupBy("id", "key").agg(F.collect_list(w).alias("ws")).select(
         "id", "key", _passages("ws", F.lit(passage)).alias("spans"))
 
 
