@@ -39,6 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
 
 from paylake.llm.common import fresh, row_key, staged, text_of
 
@@ -203,16 +204,15 @@ def matching_neighbours(rows: DataFrame, hashes: list[str], rest: list[str]) ->
                           + [T.StructField("edge", T.BooleanType())])
     found = staged(rows.select(*order, *rest).repartitionByRange(*order).sortWithinPartitions(*order)
                    .mapInArrow(_neighbours(hashes, rest), schema), "suffix-neighbours")
-    # ranges meet at their first and last runs: two per task
+    # Ranges meet at their first and last runs, two per task: among those of a
+    # hash, in order of id, the runs next to each other are the neighbours.
     edges = found.where("edge")
-    others = edges.select(*[F.col(h).alias(f"o_{h}") for h in hashes], F.col("id").alias("o_id")).distinct()
-    near = (edges.join(others, [F.col(h) == F.col(f"o_{h}") for h in hashes])
-            .groupBy(*order, *rest)
-            .agg(F.max("prev").alias("prev"), F.min("next").alias("next"),
-                 F.max(F.when(F.col("o_id") < F.col("id"), F.col("o_id"))).alias("o_prev"),
-                 F.min(F.when(F.col("o_id") > F.col("id"), F.col("o_id"))).alias("o_next"))
-            .select(*order, *rest, F.coalesce("prev", "o_prev").alias("prev"),
-                    F.coalesce("next", "o_next").alias("next")))
+    beside = W.partitionBy(*hashes).orderBy("id")
+    runs = edges.select(*order).distinct().select(
+        *[F.col(c).alias(f"o_{c}") for c in order], F.lag("id").over(beside).alias("o_prev"),
+        F.lead("id").over(beside).alias("o_next"))
+    near = edges.join(runs, [F.col(c) == F.col(f"o_{c}") for c in order]).select(
+        *order, *rest, F.coalesce("prev", "o_prev").alias("prev"), F.coalesce("next", "o_next").alias("next"))
     return (found.where("NOT edge").select(*order, *rest, "prev", "next").unionByName(near)
             .where("prev IS NOT NULL OR next IS NOT NULL"))
 
