@@ -6,7 +6,9 @@ by a space. Between two such cuts nothing depends on the surroundings, so a
 text is split at its spaces and every distinct piece is encoded once per
 worker by the tokenizers library. Where a piece is empty or has white space
 at an end (runs of spaces, spaces beside line breaks), the whole text is
-encoded in one call instead.
+encoded in one call instead. So is a text that holds the string of an added
+token, which the tokenizer looks for before any cut; with ``plain_special``
+the strings of special tokens are ordinary text.
 
 The vocabulary is a file named by a parameter; the driver reads it and ships
 its content, a megabyte or two, to the tasks.
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from array import array
 from itertools import chain
 
@@ -47,11 +50,14 @@ class PieceEncoder:
     pieces stay and memory is bounded.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, plain_special: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.tokenizer.encode_special_tokens = plain_special
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()
+                 if t.content and not (plain_special and t.special)]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.marks = dict(zip(MARKS, map(self.record, self.batch(list(MARKS)))))
@@ -66,10 +72,14 @@ class PieceEncoder:
         """The record of a piece of ``chars`` characters and a closing mark."""
         raise NotImplementedError
 
+    def holds_added(self, text: str) -> bool:
+        return self.added is not None and self.added.search(text) is not None
+
     def pieces(self, texts: list[str]) -> list[list[bytes] | None]:
         """Records of the pieces of every text; None where the text has to be
         encoded whole. Pieces after the first keep the space before them."""
-        split = [t.split(" ") for t in texts]
+        # an empty head has no record
+        split = [[""] if self.holds_added(t) else t.split(" ") for t in texts]
         heads = [p.pop(0) for p in split]
         first = dict(self._encoded(set(heads), ""))
         if len(self.young) > MEMO_PIECES:
@@ -110,8 +120,8 @@ class IdEncoder(PieceEncoder):
     are encoded some thousand at a time as one text; a piece begins at every
     token that begins with a space, as there are no other spaces in it."""
 
-    def __init__(self, vocabulary: str):
-        super().__init__(vocabulary)
+    def __init__(self, vocabulary: str, plain_special: bool = True):
+        super().__init__(vocabulary, plain_special)
         vocab = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocab.values()) + 1, bool)
         self.opens[[i for token, i in vocab.items() if token.startswith("\u0120")]] = True  # a space's byte
@@ -134,7 +144,8 @@ class IdEncoder(PieceEncoder):
             part = todo[i:i + 4096]
             ids = np.array(self.batch([" " + " ".join(part)])[0].ids, "<u4")
             starts = np.flatnonzero(self.opens[ids])
-            if len(starts) != len(part):  # a vocabulary that merges across these cuts
+            # a vocabulary that merges across these cuts, or an added token with a space in it
+            if len(starts) != len(part) or self.holds_added(" ".join(part)):
                 yield from zip(part, map(self.record, self.batch([" " + p for p in part])))
                 continue
             raw, at = ids.tobytes(), (4 * starts).tolist()
@@ -151,11 +162,11 @@ class IdEncoder(PieceEncoder):
 _ENCODERS: dict[tuple, PieceEncoder] = {}
 
 
-def encoder(kind: type[PieceEncoder], vocabulary: str) -> PieceEncoder:
+def encoder(kind: type[PieceEncoder], vocabulary: str, plain_special: bool = True) -> PieceEncoder:
     """The worker's encoder for a vocabulary, made once."""
-    key = (kind.__name__, hashlib.md5(vocabulary.encode()).hexdigest())
+    key = (kind.__name__, plain_special, hashlib.md5(vocabulary.encode()).hexdigest())
     if key not in _ENCODERS:
-        _ENCODERS[key] = kind(vocabulary)
+        _ENCODERS[key] = kind(vocabulary, plain_special)
     return _ENCODERS[key]
 
 

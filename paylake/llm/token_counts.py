@@ -95,9 +95,9 @@ _COUNTS = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("
 _ARROW = pa.struct([("n_tokens", pa.int64()), ("n_crossing", pa.int64()), ("section_tokens", pa.list_(pa.int64()))])
 
 
-def _counter(vocabulary, with_sections: bool):
+def _counter(vocabulary, with_sections: bool, plain_special: bool):
     def rows(texts, sections):
-        codec = encoder(SpanEncoder, vocabulary.value)
+        codec = encoder(SpanEncoder, vocabulary.value, plain_special)
         for i, j in slices(list(map(len, texts)), BATCH_CHARS):
             for t, spans, own in zip(texts[i:j], codec.spans(texts[i:j]), sections[i:j]):
                 if own is None:
@@ -121,12 +121,13 @@ def _counter(vocabulary, with_sections: bool):
 
 
 def count_tokens(docs: DataFrame, sections: str | None = None, vocabulary: str | None = None,
-                 counts: str | None = None) -> DataFrame:
+                 counts: str | None = None, plain_special: bool = True) -> DataFrame:
     """``docs`` with a struct: n_tokens, n_crossing and section_tokens. ``sections``
     names a column of disjoint ascending structs (start, end) in characters;
-    without it the lines of the text are the sections."""
+    without it the lines of the text are the sections. Strings of special tokens
+    are ordinary text, or with ``plain_special`` off their tokens."""
     vocab = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
-    run = _counter(vocab, sections is not None)
+    run = _counter(vocab, sections is not None, plain_special)
     cols = [text_of("text")] + ([F.col(sections)] if sections else [])
     return docs.withColumn(counts or fresh(docs, "counts"), run(*cols))
 

@@ -52,11 +52,11 @@ def open_store(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def _writer(folder: str, vocabulary, end_id: int, file_ids: int):
+def _writer(folder: str, vocabulary, end_id: int, file_ids: int, plain_special: bool):
     def run(batches):
         store, root = open_store(folder)
         store.create_dir(root, recursive=True)
-        codec, end = encoder(IdEncoder, vocabulary.value), end_id.to_bytes(4, "little")
+        codec, end = encoder(IdEncoder, vocabulary.value, plain_special), end_id.to_bytes(4, "little")
         part, seq, now = TaskContext.get().partitionId(), 0, None
 
         def closed():
@@ -86,15 +86,16 @@ def _writer(folder: str, vocabulary, end_id: int, file_ids: int):
 
 
 def write_tokens(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: int = END_ID,
-                 file_ids: int = FILE_IDS) -> DataFrame:
+                 file_ids: int = FILE_IDS, plain_special: bool = True) -> DataFrame:
     """Writes ``docs`` as token files below ``folder``; the manifest, with the
-    position ``base`` of each file's first id among all ids."""
+    position ``base`` of each file's first id among all ids. Strings of special
+    tokens are ordinary text, or with ``plain_special`` off their tokens."""
     vocab = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
     text = text_of("text")
     order = [F.col("doc_id").asc_nulls_first(), F.col("key").asc()]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), row_key(text).alias("key"))
     manifest = staged(rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-                      .mapInArrow(_writer(folder, vocab, end_id, file_ids), _MANIFEST), "token-manifest")
+                      .mapInArrow(_writer(folder, vocab, end_id, file_ids, plain_special), _MANIFEST), "token-manifest")
     before = W.orderBy("part", "seq").rowsBetween(W.unboundedPreceding, -1)  # one row per file
     return manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
@@ -134,5 +135,6 @@ def new_folder(spark: SparkSession) -> str:
 
 
 def op5_token_output(docs: DataFrame) -> DataFrame:
+    """Encoded as the tokenizer does by default: the string of a special token is that token."""
     folder = new_folder(docs.sparkSession)
-    return read_tokens(write_tokens(docs, folder), folder)
+    return read_tokens(write_tokens(docs, folder, plain_special=False), folder)

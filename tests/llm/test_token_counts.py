@@ -71,3 +71,12 @@ def test_given_sections_and_the_boundary_rule(spark, tokenizer):
 def test_ties_go_to_the_earlier_section():
     counts, crossing = tc.attribute(np.array([[0, 4], [4, 6], [6, 9], [20, 21]]), np.array([0, 5, 7]), np.array([5, 7, 10]))
     assert counts.tolist() == [2, 0, 1] and crossing == 2
+
+
+def test_special_tokens_as_tokens(spark):
+    from tokenizers import Tokenizer
+    default = Tokenizer.from_str(read_vocabulary())
+    texts = ["one<|endoftext|> two", "a\n<|endoftext|>\nb", "plain text"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = tc.count_tokens(df, counts="c", plain_special=False).select("c.*").collect()
+    assert [(r.n_tokens, r.n_crossing, r.section_tokens) for r in got] == [brute(default, t) for t in texts]

@@ -118,3 +118,43 @@ def test_query_on_a_table_and_on_none(spark, tokenizer):
     rows = pd.read_parquet(path)
     assert got == expected(list(zip(rows.doc_id.tolist(), rows.text.tolist())), tokenizer)
     assert token_files.op5_token_output(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+SPECIAL = ["one<|endoftext|> two", "<|endoftext|>", "a <|endoftext|> b <|endoftext|>\nc", "<|endoftext|", "endoftext|> x"]
+
+
+@pytest.fixture(scope="module")
+def default_tokenizer():
+    from tokenizers import Tokenizer
+    return Tokenizer.from_str(read_vocabulary())
+
+
+def test_special_tokens_by_the_default_tokenizer(default_tokenizer):
+    assert default_tokenizer.encode(SPECIAL[0], add_special_tokens=False).ids == [505, 50256, 734]
+    codec = IdEncoder(read_vocabulary(), plain_special=False)
+    for _ in range(2):
+        for text, got in zip(ODD + SPECIAL, codec.encode(ODD + SPECIAL)):
+            want = default_tokenizer.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(got, "<u4").tolist() == want, text
+
+
+def test_added_tokens_with_a_space_in_them():
+    from tokenizers import AddedToken, Tokenizer
+    t = Tokenizer.from_str(read_vocabulary())
+    t.add_tokens([AddedToken("big deal", normalized=False)])
+    t.add_special_tokens([AddedToken("<|a b|>", normalized=False)])
+    texts = ["a big deal", "big", "deal", "no big", "deal big", "x<|a b|>y", "x <|a", "b|> y"]
+    for plain in (False, True):
+        t.encode_special_tokens = plain
+        want = [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+        got = IdEncoder(t.to_str(), plain_special=plain).encode(texts)
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
+
+
+def test_query_and_pipeline_stage_take_special_tokens_as_tokens(spark, default_tokenizer):
+    import corpus_pipeline
+    docs = [(i, t) for i, t in enumerate(SPECIAL + ODD)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = expected(docs, default_tokenizer)
+    assert sorted(tuple(r) for r in token_files.op5_token_output(df).collect()) == want
+    assert sorted(tuple(r) for r in corpus_pipeline.token_output(spark, df, "").collect()) == want
