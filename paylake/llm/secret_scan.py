@@ -2,7 +2,9 @@
 
 Source and configuration syntax is read as name-literal pairs: ``name = "x"``,
 ``"name": "x"``, ``cfg["name"] = x``, ``name: str = "x"``, ``name => x``,
-``<name>x</name>``. Constants are propagated (``a = "x"`` followed by
+``<name>x</name>``. A quoted literal may have a string prefix (``b"x"``, ``f'x'``,
+``@"x"``) and be in triple quotes; those, backquoted and ``@`` literals may run
+over lines. Constants are propagated (``a = "x"`` followed by
 ``password = a`` points back at the literal), and a literal is scored by how
 sensitive its target name is and how much it looks like a credential. The
 fixed patterns ``assign``, ``access`` and ``hex`` are always reported; the
@@ -51,7 +53,12 @@ MIN_LITERAL = 6
 
 _NAME_CHARS = re.compile(r"[A-Za-z0-9_.\-]")
 _TYPE_HINT = re.compile(r"\s*[A-Za-z_][\w.]*(?:\[[\w., ]*\])?\s*=(?![=>])", re.A)
-_QUOTED = {q: re.compile(rf"{q}((?:[^{q}\\\n]|\\.)*){q}") for q in "\"'`"}
+_PREFIX = re.compile(r"""(?:[bfru]{1,2}|\$?@|@?\$)(?=["'])""", re.I | re.A)
+_QUOTED = {q: re.compile(rf"{q}((?:[^{q}\\\n]|\\[\s\S])*+){q}") for q in "\"'"}
+_QUOTED["`"] = re.compile(r"`((?:[^`\\]|\\[\s\S])*+)`")
+_TRIPLE = {3 * q: re.compile(rf"{q}{{3}}((?:[^{q}\\]|\\[\s\S]|{q}(?!{q}{q}))*+){q}{{3}}") for q in "\"'"}
+_VERBATIM = re.compile(r'"((?:[^"]|"")*+)"')  # no escapes but a doubled quote
+_BLANKS = re.compile(r"(?:\\\n|\s)*+")
 _BARE = re.compile(r"""[^\s"'`,;(){}\[\]<>]+""")
 _IDENT = re.compile(r"[A-Za-z_][\w.]*", re.A)
 _ELEMENT = re.compile(r"<([A-Za-z_][\w.\-]*)>([^<>\n]+)</\1>", re.A)
@@ -75,6 +82,29 @@ def literal_score(value: str) -> float:
     return min(1.0, 0.08 * entropy + 0.15 * classes + min(n, 40) / 100)
 
 
+def quoted(text: str, at: int) -> tuple[bool, tuple[int, int] | None]:
+    """Whether a quoted literal, prefix included, opens at ``at``, and the span
+    of what it holds: None when it is empty or not closed. White space at the
+    ends of a literal of several lines is left out."""
+    prefix = _PREFIX.match(text, at)
+    if prefix:
+        at = prefix.end()
+    quote = text[at:at + 1]
+    if quote not in _QUOTED:
+        return False, None
+    if prefix and "@" in prefix.group() and quote == '"' and text[at:at + 3] not in _TRIPLE:
+        lit = _VERBATIM.match(text, at)
+    else:
+        triple = _TRIPLE.get(text[at:at + 3])
+        lit = (triple and triple.match(text, at)) or _QUOTED[quote].match(text, at)
+    if not lit:
+        return True, None
+    start, end = lit.span(1)
+    if "\n" in lit[1]:
+        start, end = _BLANKS.match(text, start, end).end(), start + len(lit[1].rstrip())
+    return True, (start, end) if end > start else None
+
+
 def pairs(text: str):
     """(name, literal start, literal end, identifier or None) of every
     assignment, by position. An identifier on the right is a reference."""
@@ -98,10 +128,10 @@ def pairs(text: str):
             j = hint.end()
         while text[j:j + 1] in (" ", "\t"):
             j += 1
-        quote = text[j:j + 1]
-        if quote in _QUOTED:
-            if (lit := _QUOTED[quote].match(text, j)) and lit.end(1) > lit.start(1):
-                found.append((name, lit.start(1), lit.end(1), None))
+        opens, span = quoted(text, j)
+        if opens:
+            if span:
+                found.append((name, *span, None))
         elif lit := _BARE.match(text, j):
             end = lit.end()
             if text[end:end + 1] in ("(", "["):

@@ -72,3 +72,29 @@ def test_query(spark):
         assert ",".join(kept) == joined
     assert "findings" in df.columns and ss.scan_secrets(df).columns[:3] == df.columns
     assert ss.op2_secret_scan(df.limit(0)).count() == 0
+
+
+KEY = "kd93;;kK2x"
+
+
+@pytest.mark.parametrize("text, literal", [
+    *[(f"SECRET_KEY = {p}{q}{KEY}{q}", KEY) for p in ("b", "f", "r", "u", "B", "rb", "Rb", "@", "$", "$@", "@$") for q in "\"'"],
+    (f"SIGNING_SECRET: bytes = b'{KEY}'", KEY),
+    (f"{{u'db_pwd': u'{KEY}'}}", KEY),
+    (f'pwd = """{KEY}"""', KEY),
+    (f"pwd = '''{KEY}'''", KEY),
+    (f'pwd = b"""\\\n{KEY}\nzz"q""\n"""', f'{KEY}\nzz"q""'),
+    (f"pwd = '''\n  {KEY}\n'''\nx = '''y'''", KEY),
+    (f"const pwd = `{KEY}\nline two`;", f"{KEY}\nline two"),
+    (f'pwd = "{KEY}\\\nzz"', f"{KEY}\\\nzz"),
+    ('pwd = @"kd93\\;;""kK2x\\"; other = "x"', 'kd93\\;;""kK2x\\'),
+    (f'a = b"{KEY}"\npwd = a', KEY),
+])
+def test_lexer_finds_prefixed_and_long_quotes(text, literal):
+    assert [text[s:e] for s, k, e, _ in ss.scan_text(text) if k == "literal"] == [literal]
+
+
+@pytest.mark.parametrize("text", ['pwd = b""', 'pwd = """"""', 'pwd = """\nchangeme\n"""', f'pwd = """{KEY}', f"pwd = b'{KEY}",
+                                  f'pwd = "{KEY}\n"', f'b = "{KEY}"\npwd = b""', 'pwd = f"{vault.pwd(99)}"'])
+def test_lexer_leaves_empty_and_unclosed_quotes_alone(text):
+    assert [x for x in ss.scan_text(text) if x[1] == "literal"] == []
