@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylake.llm.common import fresh, text_of
+from paylake.llm.common import fresh, staged, text_of
 from paylake.llm.fm_index import FMIndex, ranges
 
 PHRASE_WORDS = 10
@@ -186,8 +186,12 @@ def _searcher(items):
 
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, hits: str | None = None) -> DataFrame:
     """``docs`` with ``n_words``, removal ``spans`` of words and ``items`` in a struct column."""
-    hits = hits or fresh(docs, "hits")
-    found = [_searcher(block)(text_of("text")) for block in item_blocks(benchmark)]
+    return _found(docs, [_searcher(block) for block in item_blocks(benchmark)], hits or fresh(docs, "hits"))
+
+
+def _found(docs: DataFrame, searchers: list, hits: str) -> DataFrame:
+    """``docs`` with the blocks' hits, merged."""
+    found = [run(text_of("text")) for run in searchers]
     if len(found) == 1:
         return docs.withColumn(hits, found[0])
     parts = fresh(docs, "llm_blocks")
@@ -218,15 +222,40 @@ def _cleaner(items):
     return run
 
 
+@F.arrow_udf(T.StringType())
+def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    rows = zip(texts.to_pylist(), spans.to_pylist())
+    return pa.array([without(t, [(s["start"], s["end"]) for s in cuts]) for t, cuts in rows], pa.string())
+
+
+def _cut_by_blocks(docs: DataFrame, blocks: list) -> DataFrame:
+    """What ``cleaned`` does, with the phrases in several blocks: all blocks'
+    spans of a text are merged and cut at once, and the texts that were cut are
+    searched again for all blocks until none has a span. Every round cuts
+    words, so the rounds end."""
+    hits, searchers = fresh(docs, "llm_hits"), [_searcher(block) for block in blocks]
+    hit = F.size(F.col(hits)["spans"]) > 0
+    out, todo = None, docs
+    while True:
+        found = staged(_found(todo, searchers, hits), "benchmark-hits")
+        clean = found.where(~hit).drop(hits)
+        out = clean if out is None else out.unionByName(clean)
+        if found.where(hit).isEmpty():
+            return out
+        todo = found.where(hit).withColumn("text", _cut(F.col("text"), F.col(hits)["spans"])).drop(hits)
+
+
 def remove_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with every occurrence of a phrase cut out of ``text`` (and
     ``n_chars`` set anew where a text changed); other rows stay as they are.
-    Words that a cut brings together are searched again for the same block's
-    phrases, not for those of an earlier block."""
+    Words that a cut brings together are searched again, so no occurrence is
+    left; the result does not depend on the size of the blocks."""
     was = fresh(docs, "llm_text")
-    out = docs.withColumn(was, F.col("text"))
-    for items in item_blocks(benchmark):
-        out = out.withColumn("text", _cleaner(items)(F.col("text")))
+    out, blocks = docs.withColumn(was, F.col("text")), list(item_blocks(benchmark))
+    if len(blocks) == 1:
+        out = out.withColumn("text", _cleaner(blocks[0])(F.col("text")))
+    else:
+        out = _cut_by_blocks(out, blocks)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("text") == F.col(was), F.col("n_chars"))
                              .otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))

@@ -126,3 +126,23 @@ def test_empty_tables(spark):
     assert [tuple(r)[1:4] for r in dc.op8_decontaminate(docs, none).collect()] == [(2, 0, 0)]
     assert dc.op8_decontaminate(docs.limit(0), none).count() == 0
     assert dc.remove_benchmark(docs, none).collect() == docs.collect()
+
+
+@pytest.mark.parametrize("block", [1, 60])
+def test_removal_does_not_depend_on_the_blocks(spark, monkeypatch, block):
+    docs, items = planted()
+    items = [("x", "q1 q2"), ("y", "p1 p2 p3"), ("z", "p3 p4 p5"), *[(str(i), t) for i, t in items]]
+    docs = [*docs, (900, "k q1 p1 p2 p3 q2 k"),  # the cut of a later block's phrase joins an earlier block's
+            (901, "k p1 p2 p3 p4 p5 k"),         # phrases of two blocks share a word
+            (902, "k q1 p3 p1 p2 p3 p4 p5 q2 k")]
+    df = spark.createDataFrame([(i, t, len(t or "")) for i, t in docs], "doc_id long, text string, n_chars int")
+    bench = spark.createDataFrame(items, "item_id string, text string").coalesce(1)
+    want = sorted(map(str, dc.remove_benchmark(df, bench).collect()))
+    monkeypatch.setattr(dc.item_blocks, "__defaults__", (block,))
+    assert len(list(dc.item_blocks(bench))) > 1
+    out = dc.remove_benchmark(df, bench)
+    rows = out.collect()
+    assert out.columns == df.columns and sorted(map(str, rows)) == want
+    left = {r.doc_id: r.text.split() for r in rows if r.doc_id in (900, 901)}
+    assert left == {900: ["k", "k"], 901: ["k", "k"]}
+    assert not any(r[5] for r in brute([(r.doc_id, r.text) for r in rows], items))
