@@ -12,6 +12,7 @@ from paylake.llm import (
     decontaminate,
     language_id,
     line_dedup,
+    merkle,
     mixing,
     quality,
     secret_scan,
@@ -21,6 +22,7 @@ from paylake.llm import (
     token_files,
 )
 from paylake.llm.common import read_table
+from paylake.llm.merkle_sql import OP13_SQL
 
 
 def _over(fn, *tables: str):
@@ -42,6 +44,7 @@ QUERIES = {
     "op8_decontaminate": _over(decontaminate.op8_decontaminate, "documents", "benchmark"),
     "op9_line_dedup": _over(line_dedup.op9_line_dedup, "documents"),
     "op10_token_counts": _over(token_counts.op10_token_counts, "documents"),
+    "op13_merkle_manifest": _over(merkle.op13_merkle_manifest, "documents"),
 }
 
 _SPACES = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
@@ -165,4 +168,5 @@ SELECT doc_id, min(i) - 1 AS start, max(i) + 49 AS "end", max(i) + 50 - min(i) A
 FROM grp GROUP BY doc_id, g
 """
 
-ORACLE_SQL = {"op1_suffix_dedup": OP1_SQL, "op8_decontaminate": OP8_SQL, "op4_quality_rules": OP4_SQL, "op9_line_dedup": OP9_SQL}
+ORACLE_SQL = {"op1_suffix_dedup": OP1_SQL, "op8_decontaminate": OP8_SQL, "op4_quality_rules": OP4_SQL, "op9_line_dedup": OP9_SQL,
+              "op13_merkle_manifest": OP13_SQL}
