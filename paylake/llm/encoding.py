@@ -23,9 +23,11 @@ from array import array
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Pieces in one generation of a worker's memo, and the longest piece worth remembering.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 800_000
 MEMO_CHARS = 64
 # A closing mark after a Latin letter is a pre-token of its own.
 MARKS = ",.;:!?"
@@ -115,16 +117,133 @@ class PieceEncoder:
         return zip(todo, map(self.record, self.batch([before + p for p in todo])))
 
 
-class IdEncoder(PieceEncoder):
-    """Texts to their ids as little-endian unsigned 32-bit numbers. New pieces
-    are encoded some thousand at a time as one text; a piece begins at every
-    token that begins with a space, as there are no other spaces in it."""
+def ragged(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """``values[start:start + length]`` of every entry, one after the other."""
+    ends = np.cumsum(length)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.arange(total) + np.repeat(start - (ends - length), length)]
+
+
+def _strings(pieces: pa.Array) -> list[str]:
+    """The pieces, which have no space, as Python strings."""
+    one = pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces)
+    joined = pc.binary_join(one, pa.scalar(" ", pieces.type))
+    return joined[0].as_py().split(" ")
+
+
+class IdTable:
+    """Texts to token ids, every distinct piece between spaces encoded once.
+
+    The pieces of a batch are found and numbered by Arrow, so that Python sees
+    each distinct piece once; ids are gathered by number. The ids of known
+    pieces lie in one array, which is begun anew when it holds too many. A
+    piece without a record, and a text that ``unsplit`` names, is encoded whole.
+    """
+
+    def __init__(self):
+        self._clear()
+
+    def _clear(self) -> None:
+        # numbers of pieces after a space, and of texts' first pieces
+        self.after: dict[str, int] = {}
+        self.first: dict[str, int] = {}
+        self.ids = np.empty(0, "<u4")
+        self.start, self.length = np.empty(0, np.int64), np.empty(0, np.int64)  # length -1: not a piece
+        self.right = np.empty(0, bool)
+
+    def following(self, pieces: list[str]) -> None:
+        """Stores the ids of new pieces that come after a space, with that space."""
+        raise NotImplementedError
+
+    def leading(self, pieces: list[str]) -> None:
+        """Stores the ids of new first pieces of a text."""
+        raise NotImplementedError
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        raise NotImplementedError
+
+    def unsplit(self, texts: pa.Array) -> np.ndarray:
+        return np.zeros(len(texts), bool)
+
+    checks = False
+
+    def spells(self, record: bytes, text: str) -> bool:
+        """Whether the tokens of a record, joined, are the text (asked if ``checks``)."""
+        return True
+
+    def store(self, known: dict[str, int], pieces: list[str], ids: np.ndarray, length: np.ndarray) -> None:
+        """Numbers ``pieces``; their ids follow one another. Length -1: has to be encoded with its text."""
+        held, at = np.maximum(length, 0), len(self.start)
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(held) - held])
+        self.length = np.concatenate([self.length, length])
+        self.ids = np.concatenate([self.ids, ids])
+        known.update(zip(pieces, range(at, at + len(pieces))))
+        if self.checks:
+            raw, ends, before = ids.tobytes(), (4 * np.cumsum(held)).tolist(), " " if known is self.after else ""
+            self.right = np.concatenate([self.right, np.array([
+                n < 0 or self.spells(raw[x:y], before + p)
+                for p, n, x, y in zip(pieces, length.tolist(), [0, *ends], ends)], bool)])
+
+    def _numbers(self, known: dict[str, int], pieces: list[str], learn) -> np.ndarray:
+        new = [p for p in pieces if p not in known]
+        if new:
+            learn(new)
+        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+
+    def encode_checked(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts (no NULLs) in one array, how many each text
+        has, and, if ``checks``, whether its tokens, joined, are the text."""
+        if len(texts) == 0:
+            return np.empty(0, "<u4"), np.empty(0, np.int64), np.empty(0, bool)
+        if len(self.start) > MEMO_PIECES:
+            self._clear()
+        lists = pc.split_pattern(texts.cast(pa.large_string()), " ")
+        pieces = lists.flatten().dictionary_encode()
+        bounds = lists.offsets.to_numpy().astype(np.int64)
+        bounds = bounds - bounds[0]
+        heads = pieces.take(pa.array(bounds[:-1])).to_pylist()
+        number = self._numbers(self.after, _strings(pieces.dictionary), self.following)[pieces.indices.to_numpy()]
+        number[bounds[:-1]] = self._numbers(self.first, heads, self.leading)
+        start, length = self.start[number], self.length[number]
+        right = np.logical_and.reduceat(self.right[number], bounds[:-1]) if self.checks else np.ones(len(texts), bool)
+        whole = np.logical_or.reduceat(length < 0, bounds[:-1]) | self.unsplit(texts)
+        ids = self.ids
+        if whole.any():
+            length[np.repeat(whole, np.diff(bounds))] = 0
+            own = texts.filter(pa.array(whole)).to_pylist()
+            extra = self.whole(own)
+            sizes = np.array([len(e) // 4 for e in extra], np.int64)
+            at = bounds[:-1][whole]
+            start[at], length[at] = len(ids) + np.cumsum(sizes) - sizes, sizes
+            ids = np.concatenate([ids, np.frombuffer(b"".join(extra), "<u4")])
+            right[whole] = [self.spells(e, t) for e, t in zip(extra, own)]
+        return ragged(ids, start, length), np.add.reduceat(length, bounds[:-1]), right
+
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (no NULLs) in one array, and how many each text has."""
+        return self.encode_checked(texts)[:2]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of every text."""
+        ids, sizes = self.encode_batch(pa.array(texts, pa.large_string()))
+        raw, ends = ids.tobytes(), (4 * np.cumsum(sizes)).tolist()
+        return [raw[x:y] for x, y in zip([0, *ends], ends)]
+
+
+class IdEncoder(IdTable, PieceEncoder):
+    """Ids by the byte-level tokenizer. New pieces are encoded some thousand at
+    a time as one text: a piece begins at every token that begins with a space,
+    as there are no other spaces in it."""
 
     def __init__(self, vocabulary: str, plain_special: bool = True):
-        super().__init__(vocabulary, plain_special)
+        PieceEncoder.__init__(self, vocabulary, plain_special)
+        IdTable.__init__(self)
         vocab = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocab.values()) + 1, bool)
         self.opens[[i for token, i in vocab.items() if token.startswith("\u0120")]] = True  # a space's byte
+        self.added_tokens = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()
+                             if t.content and not (plain_special and t.special)]
+        self.mark_ids = {m: np.frombuffer(r, "<u4")[0] for m, r in self.marks.items() if len(r) == 4}
 
     def batch(self, texts):
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -132,31 +251,60 @@ class IdEncoder(PieceEncoder):
     def record(self, encoding) -> bytes:
         return array("I", encoding.ids).tobytes()
 
-    def closed(self, record, chars, mark):
-        return record + mark
-
-    def _encoded(self, pieces, before):
-        if before != " ":
-            yield from super()._encoded(pieces, before)
-            return
-        todo = [p for p in pieces if p and not p[0].isspace() and not p[-1].isspace()]
-        for i in range(0, len(todo), 4096):
-            part = todo[i:i + 4096]
+    def whole(self, texts):
+        return list(map(self.record, self.batch(texts)))
+
+    def unsplit(self, texts):
+        found = np.zeros(len(texts), bool)
+        for token in self.added_tokens:
+            found |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        return found
+
+    def leading(self, pieces):
+        pieces = list(dict.fromkeys(pieces))
+        found = {"": b"", **dict(self._encoded(pieces, ""))}
+        rows = [found.get(p) for p in pieces]
+        self.store(self.first, pieces, np.frombuffer(b"".join(r for r in rows if r), "<u4"),
+                   np.array([-1 if r is None else len(r) // 4 for r in rows], np.int64))
+
+    def following(self, pieces):
+        marks, known = self.mark_ids, self.after
+        plain, closed, loose = [], [], []
+        for p in pieces:
+            if not p or p[0].isspace() or p[-1].isspace():
+                loose.append(p)
+            elif p[-1] in marks and len(p) > 1 and p[-2] < LATIN_END and p[-2].isalpha():
+                closed.append(p)
+            else:
+                plain.append(p)
+        bases = [p[:-1] for p in closed]
+        plain = list(dict.fromkeys([*plain, *[b for b in bases if b not in known]]))
+        self.store(known, plain, *self._together(plain))
+        self.store(known, loose, np.empty(0, "<u4"), np.full(len(loose), -1))
+        if closed:  # the base's ids and the mark's
+            number = np.fromiter(map(known.__getitem__, bases), np.int64, len(bases))
+            length = self.length[number] + 1
+            last = np.zeros(int(length.sum()), bool)
+            last[np.cumsum(length) - 1] = True
+            ids = np.empty(len(last), "<u4")
+            ids[last] = [marks[p[-1]] for p in closed]
+            ids[~last] = ragged(self.ids, self.start[number], length - 1)
+            self.store(known, closed, ids, length)
+
+    def _together(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces after a space, and how many each has."""
+        out, sizes = [np.empty(0, "<u4")], [np.empty(0, np.int64)]
+        for i in range(0, len(pieces), 4096):
+            part = pieces[i:i + 4096]
             ids = np.array(self.batch([" " + " ".join(part)])[0].ids, "<u4")
             starts = np.flatnonzero(self.opens[ids])
             # a vocabulary that merges across these cuts, or an added token with a space in it
             if len(starts) != len(part) or self.holds_added(" ".join(part)):
-                yield from zip(part, map(self.record, self.batch([" " + p for p in part])))
-                continue
-            raw, at = ids.tobytes(), (4 * starts).tolist()
-            yield from zip(part, (raw[x:y] for x, y in zip(at, [*at[1:], len(raw)])))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out = [None if p is None else b"".join(p) for p in self.pieces(texts)]
-        whole = [i for i, x in enumerate(out) if x is None]
-        for i, e in zip(whole, self.batch([texts[i] for i in whole])):
-            out[i] = self.record(e)
-        return out
+                lists = [np.array(e.ids, "<u4") for e in self.batch([" " + p for p in part])]
+                ids, starts = np.concatenate(lists), np.cumsum([0, *map(len, lists[:-1])])
+            out.append(ids)
+            sizes.append(np.diff(starts, append=len(ids)))
+        return np.concatenate(out), np.concatenate(sizes)
 
 
 _ENCODERS: dict[tuple, PieceEncoder] = {}

@@ -19,7 +19,9 @@ from __future__ import annotations
 import uuid
 import zlib
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,9 +34,9 @@ from paylake.llm.pfor import TokenFile, TokenFileWriter
 from paylake.session import scratch_path
 
 END_ID = 2
-# A file is closed at the first document after so many ids; characters encoded at once.
+# A file is closed at the first document after so many ids; bytes of text encoded at once.
 FILE_IDS = 64_000_000
-BATCH_CHARS = 2_000_000
+BATCH_BYTES = 2_000_000
 
 _MANIFEST = T.StructType([
     T.StructField("file", T.StringType()), T.StructField("part", T.LongType()), T.StructField("seq", T.LongType()),
@@ -67,10 +69,12 @@ def _writer(folder: str, vocabulary, end_id: int, file_ids: int, plain_special:
             return pa.RecordBatch.from_pylist([{"file": final, "part": part, "seq": seq, "n_docs": len(writer.doc_ids),
                                                 "n_ids": writer.n_ids}])
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            texts = batch.column("text").to_pylist()
-            for i, j in slices(list(map(len, texts)), BATCH_CHARS):
-                for doc_id, data in zip(ids[i:j], codec.encode(texts[i:j])):
+            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+            for i, j in slices(pc.binary_length(texts).to_pylist(), BATCH_BYTES):
+                tokens, sizes = codec.encode_batch(texts.slice(i, j - i))
+                raw, ends = tokens.tobytes(), (4 * np.cumsum(sizes)).tolist()
+                for doc_id, x, y in zip(ids[i:j], [0, *ends], ends):
+                    data = raw[x:y]
                     if now is None:
                         final = f"tokens-{part:06d}-{seq:04d}.pfor"
                         tmp = f"{root}/.{final}.{uuid.uuid4().hex}"

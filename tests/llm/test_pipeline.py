@@ -89,7 +89,6 @@ def test_token_output(stages):
     from tokenizers import Tokenizer
     before, after = stages["token_output"]
     t = Tokenizer.from_str(read_vocabulary())
-    t.encode_special_tokens = True
     want = Counter()
     for i, text in zip(before.doc_id, before.text):
         ids = [*t.encode(text, add_special_tokens=False).ids, 2]

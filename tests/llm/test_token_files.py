@@ -111,12 +111,12 @@ def test_documents(spark, tokenizer, tmp_path, file_ids):
     assert not [p for p in (tmp_path / "out").iterdir() if p.name.startswith(".tokens")]
 
 
-def test_query_on_a_table_and_on_none(spark, tokenizer):
+def test_query_on_a_table_and_on_none(spark, default_tokenizer):
     import pandas as pd
     path = "/root/testdata/sf0.001/documents.parquet"
     got = sorted(tuple(r) for r in token_files.op5_token_output(spark.read.parquet(path)).collect())
     rows = pd.read_parquet(path)
-    assert got == expected(list(zip(rows.doc_id.tolist(), rows.text.tolist())), tokenizer)
+    assert got == expected(list(zip(rows.doc_id.tolist(), rows.text.tolist())), default_tokenizer)
     assert token_files.op5_token_output(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
