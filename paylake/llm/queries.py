@@ -14,10 +14,12 @@ from paylake.llm import (
     line_dedup,
     merkle,
     mixing,
+    ngram_join,
     quality,
     secret_scan,
     simhash,
     suffix_dedup,
+    token_align,
     token_counts,
     token_files,
 )
@@ -44,6 +46,8 @@ QUERIES = {
     "op8_decontaminate": _over(decontaminate.op8_decontaminate, "documents", "benchmark"),
     "op9_line_dedup": _over(line_dedup.op9_line_dedup, "documents"),
     "op10_token_counts": _over(token_counts.op10_token_counts, "documents"),
+    "op11_ngram_join": _over(ngram_join.op11_ngram_join, "documents"),
+    "op12_token_align": _over(token_align.op12_token_align, "documents"),
     "op13_merkle_manifest": _over(merkle.op13_merkle_manifest, "documents"),
 }
 
