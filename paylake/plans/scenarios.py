@@ -133,16 +133,10 @@ def rewrite_file(spark: SparkSession, path: str, change) -> None:
     """Replace a file's bytes by ``change(bytes)`` through the cluster's file system."""
     from paylake.session import hadoop_path
     fs, p = hadoop_path(spark, path)
-    n = fs.getFileStatus(p).getLen()
-    buf = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.byte, n)
-    stream = fs.open(p)
-    try:
-        stream.readFully(0, buf)
-    finally:
-        stream.close()
+    content = spark.read.format("binaryFile").load(path).select("content").first()[0]
     out = fs.create(p, True)
     try:
-        out.write(change(bytearray(b & 0xFF for b in buf)))
+        out.write(change(bytearray(content)))
     finally:
         out.close()
 

@@ -59,8 +59,12 @@ BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content b
 # One load holds at most so many files and bytes; neither changes a result.
 DEFAULT_MAX_FILES_PER_BATCH = 10_000
 DEFAULT_MAX_BYTES_PER_BATCH = 2 * 1024 ** 4
-# Buckets of a new raw table: about the cores of the cluster that loads it.
-RAW_BUCKETS = 16
+# Files of one bucket of the raw table, in bytes, and the bounds of a bucket
+# count. A table that has outgrown twice that is dealt out to more buckets.
+BUCKET_BYTES = 512 * 1024 ** 2
+MIN_BUCKETS, MAX_BUCKETS = 16, 65_536
+# A load of at most so many rows looks its ids up by Bloom filters.
+SMALL_LOAD = 1_000
 
 
 def path_exists(spark, path: str) -> bool:
@@ -132,7 +136,8 @@ def check_footer(md) -> tuple[str | None, str | None]:
 
 
 def probe_files(files: DataFrame) -> DataFrame:
-    """(object_key, how, error): can each file be read, and by which reader?
+    """(object_key, how, error, rows): can each file be read, by which reader,
+    and how many rows does its footer promise?
 
     Runs as Arrow batches on the executors, one footer read per file, so a
     truncated file or one of another type is found without failing the load
@@ -141,20 +146,50 @@ def probe_files(files: DataFrame) -> DataFrame:
     def probe(batches):
         import pandas as pd
         for pdf in batches:
-            hows, errors = [], []
+            found = []
             for key in pdf["object_key"]:
-                how = error = None
+                how = error = rows = None
                 try:
-                    how, error = check_footer(_footer(key))
+                    footer = _footer(key)
+                    rows = footer.num_rows
+                    how, error = check_footer(footer)
                 except Unprobed:
                     # no Python access to this store: Spark's reader decides
                     how = "native"
                 except Exception as e:  # noqa: BLE001 - any unreadable file is a failed load
                     error = f"{type(e).__name__}: {e}"
-                hows.append(how)
+                found.append((key, how, error, rows))
+            yield pd.DataFrame(found, columns=["object_key", "how", "error", "rows"]).astype({"rows": "Int64"})
+    return files.select("object_key").mapInPandas(probe, "object_key string, how string, error string, rows long")
+
+
+def damage(files: DataFrame) -> DataFrame:
+    """(object_key, error) of files that were read in part: every page is
+    decoded once more, by another reader, for what is wrong with it. NULL: the
+    file is whole."""
+    def decode(batches):
+        import pandas as pd
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        from paylake.session import local_path
+        for pdf in batches:
+            errors = []
+            for key in pdf["object_key"]:
+                error = None
+                try:
+                    if key.startswith(("file:", "/")):
+                        store, inner = fs.LocalFileSystem(), local_path(key)
+                    else:
+                        store, inner = fs.FileSystem.from_uri(_arrow_uri(key))
+                    with store.open_input_file(inner) as f:
+                        for _ in pq.ParquetFile(f).iter_batches():
+                            pass
+                except Exception as e:  # noqa: BLE001 - what is wrong with the file
+                    error = f"{type(e).__name__}: {e}"
                 errors.append(error)
-            yield pd.DataFrame({"object_key": pdf["object_key"], "how": hows, "error": errors})
-    return files.select("object_key").mapInPandas(probe, "object_key string, how string, error string")
+            yield pd.DataFrame({"object_key": pdf["object_key"], "error": errors})
+    return files.select("object_key").mapInPandas(decode, "object_key string, error string")
 
 
 FOREIGN_READ_CONF = {
@@ -171,7 +206,7 @@ def _with_file_columns(df: DataFrame) -> DataFrame:
 
 
 def normalize_foreign(spark, paths: list[str], staging: str, recursive: bool = False,
-                      nanos: bool = True) -> DataFrame:
+                      nanos: bool = True, skip_damage: bool = False) -> DataFrame:
     """Rewrite lake files that the native reader refuses into the native schema.
 
     With ``nanos``, ``created_at`` is read as nanoseconds since the epoch and
@@ -186,7 +221,7 @@ def normalize_foreign(spark, paths: list[str], staging: str, recursive: bool = F
     own = spark.newSession()
     for k, v in {"spark.sql.session.timeZone": "UTC", **FOREIGN_READ_CONF}.items():
         own.conf.set(k, v)
-    reader = own.read.schema(T.StructType(fields))
+    reader = own.read.schema(T.StructType(fields)).option("ignoreCorruptFiles", str(skip_damage).lower())
     if recursive:
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     df = _with_file_columns(reader.parquet(*paths))
@@ -217,62 +252,127 @@ def raw_buckets(spark, raw_path: str) -> int | None:
         stream.close()
 
 
+def folder_bytes(spark, path: str) -> int:
+    from paylake.session import hadoop_path
+    fs, p = hadoop_path(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
+def buckets_for(size: int) -> int:
+    """Buckets of a raw table of ``size`` bytes: a power of two, so that the
+    table may double before a bucket is over :data:`BUCKET_BYTES`."""
+    n = MIN_BUCKETS
+    while n < MAX_BUCKETS and n * BUCKET_BYTES < 2 * size:
+        n *= 2
+    return n
+
+
 def raw_table(spark, raw_path: str, buckets: int | None = None) -> str | None:
     """The catalog's name for the raw folder as a table bucketed and sorted by
-    txn_id (its files stay plain Parquet for every other reader). Creates the
-    folder with ``buckets`` (default: RAW_BUCKETS) if there is none."""
+    txn_id, with a Bloom filter of the ids in every row group (its files stay
+    plain Parquet for every other reader). Creates the folder with ``buckets``
+    if there is none."""
     from paylake.session import hadoop_path
     n = raw_buckets(spark, raw_path)
     if n is None:
         if path_exists(spark, raw_path):
             return None
-        n = buckets or RAW_BUCKETS
+        n = buckets or MIN_BUCKETS
         fs, p = hadoop_path(spark, f"{raw_path.rstrip('/')}/_buckets")
         out = fs.create(p, True)
         try:
             out.writeInt(n)
         finally:
             out.close()
-    name = f"paylake_raw_{hashlib.md5(raw_path.rstrip('/').encode()).hexdigest()}"
+    name = f"paylake_raw_{hashlib.md5(raw_path.rstrip('/').encode()).hexdigest()}_{n}"
     if not spark.catalog.tableExists(name):
         cols = ", ".join(f"{c} {t.simpleString()}" for c, t in schema.RAW_FIELDS)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet CLUSTERED BY (txn_id) "
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+                  f"OPTIONS ('parquet.bloom.filter.enabled#txn_id' = 'true', "
+                  f"'parquet.bloom.filter.adaptive.enabled' = 'true') CLUSTERED BY (txn_id) "
                   f"SORTED BY (txn_id) INTO {n} BUCKETS LOCATION '{raw_path.rstrip('/')}'")
     spark.catalog.refreshTable(name)
     return name
 
 
+def grow_buckets(spark, raw_path: str) -> int | None:
+    """Deals the raw table out to more buckets when those it has hold over
+    twice :data:`BUCKET_BYTES`: rewritten beside it and published through the
+    manifest, so a crash leaves the old table or the new one. One shuffle of
+    raw each time it has grown fourfold, and its many small files become one a
+    bucket. Returns the buckets it has now (None: another writer's folder)."""
+    from paylake.operators import publish
+    publish.recover(spark, raw_path)
+    n, size = raw_buckets(spark, raw_path), folder_bytes(spark, raw_path)
+    if n is None or n >= MAX_BUCKETS or size <= 2 * n * BUCKET_BYTES:
+        return n
+    more = buckets_for(size)
+    staging = publish.staging_beside(raw_path)
+    name = raw_table(spark, staging, more)
+    (spark.read.schema(schema.RAW_SCHEMA).parquet(raw_path).repartition(more, "txn_id")
+     .write.insertInto(name))
+    spark.sql(f"DROP TABLE {name}")  # the catalog's entry; the files stay
+    publish.publish_table(spark, staging, raw_path)
+    return more
+
+
+def _found(spark, ids: list[str], raw_path: str) -> list[str]:
+    """Those of a few ids that raw has. The ids are pushed into the scan, where
+    row groups whose Bloom filter has none of them are not read."""
+    threshold = "spark.sql.parquet.pushdown.inFilterThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, str(max(int(before), len(ids))))
+    try:
+        rows = spark.read.schema("txn_id string").parquet(raw_path).filter(F.col("txn_id").isin(ids)).distinct().collect()
+    finally:
+        spark.conf.set(threshold, before)
+    return [r.txn_id for r in rows]
+
+
 def absent_rows(spark, rows: DataFrame, raw_path: str) -> DataFrame:
-    """``rows`` (unique txn_id) whose id is not in raw. Raw streams its id
-    column bucket by bucket and is not shuffled, whatever the size of either
-    side; only the batch is dealt out to raw's buckets."""
+    """``rows`` (unique txn_id) whose id is not in raw. A few ids are looked up
+    by Bloom filters. Else raw streams its id column bucket by bucket past the
+    batch's ids of that bucket: it is neither shuffled nor sorted, whatever the
+    size of either side; only the batch is dealt out to raw's buckets."""
     name = raw_table(spark, raw_path)
+    few = [r.txn_id for r in rows.select("txn_id").limit(SMALL_LOAD + 1).collect()]
+    n = raw_buckets(spark, raw_path)
+    if len(few) <= SMALL_LOAD:
+        present = _found(spark, few, raw_path) if few else []
+        absent = rows.filter(~F.col("txn_id").isin(present)) if present else rows
+        return absent.repartition(n, "txn_id") if n else absent
     if name is None:
         from paylake.session import sized_shuffle
         raw = spark.read.schema(schema.RAW_SCHEMA).parquet(raw_path).select("txn_id")
         with sized_shuffle(spark, raw, rows):
             return rows.join(raw, "txn_id", "left_anti")
-    return (rows.repartition(raw_buckets(spark, raw_path), "txn_id")
-            .join(spark.table(name).select("txn_id"), "txn_id", "left_anti"))
+    ids = rows.select("txn_id").repartition(n, "txn_id").hint("shuffle_hash")
+    present = spark.table(name).select("txn_id").join(ids, "txn_id", "left_semi")
+    return rows.repartition(n, "txn_id").join(present, "txn_id", "left_anti")
 
 
 def insert_if_absent(spark, new_raw: DataFrame, raw_path: str) -> None:
     """Append rows whose txn_id is not yet in the raw table (NULL ids never
     enter: the key is NOT NULL). Writes are appends of absent ids only, so a
     replayed batch inserts nothing twice. The batch is first written to the
-    shared folder: its lineage (file reads, first-copy dedup) runs once.
+    shared folder: its lineage (file reads, first-copy dedup) runs once, and a
+    new table takes its bucket count from the batch's size.
     """
     from paylake.session import remove_path, scratch_path
     staged = scratch_path(spark, "insert-batch")
-    new_raw.filter(F.col("txn_id").isNotNull()).select(*schema.RAW_COLUMNS).write.parquet(staged)
-    rows = spark.read.schema(schema.RAW_SCHEMA).parquet(staged)
-    absent = absent_rows(spark, rows, raw_path).select(*schema.RAW_COLUMNS)
-    name = raw_table(spark, raw_path)
-    if name is None:
-        absent.write.mode("append").parquet(raw_path)
-    else:
-        absent.write.insertInto(name)
-    remove_path(spark, staged)
+    try:
+        new_raw.filter(F.col("txn_id").isNotNull()).select(*schema.RAW_COLUMNS).write.parquet(staged)
+        rows = spark.read.schema(schema.RAW_SCHEMA).parquet(staged)
+        if path_exists(spark, raw_path):
+            grow_buckets(spark, raw_path)
+        name = raw_table(spark, raw_path, buckets_for(folder_bytes(spark, staged)))
+        absent = absent_rows(spark, rows, raw_path).select(*schema.RAW_COLUMNS)
+        if name is None:
+            absent.write.mode("append").parquet(raw_path)
+        else:
+            absent.write.insertInto(name)
+    finally:
+        remove_path(spark, staged)
 
 
 def violation(lake: DataFrame) -> Column:
@@ -291,6 +391,10 @@ def violation(lake: DataFrame) -> Column:
     return out
 
 
+class LoadError(RuntimeError):
+    """A load that read a whole file in part: the engine or the store failed, not the file."""
+
+
 def load_files(spark, new_files: DataFrame, raw_path: str, log_path: str,
                loaded_at: Column | None = None) -> None:
     """Load one batch of new lake files into the raw table and log each file.
@@ -298,16 +402,18 @@ def load_files(spark, new_files: DataFrame, raw_path: str, log_path: str,
     A file fails as a whole, alone, with the reason logged and none of its
     rows inserted, when its footer cannot be read or has another type, when a
     row breaks a constraint of the raw table, or when its pages turn out to be
-    damaged. The last is only seen while decoding: the batch is then halved
-    until the damaged files stand alone. Other files are logged ``success``
-    with their row count.
+    damaged. The last is only seen while decoding: the scan leaves such a file
+    where it breaks off, and it has fewer rows than its footer promises. All
+    files are read once; only those are looked at again. Other files are logged
+    ``success`` with their row count. An error of the engine fails the run and
+    logs nothing.
     """
     # one row per file of this batch (bounded by the batch's caps)
     files = probe_files(new_files).collect()
     bad = [(r.object_key, r.error) for r in files if r.error is not None]
     if bad:
         _log_failed(spark, bad, log_path)
-    readable = sorted((r.object_key, r.how) for r in files if r.error is None)
+    readable = sorted((r.object_key, r.how, r.rows) for r in files if r.error is None)
     if readable:
         _load_readable(spark, readable, raw_path, log_path, loaded_at)
 
@@ -323,57 +429,81 @@ def _append_log(rows: DataFrame, log_path: str) -> None:
         .write.mode("append").parquet(log_path)
 
 
-def _stage_rows(spark, files: list[tuple[str, str]]) -> tuple[str, list[str]]:
+def _stage_rows(spark, files: list[tuple[str, str, int]], made: list[str]) -> str:
     """All rows of the files in one staged folder (every page is decoded here),
-    with file, position and the constraint broken; and the folders made."""
+    with file, position and the constraint broken. ``made`` gets the folders."""
     from paylake.session import scratch_path
-    made, parts = [], []
+    parts = []
     for how in ("native", "ns", "untyped"):
-        keys = [k for k, h in files if h == how]
+        keys = [k for k, h, _ in files if h == how]
         if keys and how == "native":
-            parts.append(_with_file_columns(spark.read.schema(schema.LAKE_SCHEMA).parquet(*keys)))
+            parts.append(_with_file_columns(spark.read.schema(schema.LAKE_SCHEMA)
+                                            .option("ignoreCorruptFiles", "true").parquet(*keys)))
         elif keys:
             made.append(scratch_path(spark, "foreign-normalized"))
-            parts.append(normalize_foreign(spark, keys, made[-1], nanos=how == "ns"))
+            parts.append(normalize_foreign(spark, keys, made[-1], nanos=how == "ns", skip_damage=True))
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
     made.append(scratch_path(spark, "load-rows"))
     rows.withColumn("violation", violation(rows)).write.parquet(made[-1])
-    return made[-1], made
-
-
-def _load_readable(spark, files: list[tuple[str, str]], raw_path: str, log_path: str,
+    return made[-1]
+
+
+def _promised(spark, files: list[tuple[str, str, int]]) -> DataFrame:
+    """(object_key, promised): rows by the footers. Where Python could not read
+    them, Spark counts them (no column is read)."""
+    known = spark.createDataFrame([(k, n) for k, _, n in files], "object_key string, promised long")
+    blind = [k for k, _, n in files if n is None]
+    if not blind:
+        return known
+    counted = (spark.read.schema(schema.LAKE_SCHEMA).option("ignoreCorruptFiles", "true").parquet(*blind)
+               .groupBy(F.col("_metadata.file_path").alias("of")).agg(F.count(F.lit(1)).alias("n")))
+    return known.join(counted, known.object_key == F.col("of"), "left").select(
+        "object_key", F.coalesce("promised", "n", F.lit(-1)).alias("promised"))
+
+
+def _damaged(spark, promised: DataFrame, stats: DataFrame) -> list[tuple[str, str]]:
+    """(object_key, message) of the files that were read in part."""
+    short = (promised.join(stats, "object_key", "left")
+             .filter(F.coalesce("rows", F.lit(0)) != F.col("promised"))
+             .select("object_key", F.coalesce("rows", F.lit(0)).alias("rows"), "promised").collect())
+    if not short:
+        return []
+    names = spark.createDataFrame([(r.object_key,) for r in short], "object_key string")
+    reasons = {r.object_key: r.error for r in damage(names.repartition(min(len(short), 1000))).collect()}
+    whole = [k for k, e in reasons.items() if e is None]
+    if whole:
+        raise LoadError(f"read in part, though the files are whole: {', '.join(sorted(whole)[:5])}")
+    return [(r.object_key, f"damaged: {r.rows} of {r.promised} rows could be read. {reasons[r.object_key]}") for r in short]
+
+
+def _load_readable(spark, files: list[tuple[str, str, int]], raw_path: str, log_path: str,
                    loaded_at: Column | None) -> None:
-    from py4j.protocol import Py4JJavaError
-    from pyspark.errors import PySparkException
-
     from paylake.operators.joins import bounded
     from paylake.session import remove_path
+    made: list[str] = []
     try:
-        staged, made = _stage_rows(spark, files)
-    except (PySparkException, Py4JJavaError) as e:
-        if len(files) == 1:
-            _log_failed(spark, [(files[0][0], str(e))], log_path)
-            return
-        half = len(files) // 2  # in key order, so the first copy still wins
-        for part in (files[:half], files[half:]):
-            _load_readable(spark, part, raw_path, log_path, loaded_at)
-        return
-    data = spark.read.parquet(staged)
-    first_bad = F.min(F.when(F.col("violation").isNotNull(), F.struct("row_index", "violation")))
-    stats = data.groupBy("object_key").agg(F.count(F.lit(1)).alias("rows"), first_bad.alias("bad"))
-    ok = stats.where("bad IS NULL").select("object_key")
-    rows = data.join(bounded(ok, len(files)), "object_key", "left_semi").drop("violation")
-    insert_if_absent(spark, to_raw(first_per_id(rows).drop("object_key", "row_index"), loaded_at), raw_path)
-    good = F.col("bad").isNull()
-    names = spark.createDataFrame([(k,) for k, _ in files], "object_key string")  # an empty file has no row
-    _append_log(names.join(stats, "object_key", "left").select(
-        "object_key", F.when(good, F.coalesce("rows", F.lit(0))).otherwise(0).cast("long").alias("row_count"),
-        F.when(good, F.lit("success")).otherwise(F.lit("failed")).alias("status"),
-        F.col("bad.violation").alias("error_message")), log_path)
-    for path in made:
-        remove_path(spark, path)
+        data = spark.read.parquet(_stage_rows(spark, files, made))
+        first_bad = F.min(F.when(F.col("violation").isNotNull(), F.struct("row_index", "violation")))
+        stats = data.groupBy("object_key").agg(F.count(F.lit(1)).alias("rows"), first_bad.alias("bad"))
+        broken = _damaged(spark, _promised(spark, files), stats)
+        if broken:
+            _log_failed(spark, broken, log_path)
+        out = {k for k, _ in broken}
+        # an empty file has no row; one read in part is logged already
+        names = spark.createDataFrame([(k,) for k, _, _ in files if k not in out], "object_key string")
+        ok = names.join(stats.where("bad IS NOT NULL"), "object_key", "left_anti")
+        rows = data.join(bounded(ok, len(files)), "object_key", "left_semi").drop("violation")
+        insert_if_absent(spark, to_raw(first_per_id(rows).drop("object_key", "row_index"), loaded_at), raw_path)
+        good = F.col("bad").isNull()
+        _append_log(names.join(stats, "object_key", "left").select(
+            "object_key", F.when(good, F.coalesce("rows", F.lit(0))).otherwise(0).cast("long").alias("row_count"),
+            F.when(good, F.lit("success")).otherwise(F.lit("failed")).alias("status"),
+            F.col("bad.violation").alias("error_message")), log_path)
+    finally:
+        for path in made:
+            remove_path(spark, path)
 
 
 def read_log(spark, log_path: str) -> DataFrame:

@@ -217,3 +217,62 @@ def test_loads_are_cut_by_bytes_too(spark, tmp):
     ingest.load_in_order(spark, ingest.pending_files(spark, root, log), raw, log, max_bytes_per_batch=1)
     assert {r.txn_id: r.city for r in spark.read.parquet(raw).collect()} == {"A": "Mumbai", "B": "Delhi"}
     assert ingest.read_log(spark, log).count() == 3
+
+
+def _lake_of(spark, root, files, rows_each=20):
+    """A lake of ``files`` files in one folder each."""
+    for k in range(files):
+        lake.write_lake(_lake_rows(spark, [dict(txn_id=f"T{k:03d}-{i:02d}", city=f"City {k:03d}") for i in range(rows_each)]), root)
+    return sorted(r.object_key for r in lake.file_listing(spark, root).collect())
+
+
+def test_damaged_files_are_found_in_one_read(spark, tmp, monkeypatch):
+    """Three damaged files among others: one staged read of the load, only those three decoded again."""
+    from paylake.plans.scenarios import damaged_pages, rewrite_file
+    root, raw, log = f"{tmp}/lake", f"{tmp}/raw", f"{tmp}/log"
+    files = _lake_of(spark, root, 12)
+    for k in (1, 5, 9):
+        rewrite_file(spark, files[k], damaged_pages)
+    reads, again = [], []
+    stage, damage = ingest._stage_rows, ingest.damage
+    monkeypatch.setattr(ingest, "_stage_rows", lambda spark, files, made: reads.append(len(files)) or stage(spark, files, made))
+    monkeypatch.setattr(ingest, "damage", lambda names: again.append(names.count()) or damage(names))
+    ingest.ingest_batch(spark, root, raw, log)
+    assert reads == [12] and again == [3]
+    entries = {r.object_key: r for r in ingest.read_log(spark, log).collect()}
+    assert len(entries) == 12 and {k for k, r in entries.items() if r.status == "failed"} == {files[1], files[5], files[9]}
+    assert all("of 20 rows could be read" in entries[files[k]].error_message for k in (1, 5, 9))
+    assert spark.read.parquet(raw).count() == 9 * 20
+
+
+def test_an_engine_error_fails_the_run_and_no_file(spark, tmp, monkeypatch):
+    """A whole file read in part, and an error while writing: nothing is logged, staged copies are gone."""
+    import pytest
+
+    from paylake import session
+    root, raw, log = f"{tmp}/lake", f"{tmp}/raw", f"{tmp}/log"
+    _lake_of(spark, root, 2)
+    shared = session.shared_dir(spark).removeprefix("file:")
+    staged = lambda: sorted(n for n in os.listdir(shared) if n.startswith(("load-rows", "insert-batch", "foreign-")))
+    before = staged()
+    stage = ingest._stage_rows
+
+    def lossy(spark, files, made):
+        return stage(spark, files[:1], made)  # the engine lost the second file's rows
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "_stage_rows", lossy)
+        with pytest.raises(ingest.LoadError, match="files are whole"):
+            ingest.ingest_batch(spark, root, raw, log)
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "absent_rows", lambda *a: (_ for _ in ()).throw(OSError("No space left on device")))
+        with pytest.raises(OSError):
+            ingest.ingest_batch(spark, root, raw, log)
+    assert not os.path.exists(log) and staged() == before
+    ingest.ingest_batch(spark, root, raw, log)
+    assert spark.read.parquet(raw).count() == 40 and ingest.read_log(spark, log).filter("status = 'success'").count() == 2
+
+
+def test_bucket_counts_follow_the_size():
+    gb = 1024 ** 3
+    assert [ingest.buckets_for(x) for x in (0, gb, 10 * gb, 2048 * gb)] == [16, 16, 64, 8192]
+    assert ingest.buckets_for(10 ** 18) == ingest.MAX_BUCKETS

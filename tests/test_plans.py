@@ -37,9 +37,18 @@ def test_panel_reads_only_needed_columns(spark, tmp):
     assert "Aggregate" in plan
 
 
-def test_insert_if_absent_never_shuffles_raw(spark, tmp):
+def _raw_side_is_streamed(plan):
+    """The scan of raw's buckets reaches the join without an exchange or a sort."""
+    lines = plan.splitlines()
+    at = next(i for i, ln in enumerate(lines) if "Bucketed: true" in ln)
+    join = max(i for i in range(at) if "ShuffledHashJoin" in lines[i])
+    return not any("Exchange" in ln or "Sort" in ln for ln in lines[join + 1:at])
+
+
+def test_insert_if_absent_never_shuffles_raw(spark, tmp, monkeypatch):
     """raw streams its id column bucket by bucket, also when nothing may be broadcast."""
     from paylake.sources import ingest
+    monkeypatch.setattr(ingest, "SMALL_LOAD", 0)
     raw_path = f"{tmp}/raw"
     batch = adapter.raw_rows(spark, SF).filter("txn_id is not null").dropDuplicates(["txn_id"])
     ingest.insert_if_absent(spark, batch, raw_path)
@@ -54,12 +63,92 @@ def test_insert_if_absent_never_shuffles_raw(spark, tmp):
         plan = _plan(absent)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
-    assert plan.split("== Initial Plan ==")[-1].count("Exchange") == 1, plan  # the batch's
+    assert _raw_side_is_streamed(plan), plan
     ingest.insert_if_absent(spark, batch, raw_path)  # every id is present: nothing is appended
     assert spark.read.parquet(raw_path).count() == n
 
 
+def test_raw_gets_more_buckets_as_it_grows(spark, tmp, monkeypatch):
+    """Past the limit the table is dealt out anew: ids stay exact, and raw is streamed before and after."""
+    from paylake.operators import publish
+    from paylake.sources import ingest
+    monkeypatch.setattr(ingest, "SMALL_LOAD", 0)
+    raw_path, batch = f"{tmp}/raw", adapter.raw_rows(spark, SF).filter("txn_id is not null").dropDuplicates(["txn_id"])
+    batch.write.parquet(f"{tmp}/batch")
+    rows = spark.read.parquet(f"{tmp}/batch")
+    first = rows.filter("txn_hour < 8")
+    ingest.insert_if_absent(spark, first, raw_path)
+    assert ingest.raw_buckets(spark, raw_path) == 16
+    monkeypatch.setattr(ingest, "MAX_BUCKETS", 64)
+    monkeypatch.setattr(ingest, "BUCKET_BYTES", ingest.folder_bytes(spark, raw_path) // 100)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        for crash in (True, False):
+            with monkeypatch.context() as m:
+                if crash:  # the table is left as it was, and the next load finishes the rewrite
+                    m.setattr(publish, "_perform", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+                    try:
+                        ingest.insert_if_absent(spark, rows, raw_path)
+                        raise AssertionError
+                    except OSError:
+                        pass
+                    assert spark.read.parquet(raw_path).count() == first.count()
+                else:
+                    ingest.insert_if_absent(spark, rows, raw_path)
+        n = ingest.raw_buckets(spark, raw_path)
+        assert n == 64 and spark.read.parquet(raw_path).count() == rows.count()
+        absent = ingest.absent_rows(spark, rows, raw_path)
+        assert absent.count() == 0
+        plan = _plan(absent)
+        assert _raw_side_is_streamed(plan) and f"SelectedBucketsCount: {n} out of {n}" in plan, plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    want = sorted(r.txn_id for r in rows.collect())
+    assert sorted(r.txn_id for r in spark.read.parquet(raw_path).collect()) == want
+
+
+def _rows_scanned(df):
+    """Rows that the file scans of an executed plan gave."""
+    plan, found = df._jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("Scan parquet"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        kids = node.finalPhysicalPlan() if name.startswith("AdaptiveSparkPlan") else None
+        kids = kids or (node.plan() if "QueryStage" in name else None)
+        if kids is not None:
+            walk(kids)
+        else:
+            for i in range(node.children().size()):
+                walk(node.children().apply(i))
+    walk(plan)
+    return sum(found)
+
+
+def test_a_small_load_looks_ids_up_by_bloom_filters(spark, tmp):
+    """Ids that raw does not have, between its least and largest: no row group is read for them."""
+    from pyspark.sql import functions as F
+
+    from paylake.sources import ingest
+    raw_path = f"{tmp}/raw"
+    batch = adapter.raw_rows(spark, SF).filter("txn_id is not null").dropDuplicates(["txn_id"])
+    ingest.insert_if_absent(spark, batch, raw_path)
+    ids = [r.txn_id for r in spark.read.parquet(raw_path).orderBy("txn_id").collect()]
+    spark.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", "50")
+    try:
+        scan = spark.read.schema("txn_id string").parquet(raw_path)
+        missing = scan.filter(F.col("txn_id").isin([f"{x}!" for x in ids[100:120]]))
+        assert missing.collect() == [] and _rows_scanned(missing) < 0.5 * len(ids)
+    finally:
+        spark.conf.unset("spark.sql.parquet.pushdown.inFilterThreshold")
+    few = batch.limit(3).withColumn("txn_id", F.concat("txn_id", F.lit("!"))).unionByName(batch.filter(
+        F.col("txn_id").isin(ids[:4])))
+    ingest.insert_if_absent(spark, few, raw_path)
+    assert spark.read.parquet(raw_path).count() == len(ids) + 3
+    assert ingest._found(spark, [ids[0], "nothing"], raw_path) == [ids[0]]
+
+
 def test_raw_made_by_another_writer_is_appended_to(spark, tmp):
     from paylake.sources import ingest
     raw_path = f"{tmp}/raw"
