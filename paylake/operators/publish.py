@@ -25,6 +25,12 @@ def _manifest_path(path: str) -> str:
     return f"{path.rstrip('/')}__pending.json"
 
 
+def _rename(fs, old, new) -> None:
+    """A rename that fails says so (some stores only return false)."""
+    if not fs.rename(old, new):
+        raise OSError(f"could not rename {old} to {new}")
+
+
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
     """Written under another name and renamed: it is there whole or not at all."""
     fs, tmp = hadoop_path(spark, f"{path}.{uuid.uuid4().hex[:8]}")
@@ -33,10 +39,10 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
-    fs.rename(tmp, hadoop_path(spark, path)[1])
+    _rename(fs, tmp, hadoop_path(spark, path)[1])
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
+def read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = hadoop_path(spark, path)
     if not fs.exists(p):
         return None
@@ -49,15 +55,15 @@ def partition_dir(root: str, parts: list[str], values) -> str:
 
 
 def swap_table(spark: SparkSession, staging: str, path: str) -> None:
-    """The staged folder becomes the table: two renames, then the old one goes."""
+    """The staged folder becomes the table: two renames, then the old one goes.
+    A rename that fails leaves both for the next run."""
     fs, new = hadoop_path(spark, staging)
     table, old = hadoop_path(spark, path)[1], hadoop_path(spark, f"{path.rstrip('/')}__old")[1]
-    if not fs.exists(new):
-        return  # done before
-    if fs.exists(table):
-        fs.delete(old, True)
-        fs.rename(table, old)
-    fs.rename(new, table)
+    if fs.exists(new):  # else done before
+        if fs.exists(table):
+            fs.delete(old, True)
+            _rename(fs, table, old)
+        _rename(fs, new, table)
     fs.delete(old, True)
 
 
@@ -69,6 +75,22 @@ def replace_partitions(spark: SparkSession, staging: str, path: str, schema, par
         remove_path(spark, partition_dir(path, parts, values))
 
 
+def _applied_path(path: str) -> str:
+    return f"{path.rstrip('/')}__applied.json"
+
+
+def applied(spark: SparkSession, path: str) -> dict[str, int]:
+    """Per streaming query (its id), the last batch whose rows the table has."""
+    return json.loads(read_text(spark, _applied_path(path)) or "{}")
+
+
+def _record(spark: SparkSession, path: str, batch: list | None) -> None:
+    if batch:
+        done = applied(spark, path) | {batch[0]: batch[1]}
+        remove_path(spark, _applied_path(path))  # gone for a moment: the manifest still holds the batch
+        _write_text(spark, _applied_path(path), json.dumps(done))
+
+
 def _perform(spark: SparkSession, path: str, todo: dict) -> None:
     if todo["mode"] == "table":
         swap_table(spark, todo["staging"], path)
@@ -77,35 +99,37 @@ def _perform(spark: SparkSession, path: str, todo: dict) -> None:
         replace_partitions(spark, todo["staging"], path, StructType.fromJson(todo["schema"]), todo["parts"],
                            todo["emptied"])
         remove_path(spark, todo["staging"])
+    _record(spark, path, todo.get("batch"))
     remove_path(spark, _manifest_path(path))
 
 
 def recover(spark: SparkSession, path: str) -> bool:
     """Finish a publication that a crash cut short; True if there was one."""
-    text = _read_text(spark, _manifest_path(path))
+    text = read_text(spark, _manifest_path(path))
     if text is None:
         return False
     _perform(spark, path, json.loads(text))
     return True
 
 
-def publish_table(spark: SparkSession, staging: str, path: str) -> None:
-    todo = {"mode": "table", "staging": staging}
+def publish_table(spark: SparkSession, staging: str, path: str, batch: list | None = None) -> None:
+    """``batch``: (query id, batch id) of a streaming query, recorded with what is published."""
+    todo = {"mode": "table", "staging": staging, "batch": batch}
     _write_text(spark, _manifest_path(path), json.dumps(todo))
     _perform(spark, path, todo)
 
 
 def publish_partitions(spark: SparkSession, staging: str, path: str, staged: DataFrame, parts: list[str],
-                       touched: list[tuple]) -> None:
+                       touched: list[tuple], batch: list | None = None) -> None:
     """``touched``: partitions the staged rows replace; those without a staged row are dropped."""
     present = {tuple(r) for r in staged.select(*parts).distinct().collect()}  # partition values only
     todo = {"mode": "partitions", "staging": staging, "parts": parts, "schema": staged.schema.jsonValue(),
-            "emptied": [list(v) for v in touched if v not in present]}
+            "emptied": [list(v) for v in touched if v not in present], "batch": batch}
     _write_text(spark, _manifest_path(path), json.dumps(todo))
     _perform(spark, path, todo)
 
 
-def rebuild_table(df: DataFrame, path: str, parts: list[str] | None = None) -> None:
+def rebuild_table(df: DataFrame, path: str, parts: list[str] | None = None, batch: list | None = None) -> None:
     """Full rebuild of a table: staged beside it, then swapped in."""
     spark = df.sparkSession
     recover(spark, path)
@@ -114,4 +138,4 @@ def rebuild_table(df: DataFrame, path: str, parts: list[str] | None = None) -> N
     if parts:
         writer = df.hint("REBALANCE", *[F.col(p) for p in parts]).write.partitionBy(*parts)
     writer.parquet(staging)
-    publish_table(spark, staging, path)
+    publish_table(spark, staging, path, batch)

@@ -38,18 +38,19 @@ def read_target(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def upsert(spark: SparkSession, new: DataFrame, path: str, key: str = "txn_sk",
-           parts: list[str] = FACT_PARTITION_COLUMNS) -> str:
+           parts: list[str] = FACT_PARTITION_COLUMNS, batch: list | None = None) -> str:
     """Replace-or-insert ``new`` (unique on ``key``) into the table at ``path``.
 
     Columns follow ``new`` (added columns are NULL for old rows, dropped
     columns disappear); when the column set changes every month is rewritten
-    so that all files carry the same columns. Returns ``"full"`` or
+    so that all files carry the same columns. ``batch`` is (query id, batch id)
+    of a streaming query, recorded with the publication. Returns ``"full"`` or
     ``"incremental"``.
     """
     columns = new.columns
     target = read_target(spark, path)
     if target is None:
-        publish.rebuild_table(new.select(*columns), path, parts)
+        publish.rebuild_table(new.select(*columns), path, parts, batch)
         return "full"
     same_columns = sorted(target.columns) == sorted(columns)
     # the new rows feed four steps below: compute them once, into the shared
@@ -83,11 +84,11 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, key: str = "txn_sk",
     with sized_shuffle(spark, scope, new):
         result.hint("REBALANCE", *parts).write.partitionBy(*parts).parquet(staging)
     if touched is None:
-        publish.publish_table(spark, staging, path)
+        publish.publish_table(spark, staging, path, batch)
     else:
         # explicit schema: partition types must not be re-inferred from folder
         # names (a staging folder holding only the NULL partition infers "void")
         staged = spark.read.schema(result.schema).parquet(staging)
-        publish.publish_partitions(spark, staging, path, staged, parts, touched)
+        publish.publish_partitions(spark, staging, path, staged, parts, touched, batch)
     remove_path(spark, new_path)
     return "full" if touched is None else "incremental"

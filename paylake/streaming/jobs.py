@@ -8,13 +8,34 @@ not depend on how the stream cut its input into micro-batches.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paylake import schema
+from paylake.operators import publish
 from paylake.operators.dedup import first_per_key
+from paylake.session import remove_path, scratch_path
 from paylake.sources import ingest
 
+# The sink of the dedup: a folder for each micro-batch, and in it one for each day.
+SINK_SCHEMA = T.StructType([*schema.RAW_SCHEMA.fields, T.StructField("run", T.StringType()),
+                            T.StructField("event_date", T.DateType())])
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps as long as its checkpoint."""
+    return json.loads(publish.read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+
+
+def batch_watermark(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
+    """Milliseconds of the watermark that a micro-batch runs with, as its
+    checkpoint has it (0: none yet)."""
+    log = publish.read_text(spark, f"{checkpoint.rstrip('/')}/offsets/{batch_id}")
+    return json.loads(log.splitlines()[1])["batchWatermarkMs"]
+
 
 def redelivery_order() -> list[Column]:
     """Which copy of an id is kept: the earliest event, then the other columns."""
@@ -22,58 +43,136 @@ def redelivery_order() -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in ("created_at", *rest)]
 
 
-def append_new_copies(batch: DataFrame, out_path: str, delay: str = "1 hour") -> None:
-    """Append the rows of a micro-batch that are not redeliveries: of each id
-    the first copy in the batch, unless the sink holds a copy that comes before
-    it. Only sink rows within ``delay`` of the batch's event times are looked
-    at; a copy that this misses is hidden by :func:`read_deduplicated`."""
-    spark = batch.sparkSession
-    rows = first_per_key(batch.filter(F.col("txn_id").isNotNull()), "txn_id", redelivery_order())
-    if ingest.path_exists(spark, out_path):
-        span = batch.agg(F.unix_micros(F.min("created_at") - F.expr(f"INTERVAL {delay}")).alias("a"),
-                         F.unix_micros(F.max("created_at") + F.expr(f"INTERVAL {delay}")).alias("b")).first()
-        sink = spark.read.schema(schema.RAW_SCHEMA).parquet(out_path)
-        if span.a is not None:
-            sink = sink.filter(F.col("created_at").isNull() | F.col("created_at").between(
-                F.timestamp_micros(F.lit(span.a)), F.timestamp_micros(F.lit(span.b))))
-        ids = rows.select("txn_id")
-        both = (rows.withColumn("stored", F.lit(False))
-                .unionByName(sink.join(ids, "txn_id", "left_semi").withColumn("stored", F.lit(True))))
-        order = [*redelivery_order(), F.col("stored").desc()]  # of equal copies the stored one
-        rows = first_per_key(both, "txn_id", order).filter(~F.col("stored"))
-    rows.select(*schema.RAW_COLUMNS).write.mode("append").parquet(out_path)
+def read_sink(spark: SparkSession, out_path: str) -> DataFrame:
+    return spark.read.schema(SINK_SCHEMA).parquet(out_path)
+
+
+def settled(rows: DataFrame, out_path: str, run: str, delay: str) -> DataFrame:
+    """``rows`` (one per id) without those of which the sink has a copy that
+    comes before them. Only the days within ``delay`` of their event times are
+    read; a copy that this misses is hidden by :func:`read_deduplicated`."""
+    spark = rows.sparkSession
+    if not ingest.path_exists(spark, out_path):
+        return rows
+    reach = F.expr(f"INTERVAL {delay}")
+    days = rows.agg(F.to_date(F.min("created_at") - reach).alias("a"), F.to_date(F.max("created_at") + reach).alias("b")).first()
+    sink = read_sink(spark, out_path).filter(F.col("run") != run)  # not this batch's own, when it is run again
+    if days.a is not None:
+        sink = sink.filter(F.col("event_date").isNull() | F.col("event_date").between(days.a, days.b))
+    stored = sink.select(*schema.RAW_COLUMNS).join(rows.select("txn_id"), "txn_id", "left_semi")
+    both = rows.withColumn("stored", F.lit(False)).unionByName(stored.withColumn("stored", F.lit(True)))
+    order = [*redelivery_order(), F.col("stored").desc()]  # of equal copies the stored one
+    return first_per_key(both, "txn_id", order).filter(~F.col("stored")).drop("stored")
+
+
+def append_new_copies(arrived: DataFrame, fresh_ids: DataFrame, watermark: int, delay: str, out_path: str,
+                      run: str) -> None:
+    """Append what a micro-batch brings: of each id the first copy in it.
+
+    ``fresh_ids`` are the ids that the state store had not seen. The others are
+    redeliveries and dropped, but for copies that may come before the one kept:
+    rows behind the watermark, which the state store passes over, and copies
+    that are older than the newest event before this batch. Those few are
+    settled against the sink; a batch without any does not read it.
+    """
+    spark = arrived.sparkSession
+    late = F.col("created_at").isNull() | (F.col("created_at") <= F.timestamp_millis(F.lit(watermark)))
+    newest = F.timestamp_millis(F.lit(watermark + 1)) + F.expr(f"INTERVAL {delay}")
+    known = arrived.join(fresh_ids.withColumn("fresh", F.lit(True)), "txn_id", "left")
+    rows = known.withColumn("sure", F.col("fresh").isNotNull() & ~late).filter(
+        F.col("sure") | late | (F.col("created_at") < newest)).drop("fresh")
+    rows = first_per_key(rows, "txn_id", redelivery_order())
+    path = scratch_path(spark, "dedup-rows")
+    try:
+        rows.write.parquet(path)
+        rows = spark.read.schema(rows.schema).parquet(path)
+        sure, open_rows = rows.filter("sure").drop("sure"), rows.filter("not sure").drop("sure")
+        if not open_rows.isEmpty():
+            sure = sure.unionByName(settled(open_rows, out_path, run, delay))
+        (sure.select(*schema.RAW_COLUMNS, F.to_date("created_at").alias("event_date"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("event_date")
+         .parquet(f"{out_path.rstrip('/')}/run={run}"))
+    finally:
+        remove_path(spark, path)
 
 
 def stream_dedup(spark: SparkSession, raw_dir: str, out_path: str, checkpoint: str,
                  delay: str = "1 hour", max_files_per_batch: int | None = None) -> None:
     """Raw files as they arrive -> redelivered copies dropped -> Parquet sink.
-    No row is late: an id never seen before is kept whatever its event time."""
+
+    Ids seen within ``delay`` are in Spark's state store
+    (``dropDuplicatesWithinWatermark``). Beside them the arrived rows go
+    through, so that late ones are not lost: see :func:`append_new_copies`. A
+    micro-batch that is run again writes its own folder again."""
     reader = spark.readStream.schema(schema.RAW_SCHEMA)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_batch))
+    rows = reader.parquet(raw_dir).filter(F.col("txn_id").isNotNull())
+    fresh = (rows.filter(F.col("created_at").isNotNull()).select("txn_id", "created_at")
+             .withWatermark("created_at", delay).dropDuplicatesWithinWatermark(["txn_id"]))
+    # the state store's rows are marked; a watermark is no property of the others
+    both = rows.withColumn("fresh", F.lit(False)).unionByName(
+        fresh.withColumn("fresh", F.lit(True)), allowMissingColumns=True)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        append_new_copies(batch, out_path, delay)
-
-    q = (reader.parquet(raw_dir).writeStream.foreachBatch(each)
+        own = batch.sparkSession
+        path = scratch_path(own, "dedup-batch")
+        try:
+            batch.write.parquet(path)  # run once: a second run would change the state again
+            staged = own.read.schema(batch.schema).parquet(path)
+            append_new_copies(staged.filter("not fresh").drop("fresh"),
+                              staged.filter("fresh").select("txn_id"), batch_watermark(own, checkpoint, batch_id),
+                              delay, out_path, f"{query_id(own, checkpoint)}-{batch_id}")
+        finally:
+            remove_path(own, path)
+
+    q = (both.writeStream.foreachBatch(each)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 
 
 def read_deduplicated(spark: SparkSession, out_path: str) -> DataFrame:
     """The sink's earliest copy of every id: the same rows whatever the order
-    and grouping of arrival."""
-    rows = spark.read.schema(schema.RAW_SCHEMA).parquet(out_path)
-    return first_per_key(rows, "txn_id", redelivery_order())
+    and grouping of arrival. Ids that came back after ``delay`` have several."""
+    return first_per_key(read_sink(spark, out_path).select(*schema.RAW_COLUMNS), "txn_id", redelivery_order())
+
+
+def apply_batch(spark: SparkSession, rows: DataFrame, fact_path: str, query: str, batch_id: int) -> bool:
+    """Upsert the fact rows of a micro-batch of raw rows, whatever their event
+    time; the batch is recorded with the table in one publication, and a batch
+    that the table has already is recognised (False)."""
+    from paylake.operators.upsert import upsert
+    from paylake.plans.models import fact_from_raw
+    publish.recover(spark, fact_path)
+    if publish.applied(spark, fact_path).get(query, -1) >= batch_id:
+        return False
+    upsert(spark, fact_from_raw(rows), fact_path, batch=[query, batch_id])
+    return True
+
+
+def maintain_fact(spark: SparkSession, raw_path: str, fact_path: str, checkpoint: str,
+                  max_files_per_batch: int = ingest.DEFAULT_MAX_FILES_PER_BATCH) -> None:
+    """Bring the fact up to date with the raw files appended since the last
+    run, a keyed upsert for each micro-batch. Raw has an id once
+    (``insert_if_absent``), so the rows of a batch are their ids' versions.
+    When raw has been dealt out to more buckets its rows come once more and
+    change nothing."""
+    source = (spark.readStream.schema(schema.RAW_SCHEMA)
+              .option("maxFilesPerTrigger", int(max_files_per_batch)).parquet(raw_path))
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        apply_batch(batch.sparkSession, batch, fact_path, query_id(batch.sparkSession, checkpoint), batch_id)
+
+    q = (source.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
+         .foreachBatch(each).start())
+    q.awaitTermination()
 
 
 def stream_fact(spark: SparkSession, lake_root: str, raw_path: str, log_path: str, fact_path: str,
                 checkpoint: str, loaded_at: Column | None = None,
                 max_files_per_batch: int = ingest.DEFAULT_MAX_FILES_PER_BATCH) -> None:
-    """Lake files -> raw -> fact: everything that has arrived is loaded first,
-    then the fact is brought up to date once, with the lookback counted from
-    the fact as it was before the run."""
-    from paylake.plans.models import fact_incremental
+    """Lake files -> raw -> fact: everything that has arrived is loaded, then
+    the raw rows that are new go into the fact in micro-batches, by their ids."""
     ingest.ingest_stream(spark, lake_root, raw_path, log_path, checkpoint, loaded_at, max_files_per_batch)
     if ingest.path_exists(spark, raw_path):
-        fact_incremental(spark, spark.read.schema(schema.RAW_SCHEMA).parquet(raw_path), fact_path)
+        maintain_fact(spark, raw_path, fact_path, f"{checkpoint.rstrip('/')}-fact", max_files_per_batch)

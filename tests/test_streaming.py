@@ -5,6 +5,7 @@ import time
 from decimal import Decimal
 
 from paylake import schema
+from paylake.streaming import jobs
 from paylake.streaming.jobs import read_deduplicated, stream_dedup, stream_fact
 
 
@@ -87,3 +88,92 @@ def test_ingest_and_fact_do_not_depend_on_batches(spark, tmp):
         first[r.txn_id] = min(first.get(r.txn_id, (r.file_path, r.amount_inr)), (r.file_path, r.amount_inr))
     got = {r.txn_id: float(r.amount_inr) for r in spark.read.parquet(f"{tmp}/raw1").collect()}
     assert got == {k: v[1] for k, v in first.items()}
+
+
+def _files(spark, src, batches):
+    for rows in batches:
+        spark.createDataFrame(rows, schema.RAW_SCHEMA).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(0.05)
+
+
+def test_the_sink_is_read_for_late_rows_only(spark, tmp, monkeypatch):
+    """In-order batches never read the sink; a late copy of a known id is settled against it, and a late
+    row of an id never seen is kept."""
+    src, out, ck, t = f"{tmp}/raw", f"{tmp}/out", f"{tmp}/ck", dt.datetime(2024, 1, 1, 10)
+    reads, read_sink = [], jobs.read_sink
+    monkeypatch.setattr(jobs, "read_sink", lambda spark, path: reads.append(path) or read_sink(spark, path))
+    minutes = lambda n: t + dt.timedelta(minutes=n)
+    _files(spark, src, [[_row("A", minutes(0))], [_row("A", minutes(20)), _row("B", minutes(30))], [_row("C", minutes(300))]])
+    stream_dedup(spark, src, out, ck, max_files_per_batch=1)
+    assert reads == [] and sorted(r.txn_id for r in read_sink(spark, out).collect()) == ["A", "B", "C"]
+    _files(spark, src, [[_row("B", minutes(30)), _row("L", minutes(5))]])  # behind the watermark: B again, L new
+    stream_dedup(spark, src, out, ck, max_files_per_batch=1)
+    assert len(reads) == 1
+    assert sorted((r.txn_id, r.created_at) for r in read_sink(spark, out).collect()) == [
+        ("A", minutes(0)), ("B", minutes(30)), ("C", minutes(300)), ("L", minutes(5))]
+
+
+def test_an_earlier_copy_within_the_hour_is_not_lost(spark, tmp):
+    """The later copy came first: the state store knows the id, but the earlier copy has to win."""
+    src, out, t = f"{tmp}/raw", f"{tmp}/out", dt.datetime(2024, 1, 1, 10)
+    _files(spark, src, [[_row("A", t + dt.timedelta(minutes=30))], [_row("A", t)], [_row("A", t + dt.timedelta(minutes=10))]])
+    stream_dedup(spark, src, out, f"{tmp}/ck", max_files_per_batch=1)
+    assert [(r.txn_id, r.created_at) for r in read_deduplicated(spark, out).collect()] == [("A", t)]
+
+
+def test_a_batch_run_again_writes_its_own_rows_again(spark, tmp):
+    """A crash after the sink was written: the micro-batch is repeated and nothing is doubled."""
+    src, out, ck, t = f"{tmp}/raw", f"{tmp}/out", f"{tmp}/ck", dt.datetime(2024, 1, 1, 10)
+    _files(spark, src, [[_row("A", t), _row("B", t)]])
+    append = jobs.append_new_copies
+
+    def crash(*args):
+        append(*args)
+        raise RuntimeError("lost")
+    jobs.append_new_copies = crash
+    try:
+        stream_dedup(spark, src, out, ck)
+        raise AssertionError
+    except Exception as e:  # noqa: BLE001
+        assert "lost" in str(e)
+    finally:
+        jobs.append_new_copies = append
+    stream_dedup(spark, src, out, ck)
+    assert sorted(r.txn_id for r in jobs.read_sink(spark, out).collect()) == ["A", "B"]
+
+
+def test_a_replayed_fact_batch_is_recognised(spark, tmp, monkeypatch):
+    """A kill between the upsert and the checkpoint: the batch comes again and is passed over."""
+    from paylake.operators import publish, upsert
+    raw, fact, ck, t = f"{tmp}/raw", f"{tmp}/fact", f"{tmp}/ck", dt.datetime(2024, 1, 1, 10)
+    _files(spark, raw, [[_row("TXNA", t)], [_row("TXNB", t + dt.timedelta(days=40))]])
+    done, run = [], jobs.apply_batch
+
+    def killed(*args):
+        done.append(run(*args))
+        if len(done) == 2:
+            raise RuntimeError("killed")
+        return done[-1]
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "apply_batch", killed)
+        try:
+            jobs.maintain_fact(spark, raw, fact, ck, 1)
+            raise AssertionError
+        except Exception as e:  # noqa: BLE001
+            assert "killed" in str(e)
+    assert done == [True, True] and list(publish.applied(spark, fact).values()) == [1]
+    again, before = [], sorted(map(str, spark.read.parquet(fact).collect()))
+    monkeypatch.setattr(jobs, "apply_batch", lambda *a: again.append(run(*a)))
+    monkeypatch.setattr(upsert, "upsert", None)  # a repeated batch must not get as far
+    jobs.maintain_fact(spark, raw, fact, ck, 1)
+    assert again == [False] and sorted(map(str, spark.read.parquet(fact).collect())) == before and len(before) == 2
+
+
+def test_late_rows_reach_the_fact(spark, tmp):
+    """An id that arrives hours late is upserted by its batch, not left out by a time cutoff."""
+    raw, fact, ck, t = f"{tmp}/raw", f"{tmp}/fact", f"{tmp}/ck", dt.datetime(2024, 3, 1, 10)
+    _files(spark, raw, [[_row("TXNA", t)]])
+    jobs.maintain_fact(spark, raw, fact, ck)
+    _files(spark, raw, [[_row("TXNB", t - dt.timedelta(days=60))]])
+    jobs.maintain_fact(spark, raw, fact, ck)
+    assert sorted(r.txn_id for r in spark.read.parquet(fact).collect()) == ["TXNA", "TXNB"]

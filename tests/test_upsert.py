@@ -162,3 +162,25 @@ def test_crash_of_a_full_rewrite_is_repaired(spark, tmp, monkeypatch, where):
             publish.rebuild_table(new, path)
     assert _table(spark, path) == sorted(map(str, new.collect()))
     assert not _leftovers(tmp)
+
+
+def test_a_rename_that_fails_raises(spark, tmp, monkeypatch):
+    """Some stores answer a failed rename with false: nothing is deleted, and the next run finishes."""
+    path = f"{tmp}/table"
+    publish.rebuild_table(spark.range(3), path)
+    hadoop_path = publish.hadoop_path
+
+    class Store:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def rename(self, old, new):
+            return "__staging" not in old.getName() and self.fs.rename(old, new)
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+    with monkeypatch.context() as m:
+        m.setattr(publish, "hadoop_path", lambda spark, p: (Store(hadoop_path(spark, p)[0]), hadoop_path(spark, p)[1]))
+        with pytest.raises(OSError, match="could not rename"):
+            publish.rebuild_table(spark.range(5), path)
+    assert read_target(spark, path).count() == 5 and not _leftovers(tmp)
