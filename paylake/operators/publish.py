@@ -49,11 +49,6 @@ def read_text(spark: SparkSession, path: str) -> str | None:
     return "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
 
 
-def partition_dir(root: str, parts: list[str], values) -> str:
-    segs = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(parts, values)]
-    return "/".join([root.rstrip("/"), *segs])
-
-
 def swap_table(spark: SparkSession, staging: str, path: str) -> None:
     """The staged folder becomes the table: two renames, then the old one goes.
     A rename that fails leaves both for the next run."""
@@ -67,12 +62,60 @@ def swap_table(spark: SparkSession, staging: str, path: str) -> None:
     fs.delete(old, True)
 
 
-def replace_partitions(spark: SparkSession, staging: str, path: str, schema, parts: list[str], emptied) -> None:
-    """The staged partitions replace the table's; emptied ones are dropped."""
-    (spark.read.schema(schema).parquet(staging).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
-    for values in emptied:
-        remove_path(spark, partition_dir(path, parts, values))
+def files_below(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(path, length) of the Parquet files below a folder."""
+    fs, root = hadoop_path(spark, path)
+    found, out = fs.listFiles(root, True), []
+    while found.hasNext():
+        status = found.next()
+        name = status.getPath().getName()
+        if name.endswith(".parquet") and not name.startswith(("_", ".")):
+            out.append((status.getPath().toString(), status.getLen()))
+    return out
+
+
+def add_files(spark: SparkSession, moves: list[list[str]]) -> None:
+    """Staged files go to their places; one that is gone went before."""
+    for source, place in moves:
+        fs, old = hadoop_path(spark, source)
+        new = hadoop_path(spark, place)[1]
+        if fs.exists(old):
+            fs.mkdirs(new.getParent())
+            _rename(fs, old, new)
+
+
+def drop_files(spark: SparkSession, files: list[str], path: str) -> None:
+    """Files that were replaced go, and the partition folders they leave empty."""
+    root = hadoop_path(spark, path)[1].toUri().getPath()
+    for name in files:
+        fs, p = hadoop_path(spark, name)
+        fs.delete(p, False)
+        folder = p.getParent()
+        while folder.toUri().getPath() != root and fs.exists(folder) and len(fs.listStatus(folder)) == 0:
+            fs.delete(folder, False)
+            folder = folder.getParent()
+
+
+def write_summary(spark: SparkSession, schema, path: str) -> None:
+    """An empty Parquet file with the columns of a table, where Spark looks for
+    them first: files written before a column came have it NULL, files with a
+    column that went are read without it."""
+    tmp = staging_beside(path)
+    spark.createDataFrame([], schema).coalesce(1).write.parquet(tmp)
+    fs, place = hadoop_path(spark, path)
+    fs.mkdirs(place.getParent())
+    fs.delete(place, False)
+    _rename(fs, hadoop_path(spark, files_below(spark, tmp)[0][0])[1], place)
+    remove_path(spark, tmp)
+
+
+def _dropped_path(path: str) -> str:
+    return f"{path.rstrip('/')}__dropped.json"
+
+
+def dropped_columns(spark: SparkSession, path: str) -> list[str]:
+    """Columns that the table had once and that old files may still hold."""
+    return json.loads(read_text(spark, _dropped_path(path)) or "[]")
 
 
 def _applied_path(path: str) -> str:
@@ -94,10 +137,16 @@ def _record(spark: SparkSession, path: str, batch: list | None) -> None:
 def _perform(spark: SparkSession, path: str, todo: dict) -> None:
     if todo["mode"] == "table":
         swap_table(spark, todo["staging"], path)
+        remove_path(spark, _dropped_path(path))
     else:
-        from pyspark.sql.types import StructType
-        replace_partitions(spark, todo["staging"], path, StructType.fromJson(todo["schema"]), todo["parts"],
-                           todo["emptied"])
+        add_files(spark, todo["moves"])
+        if todo["schema"] is not None:
+            from pyspark.sql.types import StructType
+            write_summary(spark, StructType.fromJson(todo["schema"]), f"{path.rstrip('/')}/_common_metadata")
+            remove_path(spark, _dropped_path(path))
+            if todo["dropped"]:
+                _write_text(spark, _dropped_path(path), json.dumps(todo["dropped"]))
+        drop_files(spark, todo["remove"], path)
         remove_path(spark, todo["staging"])
     _record(spark, path, todo.get("batch"))
     remove_path(spark, _manifest_path(path))
@@ -119,23 +168,31 @@ def publish_table(spark: SparkSession, staging: str, path: str, batch: list | No
     _perform(spark, path, todo)
 
 
-def publish_partitions(spark: SparkSession, staging: str, path: str, staged: DataFrame, parts: list[str],
-                       touched: list[tuple], batch: list | None = None) -> None:
-    """``touched``: partitions the staged rows replace; those without a staged row are dropped."""
-    present = {tuple(r) for r in staged.select(*parts).distinct().collect()}  # partition values only
-    todo = {"mode": "partitions", "staging": staging, "parts": parts, "schema": staged.schema.jsonValue(),
-            "emptied": [list(v) for v in touched if v not in present], "batch": batch}
+def publish_files(spark: SparkSession, staging: str, path: str, replaced: list[str], schema=None,
+                  dropped: list[str] = (), batch: list | None = None) -> None:
+    """The files staged below ``staging`` join the table's, and the files
+    ``replaced`` go. ``schema``: the columns (without those of folders) that the
+    table has from now on, if they change, and ``dropped`` those that old files
+    still hold. Readers in between see replaced rows twice."""
+    root, table = hadoop_path(spark, staging)[1].toUri().getPath(), path.rstrip("/")
+    moves = []
+    for name, _ in files_below(spark, staging):
+        inside = hadoop_path(spark, name)[1].toUri().getPath()
+        moves.append([name, f"{table}{inside[len(root):]}"])
+    todo = {"mode": "files", "staging": staging, "moves": moves, "remove": list(replaced), "batch": batch,
+            "schema": None if schema is None else schema.jsonValue(), "dropped": list(dropped)}
     _write_text(spark, _manifest_path(path), json.dumps(todo))
     _perform(spark, path, todo)
 
 
-def rebuild_table(df: DataFrame, path: str, parts: list[str] | None = None, batch: list | None = None) -> None:
-    """Full rebuild of a table: staged beside it, then swapped in."""
+def rebuild_table(df: DataFrame, path: str, parts: list[str] | None = None, batch: list | None = None,
+                  options: dict[str, str] | None = None) -> None:
+    """Full rebuild of a table: staged beside it, then swapped in. ``options`` are the writer's."""
     spark = df.sparkSession
     recover(spark, path)
     staging = staging_beside(path)
     writer = df.write
     if parts:
         writer = df.hint("REBALANCE", *[F.col(p) for p in parts]).write.partitionBy(*parts)
-    writer.parquet(staging)
+    writer.options(**(options or {})).parquet(staging)
     publish_table(spark, staging, path, batch)

@@ -139,17 +139,21 @@ def estimated_bytes(df) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def size_shuffle_for(spark: SparkSession, *dfs) -> int:
-    """Raise the shuffle partition count so a shuffle of ``dfs`` puts about
-    ``TARGET_PARTITION_BYTES`` into each partition (spill-free reducers at any
-    scale); never lowers the session's setting. Returns the count in force."""
+def partitions_for(spark: SparkSession, *dfs) -> int:
+    """Shuffle partitions that put about ``TARGET_PARTITION_BYTES`` of ``dfs``
+    into each (spill-free reducers at any scale); never below the session's
+    setting. For plans that run later, as ``repartition(n, key)``."""
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     size = sum(estimated_bytes(df) for df in dfs)
     if size >= 2 ** 62:  # no statistics (e.g. an in-memory relation): leave as is
         return current
-    want = -(-size // TARGET_PARTITION_BYTES)
-    n = max(current, min(MAX_SHUFFLE_PARTITIONS, want))
-    if n != current:
+    return max(current, min(MAX_SHUFFLE_PARTITIONS, -(-size // TARGET_PARTITION_BYTES)))
+
+
+def size_shuffle_for(spark: SparkSession, *dfs) -> int:
+    """Raise the session's shuffle partition count to :func:`partitions_for`. Returns the count in force."""
+    n = partitions_for(spark, *dfs)
+    if n != int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n
 
@@ -168,3 +172,27 @@ class sized_shuffle:  # noqa: N801 - used as a context manager
     def __exit__(self, *exc):
         self.spark.conf.set("spark.sql.shuffle.partitions", self.before)
         return False
+
+
+class pushed_in:  # noqa: N801 - used as a context manager
+    """``with pushed_in(spark, n): ...`` — an IN list of up to ``n`` values is
+    pushed into Parquet scans as it is, where row groups whose Bloom filter has
+    none of them are not read."""
+
+    KEY = "spark.sql.parquet.pushdown.inFilterThreshold"
+
+    def __init__(self, spark: SparkSession, n: int):
+        self.spark, self.n = spark, n
+
+    def __enter__(self):
+        self.before = self.spark.conf.get(self.KEY)
+        self.spark.conf.set(self.KEY, str(max(int(self.before), self.n)))
+
+    def __exit__(self, *exc):
+        self.spark.conf.set(self.KEY, self.before)
+        return False
+
+
+def bloom_options(column: str) -> dict[str, str]:
+    """Writer options for a Bloom filter of a column, sized to its values."""
+    return {f"parquet.bloom.filter.enabled#{column}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}

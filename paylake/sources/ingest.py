@@ -272,7 +272,7 @@ def raw_table(spark, raw_path: str, buckets: int | None = None) -> str | None:
     txn_id, with a Bloom filter of the ids in every row group (its files stay
     plain Parquet for every other reader). Creates the folder with ``buckets``
     if there is none."""
-    from paylake.session import hadoop_path
+    from paylake.session import bloom_options, hadoop_path
     n = raw_buckets(spark, raw_path)
     if n is None:
         if path_exists(spark, raw_path):
@@ -287,9 +287,9 @@ def raw_table(spark, raw_path: str, buckets: int | None = None) -> str | None:
     name = f"paylake_raw_{hashlib.md5(raw_path.rstrip('/').encode()).hexdigest()}_{n}"
     if not spark.catalog.tableExists(name):
         cols = ", ".join(f"{c} {t.simpleString()}" for c, t in schema.RAW_FIELDS)
+        bloom = ", ".join(f"'{k}' = '{v}'" for k, v in bloom_options("txn_id").items())
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
-                  f"OPTIONS ('parquet.bloom.filter.enabled#txn_id' = 'true', "
-                  f"'parquet.bloom.filter.adaptive.enabled' = 'true') CLUSTERED BY (txn_id) "
+                  f"OPTIONS ({bloom}) CLUSTERED BY (txn_id) "
                   f"SORTED BY (txn_id) INTO {n} BUCKETS LOCATION '{raw_path.rstrip('/')}'")
     spark.catalog.refreshTable(name)
     return name
@@ -319,13 +319,9 @@ def grow_buckets(spark, raw_path: str) -> int | None:
 def _found(spark, ids: list[str], raw_path: str) -> list[str]:
     """Those of a few ids that raw has. The ids are pushed into the scan, where
     row groups whose Bloom filter has none of them are not read."""
-    threshold = "spark.sql.parquet.pushdown.inFilterThreshold"
-    before = spark.conf.get(threshold)
-    spark.conf.set(threshold, str(max(int(before), len(ids))))
-    try:
+    from paylake.session import pushed_in
+    with pushed_in(spark, len(ids)):
         rows = spark.read.schema("txn_id string").parquet(raw_path).filter(F.col("txn_id").isin(ids)).distinct().collect()
-    finally:
-        spark.conf.set(threshold, before)
     return [r.txn_id for r in rows]
 
 
@@ -342,10 +338,10 @@ def absent_rows(spark, rows: DataFrame, raw_path: str) -> DataFrame:
         absent = rows.filter(~F.col("txn_id").isin(present)) if present else rows
         return absent.repartition(n, "txn_id") if n else absent
     if name is None:
-        from paylake.session import sized_shuffle
+        from paylake.session import partitions_for
         raw = spark.read.schema(schema.RAW_SCHEMA).parquet(raw_path).select("txn_id")
-        with sized_shuffle(spark, raw, rows):
-            return rows.join(raw, "txn_id", "left_anti")
+        m = partitions_for(spark, raw, rows)
+        return rows.repartition(m, "txn_id").join(raw.repartition(m, "txn_id"), "txn_id", "left_anti")
     ids = rows.select("txn_id").repartition(n, "txn_id").hint("shuffle_hash")
     present = spark.table(name).select("txn_id").join(ids, "txn_id", "left_semi")
     return rows.repartition(n, "txn_id").join(present, "txn_id", "left_anti")

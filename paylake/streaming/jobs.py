@@ -20,9 +20,9 @@ from paylake.operators.dedup import first_per_key
 from paylake.session import remove_path, scratch_path
 from paylake.sources import ingest
 
-# The sink of the dedup: a folder for each micro-batch, and in it one for each day.
+# The sink of the dedup: a folder for each micro-batch, and in it one for each month, in order of time.
 SINK_SCHEMA = T.StructType([*schema.RAW_SCHEMA.fields, T.StructField("run", T.StringType()),
-                            T.StructField("event_date", T.DateType())])
+                            T.StructField("event_month", T.DateType())])
 
 
 def query_id(spark: SparkSession, checkpoint: str) -> str:
@@ -49,16 +49,20 @@ def read_sink(spark: SparkSession, out_path: str) -> DataFrame:
 
 def settled(rows: DataFrame, out_path: str, run: str, delay: str) -> DataFrame:
     """``rows`` (one per id) without those of which the sink has a copy that
-    comes before them. Only the days within ``delay`` of their event times are
-    read; a copy that this misses is hidden by :func:`read_deduplicated`."""
+    comes before them. Only rows within ``delay`` of their event times are read
+    (months by folder, times by row group); a copy that this misses is hidden
+    by :func:`read_deduplicated`."""
     spark = rows.sparkSession
     if not ingest.path_exists(spark, out_path):
         return rows
     reach = F.expr(f"INTERVAL {delay}")
-    days = rows.agg(F.to_date(F.min("created_at") - reach).alias("a"), F.to_date(F.max("created_at") + reach).alias("b")).first()
+    span = rows.agg(F.unix_micros(F.min("created_at") - reach).alias("a"),
+                    F.unix_micros(F.max("created_at") + reach).alias("b")).first()
     sink = read_sink(spark, out_path).filter(F.col("run") != run)  # not this batch's own, when it is run again
-    if days.a is not None:
-        sink = sink.filter(F.col("event_date").isNull() | F.col("event_date").between(days.a, days.b))
+    if span.a is not None:
+        a, b = (F.timestamp_micros(F.lit(x)) for x in span)
+        sink = sink.filter(F.col("event_month").isNull() | F.col("event_month").between(
+            F.trunc(a, "month"), F.trunc(b, "month"))).filter(F.col("created_at").isNull() | F.col("created_at").between(a, b))
     stored = sink.select(*schema.RAW_COLUMNS).join(rows.select("txn_id"), "txn_id", "left_semi")
     both = rows.withColumn("stored", F.lit(False)).unionByName(stored.withColumn("stored", F.lit(True)))
     order = [*redelivery_order(), F.col("stored").desc()]  # of equal copies the stored one
@@ -89,8 +93,9 @@ def append_new_copies(arrived: DataFrame, fresh_ids: DataFrame, watermark: int,
         sure, open_rows = rows.filter("sure").drop("sure"), rows.filter("not sure").drop("sure")
         if not open_rows.isEmpty():
             sure = sure.unionByName(settled(open_rows, out_path, run, delay))
-        (sure.select(*schema.RAW_COLUMNS, F.to_date("created_at").alias("event_date"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("event_date")
+        (sure.select(*schema.RAW_COLUMNS, F.trunc("created_at", "month").alias("event_month"))
+         .hint("REBALANCE", "event_month").sortWithinPartitions("event_month", "created_at")
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("event_month")
          .parquet(f"{out_path.rstrip('/')}/run={run}"))
     finally:
         remove_path(spark, path)

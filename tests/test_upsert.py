@@ -130,13 +130,14 @@ def test_crash_is_repaired_by_the_next_run(spark, tmp, monkeypatch, where):
         elif where == "before the swap":
             m.setattr(publish, "_perform", _crash)
         elif where == "in the swap":
-            def half(spark, staging, path, schema, parts, emptied):
-                import shutil
-                shutil.rmtree(f"{path}/txn_year=2024/txn_month=1")  # deleted, not yet written
+            add_files = publish.add_files
+
+            def half(spark, moves):
+                add_files(spark, moves[:1])
                 raise Crash
-            m.setattr(publish, "replace_partitions", half)
+            m.setattr(publish, "add_files", half)
         else:
-            m.setattr(publish, "partition_dir", _crash)
+            m.setattr(publish, "drop_files", _crash)
         with pytest.raises(Crash):
             upsert(spark, new, path)
     upsert(spark, new, path)  # the rerun
@@ -184,3 +185,70 @@ def test_a_rename_that_fails_raises(spark, tmp, monkeypatch):
         with pytest.raises(OSError, match="could not rename"):
             publish.rebuild_table(spark.range(5), path)
     assert read_target(spark, path).count() == 5 and not _leftovers(tmp)
+
+
+def _file_names(path):
+    import os
+    return sorted(os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet"))
+
+
+def test_only_files_that_hold_a_key_are_written_again(spark, tmp, monkeypatch):
+    """Two months of daily files: an upsert of one old row and a new one rewrites that row's file alone,
+    whether its keys are looked up by Bloom filters or by a join."""
+    import os
+
+    from paylake.operators import upsert as module
+    t = dt.datetime(2024, 1, 1)
+    for few in (1_000, 0):
+        monkeypatch.setattr(module, "FEW_KEYS", few)
+        path = f"{tmp}/fact{few}"
+        for day in range(20):
+            at = t + dt.timedelta(days=3 * day)
+            upsert(spark, _rows(spark, [(f"k{day}-{i}", Decimal(i), at, at.year, at.month) for i in range(50)]).coalesce(1), path)
+        before = _file_names(path)
+        size = sum(map(os.path.getsize, before))
+        late = t + dt.timedelta(days=59)
+        done = upsert(spark, _rows(spark, [("k4-7", Decimal(900), late, late.year, late.month),
+                                           ("new", Decimal(1), late, late.year, late.month)]), path)
+        assert done == "incremental" and done.files_rewritten == 1 and 0 < done.bytes_rewritten < size / 10
+        assert len(set(before) - set(_file_names(path))) == 1
+        got = {r.txn_sk: r for r in spark.read.parquet(path).collect()}
+        assert len(got) == 1001 and got["k4-7"].txn_month == 2 and float(got["k4-7"].amount_inr) == 900
+
+
+def test_keys_that_no_file_holds_read_no_key_pages(spark, tmp):
+    from test_plans import _rows_scanned
+
+    from paylake.session import pushed_in
+    path, t = f"{tmp}/fact", dt.datetime(2024, 1, 1)
+    upsert(spark, _rows(spark, [(f"k{i:04d}", Decimal(i), t, 2024, 1 + i % 3) for i in range(600)]), path)
+    with pushed_in(spark, 20):
+        found = spark.read.parquet(path).select("txn_sk").filter(F.col("txn_sk").isin([f"k{i:04d}x" for i in range(20)]))
+        assert found.collect() == [] and _rows_scanned(found) < 300
+
+
+def test_column_changes_leave_other_files_alone(spark, tmp):
+    """A column is added, one dropped, and one comes back: NULL in rows written without it."""
+    path, t = f"{tmp}/fact", dt.datetime(2024, 1, 31, 23)
+    upsert(spark, _rows(spark, [("a", Decimal("1"), t, 2024, 1), ("b", Decimal("2"), t, 2024, 3)]), path)
+    old = [f for f in _file_names(path) if "txn_month=1" in f]
+    v2 = "txn_sk string, note string, created_at timestamp, txn_year int, txn_month int"
+    assert upsert(spark, _rows(spark, [("b", "new", t, 2024, 3)], v2), path) == "incremental"
+    assert [f for f in _file_names(path) if "txn_month=1" in f] == old
+    assert {r.txn_sk: r.note for r in spark.read.parquet(path).collect()} == {"a": None, "b": "new"}
+    assert publish.dropped_columns(spark, path) == ["amount_inr"]
+    v3 = "txn_sk string, note string, amount_inr decimal(12,2), created_at timestamp, txn_year int, txn_month int"
+    assert upsert(spark, _rows(spark, [("c", "x", Decimal("3"), t, 2024, 4)], v3), path) == "full"
+    got = {r.txn_sk: (r.note, r.amount_inr) for r in spark.read.parquet(path).collect()}
+    assert got == {"a": (None, None), "b": ("new", None), "c": ("x", Decimal("3.00"))}
+    assert publish.dropped_columns(spark, path) == []
+
+
+def test_small_files_of_a_partition_are_written_as_one(spark, tmp, monkeypatch):
+    from paylake.operators import upsert as module
+    monkeypatch.setattr(module, "COMPACT_FILES", 4)
+    path, t = f"{tmp}/fact", dt.datetime(2024, 1, 1)
+    for i in range(9):
+        upsert(spark, _rows(spark, [(f"k{i}", Decimal(i), t, 2024, 1)]).coalesce(1), path)
+        assert len(_file_names(path)) <= 5
+    assert sorted(r.txn_sk for r in spark.read.parquet(path).collect()) == [f"k{i}" for i in range(9)]
