@@ -206,8 +206,8 @@ def agg_distinct_rows(i: Inputs) -> DataFrame:
 
 def agg_dup_keys(i: Inputs) -> DataFrame:
     """Raw txn_ids occurring more than once, with their count."""
-    return (i.raw.filter(F.col("txn_id").isNotNull()).groupBy("txn_id").agg(_n().alias("n"))
-            .filter(F.col("n") > 1))
+    from paylake.operators.duplicates import duplicate_values
+    return duplicate_values(i.raw, ["txn_id"]).select(F.col("value").alias("txn_id"), "n")
 
 
 def dedup_latest(i: Inputs) -> DataFrame:

@@ -268,8 +268,10 @@ def fact_incremental(spark: SparkSession, raw: DataFrame, fact_path: str,
 def late_rows(raw: DataFrame, fact: DataFrame, cutoff) -> DataFrame:
     """Staged rows at or before ``cutoff`` whose transaction the fact lacks:
     the rows an incremental run skips silently."""
-    stg = stg_transactions(raw).filter(F.col("created_at") <= cutoff)
-    return stg.join(fact.select("txn_id"), "txn_id", "left_anti")
+    from paylake.session import partitions_for
+    stg, ids = stg_transactions(raw).filter(F.col("created_at") <= cutoff), fact.select("txn_id")
+    n = partitions_for(raw.sparkSession, raw, ids)
+    return stg.repartition(n, "txn_id").join(ids.repartition(n, "txn_id"), "txn_id", "left_anti")
 
 
 def dim_location_from_fact(fact: DataFrame) -> DataFrame:
@@ -299,5 +301,5 @@ def build_star(spark: SparkSession, raw: DataFrame, out_dir: str, deduped: bool
               "dim_payment_type": dim_payment_type(spark)}
     from paylake.operators.publish import rebuild_table
     for name, df in tables.items():
-        rebuild_table(df.coalesce(1), paths[name])  # at most 731 rows
+        rebuild_table(df.repartition(1), paths[name])  # at most 731 rows, after their aggregate
     return paths

@@ -7,11 +7,12 @@ Failure counts follow the generic-test semantics of the modelled project:
 * ``accepted_values``  number of distinct non-NULL values outside the set
 * ``relationships``    number of child rows whose non-NULL key has no parent
 
-All tests of a table are one scan and one shuffle: a row gives a token for
-each value to be counted (``unique``) and for each test it fails, the tokens
-are counted per (test, column, value) with partial sums before the shuffle,
-so a hot duplicated value is combined map-side, and the counts are added up
-per test. Only failing rows and unique columns make tokens.
+All tests of a table but ``unique`` are one scan: a row gives a token for each
+test it fails, the tokens are counted per (test, column, value) with partial
+sums before the shuffle and added up per test. Only failing rows make tokens,
+so a table that passes shuffles nothing. ``unique`` columns of the large
+tables are counted by 64-bit hashes, their values only where a hash occurs
+twice (:mod:`paylake.operators.duplicates`).
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paylake.operators.duplicates import duplicate_values
 from paylake.operators.joins import bounded
 from paylake.plans.models import DIM_DATE_ROWS, Dims
 from paylake.sources import fixed, relations
@@ -44,11 +46,12 @@ def _token(check: str, column: str, when: Column | None = None, value: Column |
 
 def run_tests(df: DataFrame, table: str, unique: list[str] = (), not_null: list[str] = (),
               accepted: dict[str, list[str]] | None = None,
-              rows: list[tuple[str, str, Column]] = (), rate: bool = False) -> DataFrame:
+              rows: list[tuple[str, str, Column]] = (), rate: bool = False, bound: int | None = None) -> DataFrame:
     """Failures of every named test of ``table``. ``rows`` are further row
-    tests (column, check, fails?); ``rate`` adds the success-rate floor."""
+    tests (column, check, fails?); ``rate`` adds the success-rate floor.
+    ``bound``: rows the table can have at most, when that is few."""
     accepted = accepted or {}
-    tokens = [_token("unique", c, F.col(c).isNotNull(), F.col(c)) for c in unique]
+    tokens = [] if bound is None else [_token("unique", c, F.col(c).isNotNull(), F.col(c)) for c in unique]
     tokens += [_token("not_null", c, F.col(c).isNull()) for c in not_null]
     tokens += [_token("accepted_values", c, ~F.col(c).isin(*ok), F.col(c)) for c, ok in accepted.items()]
     tokens += [_token(check, c, fails) for c, check, fails in rows]
@@ -58,8 +61,12 @@ def run_tests(df: DataFrame, table: str, unique: list[str] = (), not_null: list[
         tokens += [_token("_rows", "is_success_int"), _token("_successful", "is_success_int",
                                                              F.col("is_success_int") == 1)]
         names.append(("assert_success_rate_above_threshold", "is_success_int"))
-    counted = (df.select(F.explode(F.filter(F.array(*tokens), lambda t: t.isNotNull())).alias("t")).select("t.*")
-               .groupBy("check_name", "column_name", "value").agg(F.count(F.lit(1)).alias("n")))
+    none = F.array().cast("array<struct<check_name:string,column_name:string,value:string>>")
+    counted = (df.select(F.explode(F.filter(F.array(*tokens), lambda t: t.isNotNull()) if tokens else none).alias("t"))
+               .select("t.*").groupBy("check_name", "column_name", "value").agg(F.count(F.lit(1)).alias("n")))
+    if unique and bound is None:
+        counted = counted.unionByName(duplicate_values(df, list(unique)).select(
+            F.lit("unique").alias("check_name"), "column_name", "value", "n"))
     failing = (F.when(F.col("check_name") == "unique", (F.col("n") > 1).cast("bigint"))
                .when(F.col("check_name") == "accepted_values", F.lit(1).cast("bigint")).otherwise(F.col("n")))
     found = counted.groupBy("check_name", "column_name").agg(F.sum(failing).alias("failures"))
@@ -125,7 +132,7 @@ def dim_tests(dims: Dims, unique: bool = True, not_null: bool = True, accepted:
         values = values if accepted else {}
         if not (unique or not_null or values):
             continue
-        part = run_tests(df, table, keys if unique else [], keys if not_null else [], values)
+        part = run_tests(df, table, keys if unique else [], keys if not_null else [], values, bound=DIM_DATE_ROWS)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -209,8 +216,7 @@ def dq_row_rules(lake: DataFrame) -> DataFrame:
     structs = [F.struct(F.lit(n).alias("rule"), F.col(f"c{i}").cast("bigint").alias("failures"))
                for i, (n, _) in enumerate(flags)]
     counts = agg.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
-    dup = (lake.filter(F.col("txn_id").isNotNull()).groupBy("txn_id").count()
-           .filter(F.col("count") > 1)
+    dup = (duplicate_values(lake, ["txn_id"])
            .agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
            .select(F.lit("txn_id_unique").alias("rule"), "failures"))
     missing = len([c for c in schema.LAKE_COLUMNS if c not in lake.columns])

@@ -75,3 +75,31 @@ def test_ingest_of_an_empty_lake_folder(spark, tmp):
     os.makedirs(f"{tmp}/lake")
     ingest.ingest_batch(spark, f"{tmp}/lake", f"{tmp}/raw", f"{tmp}/log")
     assert not os.path.exists(f"{tmp}/raw")
+
+
+def test_duplicates_are_found_without_shuffling_the_values(spark):
+    """Only hashes meet in an exchange while nothing is repeated; repeated and hot values are counted exactly."""
+    from pyspark.sql import functions as F
+
+    from paylake.operators.duplicates import duplicate_values
+    df = spark.range(5000).select(F.concat(F.lit("key-"), F.col("id")).alias("a"), (F.col("id") % 4000).alias("b"),
+                                  F.when(F.col("id") < 3000, F.lit("hot")).alias("c"))
+    assert sorted(map(tuple, duplicate_values(df, ["a", "c"]).collect())) == [("c", "hot", 3000)]
+    got = duplicate_values(df, ["b"])
+    assert got.count() == 1000 and {(r.column_name, r.n) for r in got.collect()} == {("b", 2)}
+    none = duplicate_values(df, ["a"])
+    assert none.collect() == []
+    plan = none._jdf.queryExecution().executedPlan().toString()
+    before = plan.split("== Initial Plan ==")[-1]
+    joins = [ln for ln in before.splitlines() if "Join" in ln]
+    assert joins and all("BroadcastHashJoin" in ln for ln in joins), plan
+
+
+def test_colliding_hashes_are_no_duplicates(spark, monkeypatch):
+    """With a hash of two values only, different values share one; they are told apart."""
+    from pyspark.sql import functions as F
+
+    from paylake.operators import duplicates
+    monkeypatch.setattr(duplicates.F, "xxhash64", lambda c: F.length(F.col(c)).cast("long"))
+    df = spark.createDataFrame([("aa",), ("bb",), ("cc",), ("bb",), (None,), (None,)], "k string")
+    assert [tuple(r) for r in duplicates.duplicate_values(df, ["k"]).collect()] == [("k", "bb", 2)]
