@@ -10,15 +10,22 @@ aggregated rows only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylake.functions import buckets
 from paylake.functions.numeric import money_sum, percent, rounded_avg, scaled_millions
+from paylake.operators import publish
 from paylake.operators.joins import bounded
 from paylake.operators.share import with_share
 from paylake.plans.models import DIM_DATE_ROWS, Dims
+from paylake.schema import FACT_PARTITION_COLUMNS
+from paylake.session import hadoop_path
 from paylake.sources import fixed, relations
+from paylake.sources.ingest import path_exists
 
 LOCATION_BOUND = len(fixed.CITY_MAPPING)
 
@@ -212,19 +219,20 @@ DASHBOARD_KEYS = ["date_sk", "txn_hour", "location_sk", "merchant_sk", "upi_app_
                   "is_weekend", "is_festival", "amount_bucket", "device_type"]
 
 
-def dashboard_base(fact: DataFrame) -> DataFrame:
+def dashboard_base(fact: DataFrame, by: list[str] = ()) -> DataFrame:
     """One scan of the fact, aggregated to every grain a panel needs.
 
     GROUPING SETS over the ten panel keys plus the grand total: each fact row
     is expanded once per set inside the scan stage and partial-aggregated
     there, so what leaves the stage is a few hundred rows. ``gid`` names the
     set (a key column is NULL both outside its set and for a NULL key, so the
-    set must be told by ``gid``, not by NULLs).
+    set must be told by ``gid``, not by NULLs). ``by`` columns are part of
+    every set: partial aggregates that :func:`merged_base` adds up.
     """
-    sets = [[k] for k in DASHBOARD_KEYS] + [[]]
-    cols = [F.col(k) for k in DASHBOARD_KEYS]
+    sets = [[*by, k] for k in DASHBOARD_KEYS] + [list(by)]
+    cols = [F.col(k) for k in (*by, *DASHBOARD_KEYS)]
     amt, ok = F.col("amount_inr"), F.col("is_success")
-    g = fact.select(*DASHBOARD_KEYS, "amount_inr", "is_success", "is_success_int").groupingSets(
+    g = fact.select(*by, *DASHBOARD_KEYS, "amount_inr", "is_success", "is_success_int").groupingSets(
         [[F.col(k) for k in s] for s in sets], *cols)
     return g.agg(
         F.grouping_id(*cols).alias("gid"),
@@ -238,6 +246,16 @@ def dashboard_base(fact: DataFrame) -> DataFrame:
     )
 
 
+def merged_base(parts: DataFrame) -> DataFrame:
+    """Partial aggregates added up: counts and decimal sums exactly, distinct
+    locations as the union of the parts' groups."""
+    kinds = dict(parts.dtypes)
+    out = parts.groupBy("gid", *DASHBOARD_KEYS).agg(
+        *[F.sum(c).cast(kinds[c]).alias(c) for c in ("n", "amt", "amt_n", "succ", "ok_amt", "ok_amt_n")],
+        F.min("min_amt").alias("min_amt"))
+    return out
+
+
 def _gid(key: str | None) -> int:
     """grouping_id of the set that groups by ``key`` only (None: grand total)."""
     n = len(DASHBOARD_KEYS)
@@ -325,3 +343,62 @@ def refresh_dashboard(fact: DataFrame, dims: Dims, path: str) -> dict[str, DataF
     # after the merge of the partial groups: a few hundred rows
     dashboard_base(fact).repartition(1).write.mode("overwrite").parquet(path)
     return dashboard(fact.sparkSession.read.parquet(path), dims)
+
+
+# --------------------------------------------------------------------------
+# the dashboard kept up to date: partial aggregates per month of the fact
+# --------------------------------------------------------------------------
+def month_signatures(spark: SparkSession, fact_path: str) -> dict[tuple, str]:
+    """What files each month of the fact has (names are never used twice, so
+    equal signatures mean equal rows); listing only."""
+    root = hadoop_path(spark, fact_path)[1].toUri().getPath().rstrip("/")
+    months: dict[tuple, list] = {}
+    for name, size in publish.files_below(spark, fact_path):
+        inside = hadoop_path(spark, name)[1].toUri().getPath()[len(root) + 1:]
+        values = [x.partition("=")[2] for x in inside.split("/")[:len(FACT_PARTITION_COLUMNS)]]
+        month = tuple(None if v == "__HIVE_DEFAULT_PARTITION__" else int(v) for v in values)
+        months.setdefault(month, []).append((inside, size))
+    return {m: hashlib.md5(json.dumps(sorted(files)).encode()).hexdigest() for m, files in months.items()}
+
+
+def _of_months(months: list[tuple]) -> Column:
+    cond = F.lit(False)
+    for values in months:
+        one = F.lit(True)
+        for c, v in zip(FACT_PARTITION_COLUMNS, values):
+            one = one & F.col(c).eqNullSafe(F.lit(v).cast("int"))
+        cond = cond | one
+    return cond
+
+
+def scan_months(fact: DataFrame, months: list[tuple]) -> DataFrame:
+    """The fact's rows of some months (partition filters), aggregated per month."""
+    return dashboard_base(fact.filter(_of_months(months)), FACT_PARTITION_COLUMNS)
+
+
+def maintain_dashboard(spark: SparkSession, fact_path: str, dims: Dims, path: str) -> dict[str, DataFrame]:
+    """The 17 panels from partial aggregates per month at ``path``, of which
+    only months whose files changed are scanned again. The aggregates are
+    staged and published through the manifest, as the fact is."""
+    publish.recover(spark, path)
+    now = month_signatures(spark, fact_path)
+    known: dict[tuple, str] = {}
+    if path_exists(spark, path):
+        stored = spark.read.parquet(path).select(*FACT_PARTITION_COLUMNS, "signature").distinct().collect()  # a row a month
+        known = {tuple(r)[:-1]: r.signature for r in stored}
+    changed = sorted((m for m in now if known.get(m) != now[m]), key=str)
+    gone = [m for m in known if m not in now]
+    if changed or gone:
+        kept = [m for m in known if m in now and m not in changed]
+        signature = F.lit(None).cast("string")
+        for m in changed:
+            signature = F.when(_of_months([m]), F.lit(now[m])).otherwise(signature)
+        parts = scan_months(spark.read.parquet(fact_path), changed).withColumn("signature", signature)
+        if kept:
+            parts = spark.read.parquet(path).filter(_of_months(kept)).unionByName(parts)
+        # a few hundred rows a month, after the merge of the partial groups
+        publish.rebuild_table(parts.repartition(1), path)
+    base = merged_base(spark.read.parquet(path))
+    merged = f"{path.rstrip('/')}__merged"
+    base.repartition(1).write.mode("overwrite").parquet(merged)
+    return dashboard(spark.read.parquet(merged), dims)

@@ -54,7 +54,7 @@ def run(spark: SparkSession, lake_root: str, warehouse: str, stream: bool = Fals
     failed = [r.asDict() for r in report.filter("failures > 0").collect()]  # at most 46 rows
     # rows that break a rule of the source, with the rules' names (a side output)
     quality.quarantine(latest).write.mode("overwrite").parquet(f"{root}/tests/quarantine")
-    board = panels.refresh_dashboard(fact, dims, f"{root}/dashboard/base")
+    board = panels.maintain_dashboard(spark, paths["fact_transactions"], dims, f"{root}/dashboard/base")
     for name, df in board.items():
         df.coalesce(1).write.mode("overwrite").parquet(f"{root}/dashboard/{name}")
     log = ingest.latest_log(ingest.read_log(spark, log_path))
