@@ -19,8 +19,9 @@ row per task, and are joined back from staged tables.
 NULL, empty or textless pages have flat text likelihoods and are decided by the
 other evidence; a NULL or unreadable address has host and suffix NULL, a group
 of its own; a missing declaration is evidence like any other value; repeated
-rows count as often as they occur; without labelled documents every page's
-language is NULL; an empty table gives an empty result.
+rows count as often as they occur; very long pages are read whole, in time
+proportional to their length; without labelled documents every page's language
+is NULL; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,10 +37,11 @@ from pyspark.sql import types as T
 
 from paylake.llm.common import broadcast_if_small, fresh, staged, text_of
 
-# Labelled documents fitted on, per language, and languages at most.
+# Labelled documents fitted on, per language. Hash buckets of trigrams: so many,
+# and fewer where that many languages would make the model larger than MODEL_CELLS.
 TRAIN_DOCS = 2_000
-MAX_LANGUAGES = 200
 BUCKETS = 1 << 16
+MODEL_CELLS = 1 << 24
 # Trigrams that a long text counts for, smoothing of the trigram model and of
 # the conditional tables, and pages' worth of belief in the next wider prior.
 TEXT_TRIGRAMS = 60
@@ -47,23 +49,67 @@ TRIGRAM_ALPHA = 0.1
 TABLE_ALPHA = 1.0
 HOST_PAGES = 5.0
 
-_DROP = re.compile(r"<(script|style)\b[^>]*>.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.I | re.S)
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})\b", re.I)
-_META = re.compile(r"<meta\b[^>]*content-language[^>]*content\s*=\s*[\"']?([A-Za-z]{2,3})\b", re.I)
+_NAME = re.compile(r"[A-Za-z][A-Za-z0-9]*")
+_ENDS = {"script": re.compile(r"</script\s*>", re.I), "style": re.compile(r"</style\s*>", re.I), "!--": re.compile("-->")}
+# An attribute: a name after white space, and the letters its value begins with.
+_LANG = re.compile(r"\slang\s*=\s*[\"']?([A-Za-z]{2,3})\b", re.I)
+_CONTENT = re.compile(r"\scontent\s*=\s*[\"']?([A-Za-z]{2,3})\b", re.I)
+_EQUIV = re.compile(r"\shttp-equiv\s*=\s*[\"']?content-language\b", re.I)
 _SPACE = re.compile(r"\s+")
 
 
+def read_page(page: str) -> tuple[str, str | None]:
+    """(visible text, declared language) of a page, in one pass over it.
+
+    Tags, comments, scripts and styles are dropped; one that is not closed is a
+    tag like any other, and a ``<`` without ``>`` after it is text. The language
+    is that of the first ``<html lang>``, else of the first content-language
+    meta tag, whatever the order of its attributes."""
+    parts, at, declared, meta = [], 0, None, None
+    missing = set()  # ends that do not occur any more
+    while True:
+        start = page.find("<", at)
+        end = page.find(">", start) if start >= 0 else -1
+        if end < 0:
+            break
+        parts.append(page[at:start])
+        name = _NAME.match(page, start + 1, end)
+        kind = name[0].lower() if name else "!--" if page.startswith("<!--", start) else ""
+        if kind == "html" and declared is None:
+            found = _LANG.search(page, name.end(), end)
+            declared = found[1].lower() if found else None
+        elif kind == "meta" and meta is None and _EQUIV.search(page, name.end(), end):
+            found = _CONTENT.search(page, name.end(), end)
+            meta = found[1].lower() if found else None
+        at = end + 1
+        if kind in _ENDS and kind not in missing:
+            close = _ENDS[kind].search(page, start + 4 if kind == "!--" else at)
+            if close:
+                at = close.end()
+            else:
+                missing.add(kind)
+    text = " ".join([*parts, page[at:]])
+    return _SPACE.sub(" ", html_lib.unescape(text)).strip(), declared or meta
+
+
 def visible_text(page: str) -> str:
-    return _SPACE.sub(" ", html_lib.unescape(_DROP.sub(" ", page))).strip()
+    return read_page(page)[0]
 
 
 def declared_language(page: str) -> str | None:
-    m = _LANG.search(page) or _META.search(page)
-    return m[1].lower() if m else None
+    return read_page(page)[1]
+
+
+def buckets_for(languages: int) -> int:
+    """A power of two."""
+    n = BUCKETS
+    while n > 256 and n * languages > MODEL_CELLS:
+        n //= 2
+    return n
 
 
 def trigrams(text: str) -> np.ndarray:
-    """Buckets of the byte trigrams of the lower-cased text."""
+    """Numbers below ``BUCKETS`` of the byte trigrams of the lower-cased text."""
     b = np.frombuffer(text.lower().encode(), np.uint8).astype(np.uint32)
     if len(b) < 3:
         return np.empty(0, np.uint32)
@@ -73,61 +119,65 @@ def trigrams(text: str) -> np.ndarray:
 
 # --- the text model -------------------------------------------------------------
 
-_FEATURES = T.StructType([T.StructField("lang", T.StringType()), T.StructField("bucket", T.LongType()),
-                          T.StructField("n", T.LongType())])
-
-
-def _trigram_counts(batches):
-    """Counts per language of a partition's sample; at most languages x buckets numbers."""
-    counts: dict[str, np.ndarray] = {}
-    for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            counts.setdefault(lang, np.zeros(BUCKETS, np.int64))
-            counts[lang] += np.bincount(trigrams(text), minlength=BUCKETS)
-    for lang, c in counts.items():
-        at = np.flatnonzero(c)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int64)),
-                                          pa.array(c[at])], names=["lang", "bucket", "n"])
+def _counter(buckets: int):
+    """Counts of a partition's sample, one array per language in it."""
+    def run(batches):
+        counts: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                counts.setdefault(lang, np.zeros(buckets, np.int64))
+                counts[lang] += np.bincount(trigrams(text) % buckets, minlength=buckets)
+        for lang, c in counts.items():
+            at = np.flatnonzero(c)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int64)),
+                                              pa.array(c[at])], names=["lang", "bucket", "n"])
+    return run
 
 
 class TextModel:
     def __init__(self, languages: list[str], counts: np.ndarray):
-        self.languages = languages
+        self.languages, self.buckets = languages, counts.shape[1]
         p = counts + TRIGRAM_ALPHA
         self.log_p = np.log(p / p.sum(axis=1, keepdims=True)).T.astype(np.float32)
 
     def log_likelihoods(self, text: str) -> np.ndarray:
         """Tempered: the mean over the trigrams times at most TEXT_TRIGRAMS."""
-        g = trigrams(text)
+        g = trigrams(text) % self.buckets
         if not len(g):
             return np.zeros(len(self.languages))
         total = np.zeros(len(self.languages))
-        for i in range(0, len(g), 1 << 18):
-            total += self.log_p[g[i:i + (1 << 18)]].sum(axis=0, dtype=np.float64)
+        step = max(1, (1 << 22) // max(1, len(self.languages)))
+        for i in range(0, len(g), step):
+            total += self.log_p[g[i:i + step]].sum(axis=0, dtype=np.float64)
         return total * (min(len(g), TEXT_TRIGRAMS) / len(g))
 
 
 def training_sample(docs: DataFrame, per_language: int = TRAIN_DOCS) -> DataFrame:
     """About ``per_language`` labelled documents of each language, by a hash of their ids."""
-    counts = docs.where("lang IS NOT NULL").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    rates = {r.lang: min(1.0, per_language / r.n) for r in counts.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-             .collect()}
-    if not rates:
-        return docs.where(F.lit(False))
-    rate = F.create_map(*[F.lit(x) for kv in rates.items() for x in kv])[F.col("lang")]
+    docs = docs.select("doc_id", "lang", "text")
+    counts = staged(docs.where("lang IS NOT NULL").groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n")),
+                    "lang-counts")
     unit = F.pmod(F.xxhash64(F.lit(3), F.col("doc_id")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return docs.where(unit < rate)
+    return docs.join(broadcast_if_small(counts), F.col("lang") == F.col("of")).where(
+        unit * F.col("n") < F.lit(float(per_language))).drop("of", "n")
+
+
+_FEATURES = T.StructType([T.StructField("lang", T.StringType()), T.StructField("bucket", T.LongType()),
+                          T.StructField("n", T.LongType())])
 
 
 def fit_text_model(docs: DataFrame, per_language: int = TRAIN_DOCS) -> TextModel:
+    """The model of every language in ``docs``: at most MODEL_CELLS numbers (and
+    256 for each language beyond that)."""
     sample = training_sample(docs, per_language).select("lang", text_of("text").alias("text"))
-    rows = (sample.mapInArrow(_trigram_counts, _FEATURES).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-            .collect())  # at most languages x buckets
-    languages = sorted({r.lang for r in rows})
-    at = {x: i for i, x in enumerate(languages)}
-    counts = np.zeros((len(languages), BUCKETS))
-    for r in rows:
-        counts[at[r.lang], r.bucket] = r.n
+    languages = sorted(r.lang for r in docs.where("lang IS NOT NULL").select("lang").distinct().collect())
+    buckets = buckets_for(len(languages))
+    rows = (sample.mapInArrow(_counter(buckets), _FEATURES).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+            .groupBy("lang").agg(F.collect_list("bucket").alias("at"), F.collect_list("n").alias("n")))
+    counts = np.zeros((len(languages), buckets))
+    number = {x: i for i, x in enumerate(languages)}
+    for r in rows.toLocalIterator():  # one array per language
+        counts[number[r.lang], r.at] = r.n
     return TextModel(languages, counts)
 
 
@@ -140,24 +190,36 @@ _EVIDENCE = T.StructType([T.StructField("declared", T.StringType()),
 def _evidence(model):
     @F.arrow_udf(_EVIDENCE)
     def run(pages: pa.Array) -> pa.Array:
-        texts = [p or "" for p in pages.to_pylist()]
+        read = [read_page(p) for p in pages.to_pylist()]
         return pa.StructArray.from_arrays(
-            [pa.array([declared_language(t) for t in texts], pa.string()),
-             pa.array([model.value.log_likelihoods(visible_text(t)) for t in texts], pa.list_(pa.float64()))],
+            [pa.array([lang for _, lang in read], pa.string()),
+             pa.array([model.value.log_likelihoods(text) for text, _ in read], pa.list_(pa.float64()))],
             ["declared", "ll"])
     return run
 
 
+def _let(value, use):
+    """``use`` of a value that is computed once (an expression named in a lambda
+    would be computed for each element)."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _total(mass):
+    return F.aggregate(mass, F.lit(0.0), lambda a, x: a + x)
+
+
 def _normalised(logs):
     """exp of log weights, adding up to 1."""
-    top = F.array_max(logs)
-    w = F.transform(logs, lambda x: F.exp(x - top))
-    return F.transform(w, lambda x: x / F.aggregate(w, F.lit(0.0), lambda a, y: a + y))
+    return _let(logs, lambda v: _let(F.array_max(v), lambda top: _let(
+        F.transform(v, lambda x: F.exp(x - top)), lambda w: _let(
+            _total(w), lambda total: F.transform(w, lambda x: x / total)))))
 
 
-def _summed(df: DataFrame, keys: list[str], n: int) -> DataFrame:
+def _summed(df: DataFrame, keys: list[str]) -> DataFrame:
     """Element-wise sums of the text posteriors per group."""
-    return df.groupBy(*keys).agg(F.array(*[F.sum(F.col("q")[i]) for i in range(n)]).alias("mass"))
+    parts = df.select(*keys, F.posexplode("q").alias("i", "x")).groupBy(*keys, "i").agg(F.sum("x").alias("x"))
+    return parts.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"])
+                                    .alias("mass"))
 
 
 def _joined(df: DataFrame, table: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -170,26 +232,30 @@ def _joined(df: DataFrame, table: DataFrame, keys: list[str], name: str) -> Data
 def fused(evidence: DataFrame, n: int) -> DataFrame:
     """``evidence`` (host, suffix, declared, ll) with the posterior array ``p``."""
     e = staged(evidence.withColumn("q", _normalised(F.col("ll"))), "lang-evidence")
-    total = e.agg(F.array(*[F.coalesce(F.sum(F.col("q")[i]), F.lit(0.0)) for i in range(n)]).alias("mass")).first()[0]
+    total = ([r.mass for r in _summed(e, []).collect()] or [[0.0] * n])[0]  # a number for each language
     whole = F.array(*[F.lit(float(x)) for x in total])
     pages = max(1.0, float(sum(total)))
     kinds = {c: e.select(c).distinct().count() for c in ("declared", "suffix")}
     for keys, name in ((["declared"], "by_declared"), (["suffix"], "by_suffix"), (["host"], "by_host")):
-        e = _joined(e, _summed(e, keys, n), keys, name)
+        e = _joined(e, _summed(e, keys), keys, name)
 
     def given_language(mass, i, kind):  # P(value | language)
-        return (mass[i] + TABLE_ALPHA) / (whole[i] + TABLE_ALPHA * kinds[kind])
+        return (F.col(mass)[i] + TABLE_ALPHA) / (F.col("whole")[i] + TABLE_ALPHA * kinds[kind])
 
-    def prior(i):
-        wide = (whole[i] + 1.0) / (pages + n)
-        in_suffix = F.aggregate("by_suffix", F.lit(0.0), lambda a, x: a + x)
+    def prior(i, in_suffix, in_host):
+        wide = (F.col("whole")[i] + 1.0) / (pages + n)
         suffix = (F.col("by_suffix")[i] + HOST_PAGES * wide) / (in_suffix + HOST_PAGES)
-        in_host = F.aggregate("by_host", F.lit(0.0), lambda a, x: a + x) - 1.0  # without this page
         own = F.greatest(F.col("by_host")[i] - F.col("q")[i], F.lit(0.0))
-        return (own + HOST_PAGES * suffix) / (F.greatest(in_host, F.lit(0.0)) + HOST_PAGES)
-    logs = F.array(*[F.col("ll")[i] + F.log(given_language(F.col("by_declared"), i, "declared"))
-                     + F.log(given_language(F.col("by_suffix"), i, "suffix")) + F.log(prior(i)) for i in range(n)])
-    return e.withColumn("p", _normalised(logs)).drop("by_declared", "by_suffix", "by_host")
+        return (own + HOST_PAGES * suffix) / (in_host + HOST_PAGES)
+
+    def logs(in_suffix, in_host):
+        return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.col("ll")[i]
+                           + F.log(given_language("by_declared", i, "declared"))
+                           + F.log(given_language("by_suffix", i, "suffix")) + F.log(prior(i, in_suffix, in_host)))
+    pages_of_host = F.greatest(_total("by_host") - 1.0, F.lit(0.0))  # without this page
+    fused_logs = _let(_total("by_suffix"), lambda x: _let(pages_of_host, lambda y: logs(x, y)))
+    return e.withColumn("whole", whole).withColumn("p", _normalised(fused_logs)).drop(
+        "by_declared", "by_suffix", "by_host", "whole")
 
 
 def identify(pages: DataFrame, docs: DataFrame, language: str | None = None) -> DataFrame:
