@@ -165,11 +165,12 @@ class IdTable:
     def unsplit(self, texts: pa.Array) -> np.ndarray:
         return np.zeros(len(texts), bool)
 
-    checks = False
+    memo_pieces = MEMO_PIECES
+    # The bytes of every token, if texts are to be compared with their tokens.
+    token_bytes: list[bytes] | None = None
 
-    def spells(self, record: bytes, text: str) -> bool:
-        """Whether the tokens of a record, joined, are the text (asked if ``checks``)."""
-        return True
+    def spells(self, ids: np.ndarray, text: str) -> bool:
+        return b"".join(map(self.token_bytes.__getitem__, ids.tolist())) == text.encode()
 
     def store(self, known: dict[str, int], pieces: list[str], ids: np.ndarray, length: np.ndarray) -> None:
         """Numbers ``pieces``; their ids follow one another. Length -1: has to be encoded with its text."""
@@ -178,11 +179,14 @@ class IdTable:
         self.length = np.concatenate([self.length, length])
         self.ids = np.concatenate([self.ids, ids])
         known.update(zip(pieces, range(at, at + len(pieces))))
-        if self.checks:
-            raw, ends, before = ids.tobytes(), (4 * np.cumsum(held)).tolist(), " " if known is self.after else ""
-            self.right = np.concatenate([self.right, np.array([
-                n < 0 or self.spells(raw[x:y], before + p)
-                for p, n, x, y in zip(pieces, length.tolist(), [0, *ends], ends)], bool)])
+        if self.token_bytes is not None:
+            before = " " if known is self.after else ""
+            right = length >= 0
+            if not self.spells(ids, "".join(before + p for p, ok in zip(pieces, right.tolist()) if ok)):
+                ends = np.cumsum(held)
+                right = np.array([n < 0 or self.spells(ids[e - n:e], before + p)
+                                  for p, n, e in zip(pieces, length.tolist(), ends.tolist())], bool)
+            self.right = np.concatenate([self.right, right | (length < 0)])
 
     def _numbers(self, known: dict[str, int], pieces: list[str], learn) -> np.ndarray:
         new = [p for p in pieces if p not in known]
@@ -192,10 +196,10 @@ class IdTable:
 
     def encode_checked(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids of all texts (no NULLs) in one array, how many each text
-        has, and, if ``checks``, whether its tokens, joined, are the text."""
+        has, and, with ``token_bytes``, whether its tokens, joined, are the text."""
         if len(texts) == 0:
             return np.empty(0, "<u4"), np.empty(0, np.int64), np.empty(0, bool)
-        if len(self.start) > MEMO_PIECES:
+        if len(self.start) > self.memo_pieces:
             self._clear()
         lists = pc.split_pattern(texts.cast(pa.large_string()), " ")
         pieces = lists.flatten().dictionary_encode()
@@ -205,7 +209,8 @@ class IdTable:
         number = self._numbers(self.after, _strings(pieces.dictionary), self.following)[pieces.indices.to_numpy()]
         number[bounds[:-1]] = self._numbers(self.first, heads, self.leading)
         start, length = self.start[number], self.length[number]
-        right = np.logical_and.reduceat(self.right[number], bounds[:-1]) if self.checks else np.ones(len(texts), bool)
+        right = np.ones(len(texts), bool) if self.token_bytes is None else np.logical_and.reduceat(
+            self.right[number], bounds[:-1])
         whole = np.logical_or.reduceat(length < 0, bounds[:-1]) | self.unsplit(texts)
         ids = self.ids
         if whole.any():
@@ -216,7 +221,8 @@ class IdTable:
             at = bounds[:-1][whole]
             start[at], length[at] = len(ids) + np.cumsum(sizes) - sizes, sizes
             ids = np.concatenate([ids, np.frombuffer(b"".join(extra), "<u4")])
-            right[whole] = [self.spells(e, t) for e, t in zip(extra, own)]
+            if self.token_bytes is not None:
+                right[whole] = [self.spells(np.frombuffer(e, "<u4"), t) for e, t in zip(extra, own)]
         return ragged(ids, start, length), np.add.reduceat(length, bounds[:-1]), right
 
     def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -26,6 +26,7 @@ own, other columns are not looked at, an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,9 @@ from paylake.llm.common import broadcast_if_small, staged, text_of
 from paylake.llm.encoding import IdEncoder, IdTable, encoder, ragged, read_vocabulary, slices
 
 # Bytes of text encoded and aligned at once.
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 1_000_000
+# Pieces a worker remembers of either tokenizer.
+MEMO_PIECES = 200_000
 # Rows up to which the pair counts (three numbers each) are broadcast; beyond, a shuffle joins them.
 PAIR_ROWS = 1_000_000
 SPACE = "▁"
@@ -60,18 +63,15 @@ def letter_bytes() -> dict[str, int]:
 class ByteEncoder(IdEncoder):
     """The byte-level tokenizer, with the bytes of its tokens."""
 
-    checks = True
+    memo_pieces = MEMO_PIECES
 
     def __init__(self, vocabulary: str, plain_special: bool = True):
         super().__init__(vocabulary, plain_special)
         byte = letter_bytes()
         vocab = self.tokenizer.get_vocab()
-        self.bytes = [b""] * (max(vocab.values()) + 1)
+        self.token_bytes = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
-            self.bytes[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
-
-    def spells(self, record, text):
-        return b"".join(map(self.bytes.__getitem__, np.frombuffer(record, "<u4"))) == text.encode()
+            self.token_bytes[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
 
 
 class PieceModel(IdTable):
@@ -80,37 +80,33 @@ class PieceModel(IdTable):
     pieces between spaces; texts with runs of spaces are encoded whole. ``text``
     here has the space before it that the model itself puts there."""
 
-    checks = True
+    memo_pieces = MEMO_PIECES
 
     def __init__(self, model: bytes):
         super().__init__()
         from sentencepiece import SentencePieceProcessor
         self.model = SentencePieceProcessor(model_proto=model)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.vocab_size())]
-        self.bytes = [bytes([int(p[1:-1], 16)]) if self.model.is_byte(i) else p.replace(SPACE, " ").encode()
-                      for i, p in enumerate(pieces)]
+        self.token_bytes = [bytes([int(p[1:-1], 16)]) if self.model.is_byte(i) else p.replace(SPACE, " ").encode()
+                            for i, p in enumerate(pieces)]
         self.cuttable = not any(SPACE in p.lstrip(SPACE) for p in pieces)
 
-    def _records(self, texts: list[str]) -> list[bytes]:
-        return [np.array(ids, "<u4").tobytes() for ids in self.model.encode(texts, num_threads=1)]
-
-    def _learn(self, known, pieces, usable):
-        lists = [np.array(ids, "<u4") for ids in self.model.encode([p for p in pieces if usable(p)], num_threads=1)]
-        sizes = iter(map(len, lists))
-        self.store(known, pieces, np.concatenate([np.empty(0, "<u4"), *lists]),
-                   np.array([next(sizes) if usable(p) else -1 for p in pieces], np.int64))
+    def whole(self, texts):
+        return [np.array(ids, "<u4").tobytes() for ids in self.model.encode([t[1:] for t in texts], num_threads=1)]
 
     def leading(self, pieces):  # a text begins with a space: its first piece is empty
         self.store(self.first, ["", *{*pieces} - {""}], np.empty(0, "<u4"), np.array([0] + [-1] * len({*pieces} - {""})))
 
     def following(self, pieces):
-        self._learn(self.after, pieces, lambda p: self.cuttable and p != "")
-
-    def whole(self, texts):
-        return self._records([t[1:] for t in texts])
-
-    def spells(self, record, text):
-        return b"".join(map(self.bytes.__getitem__, np.frombuffer(record, "<u4"))) == text.encode()
+        if not self.cuttable:
+            self.store(self.after, pieces, np.empty(0, "<u4"), np.full(len(pieces), -1))
+            return
+        lists = self.model.encode(pieces, num_threads=1)
+        length = np.fromiter(map(len, lists), np.int64, len(lists))
+        if "" in pieces:  # two spaces together
+            length[pieces.index("")] = -1
+        ids = np.fromiter(chain.from_iterable(lists), "<u4", int(np.maximum(length, 0).sum()))
+        self.store(self.after, pieces, ids, length)
 
 
 def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,8 +157,8 @@ def _labels(n_a: int, n_b: int) -> list[bytes]:
 class Aligner:
     def __init__(self, vocabulary: str, model: bytes):
         self.a, self.b = encoder(ByteEncoder, vocabulary), PieceModel(model)
-        self.len_a = np.array(list(map(len, self.a.bytes)), np.int64)
-        self.len_b = np.array(list(map(len, self.b.bytes)), np.int64)
+        self.len_a = np.array(list(map(len, self.a.token_bytes)), np.int64)
+        self.len_b = np.array(list(map(len, self.b.token_bytes)), np.int64)
         self.labels = _labels(len(self.len_a), len(self.len_b))
 
     def align(self, texts: pa.Array, digest: bool) -> list:
