@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.session import scratch_path, ship_package
+from paylake.session import remove_path, scratch_path, ship_package
 
 # The six ASCII white-space characters 0x20 and 0x09-0x0D. A word is a longest
 # run of anything else; ``bytes.split()`` cuts UTF-8 text at exactly these.
@@ -21,16 +21,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, made: list[str] | None = None) -> DataFrame:
     """``df`` written to the cluster's shared folder and read back: cuts the
-    lineage (a lost executor does not undo finished work) and gives exact sizes."""
+    lineage (a lost executor does not undo finished work) and gives exact sizes.
+    ``made`` gets the folder, for :func:`discard` once nothing reads it."""
     spark = df.sparkSession
     ship_package(spark)
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
+    if made is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, made: list[str]) -> None:
+    """Removes staged folders that later staged tables have replaced."""
+    while made:
+        remove_path(spark, made.pop())
+
+
 def broadcast_if_small(staged_df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a staged table for broadcast when its counted rows are within the
     bound; otherwise leave the join to the planner (sort-merge, skew splitting)."""

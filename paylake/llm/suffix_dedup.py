@@ -11,7 +11,7 @@ keep at least one suffix at the same place in it.
    suffix matches when one next to it has the same words in another document.
 2. Matches are extended to the left and right: every passage-long window that
    has a matching suffix as its minimiser is sorted among its like by the
-   window's words (a 128-bit hash) and doc_id, and neighbours are compared
+   window's words (a 96-bit hash) and doc_id, and neighbours are compared
    again. Windows that agree in two documents are repeated; consecutive ones
    merge into maximal passages.
 
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from paylake.llm.common import fresh, row_key, staged, text_of
+from paylake.llm.common import broadcast_if_small, discard, fresh, row_key, staged, text_of
 
 PASSAGE = 50
 SEED_WORDS = 20
@@ -123,7 +123,7 @@ def _kept_suffixes(texts: pa.Array, passage: pa.Array, seed: pa.Array) -> pa.Arr
 
 _WINDOWS = T.StructType([T.StructField("starts", T.ArrayType(T.IntegerType())),
                          T.StructField("h1", T.ArrayType(T.LongType())),
-                         T.StructField("h2", T.ArrayType(T.LongType()))])
+                         T.StructField("h2", T.ArrayType(T.IntegerType()))])
 
 
 @F.arrow_udf(_WINDOWS)
@@ -138,10 +138,10 @@ def _windows(texts: pa.Array, matching: pa.Array, passage: pa.Array, seed: pa.Ar
         at = minimisers(seeds, k - s + 1)
         starts = np.flatnonzero(np.isin(seeds[at].view(np.int64), seen))
         cols[0].append(starts.astype(np.int32))
-        for c, base in ((1, _B1), (2, _B2)):
-            cols[c].append(gram_hashes(h, k, base)[starts].view(np.int64))
+        cols[1].append(gram_hashes(h, k, _B1)[starts].view(np.int64))
+        cols[2].append((gram_hashes(h, k, _B2)[starts] >> np.uint64(32)).astype(np.uint32).view(np.int32))
     return pa.StructArray.from_arrays([pa.array(cols[0], pa.list_(pa.int32())), pa.array(cols[1], pa.list_(pa.int64())),
-                                       pa.array(cols[2], pa.list_(pa.int64()))], ["starts", "h1", "h2"])
+                                       pa.array(cols[2], pa.list_(pa.int32()))], ["starts", "h1", "h2"])
 
 
 def _neighbours(hashes: list[str], rest: list[str]):
@@ -195,15 +195,16 @@ def _neighbours(hashes: list[str], rest: list[str]):
     return run
 
 
-def matching_neighbours(rows: DataFrame, hashes: list[str], rest: list[str]) -> DataFrame:
-    """Sorts ``rows`` (bigint columns ``hashes``, ``id`` and ``rest``) by hash and
+def matching_neighbours(rows: DataFrame, hashes: list[str], rest: list[str], made: list[str] | None = None) -> DataFrame:
+    """Sorts ``rows`` (integer columns ``hashes``, ``id`` and ``rest``) by hash and
     id, and gives those that have a neighbour of the same hash and another id,
     with the nearest smaller id ``prev`` and larger id ``next`` (NULL: none)."""
     order = [*hashes, "id"]
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in (*order, *rest, "prev", "next")]
+    kinds = {f.name: f.dataType for f in rows.schema}
+    schema = T.StructType([T.StructField(c, kinds.get(c, T.LongType())) for c in (*order, *rest, "prev", "next")]
                           + [T.StructField("edge", T.BooleanType())])
     found = staged(rows.select(*order, *rest).repartitionByRange(*order).sortWithinPartitions(*order)
-                   .mapInArrow(_neighbours(hashes, rest), schema), "suffix-neighbours")
+                   .mapInArrow(_neighbours(hashes, rest), schema), "suffix-neighbours", made)
     # Ranges meet at their first and last runs, two per task: among those of a
     # hash, in order of id, the runs next to each other are the neighbours.
     edges = found.where("edge")
@@ -217,24 +218,41 @@ def matching_neighbours(rows: DataFrame, hashes: list[str], rest: list[str]) ->
             .where("prev IS NOT NULL OR next IS NOT NULL"))
 
 
+def _keyed(rows: DataFrame) -> DataFrame:
+    """``rows`` with a ``key`` that tells apart rows of one id: 0 where an id
+    has only one text, so that it costs nothing to carry along."""
+    ends = rows.groupBy(F.col("id").alias("s_id")).agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
+    several = broadcast_if_small(staged(ends.where("lo <> hi").select("s_id"), "suffix-several"))
+    return rows.join(several, F.col("id") == F.col("s_id"), "left").withColumn(
+        "key", F.when(F.col("s_id").isNull(), F.lit(0).cast("long")).otherwise(F.col("key"))).drop("s_id")
+
+
 def repeated_windows(docs: DataFrame, passage: int = PASSAGE, seed: int = SEED_WORDS) -> DataFrame:
     """(id, key, start, prev, next) of every window of ``passage`` words that
     occurs in two documents. ``id`` is doc_id with NULL_ID for NULL, ``key``
-    tells apart rows that share it."""
-    text = text_of("text")
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), row_key(text).alias("key"),
+    tells apart rows that share it (0: none do)."""
+    text, made = text_of("text"), []
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), _text_key().alias("key"),
                        text.alias("text"))
     k, s = F.lit(passage), F.lit(seed)
-    suffixes = staged(rows.select(F.explode(_kept_suffixes("text", k, s)).alias("seed"), "id"), "suffixes")
-    matching = matching_neighbours(suffixes, ["seed"], [])
+    suffixes = staged(rows.select(F.explode(_kept_suffixes("text", k, s)).alias("seed"), "id"), "suffixes", made)
+    matching = matching_neighbours(suffixes, ["seed"], [], made)
     per_doc = matching.groupBy("id").agg(F.collect_set("seed").alias("seeds")).withColumnRenamed("id", "m_id")
-    windows = (rows.join(per_doc, F.col("id") == F.col("m_id"))
+    windows = (_keyed(rows).join(per_doc, F.col("id") == F.col("m_id"))
                .select("id", "key", _windows("text", "seeds", k, s).alias("w"))
                .select("id", "key", F.explode(F.arrays_zip("w.starts", "w.h1", "w.h2")).alias("w"))
-               .select("id", "key", F.col("w.starts").cast("long").alias("start"), F.col("w.h1").alias("h1"),
+               .select("id", "key", F.col("w.starts").alias("start"), F.col("w.h1").alias("h1"),
                        F.col("w.h2").alias("h2")))
     windows = staged(windows, "suffix-windows")
-    return matching_neighbours(windows, ["h1", "h2"], ["key", "start"]).select("id", "key", "start", "prev", "next")
+    discard(docs.sparkSession, made)
+    return matching_neighbours(windows, ["h1", "h2"], ["key", "start"]).select(
+        "id", "key", F.col("start").cast("long").alias("start"), "prev", "next")
+
+
+def _text_key():
+    """A row's key; never 0, which says that none is needed."""
+    key = row_key(text_of("text"))
+    return F.when(key == 0, F.lit(1).cast("long")).otherwise(key)
 
 
 _SPAN = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
@@ -277,7 +295,7 @@ def _plain(c: str):
 
 
 def repeated_passages(docs: DataFrame, passage: int = PASSAGE, seed: int = SEED_WORDS) -> DataFrame:
-    """One row per maximal passage: doc_id, key, word offsets ``start`` and
+    """One row per maximal passage: doc_id, key (0 where no other text has the doc_id), word offsets ``start`` and
     ``end`` (exclusive) and ``other``, a document that shares words of it (a
     smaller doc_id if one does)."""
     spans = _spans(repeated_windows(docs, passage, seed), passage).select("id", "key", F.explode("spans").alias("p"))
@@ -292,8 +310,8 @@ def cut_repeats(docs: DataFrame, passage: int = PASSAGE, seed: int = SEED_WORDS)
     r_id, r_key = fresh(docs, "llm_id"), fresh(docs, "llm_key_r")
     later = _spans(repeated_windows(docs, passage, seed).where("prev IS NOT NULL"), passage).select(
         _plain("id").alias(r_id), F.col("key").alias(r_key), F.col("spans").alias(spans))
-    joined = docs.withColumn(key, row_key(text_of("text"))).join(
-        later, (F.col(key) == F.col(r_key)) & F.col("doc_id").eqNullSafe(F.col(r_id)), "left")
+    joined = docs.withColumn(key, _text_key()).join(
+        later, F.col("doc_id").eqNullSafe(F.col(r_id)) & ((F.col(r_key) == 0) | (F.col(key) == F.col(r_key))), "left")
     text = F.when(F.col(spans).isNull(), F.col("text")).otherwise(_cut(text_of("text"), F.col(spans)))
     return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
 
