@@ -5,14 +5,18 @@ distribution is summarised in a mergeable quantile sketch: counts in
 log-linear buckets (exact below 64, relative width 1/32 above), which add up
 in any order, so partial sketches of a hot source are combined before the
 shuffle and reruns agree bit for bit. Sketches of a language, and of
-everything, are the sums of their parts. A document fails when a ratio lies
-outside its group's fence ``q75 + max(3 * (q75 - q25), margin)`` (word length
-also below the mirrored one); a group with too few documents uses its
-language's fence, and failing that the fence of all documents.
-
-NULL and empty texts have no words and fail the base rule; NULL lang or
-source is a group of its own; equal rows fare alike; an empty table gives an
-empty result. Other columns are untouched.
+everything, are the sums of their parts. The sketches are of the documents that
+pass the base rules, so junk does not widen its own fence. A document fails when
+a ratio lies above its group's fence ``q90 + SPREAD * (q90 - q50)`` (the distance
+never taken smaller than the sketch's resolution, ``q50 / 32``) and the count
+behind it is worth the name (``LEAST``; one repeated line of three is a third,
+and no fault by itself); word length also fails below the mirrored fence. A
+group with too few documents uses its language's fence, and failing that the
+fence of all documents.
+
+NULL and empty texts have no words and fail the base rule; very long texts are
+measured whole, in memory of a few times their size; NULL lang or source is a
+group of its own; equal rows fare alike; an empty table gives an empty result. Other columns are untouched.
 """
 
 from __future__ import annotations
@@ -31,11 +35,12 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 # A group's own fence needs this many measured documents.
 MIN_GROUP = 200
-# Multiple of the quartile distance, and the least distance (in the ratio's
-# scaled unit) that a fence keeps from the quartile. Ratios over a few lines
-# are coarse: one repeated line of three is 333, and no fault by itself.
-SPREAD = 3
-MARGINS = {"symbols": 100, "repeats": 450, "dup_lines": 500, "word_length": 200}
+# Multiple of the distance between the median and the upper decile that a fence
+# keeps from the decile, and the least counts of symbols, repeated words and
+# duplicate lines that a document can fail by.
+SPREAD = 5
+LEAST = {"symbols": 10, "repeats": 60, "dup_lines": 4, "word_length": 0}
+BASE_FAILED = f"(n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words)"
 TWO_SIDED = ("word_length",)
 
 _METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
@@ -78,20 +83,26 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def ratios() -> Column:
-    """Scaled integer ratios of a document with words, as an array of (metric, value)."""
-    def ratio(name, num, den):
-        return F.struct(F.lit(name).alias("metric"), F.expr(f"{num} div {den}").alias("value"))
-    return F.array(ratio("symbols", "1000 * n_symbols", "n_words"),
-                   ratio("repeats", "1000 * n_repeat_words", "n_words"),
-                   ratio("dup_lines", "1000 * n_dup_lines", "n_lines"),
-                   ratio("word_length", "100 * word_chars", "n_words"))
+    """Scaled integer ratios of a document with words, as an array of (metric,
+    value, enough): the least value of its bucket, and whether the count behind
+    it is at least ``LEAST``."""
+    def ratio(name, scale, num, den):
+        value = value_of(f"({bucket_text(f'({scale} * {num} div {den})')})")  # as the sketch has it
+        return F.struct(F.lit(name).alias("metric"), value.alias("value"),
+                        (F.col(num) >= LEAST[name]).alias("enough"))
+    return F.array(ratio("symbols", 1000, "n_symbols", "n_words"), ratio("repeats", 1000, "n_repeat_words", "n_words"),
+                   ratio("dup_lines", 1000, "n_dup_lines", "n_lines"), ratio("word_length", 100, "word_chars", "n_words"))
+
+
+def bucket_text(value: str) -> str:
+    e = f"greatest(length(bin({value})) - 6, 0)"
+    return f"CAST({e} * 32 + shiftright({value}, {e}) AS BIGINT)"
 
 
 def bucket_of(value: str) -> Column:
     """Log-linear bucket of a non-negative integer: the value itself below 64,
     else 32 buckets for every doubling."""
-    e = f"greatest(length(bin({value})) - 6, 0)"
-    return F.expr(f"CAST({e} * 32 + shiftright({value}, {e}) AS BIGINT)")
+    return F.expr(bucket_text(value))
 
 
 def value_of(bucket: str) -> Column:
@@ -101,8 +112,8 @@ def value_of(bucket: str) -> Column:
 
 
 def sketch(metrics: DataFrame) -> DataFrame:
-    """(lang, source, metric, bucket) -> n over documents that have words."""
-    return (metrics.where("n_words > 0").select("lang", "source", F.explode(ratios()).alias("r"))
+    """(lang, source, metric, bucket) -> n over documents that pass the base rules."""
+    return (metrics.where(f"NOT {BASE_FAILED}").select("lang", "source", F.explode(ratios()).alias("r"))
             .select("lang", "source", "r.metric", bucket_of("r.value").alias("bucket"))
             .groupBy("lang", "source", "metric", "bucket").agg(F.count(F.lit(1)).alias("n")))
 
@@ -115,14 +126,14 @@ def fences(sketches: DataFrame, keys: list[str]) -> DataFrame:
     ranked = merged.select(*keys, "metric", "bucket", F.sum("n").over(group).alias("total"),
                            F.sum("n").over(group.orderBy("bucket")).alias("upto"))
 
-    def quantile(quarter):
-        return F.min(F.when(F.expr(f"4 * upto >= {quarter} * total"), value_of("bucket")))
-    q = ranked.groupBy(*keys, "metric").agg(F.max("total").alias("n"), quantile(1).alias("q25"),
-                                            quantile(3).alias("q75"))
-    margin = F.create_map(*[F.lit(x) for kv in MARGINS.items() for x in kv])[F.col("metric")]
-    reach = F.greatest(SPREAD * (F.col("q75") - F.col("q25")), margin)
-    return q.select(*keys, "metric", "n", F.when(F.col("metric").isin(*TWO_SIDED), F.col("q25") - reach)
-                    .otherwise(F.lit(-1)).alias("lo"), (F.col("q75") + reach).alias("hi"))
+    def decile(k):
+        return F.min(F.when(F.expr(f"10 * upto >= {k} * total"), value_of("bucket")))
+    q = ranked.groupBy(*keys, "metric").agg(F.max("total").alias("n"), decile(1).alias("low"), decile(5).alias("mid"),
+                                            decile(9).alias("high"))
+    least = F.expr("mid div 32")  # what the sketch can tell apart
+    below = F.col("low") - SPREAD * F.greatest(F.col("mid") - F.col("low"), least)
+    return q.select(*keys, "metric", "n", F.when(F.col("metric").isin(*TWO_SIDED), below).otherwise(F.lit(-1)).alias("lo"),
+                    (F.col("high") + SPREAD * F.greatest(F.col("high") - F.col("mid"), least)).alias("hi"))
 
 
 def thresholds(sketches: DataFrame) -> DataFrame:
@@ -148,16 +159,16 @@ def thresholds(sketches: DataFrame) -> DataFrame:
 
 def judged(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, key, the metrics, base_failed, failed
-    (metrics outside their fence) and kept."""
+    (metrics outside their fence, for documents that pass the base rules) and kept."""
     metrics = staged(measured(docs), "quality-metrics")
     fence = broadcast_if_small(staged(thresholds(sketch(metrics)), "quality-fences"))
     fence = fence.select(F.col("lang").alias("fence_lang"), F.col("source").alias("fence_source"), "fences")
     out = metrics.join(fence, F.col("lang").eqNullSafe(F.col("fence_lang"))
                        & F.col("source").eqNullSafe(F.col("fence_source")), "left")
-    base = F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words")
-    failed = F.when(F.col("n_words") > 0, F.transform(
-        F.filter(ratios(), lambda r: (r.value > F.col("fences")[r.metric].hi)
-                 | (r.value < F.col("fences")[r.metric].lo)), lambda r: r.metric)) \
+    base = F.expr(BASE_FAILED)
+    failed = F.when(~base, F.transform(
+        F.filter(ratios(), lambda r: r.enough & ((r.value > F.col("fences")[r.metric].hi)
+                                                 | (r.value < F.col("fences")[r.metric].lo))), lambda r: r.metric)) \
         .otherwise(F.array().cast("array<string>"))
     return (out.select("doc_id", "key", *_METRICS, base.alias("base_failed"), failed.alias("failed"))
             .withColumn("kept", ~F.col("base_failed") & (F.size("failed") == 0)))

@@ -79,8 +79,9 @@ metrics AS (
 ratio AS (
   SELECT doc_id, lang, source, unnest(['symbols', 'repeats', 'dup_lines', 'word_length']) AS metric,
          unnest([1000 * n_symbols // n_words, 1000 * n_repeat_words // n_words,
-                 1000 * n_dup_lines // n_lines, 100 * word_chars // n_words]) AS v
-  FROM metrics WHERE n_words > 0),
+                 1000 * n_dup_lines // n_lines, 100 * word_chars // n_words]) AS v,
+         unnest([n_symbols >= 10, n_repeat_words >= 60, n_dup_lines >= 4, true]) AS enough
+  FROM metrics WHERE n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words),
 b AS (SELECT *, greatest(length(bin(v)) - 6, 0) AS e FROM ratio),
 low AS (SELECT *, ((v >> e) << e) AS low FROM b),
 levels AS (
@@ -88,23 +89,22 @@ levels AS (
   UNION ALL SELECT lang, NULL, metric, 2, low FROM low
   UNION ALL SELECT NULL, NULL, metric, 3, low FROM low),
 fence AS (
-  SELECT lang, source, metric, lvl, count(*) AS n, quantile_disc(low, 0.25) AS q25, quantile_disc(low, 0.75) AS q75
+  SELECT lang, source, metric, lvl, count(*) AS n, quantile_disc(low, 0.1) AS q10, quantile_disc(low, 0.5) AS q50,
+         quantile_disc(low, 0.9) AS q90
   FROM levels GROUP BY ALL),
 bounds AS (
-  SELECT *, greatest(3 * (q75 - q25), CASE metric WHEN 'symbols' THEN 100 WHEN 'word_length' THEN 200
-                                               WHEN 'repeats' THEN 450 ELSE 500 END)
-         AS reach FROM fence),
+  SELECT *, q90 + 5 * greatest(q90 - q50, q50 // 32) AS hi, q10 - 5 * greatest(q50 - q10, q50 // 32) AS lo FROM fence),
 used AS (
-  SELECT r.doc_id, r.metric, r.v,
-         CASE WHEN a.n >= 200 THEN a.q75 + a.reach WHEN g.n >= 200 THEN g.q75 + g.reach ELSE h.q75 + h.reach END AS hi,
-         CASE WHEN a.n >= 200 THEN a.q25 - a.reach WHEN g.n >= 200 THEN g.q25 - g.reach ELSE h.q25 - h.reach END AS lo
-  FROM ratio r
+  SELECT r.doc_id, r.metric, r.low AS v, r.enough,
+         CASE WHEN a.n >= 200 THEN a.hi WHEN g.n >= 200 THEN g.hi ELSE h.hi END AS hi,
+         CASE WHEN a.n >= 200 THEN a.lo WHEN g.n >= 200 THEN g.lo ELSE h.lo END AS lo
+  FROM low r
   JOIN bounds a ON a.lvl = 1 AND a.metric = r.metric AND a.lang IS NOT DISTINCT FROM r.lang
                 AND a.source IS NOT DISTINCT FROM r.source
   JOIN bounds g ON g.lvl = 2 AND g.metric = r.metric AND g.lang IS NOT DISTINCT FROM r.lang
   JOIN bounds h ON h.lvl = 3 AND h.metric = r.metric),
 failed AS (
-  SELECT DISTINCT doc_id FROM used WHERE v > hi OR (metric = 'word_length' AND v < lo))
+  SELECT DISTINCT doc_id FROM used WHERE enough AND (v > hi OR (metric = 'word_length' AND v < lo)))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)

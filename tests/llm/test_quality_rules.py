@@ -85,6 +85,51 @@ def test_labelled_documents(spark):
     assert sum(not r.kept for r in bad) >= 0.9 * len(bad)
 
 
+def test_labelled_documents_of_the_larger_table(spark):
+    rows = {r.doc_id: r for r in quality.op4_quality_rules(
+        spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).collect()}
+    labels = pd.read_parquet("/root/testdata/sf0.1/labels.parquet")
+    good = [rows[i] for i in labels.doc_id[labels.quality == 1]]
+    bad = [rows[i] for i in labels.doc_id[labels.quality == 0]]
+    lost, caught = sum(not r.kept and not r.base_failed for r in good), sum(not r.kept for r in bad)
+    print("good lost", lost, "of", len(good), "bad rejected", caught, "of", len(bad), "kept", sum(r.kept for r in rows.values()))
+    assert lost <= len(good) / 1000 and caught >= 0.9 * len(bad)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert quality.op4_quality_rules(docs).count() == 0 and quality.filter_quality(docs).count() == 0
+
+
+def test_fences_come_from_each_groups_distribution(spark):
+    """Every fence is the group's upper decile and its distance from the median, recomputed here; no
+    constant takes part, and groups of different spread have different fences."""
+    import numpy as np
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    metrics = quality.measured(docs).cache()
+    got = {(r.lang, r.metric): r for r in quality.fences(quality.sketch(metrics), ["lang"]).collect()}
+    rows = metrics.where(f"NOT {quality.BASE_FAILED}").select("lang", F.explode(quality.ratios()).alias("r")).select(
+        "lang", "r.metric", "r.value").toPandas()
+
+    def bucketed(v):
+        e = max(int(v).bit_length() - 6, 0)
+        return v >> e << e
+    for (lang, metric), own in rows.groupby(["lang", "metric"]):
+        v = np.sort([bucketed(int(x)) for x in own.value])
+        q10, q50, q90 = (int(v[-(-len(v) * k // 10) - 1]) for k in (1, 5, 9))
+        r = got[lang, metric]
+        assert (r.n, r.hi) == (len(v), q90 + quality.SPREAD * (q90 - q50))
+        assert r.lo == (q10 - quality.SPREAD * (q50 - q10) if metric in quality.TWO_SIDED else -1)
+        assert q90 - q50 >= q50 // 32  # the spread decides, not the sketch's resolution
+    assert len({r.hi for (_, m), r in got.items() if m == "word_length"}) > 1
+
+
+def test_small_counts_are_no_fault(spark):
+    """One repeated line of three, or one symbol, is above a fence of zero and still passes."""
+    rows = [(i, prose(i), "en", "s") for i in range(300)]
+    rows += [(900, "\n".join([prose(1, 60), "again", "again"]), "en", "s"), (901, prose(2) + " &", "en", "s"),
+             (902, prose(3, 60) + "\n" + "\n".join(["again and again"] * 9), "en", "s"), (903, prose(4) + " &" * 20, "en", "s")]
+    got = {r.doc_id: r.kept for r in quality.op4_quality_rules(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert got[900] and got[901] and not got[902] and not got[903]
