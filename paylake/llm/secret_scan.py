@@ -11,15 +11,17 @@ fixed patterns ``assign``, ``access`` and ``hex`` are always reported; the
 lexer adds ``literal`` spans they do not cover.
 
 Everything is per document: no shuffle, memory bounded by one Arrow batch.
-NULL and empty texts have no findings; repeated rows are scanned each on
-their own; other columns of the input are passed through untouched.
+NULL and empty texts have no findings; very long texts are scanned whole, in
+time in proportion to their length; repeated rows are scanned each on their own; other columns of the input are passed through untouched.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -171,8 +173,13 @@ def scan_text(text: str) -> list[tuple[int, str, int, float]]:
         found += [(m.start(), "assign", m.end(), 1.0) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     found += [(m.start(), "access", m.end(), 1.0) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     found += [(m.start(), "hex", m.end(), 1.0) for m in HEX.finditer(text)]
-    base = [(s, e) for s, _, e, _ in found]
-    found += [(s, "literal", e, x) for s, e, x in literals(text) if not any(a <= s and e <= b for a, b in base)]
+    base = sorted((s, e) for s, _, e, _ in found)
+    starts, reach = [s for s, _ in base], list(accumulate((e for _, e in base), max))
+
+    def inside(s, e):  # of a base span: the farthest end among those that begin before
+        at = bisect_right(starts, s)
+        return at > 0 and e <= reach[at - 1]
+    found += [(s, "literal", e, x) for s, e, x in literals(text) if not inside(s, e)]
     found.sort(key=lambda x: (x[0], KINDS.index(x[1]), x[2]))
     return found
 

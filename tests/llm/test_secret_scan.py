@@ -98,3 +98,20 @@ def test_lexer_finds_prefixed_and_long_quotes(text, literal):
                                   f'pwd = "{KEY}\n"', f'b = "{KEY}"\npwd = b""', 'pwd = f"{vault.pwd(99)}"'])
 def test_lexer_leaves_empty_and_unclosed_quotes_alone(text):
     assert [x for x in ss.scan_text(text) if x[1] == "literal"] == []
+
+
+def test_time_in_proportion_to_the_findings():
+    """A megabyte of assignments, each a base span and a literal."""
+    import time
+    text = "".join(f"password_{i} = 'Zk9{i:06d}qLr7'\napi_key: {i:024x}\n" for i in range(15_000))
+    assert len(text) > 950_000
+    start = time.process_time()
+    found = ss.scan_text(text)
+    assert time.process_time() - start < 3 and len(found) >= 15_000
+
+
+def test_literals_inside_base_spans_are_found_by_position():
+    text = "token=abcdef0123456789 x; secret_value = 'Qw8rTy2uPz' ; password: Hunter2hunter2"
+    found = ss.scan_text(text)
+    base = [(s, e) for s, k, e, _ in found if k != "literal"]
+    assert base and not any(a <= s and e <= b for s, k, e, _ in found if k == "literal" for a, b in base)
