@@ -14,7 +14,8 @@ staged tables, where skewed partitions are split.
 
 NULL and empty texts are one empty line and stay; NULL doc_id counts as one
 document, smaller than any number; rows that share a doc_id are one document
-for counting and keep or lose their lines alike; an empty table gives an
+for counting and keep or lose their lines alike; a very long text is exploded
+like any other, and only its line numbers meet again; an empty table gives an
 empty result. Other columns are passed through.
 """
 
@@ -69,7 +70,8 @@ def dropped_positions(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` with the shared lines taken out of ``text``, and two more
-    columns: ``n_lines`` before dropping and ``n_dropped``."""
+    columns: ``n_lines`` before dropping and ``n_dropped`` (with a number behind
+    the name where ``docs`` has such a column)."""
     drops = dropped_positions(docs, min_chars, min_docs)
     key = fresh(docs, "llm_key")
     r_id, r_key, gone = (fresh(docs, x) for x in ("llm_id", "llm_key_r", "llm_gone"))
@@ -82,10 +84,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
         F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone)),
         lambda i: F.element_at(F.col(lines), i + 1)))
     return (split.withColumn(stay, kept)
-            .select(*[F.array_join(stay, "\n").alias(c) if c == "text" else F.col(c) for c in docs.columns
-                      if c not in ("n_lines", "n_dropped")],
-                    F.size(lines).cast("long").alias("n_lines"),
-                    (F.size(lines) - F.size(stay)).cast("long").alias("n_dropped")))
+            .select(*[F.array_join(stay, "\n").alias(c) if c == "text" else F.col(c) for c in docs.columns],
+                    F.size(lines).cast("long").alias(fresh(docs, "n_lines")),
+                    (F.size(lines) - F.size(stay)).cast("long").alias(fresh(docs, "n_dropped"))))
 
 
 def op9_line_dedup(docs: DataFrame) -> DataFrame:

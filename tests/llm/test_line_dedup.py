@@ -58,6 +58,17 @@ def test_two_documents_are_not_enough(spark):
     assert [r.n_dropped for r in line_dedup.op9_line_dedup(df).collect()] == [0, 0, 0]
 
 
+def test_columns_of_the_same_names_stay(spark):
+    """Given columns called like the added ones keep their values, in whatever case."""
+    line = "a line that is long enough to count"
+    df = spark.createDataFrame([(i, f"{line}\nown {i}", "keep", i) for i in range(4)], "doc_id long, text string, N_LINES string, n_dropped int")
+    out = line_dedup.dedup_lines(df)
+    assert out.columns == ["doc_id", "text", "N_LINES", "n_dropped", "n_lines_1", "n_dropped_1"]
+    rows = sorted(out.collect())
+    assert [(r.N_LINES, r.n_dropped) for r in rows] == [("keep", i) for i in range(4)]
+    assert [(r.n_lines_1, r.n_dropped_1) for r in rows] == [(2, 1), (2, 1), (2, 1), (2, 0)]
+
+
 def test_no_python_and_empty(spark):
     df = spark.createDataFrame(documents(), "doc_id long, text string")
     plan = line_dedup.op9_line_dedup(df)._jdf.queryExecution().executedPlan().toString()
