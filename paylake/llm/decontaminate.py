@@ -8,11 +8,13 @@ words at a time, is a shard: an FM-index is built over it, all phrases are
 searched backwards through wavelet ranks at once, occurrences are located by
 sampled suffix positions, and overlapping ones merge into removal spans.
 
-Documents are never shuffled. The phrases go to every task and are checked to
-fit (``BLOCK_BYTES`` of item text at a time); a larger benchmark is searched
-in blocks of items and the blocks' hits are merged per document.
+Documents are not shuffled for the search. The phrases go to every task and are
+checked to fit (``BLOCK_BYTES`` of item text, some eighty times that in a
+worker); a larger benchmark is searched in blocks of items, one pass over the
+texts for each, and the blocks' hits are merged per text.
 
-NULL and empty texts and items have no words. Equal item_ids count as one;
+NULL and empty texts and items have no words; very long texts are searched
+whole, as a shard of their own. Equal item_ids count as one;
 items with the same phrase are all reported; rows of documents are searched
 each on its own, also when a doc_id repeats; a NULL item_id is not reported by
 name but its phrases hit. Empty tables give empty results or no hits. Other
@@ -30,13 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylake.llm.common import fresh, staged, text_of
+from paylake.llm.common import broadcast_if_small, fresh, staged, text_of
 from paylake.llm.fm_index import FMIndex, ranges
 
 PHRASE_WORDS = 10
 # Words of one index; item text searched at once.
 SHARD_WORDS = 2_000_000
-BLOCK_BYTES = 64 * 1024 * 1024
+BLOCK_BYTES = 4 * 1024 * 1024
+# A word in either case, as Java's expressions have it.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 # Bytes of words: digits, lower-cased letters, everything outside ASCII.
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -184,29 +188,62 @@ def _searcher(items):
     return run
 
 
+def _only_block(benchmark: DataFrame):
+    """The block, if there is just one."""
+    blocks = item_blocks(benchmark)
+    first = next(blocks)
+    return first if next(blocks, None) is None else None
+
+
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, hits: str | None = None) -> DataFrame:
     """``docs`` with ``n_words``, removal ``spans`` of words and ``items`` in a struct column."""
-    return _found(docs, [_searcher(block) for block in item_blocks(benchmark)], hits or fresh(docs, "hits"))
-
-
-def _found(docs: DataFrame, searchers: list, hits: str) -> DataFrame:
-    """``docs`` with the blocks' hits, merged."""
-    found = [run(text_of("text")) for run in searchers]
-    if len(found) == 1:
-        return docs.withColumn(hits, found[0])
-    parts = fresh(docs, "llm_blocks")
-    spans = F.array_sort(F.flatten(F.transform(parts, lambda x: x["spans"])))
-    merged = F.aggregate(
-        spans, F.array().cast("array<struct<start:bigint,end:bigint>>"),
+    hits, block = hits or fresh(docs, "hits"), _only_block(benchmark)
+    if block is not None:
+        return docs.withColumn(hits, _searcher(block)(text_of("text")))
+    return _found_by_blocks(docs, benchmark, hits)
+
+
+_SPANS = "array<struct<start:bigint,end:bigint>>"
+
+
+def _joined_spans(spans):
+    """Sorted spans with those that overlap or touch as one."""
+    def last(acc):
+        return F.element_at(acc, -1)
+    return F.aggregate(
+        F.array_sort(spans), F.array().cast(_SPANS),
         lambda acc, s: F.when(
-            (F.size(acc) > 0) & (s["start"] <= F.element_at(acc, -1)["end"]),
+            (F.size(acc) > 0) & (s["start"] <= last(acc)["end"]),
             F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-                F.element_at(acc, -1)["start"].alias("start"),
-                F.greatest(F.element_at(acc, -1)["end"], s["end"]).alias("end")))))
+                last(acc)["start"].alias("start"), F.greatest(last(acc)["end"], s["end"]).alias("end")))))
         .otherwise(F.concat(acc, F.array(s))))
-    items = F.array_sort(F.array_distinct(F.flatten(F.transform(parts, lambda x: x["items"]))))
-    return docs.withColumn(parts, F.array(*found)).withColumn(hits, F.struct(
-        F.col(parts)[0]["n_words"].alias("n_words"), merged.alias("spans"), items.alias("items"))).drop(parts)
+
+
+def _found_by_blocks(docs: DataFrame, benchmark: DataFrame, hits: str) -> DataFrame:
+    """``docs`` with the hits of all blocks. Every block is a pass of its own
+    over the texts, so that a worker and the driver hold one block at a time;
+    a pass hands on what it found, once for equal texts."""
+    text = text_of("text")
+    marks = [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
+    found = None
+    for block in item_blocks(benchmark):
+        x = docs.select(*marks, _searcher(block)(text).alias("x")).where(F.size("x.spans") > 0)
+        part = staged(x.groupBy("h1", "h2").agg(F.first("x.spans").alias("spans"), F.first("x.items").alias("items")),
+                      "benchmark-block")
+        found = part if found is None else found.unionByName(part)
+    merged = staged(found.groupBy("h1", "h2").agg(F.flatten(F.collect_list("spans")).alias("spans"),  # a row per block
+                                                  F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+                    .withColumn("spans", _joined_spans(F.col("spans"))), "benchmark-found")
+    h1, h2, own = fresh(docs, "llm_h1"), fresh(docs, "llm_h2"), fresh(docs, "llm_found")
+    merged = merged.select(F.col("h1").alias(f"{own}_1"), F.col("h2").alias(f"{own}_2"),
+                           F.struct("spans", "items").alias(own))
+    joined = docs.withColumn(h1, marks[0]).withColumn(h2, marks[1]).join(
+        broadcast_if_small(merged), (F.col(h1) == F.col(f"{own}_1")) & (F.col(h2) == F.col(f"{own}_2")), "left")
+    none = F.array().cast("array<string>")
+    return joined.withColumn(hits, F.struct(
+        F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"),
+        F.coalesce(F.col(own)["spans"], F.array().cast(_SPANS)).alias("spans"),
+        F.coalesce(F.col(own)["items"], none).alias("items"))).drop(h1, h2, own, f"{own}_1", f"{own}_2")
 
 
 def _cleaner(items):
@@ -228,16 +265,16 @@ def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
     return pa.array([without(t, [(s["start"], s["end"]) for s in cuts]) for t, cuts in rows], pa.string())
 
 
-def _cut_by_blocks(docs: DataFrame, blocks: list) -> DataFrame:
+def _cut_by_blocks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """What ``cleaned`` does, with the phrases in several blocks: all blocks'
     spans of a text are merged and cut at once, and the texts that were cut are
     searched again for all blocks until none has a span. Every round cuts
     words, so the rounds end."""
-    hits, searchers = fresh(docs, "llm_hits"), [_searcher(block) for block in blocks]
+    hits = fresh(docs, "llm_hits")
     hit = F.size(F.col(hits)["spans"]) > 0
     out, todo = None, docs
     while True:
-        found = staged(_found(todo, searchers, hits), "benchmark-hits")
+        found = staged(_found_by_blocks(todo, benchmark, hits), "benchmark-hits")
         clean = found.where(~hit).drop(hits)
         out = clean if out is None else out.unionByName(clean)
         if found.where(hit).isEmpty():
@@ -251,13 +288,10 @@ def remove_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Words that a cut brings together are searched again, so no occurrence is
     left; the result does not depend on the size of the blocks."""
     was = fresh(docs, "llm_text")
-    out, blocks = docs.withColumn(was, F.col("text")), list(item_blocks(benchmark))
-    if len(blocks) == 1:
-        out = out.withColumn("text", _cleaner(blocks[0])(F.col("text")))
-    else:
-        out = _cut_by_blocks(out, blocks)
+    out, block = docs.withColumn(was, F.col("text")), _only_block(benchmark)
+    out = _cut_by_blocks(out, benchmark) if block is None else out.withColumn("text", _cleaner(block)(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("text") == F.col(was), F.col("n_chars"))
+        out = out.withColumn("n_chars", F.when(F.col("text").eqNullSafe(F.col(was)), F.col("n_chars"))
                              .otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return out.drop(was)
 
