@@ -131,6 +131,19 @@ def _strings(pieces: pa.Array) -> list[str]:
     return joined[0].as_py().split(" ")
 
 
+class Pieces:
+    """Texts (no NULLs) cut at their spaces, every distinct piece numbered."""
+
+    def __init__(self, texts: pa.Array):
+        self.texts = texts
+        lists = pc.split_pattern(texts.cast(pa.large_string()), " ")
+        found = lists.flatten().dictionary_encode()
+        bounds = lists.offsets.to_numpy().astype(np.int64)
+        self.bounds = bounds - bounds[0]
+        self.distinct, self.number = _strings(found.dictionary), found.indices.to_numpy()
+        self.heads = [self.distinct[i] for i in self.number[self.bounds[:-1]].tolist()]
+
+
 class IdTable:
     """Texts to token ids, every distinct piece between spaces encoded once.
 
@@ -194,20 +207,14 @@ class IdTable:
             learn(new)
         return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
 
-    def encode_checked(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The ids of all texts (no NULLs) in one array, how many each text
-        has, and, with ``token_bytes``, whether its tokens, joined, are the text."""
-        if len(texts) == 0:
-            return np.empty(0, "<u4"), np.empty(0, np.int64), np.empty(0, bool)
+    def encode_checked(self, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts in one array, how many each text has, and,
+        with ``token_bytes``, whether its tokens, joined, are the text."""
+        texts, bounds = pieces.texts, pieces.bounds
         if len(self.start) > self.memo_pieces:
             self._clear()
-        lists = pc.split_pattern(texts.cast(pa.large_string()), " ")
-        pieces = lists.flatten().dictionary_encode()
-        bounds = lists.offsets.to_numpy().astype(np.int64)
-        bounds = bounds - bounds[0]
-        heads = pieces.take(pa.array(bounds[:-1])).to_pylist()
-        number = self._numbers(self.after, _strings(pieces.dictionary), self.following)[pieces.indices.to_numpy()]
-        number[bounds[:-1]] = self._numbers(self.first, heads, self.leading)
+        number = self._numbers(self.after, pieces.distinct, self.following)[pieces.number]
+        number[bounds[:-1]] = self._numbers(self.first, pieces.heads, self.leading)
         start, length = self.start[number], self.length[number]
         right = np.ones(len(texts), bool) if self.token_bytes is None else np.logical_and.reduceat(
             self.right[number], bounds[:-1])
@@ -227,7 +234,9 @@ class IdTable:
 
     def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (no NULLs) in one array, and how many each text has."""
-        return self.encode_checked(texts)[:2]
+        if len(texts) == 0:
+            return np.empty(0, "<u4"), np.empty(0, np.int64)
+        return self.encode_checked(Pieces(texts))[:2]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""

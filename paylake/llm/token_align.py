@@ -6,7 +6,7 @@ array of byte ends. Where tokens of both end at the same byte they are linked,
 and these bytes cut the tokens into groups.
 
 The two arrays are compared at the current shift between their indexes:
-stretches that agree are jumped by probing 1, 2, 4, ... ends at once and
+stretches that agree are jumped by probing 4, 8, 16, ... ends at once and
 halving back to the first that differs. There the side that is behind is moved
 on until both ends meet, which closes an irregular group and sets the shift
 for the next stretch. A batch of texts is one pair of arrays, since every
@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylake.llm.common import broadcast_if_small, staged, text_of
-from paylake.llm.encoding import IdEncoder, IdTable, encoder, ragged, read_vocabulary, slices
+from paylake.llm.encoding import IdEncoder, IdTable, Pieces, encoder, read_vocabulary, slices
+from paylake.llm.pfor import ranges_of
 
 # Bytes of text encoded and aligned at once.
 BATCH_BYTES = 1_000_000
@@ -44,6 +45,8 @@ BATCH_BYTES = 1_000_000
 MEMO_PIECES = 200_000
 # Rows up to which the pair counts (three numbers each) are broadcast; beyond, a shuffle joins them.
 PAIR_ROWS = 1_000_000
+# Ends compared by the first probe of a stretch.
+FIRST_PROBE = 4
 SPACE = "▁"
 
 
@@ -117,7 +120,7 @@ def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     runs = []
     while i < n:
         left = min(n - i, m - j)
-        k, step = 0, 8
+        k, step = 0, 8 * FIRST_PROBE
         while k + step <= left and x[i + k:i + k + step] == y[j + k:j + k + step]:
             k += step
             step *= 2
@@ -141,11 +144,7 @@ def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 v = ends_b[q]
         i, j = p << 3, q << 3  # both end here: the next stretch begins with this pair
     at = np.array(runs, np.int64).reshape(-1, 3) >> 3
-    return ranges(at[:, 0], at[:, 2]), ranges(at[:, 1], at[:, 2])
-
-
-def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    return np.arange(int(length.sum())) + np.repeat(start - (np.cumsum(length) - length), length)
+    return ranges_of(at[:, 0], at[:, 2]), ranges_of(at[:, 1], at[:, 2])
 
 
 def _labels(n_a: int, n_b: int) -> list[bytes]:
@@ -166,8 +165,9 @@ class Aligner:
         hash), the linked pairs (a * size of B's vocabulary + b) and how often each."""
         n, texts = len(texts), texts.cast(pa.large_string())
         spaced = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), texts, pa.scalar(" ", pa.large_string()))
-        ids_a, n_a, ok_a = self.a.encode_checked(spaced)
-        ids_b, n_b, ok_b = self.b.encode_checked(spaced)
+        pieces = Pieces(spaced)
+        ids_a, n_a, ok_a = self.a.encode_checked(pieces)
+        ids_b, n_b, ok_b = self.b.encode_checked(pieces)
         ok = ok_a & ok_b & (pc.binary_length(texts).to_numpy() > 0)
         if not ok.all():
             ids_a, ids_b = ids_a[np.repeat(ok, n_a)], ids_b[np.repeat(ok, n_b)]
