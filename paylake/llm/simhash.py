@@ -24,7 +24,8 @@ width of a segment whatever the input.
 Equal fingerprints are one node, so copies never make pairs. A task compares
 its buckets as arrays and passes on a spanning forest of the links it found.
 
-NULL and empty texts have fingerprint zero, linked like any other. NULL doc_id
+NULL and empty texts have fingerprint zero, linked like any other; very long
+texts are hashed whole, their bits counted a part at a time. NULL doc_id
 is passed over when a component takes its smallest id (NULL if all are). Equal
 rows and rows that share a doc_id are separate rows with equal fingerprints or
 their own. An empty table gives an empty result.
@@ -40,6 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
 
 from paylake.llm.common import broadcast_if_small, fresh, row_key, staged, text_of
 from paylake.llm.components import components
@@ -344,7 +346,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest
-    doc_id (NULL last), then the smallest key; of equal rows any one."""
+    doc_id (NULL last), then the smallest key, then the first by the hash of
+    all columns; of equal rows any one."""
     found = near_duplicates(docs, shingle, distance)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("best")
     kept = staged(found.groupBy("root").agg(best).select("best.doc_id", "best.key"), "simhash-kept")
@@ -353,7 +356,11 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int
     out = docs.withColumn(key, row_key(text_of("text"))).join(
         kept, (F.col(key) == F.col(r_key)) & F.col("doc_id").eqNullSafe(F.col(r_id)), "left_semi")
     repeats = found.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
-    return (out if repeats else out.dropDuplicates(["doc_id", key])).drop(key)
+    if repeats:
+        return out.drop(key)
+    row, place = F.to_json(F.struct(*docs.columns)), fresh(docs, "llm_place")
+    first = W.partitionBy("doc_id", key).orderBy(F.xxhash64(row), row)
+    return out.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).drop(key, place)
 
 
 def op3_simhash(docs: DataFrame) -> DataFrame:

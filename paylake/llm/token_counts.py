@@ -8,7 +8,8 @@ most of its characters, the earlier one on a tie; a token outside all sections
 counts for none. Counts add up to the document's tokens where the sections
 cover the text.
 
-Per document, without a shuffle; memory is one batch of texts. NULL and empty
+Per document, without a shuffle; memory is one batch of texts, or one very long
+text, which is encoded whole. NULL and empty
 texts have one empty line and no tokens; repeated rows are counted each on
 their own; other columns are passed through; an empty table gives an empty
 result.

@@ -9,7 +9,8 @@ leaves the same files. The job returns a manifest, one row per file, from
 which the files' order and first positions follow; only the manifest's counts
 are looked at beyond the tasks.
 
-NULL and empty texts have no ids but the end id; NULL doc_id comes first;
+NULL and empty texts have no ids but the end id; very long texts are encoded
+whole, alone in their batch; NULL doc_id comes first;
 rows that share a doc_id are documents of their own, next to each other; an
 empty table writes no file. Other columns are ignored.
 """

@@ -120,3 +120,14 @@ def test_components_of_a_path_and_a_hub(spark):
     hub = [(7, j) for j in range(1000, 1200)] + [(7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(path + hub, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(101, 161)}, **{j: 7 for j in range(1000, 1200)}}
+
+
+def test_the_row_that_stays_does_not_depend_on_order(spark):
+    """Rows with one doc_id and text but other columns: the same one stays, whichever comes first."""
+    rows = [(1, "one and the same text of words", "en", "b"), (1, "one and the same text of words", "fr", "a"),
+            (2, "one and the same text of words", "de", "c"), (None, "another text altogether, of its own", None, None)]
+    kept = []
+    for order in (rows, rows[::-1], rows[1:] + rows[:1]):
+        df = spark.createDataFrame(order, "doc_id long, text string, lang string, source string").coalesce(1)
+        kept.append(sorted(map(str, simhash.drop_near_duplicates(df, 3, 3).collect())))
+    assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 2
