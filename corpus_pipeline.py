@@ -2,6 +2,13 @@
 
 Each stage takes what its predecessor kept, written as Parquet and read again,
 and all but the last return the columns of ``documents``.
+
+Texts that are NULL or have under 50 words end with the quality rules; very
+long ones are measured, hashed, searched and encoded whole. Rows that share a
+doc_id are documents of their own; of equal rows near-dedup keeps one. NULL
+source and lang are groups of their own, NULL doc_id comes first in the token
+files. Other columns, of whatever names, are passed through up to the last
+stage; empty tables give empty results.
 """
 
 from __future__ import annotations
