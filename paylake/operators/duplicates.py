@@ -29,6 +29,9 @@ def duplicate_values(df: DataFrame, columns: list[str]) -> DataFrame:
         (hashes.groupBy("k", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k", "h")
          .write.parquet(path))
     twice = spark.read.schema("k byte, h long").parquet(path)
-    found = cells.join(bounded(twice, twice.count()), ["k", "h"], "left_semi")
+    n = twice.count()
+    if n == 0:
+        return spark.createDataFrame([], "column_name string, value string, n long")
+    found = cells.join(bounded(twice, n), ["k", "h"], "left_semi")
     return (found.groupBy("k", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
             .select(F.array(*[F.lit(c) for c in columns])[F.col("k").cast("int")].alias("column_name"), "value", "n"))
