@@ -35,13 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylake.llm.common import broadcast_if_small, fresh, staged, text_of
+from paylake.llm.common import BROADCAST_ROWS, broadcast_if_small, fresh, staged, text_of
 
 # Labelled documents fitted on, per language. Hash buckets of trigrams: so many,
 # and fewer where that many languages would make the model larger than MODEL_CELLS.
 TRAIN_DOCS = 2_000
 BUCKETS = 1 << 16
 MODEL_CELLS = 1 << 24
+# Conditional tables up to this size are broadcast.
+TABLE_BYTES = 32 * 1024 * 1024
 # Trigrams that a long text counts for, smoothing of the trigram model and of
 # the conditional tables, and pages' worth of belief in the next wider prior.
 TEXT_TRIGRAMS = 60
@@ -222,8 +224,9 @@ def _summed(df: DataFrame, keys: list[str]) -> DataFrame:
                                     .alias("mass"))
 
 
-def _joined(df: DataFrame, table: DataFrame, keys: list[str], name: str) -> DataFrame:
-    table = broadcast_if_small(staged(table, f"lang-{name}"))
+def _joined(df: DataFrame, table: DataFrame, keys: list[str], name: str, n: int) -> DataFrame:
+    rows = min(BROADCAST_ROWS, TABLE_BYTES // (8 * n + 100))  # a number for each language in every row
+    table = broadcast_if_small(staged(table, f"lang-{name}"), rows)
     table = table.select(*[F.col(k).alias(f"{name}_{k}") for k in keys], F.col("mass").alias(name))
     return df.join(table, [F.col(k).eqNullSafe(F.col(f"{name}_{k}")) for k in keys]).drop(
         *[f"{name}_{k}" for k in keys])
@@ -237,7 +240,7 @@ def fused(evidence: DataFrame, n: int) -> DataFrame:
     pages = max(1.0, float(sum(total)))
     kinds = {c: e.select(c).distinct().count() for c in ("declared", "suffix")}
     for keys, name in ((["declared"], "by_declared"), (["suffix"], "by_suffix"), (["host"], "by_host")):
-        e = _joined(e, _summed(e, keys), keys, name)
+        e = _joined(e, _summed(e, keys), keys, name, n)
 
     def given_language(mass, i, kind):  # P(value | language)
         return (F.col(mass)[i] + TABLE_ALPHA) / (F.col("whole")[i] + TABLE_ALPHA * kinds[kind])
