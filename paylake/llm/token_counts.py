@@ -122,11 +122,12 @@ def _counter(vocabulary, with_sections: bool, plain_special: bool):
 
 
 def count_tokens(docs: DataFrame, sections: str | None = None, vocabulary: str | None = None,
-                 counts: str | None = None, plain_special: bool = True) -> DataFrame:
+                 counts: str | None = None, plain_special: bool = False) -> DataFrame:
     """``docs`` with a struct: n_tokens, n_crossing and section_tokens. ``sections``
     names a column of disjoint ascending structs (start, end) in characters;
-    without it the lines of the text are the sections. Strings of special tokens
-    are ordinary text, or with ``plain_special`` off their tokens."""
+    without it the lines of the text are the sections. The string of a special
+    token is that token, as in the token files; with ``plain_special`` it is
+    ordinary text."""
     vocab = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
     run = _counter(vocab, sections is not None, plain_special)
     cols = [text_of("text")] + ([F.col(sections)] if sections else [])

@@ -15,7 +15,6 @@ TEXTS = ["", "\n", "\n\n", "one line", "two\nlines here", "a\n\n\nb", "  lead \n
 def tokenizer():
     from tokenizers import Tokenizer
     t = Tokenizer.from_str(read_vocabulary())
-    t.encode_special_tokens = True
     return t
 
 
@@ -36,7 +35,7 @@ def brute(tokenizer, text, sections=None):
 
 
 def test_spans_equal_the_tokenizers(tokenizer):
-    codec = tc.SpanEncoder(read_vocabulary())
+    codec = tc.SpanEncoder(read_vocabulary(), plain_special=False)
     for _ in range(2):
         for t, got in zip(TEXTS, codec.spans(TEXTS)):
             assert list(map(tuple, got.tolist())) == tokenizer.encode(t, add_special_tokens=False).offsets, t
@@ -80,3 +79,14 @@ def test_special_tokens_as_tokens(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = tc.count_tokens(df, counts="c", plain_special=False).select("c.*").collect()
     assert [(r.n_tokens, r.n_crossing, r.section_tokens) for r in got] == [brute(default, t) for t in texts]
+
+
+def test_special_tokens_as_in_the_token_files(spark, tokenizer):
+    """By default the string of a special token is one token, as op5 writes it; ``plain_special`` makes it text."""
+    from paylake.llm import token_files
+    df = spark.createDataFrame([(1, "one<|endoftext|> two\n<|endoftext|>"), (2, "no such string")], "doc_id long, text string")
+    ours = {r.doc_id: r.n_tokens for r in tc.op10_token_counts(df).collect()}
+    files = {r.doc_id: r.n_tokens - 1 for r in token_files.op5_token_output(df).collect()}  # less the end id
+    assert ours == files and ours[1] == 5
+    plain = {r.doc_id: r.counts.n_tokens for r in tc.count_tokens(df, counts="counts", plain_special=True).collect()}
+    assert plain[1] > ours[1] and plain[2] == ours[2]
