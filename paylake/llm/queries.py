@@ -172,5 +172,31 @@ SELECT doc_id, min(i) - 1 AS start, max(i) + 49 AS "end", max(i) + 50 - min(i) A
 FROM grp GROUP BY doc_id, g
 """
 
-ORACLE_SQL = {"op1_suffix_dedup": OP1_SQL, "op8_decontaminate": OP8_SQL, "op4_quality_rules": OP4_SQL, "op9_line_dedup": OP9_SQL,
+OP11_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+grams AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1),
+                             lambda i: md5(w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])))
+                        WHEN len(w) > 0 THEN [md5(array_to_string(w, ' '))] ELSE [] END) AS g
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 90 * (x.n + y.n - c)),
+reached AS (
+  SELECT a AS doc_id, b AS other FROM links
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id
+FROM words LEFT JOIN sizes USING (doc_id)
+LEFT JOIN (SELECT doc_id, min(other) AS low FROM reached GROUP BY doc_id) USING (doc_id)
+"""
+
+ORACLE_SQL = {"op1_suffix_dedup": OP1_SQL, "op8_decontaminate": OP8_SQL, "op4_quality_rules": OP4_SQL, "op9_line_dedup": OP9_SQL, "op11_ngram_join": OP11_SQL,
               "op13_merkle_manifest": OP13_SQL}
