@@ -46,6 +46,9 @@ SHARD_WORDS = 20_000_000
 MIN_SHARDS = 8
 BLOCKS_PER_SHARD = 64
 RANGE_WORDS = 200_000
+# Blocks of one hash range of blocks, and places in which a block looks for its run.
+RANGE_BLOCKS = 50_000
+STRETCH = 256
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = MIX_SHARE) -> DataFrame:
@@ -124,18 +127,39 @@ def split_quotas(quotas: DataFrame, n_shards: int, seed: int = SEED) -> DataFram
     return tree.select(F.col("lo").alias("shard"), F.explode("parts").alias("p")).select("shard", "p.idx", "p.q")
 
 
+def _block_rows(quotas: DataFrame, seed: int) -> DataFrame:
+    """(idx, block, place): every source's blocks, a row each, and their places
+    in the order of a seeded hash. Places are distributed prefix sums, as the
+    documents' offsets are: sizes of hash ranges, then a count inside each."""
+    chunk = F.explode(F.expr(f"sequence(0L, (q - 1) div {RANGE_BLOCKS})")).alias("chunk")
+    block = F.explode(F.expr(f"sequence(chunk * {RANGE_BLOCKS}, least((chunk + 1) * {RANGE_BLOCKS}, q) - 1)"))
+    rows = quotas.where("q > 0").select("idx", F.col("q").cast("long").alias("q"), chunk) \
+        .repartition("idx", "chunk").select("idx", "q", block.alias("block"))
+    h = F.xxhash64(F.lit(seed), F.col("idx").cast("int"), F.col("block"))
+    ranges = F.ceil(F.col("q") / RANGE_BLOCKS)
+    at = F.floor((h.cast("double") / float(1 << 64) + 0.5) * ranges)  # ascending with the hash
+    rows = rows.select("idx", "block", h.alias("h"), F.least(at, ranges - 1).alias("range"))
+    upto = W.partitionBy("idx").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    sums = rows.groupBy("idx", "range").agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("idx").alias("sum_idx"), F.col("range").alias("sum_range"), F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"))
+    inside = F.row_number().over(W.partitionBy("idx", "range").orderBy("h", "block")) - 1
+    return rows.withColumn("inside", inside).join(
+        broadcast_if_small(staged(sums, "mix-block-ranges")), (F.col("idx") == F.col("sum_idx")) & (F.col("range") == F.col("sum_range"))
+    ).select("idx", "block", (F.col("before") + F.col("inside")).alias("place"))
+
+
 def dealt_blocks(quotas: DataFrame, n_shards: int, seed: int = SEED) -> DataFrame:
     """(idx, block) -> shard: every source's blocks are permuted by a seeded
-    hash, and its shards take disjoint runs of that order."""
+    hash, and its shards take disjoint runs of that order. A block finds its
+    run among those that begin or end in the same stretch of places."""
     leaves = split_quotas(quotas, n_shards, seed)
-    runs = leaves.groupBy("idx").agg(F.sort_array(F.collect_list(F.struct("shard", "q"))).alias("runs"))
-    runs = runs.withColumn("blocks", F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r["q"]))
-    order = F.array_sort(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda b: F.struct(
-        F.xxhash64(F.lit(seed), F.col("idx"), b).alias("h"), b.alias("b"))))
-    owner = F.flatten(F.transform("runs", lambda r: F.array_repeat(r["shard"], r["q"].cast("int"))))
-    return (runs.select("idx", order.alias("order"), owner.alias("owner"))
-            .select("idx", F.explode(F.arrays_zip("order", "owner")).alias("d"))
-            .select("idx", F.col("d.order.b").alias("block"), F.col("d.owner").alias("shard")))
+    before = W.partitionBy("idx").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)  # a row for each shard
+    runs = leaves.withColumn("lo", F.coalesce(F.sum("q").over(before), F.lit(0)))
+    runs = runs.select(F.col("idx").alias("run_idx"), "shard", "lo", (F.col("lo") + F.col("q")).alias("hi"), F.explode(
+        F.expr(f"sequence(lo div {STRETCH}, (lo + q - 1) div {STRETCH})")).alias("run_stretch"))
+    blocks = _block_rows(quotas, seed).withColumn("stretch", F.expr(f"place div {STRETCH}"))
+    return blocks.join(runs, (F.col("idx") == F.col("run_idx")) & (F.col("stretch") == F.col("run_stretch"))
+                       & (F.col("place") >= F.col("lo")) & (F.col("place") < F.col("hi"))).select("idx", "block", "shard")
 
 
 def placed(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = MIX_SHARE, seed: int = SEED,

@@ -114,3 +114,23 @@ def test_empty_tables(spark):
     blank = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
     assert [(r.size, r.target, r.taken) for r in mixing.op6_mix_sources(blank).collect()] == [(0, 0.0, 0)] * 2
     assert mixing.mix(blank).where(F.lit(True)).count() == 0
+
+
+def test_blocks_are_dealt_as_rows(spark, monkeypatch):
+    """Over 200,000 blocks of one source: every shard gets its quota, in several tasks, and again the same."""
+    monkeypatch.setattr(mixing, "RANGE_BLOCKS", 20_000)
+    quotas = spark.createDataFrame([(1, 200_000), (2, 37), (3, 0)], "idx int, q long")
+    dealt = mixing.dealt_blocks(quotas, 5).cache()
+    want = {(r.shard, r.idx): r.q for r in mixing.split_quotas(quotas, 5).collect()}
+    got = {(r.shard, r.idx): r["count"] for r in dealt.groupBy("shard", "idx").count().collect()}
+    assert got == want and dealt.count() == 200_037 == dealt.select("idx", "block").distinct().count()
+    rows = mixing._block_rows(quotas, mixing.SEED)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # too few bytes here to be left apart
+    try:
+        parts = rows.where("idx = 1").select(F.spark_partition_id().alias("p"), "place").groupBy("p").agg(F.max("place"))
+        assert parts.count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(r.place for r in rows.where("idx = 2").collect()) == list(range(37))
+    mark = F.sum(F.xxhash64("idx", "block", "shard").cast("decimal(38,0)"))
+    assert dealt.agg(mark).first() == mixing.dealt_blocks(quotas.repartition(3), 5).agg(mark).first()
