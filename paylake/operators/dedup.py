@@ -15,8 +15,12 @@ def latest_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     map task before it is shuffled: a hot key cannot pile up in one reducer.
     The caller should make ``order`` a total order (ties otherwise resolve
     arbitrarily).
+
+    Rows are grouped by the key's hash and the key: both sorts then compare one
+    long for nearly every pair of rows. Ids that begin alike would be told
+    apart only by comparing the whole strings.
     """
-    w = Window.partitionBy(key).orderBy(*order)
+    w = Window.partitionBy(F.xxhash64(key), key).orderBy(*order)
     return (df.filter(F.col(key).isNotNull())
             .withColumn("__rn", F.row_number().over(w))
             .filter(F.col("__rn") == 1)

@@ -28,6 +28,7 @@ from paylake.sources import fixed, relations
 UNMAPPED_CITY = "Unmapped Town"
 DATE_ORIGIN = "1995-01-01"
 DAYS = 731
+BASE, SECOND, ZERO, NO_ID = range(4)  # a row and the kinds of its dirty copies
 
 
 def _pick(values: list, index: Column) -> Column:
@@ -63,7 +64,17 @@ def lake_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     device = (F.when(k % 20 == 0, F.lit("Web")).when(k % 4 == 1, F.lit("iOS"))
               .otherwise(F.lit("Android")))
 
+    # one pass over the joined rows: each is exploded into its copies, so that
+    # the tables are read and joined once, not once for every kind of copy
+    copies = (F.when(k % 500 == 0, F.array(F.lit(BASE), F.lit(SECOND), F.lit(ZERO)))
+              .when(k % 50 == 0, F.array(F.lit(BASE), F.lit(SECOND)))
+              .when(k % 500 == 1, F.array(F.lit(BASE), F.lit(NO_ID)))
+              .otherwise(F.array(F.lit(BASE))))
+    src = src.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority",
+                     "c_mktsegment", F.explode(copies).alias("_copy"))
+
     base = src.select(
+        "_copy",
         F.concat(F.lit(fixed.TXN_PREFIX), F.lpad(k.cast("string"), 16, "0")).alias("txn_id"),
         rupees.cast("double").alias("amount_inr"),
         _pick(cities, F.pmod(ck, F.lit(len(cities)))).alias("city"),
@@ -78,7 +89,6 @@ def lake_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("u"), ck.cast("string"), F.lit("@okicici")).alias("sender_upi"),
         F.concat(F.lit("m"), (k % 1000).cast("string"), F.lit("@ybl")).alias("receiver_upi"),
         device.alias("device_type"),
-        k.alias("_k"),
     )
     base = base.select(
         "*",
@@ -88,18 +98,16 @@ def lake_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
          + F.make_interval(hours=F.col("txn_hour").cast("int"))).alias("created_at"),
     )
 
-    second = (base.filter(F.col("_k") % 50 == 0)
-              .withColumn("created_at", F.col("created_at") + F.expr("INTERVAL 1 HOUR"))
-              .withColumn("amount_inr", F.col("amount_inr") + F.lit(1.0))
-              .withColumn("city", F.concat(F.lit(" "), F.lower("city"), F.lit(" ")))
-              .withColumn("merchant_category", F.upper("merchant_category"))
-              .withColumn("status", F.lower("status")))
-    zero = (base.filter(F.col("_k") % 500 == 0)
-            .withColumn("txn_id", F.concat("txn_id", F.lit("Z")))
-            .withColumn("amount_inr", F.lit(0.0)))
-    no_id = (base.filter(F.col("_k") % 500 == 1)
-             .withColumn("txn_id", F.lit(None).cast("string")))
-    out = base.unionByName(second).unionByName(zero).unionByName(no_id)
+    def of(copy: int, column: str, value: Column) -> Column:
+        return F.when(F.col("_copy") == copy, value).otherwise(F.col(column))
+    out = (base.withColumn("created_at", of(SECOND, "created_at", F.col("created_at") + F.expr("INTERVAL 1 HOUR")))
+           .withColumn("amount_inr", F.when(F.col("_copy") == ZERO, F.lit(0.0))
+                       .otherwise(of(SECOND, "amount_inr", F.col("amount_inr") + F.lit(1.0))))
+           .withColumn("city", of(SECOND, "city", F.concat(F.lit(" "), F.lower("city"), F.lit(" "))))
+           .withColumn("merchant_category", of(SECOND, "merchant_category", F.upper("merchant_category")))
+           .withColumn("status", of(SECOND, "status", F.lower("status")))
+           .withColumn("txn_id", F.when(F.col("_copy") == NO_ID, F.lit(None).cast("string"))
+                       .otherwise(of(ZERO, "txn_id", F.concat("txn_id", F.lit("Z"))))))
     return out.select(*[F.col(n).cast(t).alias(n) for n, t in schema.LAKE_FIELDS])
 
 
