@@ -47,11 +47,12 @@ def read_sink(spark: SparkSession, out_path: str) -> DataFrame:
     return spark.read.schema(SINK_SCHEMA).parquet(out_path)
 
 
-def settled(rows: DataFrame, out_path: str, run: str, delay: str) -> DataFrame:
+def settled(rows: DataFrame, out_path: str, run: str, delay: str, scratch: str) -> DataFrame:
     """``rows`` (one per id) without those of which the sink has a copy that
     comes before them. Only rows within ``delay`` of their event times are read
     (months by folder, times by row group); a copy that this misses is hidden
-    by :func:`read_deduplicated`."""
+    by :func:`read_deduplicated`. ``scratch`` is a new folder that the caller
+    deletes when the result is written."""
     spark = rows.sparkSession
     if not ingest.path_exists(spark, out_path):
         return rows
@@ -63,10 +64,16 @@ def settled(rows: DataFrame, out_path: str, run: str, delay: str) -> DataFrame:
         a, b = (F.timestamp_micros(F.lit(x)) for x in span)
         sink = sink.filter(F.col("event_month").isNull() | F.col("event_month").between(
             F.trunc(a, "month"), F.trunc(b, "month"))).filter(F.col("created_at").isNull() | F.col("created_at").between(a, b))
-    stored = sink.select(*schema.RAW_COLUMNS).join(rows.select("txn_id"), "txn_id", "left_semi")
-    both = rows.withColumn("stored", F.lit(False)).unionByName(stored.withColumn("stored", F.lit(True)))
+    # The ids first, by one narrow column; the sink's whole rows are then read
+    # for the ids that it has, and the rows of the other ids pass as they are.
+    rows.select("txn_id").join(sink.select("txn_id"), "txn_id", "left_semi").write.parquet(scratch)
+    known = spark.read.schema("txn_id string").parquet(scratch)
+    stored = sink.select(*schema.RAW_COLUMNS).join(known, "txn_id", "left_semi")
+    both = (rows.join(known, "txn_id", "left_semi").withColumn("stored", F.lit(False))
+            .unionByName(stored.withColumn("stored", F.lit(True))))
     order = [*redelivery_order(), F.col("stored").desc()]  # of equal copies the stored one
-    return first_per_key(both, "txn_id", order).filter(~F.col("stored")).drop("stored")
+    first = first_per_key(both, "txn_id", order).filter(~F.col("stored")).drop("stored")
+    return rows.join(known, "txn_id", "left_anti").unionByName(first)
 
 
 def append_new_copies(arrived: DataFrame, fresh_ids: DataFrame, watermark: int, delay: str, out_path: str,
@@ -88,11 +95,11 @@ def append_new_copies(arrived: DataFrame, fresh_ids: DataFrame, watermark: int,
     rows = first_per_key(rows, "txn_id", redelivery_order())
     path = scratch_path(spark, "dedup-rows")
     try:
-        rows.write.parquet(path)
-        rows = spark.read.schema(rows.schema).parquet(path)
+        rows.write.parquet(f"{path}/rows")
+        rows = spark.read.schema(rows.schema).parquet(f"{path}/rows")
         sure, open_rows = rows.filter("sure").drop("sure"), rows.filter("not sure").drop("sure")
         if not open_rows.isEmpty():
-            sure = sure.unionByName(settled(open_rows, out_path, run, delay))
+            sure = sure.unionByName(settled(open_rows, out_path, run, delay, f"{path}/known"))
         (sure.select(*schema.RAW_COLUMNS, F.trunc("created_at", "month").alias("event_month"))
          .hint("REBALANCE", "event_month").sortWithinPartitions("event_month", "created_at")
          .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("event_month")
@@ -120,10 +127,12 @@ def stream_dedup(spark: SparkSession, raw_dir: str, out_path: str, checkpoint: s
         fresh.withColumn("fresh", F.lit(True)), allowMissingColumns=True)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        own = batch.sparkSession
+        own = spark  # the stream's session plans without AQE: all shuffle partitions times all months would be files
         path = scratch_path(own, "dedup-batch")
         try:
-            batch.write.parquet(path)  # run once: a second run would change the state again
+            # run once: a second run would change the state again. In two folders, as the many small files
+            # of the state store's partitions would have the few large ones of the arrived rows read by one task
+            batch.write.partitionBy("fresh").parquet(path)
             staged = own.read.schema(batch.schema).parquet(path)
             append_new_copies(staged.filter("not fresh").drop("fresh"),
                               staged.filter("fresh").select("txn_id"), batch_watermark(own, checkpoint, batch_id),

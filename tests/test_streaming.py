@@ -177,3 +177,29 @@ def test_late_rows_reach_the_fact(spark, tmp):
     _files(spark, raw, [[_row("TXNB", t - dt.timedelta(days=60))]])
     jobs.maintain_fact(spark, raw, fact, ck)
     assert sorted(r.txn_id for r in spark.read.parquet(fact).collect()) == ["TXNA", "TXNB"]
+
+
+def test_a_batch_of_many_months_is_a_few_files(spark, tmp):
+    """A file for each month that a micro-batch brings, not one for each month and shuffle partition."""
+    src, out, t = f"{tmp}/raw", f"{tmp}/out", dt.datetime(2024, 1, 1)
+    spark.createDataFrame([_row(f"T{i:03d}", t + dt.timedelta(days=i % 360)) for i in range(720)],
+                          schema.RAW_SCHEMA).repartition(4).write.parquet(src)
+    stream_dedup(spark, src, out, f"{tmp}/ck", max_files_per_batch=2)
+    sink = jobs.read_sink(spark, out)
+    files = sink.select("run", "event_month", "_metadata.file_path").distinct().groupBy("run", "event_month").count()
+    assert [r["count"] for r in files.collect()] == [1] * 24
+    assert sink.count() == 720 == read_deduplicated(spark, out).count()
+
+
+def test_settling_reads_whole_sink_rows_of_known_ids_only(spark, tmp):
+    """New ids pass, a known id only with an earlier copy; no wide shuffle of the sink."""
+    t = dt.datetime(2024, 1, 1, 10)
+    minutes = lambda n: t + dt.timedelta(minutes=n)
+    sink = spark.createDataFrame([(*_row(f"S{i}", minutes(30)), "r0", dt.date(2024, 1, 1)) for i in range(50)],
+                                 jobs.SINK_SCHEMA)
+    sink.write.partitionBy("run", "event_month").parquet(f"{tmp}/out")
+    rows = spark.createDataFrame([_row("N", minutes(31)), _row("S1", minutes(20)), _row("S2", minutes(40)),
+                                  _row("S3", minutes(30))], schema.RAW_SCHEMA)
+    got = jobs.settled(rows, f"{tmp}/out", "r1", "1 hour", f"{tmp}/known")
+    assert sorted((r.txn_id, r.created_at) for r in got.collect()) == [("N", minutes(31)), ("S1", minutes(20))]
+    assert sorted(r.txn_id for r in spark.read.parquet(f"{tmp}/known").collect()) == ["S1", "S2", "S3"]
