@@ -47,6 +47,27 @@ def test_max_rows_per_file_is_a_cap(spark, tmp):
     assert max(rows) <= 3 and sum(rows) == 7
 
 
+def test_capped_write_makes_one_file_on_disk_for_each_data_file(spark, tmp):
+    """No .crc file beside each file of three rows (each cost two more processes);
+    every row is kept, and folders of an earlier checksummed write are replaced whole."""
+    root, key = f"{tmp}/lake", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    lake.write_lake(_lake_rows(spark, [dict(txn_id="old"), dict(txn_id="kept", city="Delhi")]), root)
+    before = spark.conf.get(key)
+    rows = [dict(txn_id=None if i == 5 else f"T{i:02d}", city=["Mumbai", "Navi Mumbai"][i % 5 == 0], amount_inr=i / 4)
+            for i in range(40)] + [dict(txn_id="T01")]
+    lake.write_lake(_lake_rows(spark, rows), root, max_rows_per_file=3)
+    assert spark.conf.get(key) == before
+    on_disk = {d: fs for d, _, fs in os.walk(root) if "city_part=" in d}
+    capped = [f for d, fs in on_disk.items() if "Delhi" not in d for f in fs]
+    assert capped and all(f.endswith(".parquet") for f in capped)
+    files = lake.rows_per_file(spark, root).collect()
+    assert max(r.rows for r in files) <= 3 and len([r for r in files if r.city_part != "Delhi"]) == len(capped)
+    got = lake.scan_lake(spark, root).filter("city != 'Delhi'")
+    want = _lake_rows(spark, rows)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert [r.txn_id for r in lake.scan_pruned(spark, root, city="Delhi").collect()] == ["kept"]
+
+
 def test_ingest_is_incremental_idempotent_and_isolates_bad_files(spark, tmp):
     root, raw, log, ck = f"{tmp}/lake", f"{tmp}/raw", f"{tmp}/log", f"{tmp}/ck"
     lake.write_lake(_lake_rows(spark, [dict(txn_id="A"), dict(txn_id="B", city="Delhi"),
